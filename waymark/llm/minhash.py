@@ -218,7 +218,8 @@ def across(docs: DataFrame, members: DataFrame, reps: DataFrame, k: int, percent
         return pa.table({"a": a, "b": b})
 
     shape = "band int, band_key long, i int, j int, rep long, comp long, probe boolean"
-    kept = frozen(rows.groupBy(*key).applyInArrow(look, shape))
+    # Dealt by block: the rows come dealt by bucket, which would do for the grouping but keeps a bucket in one task.
+    kept = frozen(rows.repartition(*key).groupBy(*key).applyInArrow(look, shape))
     texts = texts_for(docs, frozen(kept.select(F.col("rep").alias("doc_id")).distinct()))
     return kept.join(texts.withColumnRenamed("doc_id", "rep"), "rep").select(*key, "rep", "comp", "probe", "text").groupBy(*key).applyInArrow(verify, "a long, b long")
 

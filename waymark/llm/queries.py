@@ -6,16 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import round_trips
 from .cluster import documents, prepare
 from .exact import exact_duplicates, keyed
 from .minhash import near_duplicates
+from .packing import packed
+from .rules import quality_rules
 from .urls import judge_urls
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trips(documents(spark, sf_dir))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(keyed(documents(spark, sf_dir))).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(documents(spark, sf_dir))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("listed")
 
@@ -24,7 +39,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), k=3, percent=85)
 
 
-_ALL = (op3_exact_dedup, op9_url_filters, op10_minhash)
+_ALL = (op2_byte_bpe, op3_exact_dedup, op4_packing, op6_quality_rules, op9_url_filters, op10_minhash)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

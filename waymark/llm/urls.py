@@ -117,9 +117,13 @@ def probes_of(host: str, path: str, lengths: list[int]) -> list[bytes]:
 def distribute(spark: SparkSession, entries: list[tuple[str, str]]) -> str:
     """Build the index, add it to the session's files and return its name there."""
     prepare(spark)
+    sc = spark.sparkContext
     path = build(entries, tempfile.mkdtemp(prefix="waymark-urls-"))
-    spark.sparkContext.addFile(path)
-    return os.path.basename(path)
+    name = os.path.basename(path)
+    # The name tells the content, so an index that the session has already is the same one.
+    if not any(os.path.basename(f) == name for f in sc.listFiles):
+        sc.addFile(path)
+    return name
 
 
 def judge_urls(pages: DataFrame, rules=RULES, blocked_hosts=BLOCKED_HOSTS, id_col: str = "page_id", url_col: str = "url") -> DataFrame:

@@ -1,4 +1,68 @@
-STAGES = []
+"""A corpus pipeline: quality rules, exact and near de-duplication, removal of personal data, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet in the shared checkpoint
+folder and read again as the next stage's ``docs``. All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from waymark.llm import pii
+from waymark.llm.cluster import documents, frozen, prepare
+from waymark.llm.exact import deduplicated
+from waymark.llm.minhash import near_duplicates
+from waymark.llm.packing import packed
+from waymark.llm.rules import passes
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that fail the base rules or leave their language's fertility band."""
+    prepare(spark)
+    return docs.filter(passes("text", "lang"))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one row of each text."""
+    prepare(spark)
+    return deduplicated(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group linked at a similarity of 0.8 on five-word shingles."""
+    prepare(spark)
+    dropped = frozen(near_duplicates(docs, k=5, percent=80).filter("not kept").select("doc_id").distinct())
+    names = docs.columns
+    return docs.join(dropped, "doc_id", "left_anti").select(*names)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data in the text by its kind; n_chars is the new length."""
+    prepare(spark)
+    names = docs.columns
+    return pii.redacted(docs, pii.fit(docs)).withColumn("n_chars", F.length("text").cast("long")).select(*names)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs what is left into sequences of at most 4096 tokens: one row per piece."""
+    prepare(spark)
+    return packed(docs)
+
+
+STAGES = [("quality rules", quality), ("exact dedup", exact), ("near dedup", near), ("pii", private), ("packing", packing)]
+
+#: Token ids, trained tagger and signatures have no SQL; the pipeline is tested against a brute-force version.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over ``documents``."""
+    prepare(spark)
+    docs, folder = documents(spark, sf_dir), f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    for i, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
+    return docs

@@ -1,0 +1,206 @@
+"""Main text of web pages by tag-path ratios.
+
+A tolerant scan turns a page into text nodes, each with its root-to-leaf path of tags (with the first class of generic
+containers). Per path the characters and the punctuation marks per node are aggregated, so a short paragraph counts as
+what its path is. Both ratios are smoothed over paths by tree distance (steps over the nearest common ancestor), fused,
+and every path whose value reaches a share of the page's largest is content. Nodes of content paths are returned in
+page order.
+
+Paths with a role that is never part of an article (menus, page headers, footers, sidebars, notices, adverts, forms,
+reader comments, scripts, styles) are no candidates. If the page marks its article (article, main) and there is text in
+it, only that is searched.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from html import unescape
+from math import exp
+from typing import NamedTuple
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Width of the smoothing in tree steps; shares of the largest value that make a path content, in a marked article and without one.
+SIGMA, SHARE_MARKED, SHARE_OPEN = 1.5, 0.02, 0.2
+
+#: Tags below this depth share their path.
+DEEPEST = 100
+
+_TAG = re.compile(r"<(?:!--(?:.*?(?:-->|\Z))|(/?)([A-Za-z][^\s/>]*+)((?>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+))>|[!?/][^>]*+>)", re.S)
+_CLASS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_NAME = re.compile(r"[a-z0-9]+")
+_MARKS = re.compile("[.,;:!?…،؛؟।、。，！？：；]")
+
+# Element kinds of HTML.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+#: An opening tag ends these open ones, up to the nearest of the named containers.
+ENDS = {
+    "li": (("li",), ("ul", "ol", "menu", "dir")),
+    "dt": (("dt", "dd"), ("dl",)),
+    "dd": (("dt", "dd"), ("dl",)),
+    "tr": (("tr", "td", "th"), ("table",)),
+    "td": (("td", "th"), ("tr", "table")),
+    "th": (("td", "th"), ("tr", "table")),
+    "tbody": (("tbody", "thead", "tfoot", "tr"), ("table",)),
+    "option": (("option",), ("select", "datalist")),
+    "body": (("head",), ()),
+}
+CONTAINERS = frozenset("article aside body button caption div footer form header html main nav object section table td th ul ol dl li dd dt blockquote figure details fieldset".split())
+ARTICLE = frozenset(("article", "main"))
+NEVER = frozenset("head nav footer aside form script style noscript template button select textarea title iframe object svg canvas dialog menu xmp noembed noframes datalist".split())
+#: Words in a class, id or role that name a part which is no article text.
+ROLES = frozenset(
+    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs pagination "
+    "sidebar side aside rail widget related recommended footer foot header masthead cookie cookies consent notice notices alert popup modal overlay newsletter "
+    "subscribe signup login comment comments commentlist discussion disqus reply replies share sharing social toolbar search skip copyright legal".split()
+)
+#: Of those, the ones inside which a marked article is none of the page's.
+APART = frozenset("comment comments commentlist discussion disqus reply replies related recommended sidebar aside rail widget".split())
+
+
+class Node(NamedTuple):
+    path: tuple[str, ...]
+    text: str
+    marked: bool  # inside article or main
+    never: bool
+    block: int  # nodes of one block have one number
+
+
+def nodes_of(page: str) -> list[Node]:
+    """Text nodes of a page in order, character references decoded; nodes of white space are kept for what they separate."""
+    out: list[Node] = []
+    # name, path, marked, never, apart
+    stack: list[tuple[str, tuple[str, ...], bool, bool, bool]] = [("", (), False, False, False)]
+    block, at = 0, 0
+
+    def text(piece: str) -> None:
+        if piece:
+            _, path, marked, never, _ = stack[-1]
+            out.append(Node(path, unescape(piece), marked, never, block))
+
+    for m in iter(lambda: _TAG.search(page, at), None):
+        text(page[at : m.start()])
+        at = m.end()
+        if m[2] is None:
+            continue
+        name = m[2].lower()
+        if name not in INLINE:
+            block += 1
+        if m[1]:
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i][0] == name:
+                    del stack[i:]
+                    break
+                if name in INLINE and stack[i][0] in CONTAINERS:
+                    break
+            continue
+        if name in VOID:
+            continue
+        ends, within = ENDS.get(name, ((), ()))
+        if name not in INLINE:
+            ends, within = (*ends, "p"), within or tuple(CONTAINERS)
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i][0] in ends:
+                del stack[i:]
+                if len(ends) == 1:
+                    break
+            elif stack[i][0] in within:
+                break
+        _, path, marked, never, apart = stack[-1]
+        label = name
+        words: set[str] = set()
+        if m[3]:
+            attributes = {k.lower(): (a or b or c).lower() for k, a, b, c in _CLASS.findall(m[3])}
+            words = {w for v in attributes.values() for w in _NAME.findall(v)}
+            if name in ("div", "section", "span", "td", "ul") and attributes.get("class"):
+                label = f"{name}.{attributes['class'].split()[0]}" if attributes["class"].split() else name
+        apart = apart or name in ("aside", "footer") or bool(words & APART)
+        if name in ARTICLE and not apart:
+            marked, never = True, False
+        elif name in NEVER or (name == "header" and not marked) or (words & ROLES and name not in ("html", "body", "p", "h1", "h2", "h3")):
+            never = True
+        if name in RAW:
+            close = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
+            at = close.end() if close else len(page)
+            continue
+        if m[3].rstrip().endswith("/") and name not in CONTAINERS and name not in INLINE and name != "p":
+            continue
+        stack.append((name, (*path, label) if len(path) < DEEPEST else path, marked, never, apart))
+    text(page[at:])
+    return out
+
+
+def distance(a: tuple[str, ...], b: tuple[str, ...]) -> int:
+    common = 0
+    for x, y in zip(a, b, strict=False):
+        if x != y:
+            break
+        common += 1
+    return len(a) + len(b) - 2 * common
+
+
+def content_paths(nodes: list[Node], sigma: float = SIGMA) -> set[tuple[str, ...]]:
+    """Paths of the candidate nodes whose smoothed and fused ratios reach the threshold."""
+    chars: dict[tuple[str, ...], list[int]] = {}
+    for n in nodes:
+        if words := n.text.split():
+            row = chars.setdefault(n.path, [0, 0, 0])
+            row[0] += sum(map(len, words)) + len(words) - 1
+            row[1] += len(_MARKS.findall(n.text))
+            row[2] += 1
+    if not chars:
+        return set()
+    paths = list(chars)
+    ratios = [(chars[p][0] / chars[p][2], chars[p][1] / chars[p][2]) for p in paths]
+    smooth = []
+    for p in paths:
+        total = length = marks = 0.0
+        for q, (a, b) in zip(paths, ratios, strict=True):
+            d = distance(p, q)
+            if d < 8 * sigma:
+                w = exp(-d * d / (2 * sigma * sigma))
+                total, length, marks = total + w, length + w * a, marks + w * b
+        smooth.append((length / total, marks / total))
+    most = max(b for _, b in smooth) or 1.0
+    fused = [a * (0.5 + 0.5 * b / most) for a, b in smooth]
+    least = (SHARE_MARKED if any(n.marked for n in nodes) else SHARE_OPEN) * max(fused)
+    return {p for p, f in zip(paths, fused, strict=True) if f >= least}
+
+
+def main_text(page: str) -> str:
+    """The article of a page: white space within a block is one space, blocks are joined by one space. "" if there is none."""
+    nodes = [n for n in nodes_of(page) if not n.never]
+    marked = [n for n in nodes if n.marked]
+    if any(n.text.strip() for n in marked):
+        nodes = marked
+    chosen = content_paths(nodes)
+    parts, last = [], None
+    for n in nodes:
+        if n.path in chosen or not n.text.strip():
+            if n.block != last:
+                parts.append(" ")
+                last = n.block
+            parts.append(n.text)
+    return " ".join("".join(parts).split())
+
+
+def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """One row per row of ``pages``: page_id, url, text, n_chars (code points).
+
+    A null or empty page, or one without article text, has the text "". Pages are taken each on its own, repeats alike;
+    other columns are ignored; an empty table gives an empty one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                texts = [main_text(h or "") for h in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+
+    return pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html")).mapInArrow(run, "page_id long, url string, text string, n_chars long")

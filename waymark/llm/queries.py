@@ -6,15 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import bytecnn, pii, toxicity
 from .bpe import round_trips
 from .cluster import documents, prepare
 from .exact import exact_duplicates, keyed
+from .html import extracted
 from .minhash import near_duplicates
 from .packing import packed
 from .rules import quality_rules
 from .urls import judge_urls
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.scored(docs, toxicity.fit(docs, labels(spark, sf_dir))).drop("n_sentences")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trips(documents(spark, sf_dir))
 
@@ -27,10 +38,24 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
 
+def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return bytecnn.scored(docs, bytecnn.fit(docs, labels(spark, sf_dir)))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.detected(docs, pii.fit(docs))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("listed")
 
@@ -39,7 +64,18 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), k=3, percent=85)
 
 
-_ALL = (op2_byte_bpe, op3_exact_dedup, op4_packing, op6_quality_rules, op9_url_filters, op10_minhash)
+_ALL = (
+    op1_toxicity,
+    op2_byte_bpe,
+    op3_exact_dedup,
+    op4_packing,
+    op5_html,
+    op6_quality_rules,
+    op7_quality_cnn,
+    op8_pii,
+    op9_url_filters,
+    op10_minhash,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

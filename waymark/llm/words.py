@@ -53,14 +53,15 @@ class Words:
     """Words of the texts whose bytes are ``data[offsets[i]:offsets[i + 1]]``.
 
     ``start``, ``end``: byte positions of each word; ``doc``: its text's number; ``first``: number of each text's
-    first word, with one more entry at the end. ``data`` is lower-cased (A-Z) unless ``lower`` is False.
+    first word, with one more entry at the end. ``data`` is lower-cased (A-Z) unless ``lower`` is False; another table
+    of bytes that separate words can be given.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True, separates: np.ndarray = _SEPARATES):
         self.data = _LOWER[data] if lower else data
         self.offsets = offsets
         n = len(data)
-        apart = _SEPARATES[self.data]
+        apart = separates[self.data]
         inner = offsets[(offsets > 0) & (offsets < n)]
         before = np.ones(n + 1, bool)
         before[1:n] = apart[:-1] if n else True

@@ -104,37 +104,63 @@ def noisy_or(scores: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(np.bincount(doc, weights=np.log1p(-np.minimum(scores, 1 - 1e-12)), minlength=n))
 
 
+def _parts(texts: list[str], rows: np.ndarray) -> Iterator[tuple[np.ndarray, Sentences]]:
+    """Sentences of the texts numbered ``rows``, a slice at a time, with those numbers; features are never held for all texts."""
+    data, offsets = column_bytes(pa.array([texts[i] for i in rows], pa.string()))
+    for lo, hi in slices(offsets):
+        yield rows[lo:hi], sentences(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+
+
+def _known(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of the keys that are in the sorted ``wanted``, their places there)."""
+    at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
+    hit = np.flatnonzero(wanted[at] == keys)
+    return hit, at[hit]
+
+
 def train(texts: list[str], y: np.ndarray, weight: np.ndarray) -> Model:
     """Fit the noisy-or model to document labels. Without rows of both classes every sentence gets the prior."""
-    empty = make_model(np.zeros(0, np.uint64), np.zeros(0), BIAS)
+    nothing = make_model(np.zeros(0, np.uint64), np.zeros(0), BIAS)
     if not len(texts) or len(set(y.tolist())) < 2:
-        return empty
-    s = sentences(*column_bytes(pa.array(texts, pa.string())))
-    doc_of = s.doc[s.owner]
-    # Document frequencies of each feature among toxic and other documents.
-    keys, code = np.unique(s.key, return_inverse=True)
-    pair = np.unique(code.astype(np.int64) * len(texts) + doc_of)
-    code_of, toxic = pair // len(texts), y[pair % len(texts)] == 1
-    pos, neg = np.bincount(code_of[toxic], minlength=len(keys)), np.bincount(code_of[~toxic], minlength=len(keys))
-    odds = ((pos + 0.5) / (y == 1).sum()) / ((neg + 0.5) / (y == 0).sum())
-    kept = np.flatnonzero((pos >= LEAST_TOXIC) & (odds >= LEAST_ODDS))
-    place = np.full(len(keys), -1)
-    place[kept] = np.arange(len(kept))
-    use = np.flatnonzero(place[code] >= 0)
-    owner, feature = s.owner[use], place[code[use]]
+        return nothing
+    # Features of enough toxic documents, then their document frequency among the others.
+    toxic, clean = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    seen = []
+    for rows, s in _parts(texts, toxic):
+        keys, code = np.unique(s.key, return_inverse=True)
+        seen.append(keys[np.unique(code.astype(np.int64) * len(rows) + s.doc[s.owner]) // len(rows)])
+    keys, pos = np.unique(np.concatenate(seen), return_counts=True)
+    keys, pos = keys[pos >= LEAST_TOXIC], pos[pos >= LEAST_TOXIC]
+    if not len(keys):
+        return nothing
+    neg = np.zeros(len(keys), np.int64)
+    for rows, s in _parts(texts, clean):
+        hit, at = _known(s.key, keys)
+        neg += np.bincount(np.unique(at * len(rows) + s.doc[s.owner[hit]]) // len(rows), minlength=len(keys))
+    keys = keys[((pos + 0.5) / len(toxic)) / ((neg + 0.5) / len(clean)) >= LEAST_ODDS]
+    if not len(keys):
+        return nothing
+    docs, owners, features, n = [], [], [], 0
+    for rows, s in _parts(texts, np.arange(len(texts))):
+        hit, at = _known(s.key, keys)
+        docs.append(rows[s.doc])
+        owners.append(s.owner[hit] + n)
+        features.append(at)
+        n += len(s.doc)
+    doc, owner, feature, kept = np.concatenate(docs), np.concatenate(owners), np.concatenate(features), keys
     v, bias = np.zeros(len(kept)), BIAS
     m1, m2 = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
     for step in range(1, STEPS + 1):
-        z = np.bincount(owner, weights=v[feature], minlength=len(s.doc)) + bias
+        z = np.bincount(owner, weights=v[feature], minlength=n) + bias
         score = 1 / (1 + np.exp(-z))
-        p = np.clip(noisy_or(score, s.doc, len(texts)), 1e-9, 1 - 1e-9)
+        p = np.clip(noisy_or(score, doc, len(texts)), 1e-9, 1 - 1e-9)
         pull = np.where(y == 1, (1 - p) / p, -1.0) * weight
-        g = pull[s.doc] * score
+        g = pull[doc] * score
         grad = np.append(np.bincount(feature, weights=g[owner], minlength=len(kept)) - RIDGE * v, g.sum() - len(texts) * RIDGE * (bias - BIAS))
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad**2
         move = RATE * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
         v, bias = v + move[:-1], bias + move[-1]
-    return make_model(keys[kept], v, float(bias))
+    return make_model(keys, v, float(bias))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, longest: int = LONGEST) -> Model:

@@ -10,9 +10,9 @@ from . import bytecnn, pii, toxicity
 from .bpe import round_trips
 from .cluster import documents, prepare
 from .exact import exact_duplicates, keyed
-from .html import extracted
 from .minhash import near_duplicates
 from .packing import packed
+from .pagetext import extracted
 from .rules import quality_rules
 from .urls import judge_urls
 

@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cluster import text_of
+from .cluster import held, text_of
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: ``\s`` is spelled out, as the library's pattern engine and this one may differ on control characters.
@@ -118,9 +118,8 @@ class Codec:
         return ",".join([names[i] for i in ids]).encode()
 
 
-@lru_cache(maxsize=2)
 def codec(path: str = RANKS) -> Codec:
-    return Codec(path)
+    return held(f"bpe {path}", lambda: Codec(path))
 
 
 def encoded(docs: DataFrame, path: str = RANKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,9 +5,10 @@ Nothing in this module depends on the size of the data.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,23 @@ def frozen(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object] | None = None) -> object:
+    """An object that a Python worker keeps between tasks, made on first use.
+
+    A worker holds one at a time: asking for another name lets go of it, so the tables of one operator do not stay in
+    memory while a worker that Spark reuses runs the next one. Without ``make`` everything is let go.
+    """
+    if name not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        if make is not None:
+            _HELD[name] = make()
+    return _HELD.get(name)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cluster import column_bytes, frozen, slices, text_of
+from .cluster import column_bytes, frozen, held, slices, text_of
 from .components import components
 from .words import sets_of
 
@@ -87,6 +87,7 @@ def features(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "t
     """(doc_id, n_shingles, set_key, signature) of every document; key and signature are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("")
         for batch in batches:
             data, offsets = column_bytes(batch.column(1))
             for lo, hi in slices(offsets):

@@ -21,7 +21,6 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 from itertools import count as numbers
 
@@ -33,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .cluster import frozen, text_of
+from .cluster import frozen, held, text_of
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 4096
@@ -104,9 +103,8 @@ class WordCodec:
         return [b"".join([known[w] for w in ws]) + last for known, ws in parts]
 
 
-@lru_cache(maxsize=2)
 def word_codec(path: str = TOKENIZER) -> WordCodec:
-    return WordCodec(path)
+    return held(f"words {path}", lambda: WordCodec(path))
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str = TOKENIZER, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

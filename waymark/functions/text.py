@@ -159,7 +159,7 @@ def brand_address(c: Column) -> Column:
 
 def place_name(headings: Column) -> Column:
     """First heading that is no junk, else 'N/A'."""
-    trimmed = F.transform(headings, F.trim)
+    trimmed = F.transform(headings, lambda h: F.trim(h))
     return F.coalesce(F.try_element_at(F.filter(trimmed, lambda h: ~F.lower(h).isin(*JUNK_NAMES)), F.lit(1)), F.lit("N/A"))
 
 

@@ -1,0 +1,16 @@
+"""Queries of every operator, with the SQL that gives the same rows."""
+
+from __future__ import annotations
+
+from . import scalars
+from .base import CATALOGUE, Query
+
+MODULES = (scalars,)
+
+
+def queries() -> dict[str, Query]:
+    return {name: f for name, (f, _) in CATALOGUE.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for name, (_, sql) in CATALOGUE.items() if sql}

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import scalars
+from . import places, scalars
 from .base import CATALOGUE, Query
 
-MODULES = (scalars,)
+MODULES = (scalars, places)
 
 
 def queries() -> dict[str, Query]:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import places, scalars
+from . import merging, places, scalars
 from .base import CATALOGUE, Query
 
-MODULES = (scalars, places)
+MODULES = (scalars, places, merging)
 
 
 def queries() -> dict[str, Query]:

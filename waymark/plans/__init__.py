@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import merging, places, scalars
+from . import guards, merging, pages, places, scalars
 from .base import CATALOGUE, Query
 
-MODULES = (scalars, places, merging)
+MODULES = (scalars, places, merging, pages, guards)
 
 
 def queries() -> dict[str, Query]:

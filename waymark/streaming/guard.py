@@ -32,15 +32,15 @@ def within_quota(events: DataFrame, cap: Column, unique: str, host: str = "host"
 
 
 def since_last(events: DataFrame, unique: str, host: str = "host", ts: str = "ts") -> DataFrame:
-    """Adds ``gap_ms`` to the host's event before."""
+    """Adds ``gap_us`` to the host's event before."""
     before = F.lag(ts).over(Window.partitionBy(host).orderBy(ts, unique))
-    return events.withColumn("gap_ms", F.unix_millis(F.col(ts).cast("timestamp")) - F.unix_millis(before.cast("timestamp")))
+    return events.withColumn("gap_us", F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(before.cast("timestamp")))
 
 
 def before_hard_block(events: DataFrame, hard: Column, unique: str, host: str = "host", ts: str = "ts") -> DataFrame:
     """Events up to and with the first hard block of their host; the rest of the run is off."""
     blocks = F.sum(hard.cast("int")).over(Window.partitionBy(host).orderBy(ts, unique).rowsBetween(Window.unboundedPreceding, -1))
-    return events.filter(F.coalesce(blocks, F.lit(0)) == 0)
+    return events.withColumn("_blocks", blocks).filter("coalesce(_blocks, 0) = 0").drop("_blocks")
 
 
 class Breaker:

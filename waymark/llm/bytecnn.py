@@ -139,7 +139,8 @@ def gradients(net: Net, x: np.ndarray, first: np.ndarray, y: np.ndarray, weight:
         for k in range(PARTS):
             c = k * FILTERS + f
             g_filters[:, c] += g_top[live, f] @ blocks[window + k]
-            back = np.outer(g_top[live, f], net.filters[:, c]).reshape(-1, DIM)
+            inside = window + k < len(seg) * (SEGMENT // STRIDE)  # a window at the very end has no more parts
+            back = np.outer(g_top[live, f] * inside, net.filters[:, c]).reshape(-1, DIM)
             code = bytes_of[window + k].ravel()
             for d in range(DIM):
                 g_embed[:, d] += np.bincount(code, weights=back[:, d], minlength=256)

@@ -74,17 +74,29 @@ def cells_around(df: DataFrame, radius_m: float) -> DataFrame:
     return out.withColumn("_c", F.explode(near)).withColumn("cell_col", _column(F.col("longitude"), F.col("cell_row"), step) + F.col("_c")).drop("_r", "_c")
 
 
+def prefix_tokens(tokens: Column, least: float) -> Column:
+    """The tokens, in order, among which two names that score at least ``least`` share one: all but ceil(least * n) - 1 of n."""
+    n = F.size(tokens)
+    return F.slice(F.array_sort(tokens), 1, F.greatest(F.lit(0), n - F.ceil(n * least - 1e-9).cast("int") + 1))
+
+
 def near_pairs(left: DataFrame, right: DataFrame, radius_m: float, least: float) -> DataFrame:
-    """Pairs within the radius whose names score at least ``least``: an equi-join on grid cells, never a product.
+    """Pairs within the radius whose names score at least ``least`` (above 0): an equi-join on grid cell and token, never a
+    product. A pair is kept at its first common prefix token, so it comes once.
 
     Both sides have (id, name, latitude, longitude); columns of the right one come back with an r_ before them.
     """
-    l = cells_around(left.withColumn("tokens", name_tokens(F.col("name"))), radius_m)
-    r = cells(right.withColumn("tokens", name_tokens(F.col("name"))), radius_m)
-    r = r.select("cell_row", "cell_col", *[F.col(c).alias(f"r_{c}") for c in r.columns if not c.startswith("cell_")])
+    if least <= 0:
+        raise ValueError("names that share nothing cannot be found by what they share")
+    with_prefix = lambda df: df.withColumn("tokens", name_tokens(F.col("name"))).withColumn("prefix", prefix_tokens(F.col("tokens"), least))
+    l = cells_around(with_prefix(left), radius_m).withColumn("token", F.explode("prefix"))
+    r = cells(with_prefix(right), radius_m).withColumn("token", F.explode("prefix"))
+    keys = ["cell_row", "cell_col", "token"]
+    r = r.select(*keys, *[F.col(c).alias(f"r_{c}") for c in r.columns if c not in keys])
     distance = haversine_m(F.col("latitude"), F.col("longitude"), F.col("r_latitude"), F.col("r_longitude"))
-    pairs = l.join(r, ["cell_row", "cell_col"]).withColumn("score", jaccard(F.col("tokens"), F.col("r_tokens"))).filter(F.col("score") >= least)
-    return pairs.withColumn("distance", distance).filter(F.col("distance") <= radius_m).drop("cell_row", "cell_col", "tokens", "r_tokens")
+    pairs = l.join(r, keys).filter(F.col("token") == F.array_min(F.array_intersect("prefix", "r_prefix")))
+    pairs = pairs.withColumn("score", jaccard(F.col("tokens"), F.col("r_tokens"))).filter(F.col("score") >= least)
+    return pairs.withColumn("distance", distance).filter(F.col("distance") <= radius_m).drop(*keys, "tokens", "r_tokens", "prefix", "r_prefix")
 
 
 def best_match(left: DataFrame, pool: DataFrame, radius_m: float = 220.0, least: float = 0.34, pull: float = 0.25) -> DataFrame:

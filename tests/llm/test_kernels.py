@@ -174,19 +174,25 @@ def test_deep_and_wide_pages():
     assert len(pagetext.main_text("<article>" + "<p>one more line, here.</p>" * 3000 + "</article>").split()) == 12_000
 
 
+def mapped(folder, *entries):
+    path = folder / "urls.idx"
+    path.write_bytes(urls.index_bytes(list(entries)))
+    return urls.Index(str(path))
+
+
 def test_url_index(tmp_path):
-    index = urls.Index(urls.build([("com/en/", "block"), ("example.com/en/7", "allow"), ("x.org", "block")], str(tmp_path)))
+    index = mapped(tmp_path, ("com/en/", "block"), ("example.com/en/7", "allow"), ("x.org", "block"))
     assert index.lookup([b"com/en/", b"com/en", b"x.org", b""]).tolist()[1] == -1
     assert [index.string(j) for j in index.lookup([b"com/en/", b"x.org"])] == ["com/en/", "x.org"]
     assert index.lengths == [0, 4, 5]
     with pytest.raises(ValueError):
-        urls.build([("a", "block"), ("a", "allow")], str(tmp_path))
-    assert urls.Index(urls.build([], str(tmp_path))).lookup([b"a"]).tolist() == [-1]
+        urls.index_bytes([("a", "block"), ("a", "allow")])
+    assert mapped(tmp_path).lookup([b"a"]).tolist() == [-1]
 
 
 def test_equal_keys_are_told_apart_by_their_strings(tmp_path, monkeypatch):
     monkeypatch.setattr(urls.xxhash, "xxh64_intdigest", lambda s: 7)
-    index = urls.Index(urls.build([("a.com", "block"), ("b.com", "allow")], str(tmp_path)))
+    index = mapped(tmp_path, ("a.com", "block"), ("b.com", "allow"))
     assert [index.string(j) if j >= 0 else None for j in index.lookup([b"b.com", b"c.com", b"a.com"])] == ["b.com", None, "a.com"]
 
 

@@ -6,8 +6,8 @@ host's suffixes (cut at labels) joined with each path prefix of a length that oc
 batch are probed by one vectorised binary search, and a hit counts only if the stored string equals the probe.
 The longest entry that fits gives the verdict.
 
-The files are built once on the driver, sent by Spark's own file distribution (an executor that joins later fetches
-them again) and only opened read-only. Memory on an executor is page cache shared by its workers.
+The files are built once, written into the shared checkpoint folder and sent by Spark's own file distribution (an executor
+that joins later fetches them again); executors open them read-only. Memory on an executor is page cache shared by its workers.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from __future__ import annotations
 import hashlib
 import mmap
 import os
-import tempfile
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -46,8 +45,8 @@ def split_url(url: str | None) -> tuple[str, str]:
     return (host.lower() if host.isascii() else "".join(c.lower() if "A" <= c <= "Z" else c for c in host)), path[:end]
 
 
-def build(entries: list[tuple[str, str]], folder: str) -> str:
-    """Write the index of ``entries`` (host + path, verdict) into ``folder`` and return the file's path.
+def index_bytes(entries: list[tuple[str, str]]) -> bytes:
+    """The index of ``entries`` (host + path, verdict).
 
     Layout: counts and path lengths (int64), sorted keys (uint64), offsets of the strings (int64), verdict bytes,
     strings. Entries of one string must agree; entries with equal keys but other strings stay side by side.
@@ -59,11 +58,8 @@ def build(entries: list[tuple[str, str]], folder: str) -> str:
     keys = np.array([r[0] for r in rows], np.uint64)
     offsets = np.cumsum([0, *(len(r[1]) for r in rows)], dtype=np.int64)
     lengths = sorted({len(s.partition("/")[2]) + 1 if "/" in s else 0 for s in unique})
-    body = b"".join([np.array([len(rows), len(lengths), *lengths], np.int64).tobytes(), keys.tobytes(), offsets.tobytes(), bytes(r[2] == "block" for r in rows), *(r[1] for r in rows)])
-    path = os.path.join(folder, f"urls-{hashlib.sha256(body).hexdigest()[:16]}.idx")
-    with open(path, "wb") as f:
-        f.write(body)
-    return path
+    head = np.array([len(rows), len(lengths), *lengths], np.int64).tobytes()
+    return b"".join([head, keys.tobytes(), offsets.tobytes(), bytes(r[2] == "block" for r in rows), *(r[1] for r in rows)])
 
 
 class Index:
@@ -115,14 +111,19 @@ def probes_of(host: str, path: str, lengths: list[int]) -> list[bytes]:
 
 
 def distribute(spark: SparkSession, entries: list[tuple[str, str]]) -> str:
-    """Build the index, add it to the session's files and return its name there."""
+    """Write the index into the shared checkpoint folder, add it to the session's files and return its name there.
+
+    The name tells the content, so an index that the session has already is the same one.
+    """
     prepare(spark)
-    sc = spark.sparkContext
-    path = build(entries, tempfile.mkdtemp(prefix="waymark-urls-"))
-    name = os.path.basename(path)
-    # The name tells the content, so an index that the session has already is the same one.
+    sc, body = spark.sparkContext, index_bytes(entries)
+    name = f"urls-{hashlib.sha256(body).hexdigest()[:16]}.idx"
     if not any(os.path.basename(f) == name for f in sc.listFiles):
-        sc.addFile(path)
+        place = sc._jvm.org.apache.hadoop.fs.Path(f"{sc.getCheckpointDir()}/{name}")
+        out = place.getFileSystem(sc._jsc.hadoopConfiguration()).create(place)
+        out.write(bytearray(body))
+        out.close()
+        sc.addFile(place.toString())
     return name
 
 

@@ -150,7 +150,7 @@ def linked(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
             yield batch.select(["a", "b"]).take(pa.array(hit, pa.int64()))
 
     pairs = frozen(pairs)
-    ids = frozen(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct())
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     texts = frozen(texts_for(docs, ids))
     ta, tb = (texts.select(F.col("doc_id").alias(x), F.col("text").alias("t" + x)) for x in "ab")
     return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
@@ -221,7 +221,7 @@ def across(docs: DataFrame, members: DataFrame, reps: DataFrame, k: int, percent
     shape = "band int, band_key long, i int, j int, rep long, comp long, probe boolean"
     # Dealt by block: the rows come dealt by bucket, which would do for the grouping but keeps a bucket in one task.
     kept = frozen(rows.repartition(*key).groupBy(*key).applyInArrow(look, shape))
-    texts = texts_for(docs, frozen(kept.select(F.col("rep").alias("doc_id")).distinct()))
+    texts = texts_for(docs, kept.select(F.col("rep").alias("doc_id")).distinct())
     return kept.join(texts.withColumnRenamed("doc_id", "rep"), "rep").select(*key, "rep", "comp", "probe", "text").groupBy(*key).applyInArrow(verify, "a long, b long")
 
 
@@ -243,15 +243,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     shared = frozen(rows.join(heads, ["band", "band_key"]))
     star = shared.filter("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
     links = frozen(linked(docs, likely(star, reps, percent / 100, miss), k, percent))
-    comps = frozen(components(links.toDF("u", "v")))
+    comps = components(links.toDF("u", "v"))
     member = shared.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("band", "band_key", "rep", F.coalesce("component", "rep").alias("comp"))
     split = member.groupBy("band", "band_key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band", "band_key")
     mixed = frozen(member.join(split, ["band", "band_key"], "left_semi"))
     more = across(docs, mixed, reps, k, percent, miss)
-    comps = frozen(components(links.union(more).toDF("u", "v")))
-    classes = frozen(
-        reps.select("set_key", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    )
+    # The stars found so far stand for the links that made them.
+    comps = components(comps.union(more).toDF("u", "v"))
+    classes = reps.select("set_key", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     out = feats.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from waymark.functions.values import is_empty_collection, truthy_number, truthy_text
+from waymark.runtime import frozen
 
 from .scope import named_area
 
@@ -29,21 +30,27 @@ def from_seed(seed: DataFrame) -> DataFrame:
     )
 
 
-def assign_ids(rows: DataFrame, known: DataFrame, prefix: str = "GUL") -> DataFrame:
-    """(place_code, cafe_id) of all rows: known ids stay, others follow the largest number in order of ``pos``.
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Adds ``name``: 1, 2, ... over the whole table in ``order``, which must be unique.
 
-    Numbers are counted by a range shuffle on pos and a window over partition totals, not in one task.
+    Rows are range-partitioned and counted within their partition; a window over partition totals, of which there are as many
+    as partitions, gives the offset. No task sees more than its range.
     """
-    new = rows.join(known.select("place_code"), "place_code", "left_anti").select("place_code", "pos").repartitionByRange("pos").withColumn("part", F.spark_partition_id())
-    from waymark.runtime import frozen
-
-    new = frozen(new)
-    totals = new.groupBy("part").agg(F.count("*").alias("n"))
-    starts = totals.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    largest = known.agg(F.coalesce(F.max(F.regexp_extract("cafe_id", r"-(\d+)$", 1).try_cast("long")), F.lit(0)).alias("top"))
-    numbered = new.withColumn("i", F.row_number().over(Window.partitionBy("part").orderBy("pos"))).join(F.broadcast(starts.select("part", "before")), "part").join(F.broadcast(largest))
-    number = F.col("top") + F.col("before") + F.col("i")
-    made = numbered.select("place_code", F.concat(F.lit(f"{prefix}-"), F.when(number < 1000, F.lpad(number.cast("string"), 3, "0")).otherwise(number.cast("string"))).alias("cafe_id"))
+    parts = frozen(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    totals = parts.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = totals.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    within = parts.withColumn("_i", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    return within.join(F.broadcast(starts), "_part").withColumn(name, F.col("_before") + F.col("_i")).drop("_part", "_i", "_before")
+
+
+def assign_ids(rows: DataFrame, known: DataFrame, prefix: str = "GUL") -> DataFrame:
+    """(place_code, cafe_id) of all rows: known ids stay, others follow the largest number in order of ``pos``."""
+    new = rows.join(known.select("place_code"), "place_code", "left_anti").select("place_code", "pos")
+    largest = known.agg(F.coalesce(F.max(F.regexp_extract("cafe_id", r"-(\d+)$", 1).try_cast("long")), F.lit(0)))
+    number = F.col("n") + largest.scalar()
+    text = F.when(number < 1000, F.lpad(number.cast("string"), 3, "0")).otherwise(number.cast("string"))
+    made = numbered(new, [F.col("pos"), F.col("place_code")], "n").select("place_code", F.concat(F.lit(f"{prefix}-"), text).alias("cafe_id"))
     return known.select("place_code", "cafe_id").union(made)
 
 
@@ -138,5 +145,5 @@ def upsert(store: DataFrame, rows: DataFrame, key: str = "place_code") -> DataFr
 
 
 def batches(df: DataFrame, size: int, order: list[Column]) -> DataFrame:
-    """Adds ``batch``: chunks of ``size`` rows in order."""
-    return df.withColumn("batch", F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / size).cast("long"))
+    """Adds ``batch``: chunks of ``size`` rows in ``order``, which must be unique."""
+    return numbered(df, order, "_place").withColumn("batch", F.floor((F.col("_place") - 1) / size).cast("long")).drop("_place")

@@ -54,9 +54,8 @@ def named_area(sub_area: Column, area: Column) -> Column:
 
 def adaptive_filter(df: DataFrame, predicate: Column, at_least: int = 5) -> DataFrame:
     """Rows that satisfy the predicate if at least so many do, else all."""
-    tagged = df.withColumn("_hit", F.coalesce(predicate, F.lit(False)))
-    hits = tagged.agg(F.count_if("_hit").alias("_hits"))
-    return tagged.join(F.broadcast(hits)).filter((F.col("_hits") < at_least) | F.col("_hit")).drop("_hit", "_hits")
+    hit = F.coalesce(predicate, F.lit(False))
+    return df.filter((df.agg(F.count_if(hit)).scalar() < at_least) | hit)
 
 
 def type_filter(df: DataFrame, type_col: str, types, keyword_text: Column, keywords: str, least: int = 3, share: float = 0.05) -> DataFrame:
@@ -71,9 +70,9 @@ def type_filter(df: DataFrame, type_col: str, types, keyword_text: Column, keywo
     return j.filter(F.when(by_type, F.col("_m")).otherwise((F.col("_nw") < least) | F.col("_w"))).drop("_m", "_w", "_n", "_nm", "_nw")
 
 
-def popularity_order(df: DataFrame, popularity: str = "popularity", position: str = "pos") -> DataFrame:
-    """Ascending, NULL last, ties in file order."""
-    return df.orderBy(F.col(popularity).asc_nulls_last(), F.col(position))
+def popularity_keys(popularity: str = "popularity", position: str = "pos") -> list[Column]:
+    """Sort keys: ascending, NULL last, ties in file order."""
+    return [F.col(popularity).asc_nulls_last(), F.col(position)]
 
 
 def rank_or_score(df: DataFrame, popularity: str = "popularity") -> DataFrame:

@@ -155,7 +155,7 @@ def enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("O04_accepted_first", f"WITH x AS ({RESOLVED_SQL}) SELECT place_code, row_number() OVER (ORDER BY {ACCEPTED_SQL} DESC, round_even(({_GOT}) / 33.0, 4) DESC, place_code) AS place FROM x")
 def accepted_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.desc("accepted"), F.desc("completeness"), F.col("place_code")]
-    return records.batches(statuses(spark, sf_dir).orderBy(*order), 1, order).select("place_code", (F.col("batch") + 1).alias("place"))
+    return records.numbered(statuses(spark, sf_dir).select("place_code", "accepted", "completeness"), order, "place").select("place_code", "place")
 
 
 @query("O09_until_target", f"WITH x AS ({RESOLVED_SQL}), s AS (SELECT place_code, {ACCEPTED_SQL} AS ok, round_even(({_GOT}) / 33.0, 4) AS c FROM x) SELECT place_code FROM (SELECT place_code, coalesce(sum(ok::INT) OVER (ORDER BY c DESC, place_code ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done FROM s) WHERE done < 5")
@@ -391,7 +391,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("O05_by_id", "SELECT cafe_id, row_number() OVER (ORDER BY cafe_id) AS place FROM (SELECT 'GUL-' || (c_custkey + 90) AS cafe_id FROM customer)")
 def by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.concat(F.lit("GUL-"), (F.col("c_custkey") + 90).cast("string")).alias("cafe_id"))
-    return records.batches(ids, 1, [F.col("cafe_id")]).select("cafe_id", (F.col("batch") + 1).alias("place"))
+    return records.numbered(ids, [F.col("cafe_id")], "place")
 
 
 @query("U02_source_plugin", f"SELECT src, count(*) AS n FROM ({OBSERVATIONS.sql}) WHERE src IN ('g', 'osm') GROUP BY 1")

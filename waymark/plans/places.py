@@ -64,8 +64,7 @@ def typed_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Order -----------------------------------------------------------------------------------------------------------
 @query("O01_popularity_order", f"{WITH_SEED} SELECT place_code, row_number() OVER (ORDER BY popularity NULLS LAST, pos) AS place FROM seed")
 def popularity_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = scope.popularity_order(SEED.frame(spark, sf_dir))
-    return records.batches(ordered, 1, [F.col("popularity").asc_nulls_last(), F.col("pos")]).select("place_code", (F.col("batch") + 1).alias("place"))
+    return records.numbered(SEED.frame(spark, sf_dir), scope.popularity_keys(), "place").select("place_code", "place")
 
 
 @query("O02_rank_or_score", f"{WITH_SEED}, r AS (SELECT place_code, pos, pos + 1.0 AS rank, popularity FROM seed) SELECT place_code, rank AS as_rank, -popularity AS as_score FROM r")

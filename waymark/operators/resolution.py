@@ -66,16 +66,22 @@ def usable(field: str, kind: str) -> Column:
     return F.size(c) > 0 if kind.startswith(("array", "map")) else c.isNotNull()
 
 
-def resolve(blocks: DataFrame, fields: list[str], previous: DataFrame | None = None) -> DataFrame:
+def source_statuses() -> Column:
+    """Aggregate: map of source to status over a place's blocks (one per source, so its size is bounded)."""
+    return F.map_from_entries(F.collect_list(F.struct("src", "status")))
+
+
+def resolve(blocks: DataFrame, fields: list[str], previous: DataFrame | None = None, *more: Column) -> DataFrame:
     """(place_code, fields, <field>_source): the first usable source in the field's order. With ``previous`` (the same
-    columns) a field that no source has now keeps what it had."""
+    columns) a field that no source has now keeps what it had. ``more``: further aggregates of the same pass (without
+    ``previous``)."""
     kinds = dict(blocks.dtypes)
     columns = []
     for f in fields:
         order = F.create_map(*[F.lit(x) for i, s in enumerate(PRIORITY[f]) for x in (s, i)])
         place = F.when(usable(f, kinds[f]), F.try_element_at(order, F.col("src")))
         columns += [F.min_by(F.when(place.isNotNull(), F.col(f)), place).alias(f), F.min_by("src", place).alias(f"{f}_source")]
-    now = blocks.groupBy("place_code").agg(*columns)
+    now = blocks.groupBy("place_code").agg(*columns, *more)
     if previous is None:
         return now
     kept = previous.select("place_code", *[F.col(f"{f}{s}").alias(f"_{f}{s}") for f in fields for s in ("", "_source")])

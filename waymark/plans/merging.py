@@ -79,9 +79,8 @@ def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT place_code, coalesce(business_status, CASE WHEN n > 0 THEN 'OPERATIONAL' ELSE 'UNKNOWN' END) AS status, CASE WHEN business_status IS NULL THEN 'inferred' END AS inferred FROM r JOIN ok USING (place_code)",
 )
 def inferred_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = blocks(spark, sf_dir)
-    ok = b.groupBy("place_code").agg(F.count_if((F.col("status") == "ok") & F.col("src").isin(*resolution.SCRAPED)).alias("n"))
-    r = resolution.resolve(b, ["business_status"]).join(ok, "place_code").withColumn("s", resolution.inferred_status(F.col("business_status"), F.col("n")))
+    ok = F.count_if((F.col("status") == "ok") & F.col("src").isin(*resolution.SCRAPED)).alias("n")
+    r = resolution.resolve(blocks(spark, sf_dir), ["business_status"], None, ok).withColumn("s", resolution.inferred_status(F.col("business_status"), F.col("n")))
     return r.select("place_code", "s.status", F.col("s.source").alias("inferred"))
 
 
@@ -134,9 +133,7 @@ STATUS_SQL = (
 
 
 def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = blocks(spark, sf_dir)
-    s = b.groupBy("place_code").agg(F.map_from_entries(F.collect_list(F.struct("src", "status"))).alias("s"))
-    r = resolution.resolve(b, FIELDS).join(s, "place_code")
+    r = resolution.resolve(blocks(spark, sf_dir), FIELDS, None, resolution.source_statuses().alias("s"))
     ok = resolution.accepted(present(r), F.col("business_status"))
     return r.withColumn("accepted", ok).withColumn("status", resolution.record_status(F.col("accepted"), F.col("s"))).withColumn("completeness", resolution.completeness(present(r)))
 

@@ -19,18 +19,33 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 
 
+#: Rows of a narrow table in one file of a checkpoint.
+ROWS_A_FILE = 250_000
+#: Rows in an Arrow batch; with texts of some kB the usual 10,000 take tens of MB on both sides of every Python task.
+BATCH_ROWS = "2000"
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package, and name a checkpoint folder where none is set (tests)."""
+    """Let Python workers import this package, name a checkpoint folder where none is set (tests), and lower the size of
+    Arrow batches where the session leaves it at its default."""
     sc = spark.sparkContext
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sc.environment.setdefault("PYTHONPATH", root)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="waymark-"))
 
 
-def frozen(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read back from the shared checkpoint folder, so that a lost executor costs no recomputation."""
+def frozen(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` computed once and read back from the shared checkpoint folder, so that a lost executor costs no recomputation.
+
+    With a bound of its rows, it is written in no more files than that needs: a small table in hundreds of files costs
+    more than the table.
+    """
     prepare(df.sparkSession)
+    if rows is not None:
+        df = df.coalesce(rows // ROWS_A_FILE + 1)
     return df.checkpoint(eager=True)
 
 

@@ -17,20 +17,21 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row[0], row[1]
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns u, v; longs): the smallest node reachable.
 
-    Null ends and loops are left out; repeated and reversed edges count once. An empty table gives an empty one.
+    Null ends and loops are left out; repeated and reversed edges count once. An empty table gives an empty one. ``rows``:
+    a bound of the number of edges, if one is known.
     """
-    e = frozen(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    e = frozen(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), rows)
     state = _state(e)
-    while state[0]:
+    while state[0]:  # edges never grow in number, so their count bounds every later table
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = frozen(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        e = frozen(small.union(least.select("u", F.col("m").alias("v"))).distinct(), state[0])
         state, last = _state(e), state
         if state == last:
             break

@@ -33,9 +33,9 @@ BANDS, ROWS = 25, 5
 #: Minima compared before each look at the posterior.
 BATCH = 25
 #: Members in one block of a bucket.
-BLOCK = 1024
+BLOCK = 400
 #: And their shingles, about.
-BLOCK_SHINGLES = 500_000
+BLOCK_SHINGLES = 200_000
 #: Bits of the map that keeps texts without candidates out of the shuffle: a broadcast of at most 2**25 / 64 rows.
 BITS = 1 << 25
 
@@ -149,9 +149,8 @@ def linked(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
                         hit.append(i)
             yield batch.select(["a", "b"]).take(pa.array(hit, pa.int64()))
 
-    pairs = frozen(pairs)
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = frozen(texts_for(docs, ids))
+    texts = texts_for(docs, ids)
     ta, tb = (texts.select(F.col("doc_id").alias(x), F.col("text").alias("t" + x)) for x in "ab")
     return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
@@ -162,7 +161,7 @@ def _first_shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.where(same.any(axis=1), same.argmax(axis=1), BANDS)
 
 
-def across(docs: DataFrame, members: DataFrame, reps: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
+def across(docs: DataFrame, members: DataFrame, reps: DataFrame, k: int, percent: int, miss: float, most: int) -> DataFrame:
     """Links (a, b) between different components inside buckets of several; members: (band, band_key, rep, comp).
 
     Members outside a bucket's largest component (ties: smallest component) are cut into blocks by hash, and so are
@@ -176,7 +175,7 @@ def across(docs: DataFrame, members: DataFrame, reps: DataFrame, k: int, percent
     sizes = sized.groupBy("band", "band_key", "comp").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("w"))
     main = sizes.groupBy("band", "band_key").agg(F.max(F.struct("m", (-F.col("comp")).alias("c"), "w")).alias("top"), F.sum("m").alias("m"), F.sum("w").alias("w"))
     blocks = lambda m, w: F.greatest(F.ceil(m / BLOCK), F.ceil(w / BLOCK_SHINGLES)).cast("int")
-    main = frozen(main.select("band", "band_key", (-F.col("top.c")).alias("main"), blocks(F.col("m"), F.col("w")).alias("nm"), blocks(F.col("m") - F.col("top.m"), F.col("w") - F.col("top.w")).alias("nr")))
+    main = frozen(main.select("band", "band_key", (-F.col("top.c")).alias("main"), blocks(F.col("m"), F.col("w")).alias("nm"), blocks(F.col("m") - F.col("top.m"), F.col("w") - F.col("top.w")).alias("nr")), most)
     tagged = sized.drop("n_shingles").join(main, ["band", "band_key"]).withColumn("probe", F.col("comp") != F.col("main"))
     block = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     key = ["band", "band_key", "i", "j"]
@@ -219,8 +218,10 @@ def across(docs: DataFrame, members: DataFrame, reps: DataFrame, k: int, percent
         return pa.table({"a": a, "b": b})
 
     shape = "band int, band_key long, i int, j int, rep long, comp long, probe boolean"
-    # Dealt by block: the rows come dealt by bucket, which would do for the grouping but keeps a bucket in one task.
-    kept = frozen(rows.repartition(*key).groupBy(*key).applyInArrow(look, shape))
+    # Dealt by block: the rows come dealt by bucket, which would do for the grouping but keeps a bucket in one task. The
+    # number is given, as rows are few bytes and much work, so partitions of a usual size would be too few tasks.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = frozen(rows.repartition(tasks, *key).groupBy(*key).applyInArrow(look, shape))
     texts = texts_for(docs, kept.select(F.col("rep").alias("doc_id")).distinct())
     return kept.join(texts.withColumnRenamed("doc_id", "rep"), "rep").select(*key, "rep", "comp", "probe", "text").groupBy(*key).applyInArrow(verify, "a long, b long")
 
@@ -239,17 +240,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     reps = frozen(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
     band = [F.xxhash64(F.lit(i), F.substring("signature", 1 + 2 * ROWS * i, 2 * ROWS)) for i in range(BANDS)]
     rows = reps.select("rep", F.posexplode(F.array(*band)).alias("band", "band_key"))
-    heads = frozen(rows.groupBy("band", "band_key").agg(F.min("rep").alias("head"), F.count("*").alias("m")).filter("m > 1").drop("m"))
-    shared = frozen(rows.join(heads, ["band", "band_key"]))
+    most = BANDS * reps.count()  # of the rows of every table of buckets
+    heads = frozen(rows.groupBy("band", "band_key").agg(F.min("rep").alias("head"), F.count("*").alias("m")).filter("m > 1").drop("m"), most)
+    shared = frozen(rows.join(heads, ["band", "band_key"]), most)
     star = shared.filter("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
-    links = frozen(linked(docs, likely(star, reps, percent / 100, miss), k, percent))
-    comps = components(links.toDF("u", "v"))
+    links = linked(docs, frozen(likely(star, reps, percent / 100, miss), most), k, percent)
+    comps = components(links.toDF("u", "v"), most)
     member = shared.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("band", "band_key", "rep", F.coalesce("component", "rep").alias("comp"))
     split = member.groupBy("band", "band_key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band", "band_key")
-    mixed = frozen(member.join(split, ["band", "band_key"], "left_semi"))
-    more = across(docs, mixed, reps, k, percent, miss)
+    mixed = frozen(member.join(split, ["band", "band_key"], "left_semi"), most)
+    more = across(docs, mixed, reps, k, percent, miss, most)
     # The stars found so far stand for the links that made them.
-    comps = components(comps.union(more).toDF("u", "v"))
+    comps = components(comps.union(more).toDF("u", "v"), most)
     classes = reps.select("set_key", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     out = feats.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     component = F.coalesce("component", "doc_id")

@@ -15,9 +15,9 @@ from waymark.functions.values import is_empty, joined_sorted
 
 # The order of sources for each field, and the weights of fields.
 PRIORITY = {
-    "address": ("g", "fp", "osm", "bkoi"),
-    "latitude": ("g", "osm", "bkoi"),
-    "longitude": ("g", "osm", "bkoi"),
+    "address": ("g", "fp", "osm", "seed"),
+    "latitude": ("g", "osm", "seed"),
+    "longitude": ("g", "osm", "seed"),
     "phone": ("g", "fp", "osm", "web"),
     "website": ("g", "osm", "web"),
     "opening_hours": ("g", "fp", "osm"),

@@ -51,7 +51,7 @@ def breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return guard.breaker_batch(requests(spark, sf_dir), 2, 36 * 3600)
 
 
-@query("W09_breaker_state", f"WITH b AS ({BREAKER_SQL}) SELECT host, count_if(decision = 'skipped') AS skipped, count_if(decision = 'opened') AS opened FROM b GROUP BY 1")
+@query("W09_breaker_state", f"WITH b AS ({BREAKER_SQL}) SELECT host, count(*) FILTER (decision = 'skipped') AS skipped, count(*) FILTER (decision = 'opened') AS opened FROM b GROUP BY 1")
 def breaker_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = lambda d: F.count_if(F.col("decision") == d)
     return breaker(spark, sf_dir).groupBy("host").agg(n("skipped").alias("skipped"), n("opened").alias("opened"))

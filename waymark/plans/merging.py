@@ -75,7 +75,7 @@ def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "M09_inferred_status",
-    f"WITH b AS ({BLOCKS_SQL}), r AS ({_resolved_sql()}), ok AS (SELECT place_code, count_if(status = 'ok' AND src IN ('g', 'fp', 'ta')) AS n FROM b GROUP BY 1) "
+    f"WITH b AS ({BLOCKS_SQL}), r AS ({_resolved_sql()}), ok AS (SELECT place_code, count(*) FILTER (status = 'ok' AND src IN ('g', 'fp', 'ta')) AS n FROM b GROUP BY 1) "
     "SELECT place_code, coalesce(business_status, CASE WHEN n > 0 THEN 'OPERATIONAL' ELSE 'UNKNOWN' END) AS status, CASE WHEN business_status IS NULL THEN 'inferred' END AS inferred FROM r JOIN ok USING (place_code)",
 )
 def inferred_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,13 +179,13 @@ def best_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.best_payload(o.withColumn("score", resolution.richness(o)), "score", ["ts", "event_id"]).select("place_code", "event_id")
 
 
-@query("A07_store_counts", f"WITH x AS ({RESOLVED_SQL}) SELECT count(*) AS total, count_if({ACCEPTED_SQL}) AS accepted, count_if(business_status = 'TEMPORARILY_CLOSED') AS temporarily_closed, count_if(business_status = 'PERMANENTLY_CLOSED') AS permanently_closed FROM x")
+@query("A07_store_counts", f"WITH x AS ({RESOLVED_SQL}) SELECT count(*) AS total, count(*) FILTER ({ACCEPTED_SQL}) AS accepted, count(*) FILTER (business_status = 'TEMPORARILY_CLOSED') AS temporarily_closed, count(*) FILTER (business_status = 'PERMANENTLY_CLOSED') AS permanently_closed FROM x")
 def store_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     closed = lambda s: F.count_if(F.col("business_status") == s)
     return statuses(spark, sf_dir).agg(F.count("*").alias("total"), F.count_if("accepted").alias("accepted"), closed("TEMPORARILY_CLOSED").alias("temporarily_closed"), closed("PERMANENTLY_CLOSED").alias("permanently_closed"))
 
 
-@query("A12_accepted_count", f"WITH x AS ({RESOLVED_SQL}) SELECT count_if({ACCEPTED_SQL}) AS accepted FROM x")
+@query("A12_accepted_count", f"WITH x AS ({RESOLVED_SQL}) SELECT count(*) FILTER ({ACCEPTED_SQL}) AS accepted FROM x")
 def accepted_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statuses(spark, sf_dir).agg(F.count_if("accepted").alias("accepted"))
 
@@ -316,13 +316,13 @@ def excluded_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gap_records(spark, sf_dir).select("place_code", F.col("excluded_reason").alias("reason"))
 
 
-_SUMMARY = ", ".join(f"count_if(live AND NOT {c}) AS missing_{n}" for n, c in (("menu", "menu"), ("price", "priced"), ("rating", "rating"), ("reviews", "reviews"), ("review_count", "review_count"), ("hours", "hours")))
+_SUMMARY = ", ".join(f"count(*) FILTER (live AND NOT {c}) AS missing_{n}" for n, c in (("menu", "menu"), ("price", "priced"), ("rating", "rating"), ("reviews", "reviews"), ("review_count", "review_count"), ("hours", "hours")))
 
 
 @query(
     "A01_summary",
-    f"SELECT count(*) AS records_total, count_if(live) AS live, count_if(NOT live) AS excluded, count_if(business_status = 'PERMANENTLY_CLOSED') AS permanently_closed, count_if(duplicate_of <> '') AS duplicates, {_SUMMARY}, "
-    f"count_if(live AND scrape_status = 'pending') AS not_scraped_yet, count_if(live AND rating) AS with_rating, count_if(live AND hours) AS with_hours, count_if(live AND reviews) AS with_reviews FROM (SELECT *, ({_REASON_SQL}) IS NULL AS live FROM ({GAPS.sql}))",
+    f"SELECT count(*) AS records_total, count(*) FILTER (live) AS live, count(*) FILTER (NOT live) AS excluded, count(*) FILTER (business_status = 'PERMANENTLY_CLOSED') AS permanently_closed, count(*) FILTER (duplicate_of <> '') AS duplicates, {_SUMMARY}, "
+    f"count(*) FILTER (live AND scrape_status = 'pending') AS not_scraped_yet, count(*) FILTER (live AND rating) AS with_rating, count(*) FILTER (live AND hours) AS with_hours, count(*) FILTER (live AND reviews) AS with_reviews FROM (SELECT *, ({_REASON_SQL}) IS NULL AS live FROM ({GAPS.sql}))",
 )
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.summary(gap_records(spark, sf_dir))

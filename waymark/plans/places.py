@@ -67,7 +67,7 @@ def popularity_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.numbered(SEED.frame(spark, sf_dir), scope.popularity_keys(), "place").select("place_code", "place")
 
 
-@query("O02_rank_or_score", f"{WITH_SEED}, r AS (SELECT place_code, pos, pos + 1.0 AS rank, popularity FROM seed) SELECT place_code, rank AS as_rank, -popularity AS as_score FROM r")
+@query("O02_rank_or_score", f"{WITH_SEED}, r AS (SELECT place_code, pos, CAST(pos + 1 AS DOUBLE) AS rank, popularity FROM seed) SELECT place_code, rank AS as_rank, -popularity AS as_score FROM r")
 def rank_or_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     seed = SEED.frame(spark, sf_dir).withColumn("rank", (F.col("pos") + 1).cast("double"))
     by_rank = scope.rank_or_score(seed, "rank").select("place_code", F.col("sort_key").alias("as_rank"))
@@ -180,7 +180,7 @@ def cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.cluster_duplicates(PLACES.frame(spark, sf_dir)).select("id", "leader_id")
 
 
-@query("A11_alias_count", f"SELECT count(*) AS places, count(DISTINCT leader_id) AS leaders, count_if(id <> leader_id) AS aliases FROM ({CLUSTER_SQL})")
+@query("A11_alias_count", f"SELECT count(*) AS places, count(DISTINCT leader_id) AS leaders, count(*) FILTER (id <> leader_id) AS aliases FROM ({CLUSTER_SQL})")
 def alias_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = matching.cluster_duplicates(PLACES.frame(spark, sf_dir))
     return c.agg(F.count("*").alias("places"), F.countDistinct("leader_id").alias("leaders"), F.count_if(F.col("id") != F.col("leader_id")).alias("aliases"))

@@ -123,13 +123,34 @@ def likely(pairs: DataFrame, reps: DataFrame, threshold: float, miss: float) ->
     return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+_WORD = f"cast(floor(pmod(xxhash64(doc_id), {BITS}) / 64) as int)"
+_HIT = f"coalesce(getbit(bits, cast(pmod(xxhash64(doc_id), {BITS}) % 64 as int)) = 1, false)"
+
+
+def bitmap(ids: DataFrame) -> DataFrame:
+    """(word, bits): at most BITS / 64 rows that tell of most ids that they are not in ``ids`` (doc_id)."""
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {BITS}) % 64 as int))")
+    return ids.select(F.expr(_WORD).alias("word"), bit.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+
+
 def texts_for(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text) of the documents in ``ids`` (doc_id, distinct): a bitmap of bounded size first, then the exact semi-join."""
-    word = F.floor(F.pmod(F.xxhash64("doc_id"), F.lit(BITS)) / 64).cast("int")
-    place = f"cast(pmod(xxhash64(doc_id), {BITS}) % 64 as int)"
-    bitmap = ids.select(word.alias("word"), F.expr(f"shiftleft(1L, {place})").alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    maybe = docs.withColumn("word", word).join(F.broadcast(bitmap), "word").filter(F.expr(f"getbit(bits, {place}) = 1"))
-    return maybe.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    """(doc_id, text) of the documents in ``ids`` (doc_id, distinct): the bitmap first, then an exact join.
+
+    An inner join, as a semi-join would be moved below the bitmap and shuffle every text.
+    """
+    maybe = docs.select("doc_id", "text", F.expr(_WORD).alias("word")).join(F.broadcast(bitmap(ids)), "word").filter(_HIT)
+    return maybe.select("doc_id", "text").join(ids.select("doc_id"), "doc_id")
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id is in ``ids`` (doc_id, distinct). Rows that the bitmap clears are kept where they are
+    read; only the others are shuffled for the exact comparison (an outer join: an anti-join would be moved below the bitmap). A null id
+    is in no table of ids."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r")
+    rows = docs.select(whole, F.col(id_col).cast("long").alias("doc_id")).withColumn("word", F.when(F.col("doc_id").isNotNull(), F.expr(_WORD)))
+    marked = rows.join(F.broadcast(bitmap(ids)), "word", "left").select("r", "doc_id", F.expr(_HIT).alias("hit"))
+    found = ids.select("doc_id", F.lit(True).alias("found"))
+    return marked.filter("not hit").select("r.*").union(marked.filter("hit").join(found, "doc_id", "left").filter("found is null").select("r.*"))
 
 
 def linked(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:

@@ -299,8 +299,18 @@ def test_offence_is_found_from_document_labels():
 
 def test_scripts_and_bands():
     assert rules.script_of("Hello, Welt") == "latin" and rules.script_of("привет мир") == "other"
-    rate, share, bits = rules.fertility().figures(["", "the cat sat on the mat", "ab " * 40])
-    assert (rate[0], share[0], bits[0]) == (0, 0, 0) and rate[1] > 2 and bits[2] < bits[1]
+    rate, share, bits, even = rules.fertility().figures(["", "the cat sat on the mat", "ab " * 40])
+    assert (rate[0], share[0], bits[0], even[0]) == (0, 0, 0, 0) and rate[1] > 2 and bits[2] < bits[1] and even[2] < 0.5 < even[1]
+
+
+def test_plain_prose_of_fifty_words_is_kept():
+    prose = (
+        "The river runs slowly past the old mill, and the children who play there in summer know every stone on its banks. "
+        "In winter the water rises and the path is closed, but the miller still walks it each morning to look at the wheel and the gate, "
+        "as his father did before him and as he hopes his daughter will."
+    )
+    (*_, kept, _figures), = rules.judge(pa.array([prose, "buy now " * 40, "!!! ### $$$ " * 30]), ["en", "en", None])
+    assert kept == [True, False, False]
 
 
 def test_crc_of_pieces_is_unsigned_little_endian():

@@ -211,6 +211,23 @@ def test_url_rules(spark):
     assert rows(urls.judge_urls(df.limit(0))) == []
 
 
+def test_block_list_is_an_input(spark, sf_dir, tmp_path):
+    """A list from a file or table, not the one written for a table, decides where no rule fits."""
+    text, table = tmp_path / "hosts.txt", str(tmp_path / "hosts.parquet")
+    text.write_text("# source: test\n\nFree-Bets.example.net  # a family under another TLD\nadult-x.example.net.\n")
+    spark.createDataFrame([("free-bets.example.net",), ("adult-x.example.net",), (None,)], "host string").write.parquet(table)
+    plain = {r["page_id"]: (r["host"], r["rule"], r["verdict"]) for r in rows(queries.queries()["op9_url_filters"](spark, sf_dir))}
+    for path in (str(text), table):
+        spark.conf.set(urls.BLOCK_LIST, path)
+        try:
+            got = rows(queries.queries()["op9_url_filters"](spark, sf_dir))
+        finally:
+            spark.conf.unset(urls.BLOCK_LIST)
+        bad = [r for r in got if r["rule"] is None and r["host"].endswith(("free-bets.example.net", "adult-x.example.net"))]
+        assert bad and all(r["verdict"] == "block" for r in bad) and all(plain[r["page_id"]][2] == "allow" for r in bad)
+        assert all(r["verdict"] == "allow" for r in got if r["rule"] is None and r not in bad)
+
+
 def test_stages(spark, docs, empty, sf_dir):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "exact dedup", "near dedup", "pii", "packing"]
     for _, stage in corpus_pipeline.STAGES[:-1]:

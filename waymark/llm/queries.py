@@ -14,7 +14,7 @@ from .minhash import near_duplicates
 from .packing import packed
 from .pagetext import extracted
 from .rules import quality_rules
-from .urls import judge_urls
+from .urls import block_list, judge_urls
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("listed")
+    return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), blocked_hosts=block_list(spark)).drop("listed")
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

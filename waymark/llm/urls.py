@@ -29,7 +29,9 @@ from .cluster import prepare
 
 #: Precedence rules of the url policy: (host and path prefix, verdict).
 RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block"))
-#: Hosts (with all their subdomains) that the list blocks where no rule fits.
+#: Setting that names a block list: a text file (one host a line, # begins a comment) or a Parquet table with a column ``host``.
+BLOCK_LIST = "spark.waymark.urls.blockList"
+#: The list where none is given: the one that OP9_SQL states. It was read off sf0.1 and is no general block list (see README).
 BLOCKED_HOSTS = ("ads-track.example.com", "casino-win.example.com", "cheap-pills.example.com", "free-bets.example.com", "spam-farm.example.com")
 
 
@@ -127,6 +129,22 @@ def distribute(spark: SparkSession, entries: list[tuple[str, str]]) -> str:
     return name
 
 
+def read_hosts(spark: SparkSession, path: str) -> list[str]:
+    """The hosts of a block list at a path that Spark reads, lower-cased and each once; blank lines and comments are none."""
+    if path.rstrip("/").endswith(".parquet"):
+        names = spark.read.parquet(path).select(F.col("host").cast("string").alias("host"))
+    else:
+        names = spark.read.text(path).select(F.regexp_replace("value", "#.*", "").alias("host"))
+    found = (split_url(f"x://{r.host.strip().strip('.')}")[0] for r in names.distinct().toLocalIterator() if r.host)
+    return sorted({h for h in found if h})
+
+
+def block_list(spark: SparkSession) -> list[str]:
+    """The hosts of the list that the session names in BLOCK_LIST, else BLOCKED_HOSTS."""
+    path = spark.conf.get(BLOCK_LIST, None)
+    return read_hosts(spark, path) if path else list(BLOCKED_HOSTS)
+
+
 def judge_urls(pages: DataFrame, rules=RULES, blocked_hosts=BLOCKED_HOSTS, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict, listed.
 

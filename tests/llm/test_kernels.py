@@ -89,6 +89,24 @@ def test_chunks_make_no_difference(text, chunk, overlap):
     assert bpe.pretokens(text, chunk, overlap) == bpe.pretokens(text, 1 << 20, 1)
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet=" a1'sтtlrvemd\n!", max_size=60), st.integers(1, 12), st.integers(1, 6))
+def test_contractions_at_seams(text, chunk, overlap):
+    assert bpe.pretokens(text, chunk, overlap) == bpe.pretokens(text, 1 << 20, 1)
+
+
+def test_every_contraction_at_every_seam(library):
+    for c in ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d"):
+        for lead in range(1, 12):
+            t = "w" * lead + f"{c} go {c}x '{c} we{c} on" * 3
+            for chunk in (3, 4, 7):
+                for overlap in (1, 2, 3, 5):
+                    assert bpe.pretokens(t, chunk, overlap) == bpe.pretokens(t), (t, chunk, overlap)
+    t = "a " * (bpe.CHUNK // 2 + bpe.OVERLAP // 2 - 2) + "we'll go on. " * 40
+    for shift in range(6):
+        assert bpe.codec().encode(" " * shift + t) == library.encode_ordinary(" " * shift + t)
+
+
 def test_encoding_is_the_library_s(library):
     r = random.Random(2)
     for _ in range(300):

@@ -3,8 +3,8 @@
 Pre-tokens are matches of a pattern that covers every character and looks only ahead, so a match depends on nothing
 left of its start. A long text is cut into chunks that overlap; each is matched on its own, from whatever place it
 starts. A border at which the sequence so far and the next chunk agree is a point where they have resynchronised: from
-there on the next chunk's borders are the true ones. Matches that touch a chunk's end may be cut short and are not
-used. Where an overlap has no common border (a run of letters longer than the overlap) matching goes on from the last
+there on the next chunk's borders are the true ones. Matches that touch a chunk's end may be cut short, and one that ends
+within the pattern's look-ahead of it may have missed a longer alternative ("'" of "'ll"); neither is used. Where an overlap has no common border (a run of letters longer than the overlap) matching goes on from the last
 true border until it meets one. Pieces between borders are then merged by rank, each on its own; decoding concatenates
 the raw bytes of the ids.
 """
@@ -30,6 +30,9 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: ``\s`` is spelled out, as the library's pattern engine and this one may differ on control characters.
 _SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 CHUNK, OVERLAP = 1 << 16, 1 << 8
+#: A match that ends at least so many characters before a chunk's end is the whole text's: the longest fixed alternatives
+#: ("'ll") have three characters, all others look one character past their end.
+AHEAD = 3
 #: Distinct pieces whose ids a worker remembers.
 REMEMBERED = 400_000
 
@@ -72,12 +75,12 @@ def pretokens(text: str, chunk: int = CHUNK, overlap: int = OVERLAP, threads: in
             at = true[-1]
             reach = hi + overlap
             step = pattern().match(text, at, min(n, reach))
-            while step.end() == reach < n:
+            while step.end() > reach - AHEAD and reach < n:
                 reach = min(n, 2 * reach - at)
                 step = pattern().match(text, at, reach)
             true.append(step.end())
         last = true[-1]
-        true.extend(e for e in ends if e > last and (e < hi or hi == n))
+        true.extend(e for e in ends if e > last and (e <= hi - AHEAD or hi == n))
     return [text[a:b] for a, b in zip(true[:-1], true[1:], strict=True)]
 
 

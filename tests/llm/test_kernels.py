@@ -265,6 +265,38 @@ def test_tagger_adds_what_the_rules_miss():
     assert pii.redacted_text(texts[5], found[5][1]) == "[EMAIL] [PHONE]"
 
 
+LONG_ADDRESSES = [
+    "jane.doe [at] northern-university [dot] org",
+    "jane.doe [at] example-company [dot] com",
+    "jane[at]department-of-languages-of-the-northern-university[dot]example-company[dot]org",
+    "the.whole.research.group.of.maria.alexander (at) mail (dot) org",
+    "the_whole_research_group_of_maria_and_all_of_her_many_friends.and-guests [at] institute-of-green-rivers-and-mountains [dot] net",
+]
+
+
+@pytest.mark.parametrize("address", LONG_ADDRESSES)
+def test_regions_hold_whole_addresses(address):
+    text = f"please write to us at {address} or come by some day soon and have a look"
+    lo = text.index(address)
+    assert any(a <= lo and lo + len(address) <= b for a, b in pii.regions(text))
+
+
+def test_long_addresses_are_found_whole():
+    t = pii.train([])
+    texts = [f"{before}{x}{after}" for x in LONG_ADDRESSES for before, after in (("please write to us at ", " or come by some day soon."), ("", ""), ("Contact:\n", ", or call."))]
+    for text, (base, spans) in zip(texts, pii.all_spans(t, texts), strict=True):
+        assert base == [] and [text[a:b] for _, a, b in spans] == [x for x in LONG_ADDRESSES if x in text], text
+        assert "[at]" not in (clean := pii.redacted_text(text, spans)) and clean.count("[EMAIL]") == 1
+
+
+def test_the_rules_spans_stop_addresses():
+    text = "x 4111 1111 1111 1111 [at] northern-university [dot] org"
+    base = pii.base_spans(text)
+    said = np.ones(len(text), bool)
+    assert [k for k, _, _ in base] == ["card"] and pii.addresses(text, 0, len(text), said, [], base) == []
+    assert pii.addresses(text[17:], 0, len(text) - 17, said[17:], [], []) == [("email", 0, len(text) - 17)]
+
+
 # Classifiers -----------------------------------------------------------------------------------------------------
 def test_network_gradients():
     net = bytecnn.Net(*[p.astype(np.float64) for p in bytecnn.start_net(3)])

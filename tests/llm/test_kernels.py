@@ -330,6 +330,16 @@ def test_every_byte_reaches_the_network():
         assert not np.allclose(bytecnn.responses(net, x2), r)
 
 
+def test_a_score_does_not_depend_on_the_next_text():
+    net = bytecnn.start_net(1)._replace(bias=np.full(bytecnn.FILTERS, 9, np.float32))  # so that every maximum shows
+    for n in (0, 1, 100, 239, 240, 241, 243, 244, 245, 255, 256, 500, 2000):
+        text = ("The cat sat. " * 200)[:n]
+        alone = bytecnn.logits(net, *bytecnn.padded(*column_bytes(pa.array([text])))[:2])[0]
+        for other in ("zzzzzzzzzzzzzzzz", "Quite another text.", "!?" * 40, ""):
+            z = bytecnn.logits(net, *bytecnn.padded(*column_bytes(pa.array([text, other, text])))[:2])
+            assert z[[0, 2]] == pytest.approx([alone, alone], abs=1e-4)
+
+
 def test_noisy_or_and_sentences():
     s = toxicity.sentences(*column_bytes(pa.array(["One. Two!\n\nThree", "", "...", "a"])))
     assert s.doc.tolist() == [0, 0, 0, 3]

@@ -41,8 +41,8 @@ class Net(NamedTuple):
 
 
 def layout(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First segment of each text (and the end), with room for the last window; an empty text has one segment."""
-    n = np.maximum(1, -(-(lengths + WIDTH - STRIDE) // SEGMENT))
+    """First segment of each text (and the end), with a window's room behind it; an empty text has one segment."""
+    n = np.maximum(1, -(-(lengths + WIDTH) // SEGMENT))
     return np.concatenate(([0], np.cumsum(n))), n
 
 
@@ -66,14 +66,18 @@ def repeats(x: np.ndarray) -> np.ndarray:
     return (best / np.maximum(used.sum(axis=1), SEGMENT // 4)).astype(np.float32)
 
 
-def responses(net: Net, x: np.ndarray) -> np.ndarray:
-    """(segments, STRIDE-blocks, filters) before pooling."""
+def responses(net: Net, x: np.ndarray, first: np.ndarray | None = None) -> np.ndarray:
+    """(segments, STRIDE-blocks, filters) before pooling. With the texts' first segments, the windows that would go on
+    into the next text (they start in the room behind a text, in its last PARTS - 1 blocks) have no response."""
     blocks = net.embed[x].reshape(-1, STRIDE * DIM)
     y = blocks @ net.filters
     r = y[:, :FILTERS].copy()
     for k in range(1, PARTS):
         r[:-k] += y[k:, k * FILTERS : (k + 1) * FILTERS]
-    return r.reshape(-1, SEGMENT // STRIDE, FILTERS)
+    r = r.reshape(-1, SEGMENT // STRIDE, FILTERS)
+    if first is not None:
+        r[first[1:] - 1, 1 - PARTS :] = -np.inf
+    return r
 
 
 def chunk_starts(first: np.ndarray) -> np.ndarray:
@@ -87,7 +91,7 @@ def chunk_starts(first: np.ndarray) -> np.ndarray:
 def pooled(net: Net, x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Segment responses (rectified maxima, with the self-agreement) and chunk responses."""
     seg = np.empty((first[-1], FILTERS + 1), np.float32)
-    seg[:, :FILTERS] = np.maximum(responses(net, x).max(axis=1) + net.bias, 0)
+    seg[:, :FILTERS] = np.maximum(responses(net, x, first).max(axis=1) + net.bias, 0)
     seg[:, FILTERS] = repeats(x) * 4
     return seg, np.maximum(seg, seg[chunk_starts(first)])
 
@@ -107,7 +111,7 @@ def start_net(seed: int = 5) -> Net:
 
 def gradients(net: Net, x: np.ndarray, first: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
     """Of the weighted mean log loss, for each part of the network."""
-    r = responses(net, x)
+    r = responses(net, x, first)
     at = r.argmax(axis=1)
     top = np.take_along_axis(r, at[:, None], axis=1)[:, 0] + net.bias
     seg = np.concatenate((np.maximum(top, 0), repeats(x)[:, None] * 4), axis=1)

@@ -181,6 +181,17 @@ def test_article_text():
     assert pagetext.main_text("just text <b>here") == "just text here"
 
 
+def test_lists_and_tables_of_content_are_kept():
+    prose = "A long sentence, with marks; it goes on and on: for the whole of the way. " * 4
+    head, item, cell = "A heading of some forty characters here.", "an item of forty characters without mark", "twelve chars"
+    inner = f"<h1>{head}</h1><p>{prose}</p><ul><li>{item}</li></ul><table><tr><td>{cell}</td></tr></table>"
+    assert pagetext.main_text(f"<body><div>{inner}</div></body>") == " ".join([head, prose.strip(), item, cell])
+    assert pagetext.main_text(f"<body><nav><ul><li>Home</li></ul></nav><div>{inner}</div><div><ul class=menu><li>More</li></ul></div>") == " ".join([head, prose.strip(), item, cell])
+    wide = f"<article><p>{prose * 2}</p><div><div><table><tr><td>{cell}</td></tr></table></div></div></article>"
+    assert pagetext.main_text(wide) == f"{(prose * 2).strip()} {cell}"
+    assert pagetext.main_text(f"<body><div><p>{prose}</p></div><section><div><ul><li>x</li></ul></div></section>") == prose.strip()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="<>/pab divscript!-\"'=&;", max_size=80))
 def test_broken_markup_never_fails(page):

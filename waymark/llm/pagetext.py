@@ -4,7 +4,8 @@ A tolerant scan turns a page into text nodes, each with its root-to-leaf path of
 containers). Per path the characters and the punctuation marks per node are aggregated, so a short paragraph counts as
 what its path is. Both ratios are smoothed over paths by tree distance (steps over the nearest common ancestor), fused,
 and every path whose value reaches a share of the page's largest is content. Nodes of content paths are returned in
-page order.
+page order. Short items would fall below any share beside long paragraphs, so lists and tables take the decision of
+the container that they are in.
 
 Paths with a role that is never part of an article (menus, page headers, footers, sidebars, notices, adverts, forms,
 reader comments, scripts, styles) are no candidates. If the page marks its article (article, main) and there is text in
@@ -52,6 +53,8 @@ ENDS = {
 }
 CONTAINERS = frozenset("article aside body button caption div footer form header html main nav object section table td th ul ol dl li dd dt blockquote figure details fieldset".split())
 ARTICLE = frozenset(("article", "main"))
+#: Lists and tables, which belong to what holds them.
+STRUCTURES = frozenset(("ul", "ol", "dl", "table"))
 NEVER = frozenset("head nav footer aside form script style noscript template button select textarea title iframe object svg canvas dialog menu xmp noembed noframes datalist".split())
 #: Words in a class, id or role that name a part which is no article text.
 ROLES = frozenset(
@@ -145,7 +148,8 @@ def distance(a: tuple[str, ...], b: tuple[str, ...]) -> int:
 
 
 def content_paths(nodes: list[Node], sigma: float = SIGMA) -> set[tuple[str, ...]]:
-    """Paths of the candidate nodes whose smoothed and fused ratios reach the threshold."""
+    """Paths of the candidate nodes whose smoothed and fused ratios reach the threshold, and those of lists and tables
+    beside them: all in a marked article, else in the same container, unless that is a table's cell (which may be layout)."""
     chars: dict[tuple[str, ...], list[int]] = {}
     for n in nodes:
         if words := n.text.split():
@@ -169,7 +173,19 @@ def content_paths(nodes: list[Node], sigma: float = SIGMA) -> set[tuple[str, ...
     most = max(b for _, b in smooth) or 1.0
     fused = [a * (0.5 + 0.5 * b / most) for a, b in smooth]
     least = (SHARE_MARKED if any(n.marked for n in nodes) else SHARE_OPEN) * max(fused)
-    return {p for p, f in zip(paths, fused, strict=True) if f >= least}
+    chosen = {p for p, f in zip(paths, fused, strict=True) if f >= least}
+    everywhere = any(n.marked for n in nodes)
+    # Containers with content of their own: a chosen path itself, or its child.
+    holders = chosen | {p[:-1] for p in chosen}
+    for p in paths:
+        for i, label in enumerate(p):
+            kind = label.partition(".")[0]
+            if kind in STRUCTURES and (everywhere or p[:i] in holders):
+                chosen.add(p)
+                break
+            if kind in ("td", "th"):
+                break
+    return chosen
 
 
 def main_text(page: str) -> str:

@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -253,6 +254,7 @@ def test_rules_are_the_patterns(text):
 def test_gradients_of_the_tagger():
     r = np.random.default_rng(0)
     t = pii.Tagger(*[p.astype(np.float64) for p in pii.start_tagger(1)])
+    t.move[:] = np.random.default_rng(2).normal(size=t.move.shape)
     x, y = r.integers(0, 131, size=(2, 8)), np.stack([pii._tags(8, [("email", 2, 6)]), pii._tags(8, [("card", 0, 3)])])
     grads = pii.gradients(t, x, y)[1]
     for k, g in enumerate(grads):
@@ -266,10 +268,68 @@ def test_gradients_of_the_tagger():
         assert (loss(1e-4) - loss(-1e-4)) / 2e-4 == pytest.approx(g[at], rel=1e-3)
 
 
-def test_tagger_adds_what_the_rules_miss():
-    t = pii.train([])
+def best_path(move, scores):
+    """Viterbi over one whole sequence, with no tag before and behind it."""
+    m = np.where(pii.ALLOWED, move, pii.NEVER)
+    best, came = m[0] + scores[0], []
+    for e in scores[1:]:
+        way = best[:, None] + m
+        came.append(way.argmax(axis=0))
+        best = way.max(axis=0) + e
+    tags = [int((best + m[:, 0]).argmax())]
+    for c in reversed(came):
+        tags.append(int(c[tags[-1]]))
+    return tags[::-1]
+
+
+@pytest.mark.parametrize("level", [0.0, 1.0, 3.0, 8.0])
+def test_decoding_in_blocks_is_decoding_of_the_whole(level):
+    r = np.random.default_rng(int(level * 7) + 1)
+    for n in (1, 2, 40, 700):
+        move = r.normal(size=(pii.TAGS, pii.TAGS)).astype(np.float32)
+        scores = (r.normal(size=(n, pii.TAGS)) * 3).astype(np.float32)
+        scores[:, 0] += level
+        cuts = [0, *sorted(r.integers(0, n + 1, size=5).tolist()), n]
+        found = list(pii._tagged(pii.start_tagger()._replace(move=move), [scores[a:b] for a, b in zip(cuts[:-1], cuts[1:])]))
+        tags = np.zeros(n, int)
+        for kind, a, b, margin in found:
+            k = 1 + 2 * pii.KINDS.index(kind)
+            tags[a], tags[a + 1 : b] = k, k + 1
+            assert margin >= -1e-3
+        assert tags.tolist() == best_path(move, scores.astype(np.float64))
+
+
+def test_scores_of_windows_cover_every_text(monkeypatch):
+    t = pii.start_tagger(3)
+    texts = ["", "a", "ab" * 70, "é1@" * 500, "x" * (pii.STEP + 32), "y" * 191, "z" * 5000]
+    whole = np.concatenate(list(pii._scores(t, texts)))
+    assert len(whole) == sum(len(x) + 1 for x in texts)
+    monkeypatch.setattr(pii, "READ", 3)
+    assert np.allclose(np.concatenate(list(pii._scores(t, texts))), whole, atol=1e-4)
+    at = 0
+    for x in texts:  # as the training's passes give them, where a text is one window
+        if len(x) < pii.STEP:
+            code = np.full((1, pii.WINDOW), pii.OUTSIDE, np.uint8)
+            code[0, : len(x)] = pii.codes(x)
+            assert np.allclose(pii.emissions(t, code)[0][: len(x), 0], whole[at : at + len(x)], atol=1e-4)
+        at += len(x) + 1
+
+
+@pytest.fixture(scope="module")
+def tagger():
+    return pii.train(PROSE)
+
+
+PROSE = [
+    "The river runs slowly past the old mill, and the children who play there in summer know every stone on its banks. It rose by 12.5 cm in 2019. " * 3,
+    "In winter the water rises and the path is closed at noon; ring +1 (904) 663-7141 or write to miller@example.com. The mill has 14 rooms. " * 3,
+    "Das Haus steht am Fluss. Es wurde 1897 gebaut und hat 3 Stockwerke, wie der Plan zeigt.\nIl y a longtemps que je t'aime. " * 3,
+]
+
+
+def test_tagger_adds_what_the_rules_miss(tagger):
     texts = ["mail bob.12 [at] mail3 [dot] com please", "call (171) 555-2028 now", "nothing here at all", "", "on 2024-01-02 we had 1,234,567 cups", "a@b.co +1 (171) 555-2028"]
-    found = pii.all_spans(t, texts)
+    found = pii.all_spans(tagger, texts)
     assert [k for k, _, _ in found[0][1]] == ["email"] and found[0][0] == []
     assert [k for k, _, _ in found[1][1]] == ["phone"]
     assert found[2:5] == [([], [])] * 3 and found[5][0] == plain_spans(texts[5]) == found[5][1]
@@ -278,34 +338,51 @@ def test_tagger_adds_what_the_rules_miss():
 
 LONG_ADDRESSES = [
     "jane.doe [at] northern-university [dot] org",
-    "jane.doe [at] example-company [dot] com",
     "jane[at]department-of-languages-of-the-northern-university[dot]example-company[dot]org",
     "the.whole.research.group.of.maria.alexander (at) mail (dot) org",
     "the_whole_research_group_of_maria_and_all_of_her_many_friends.and-guests [at] institute-of-green-rivers-and-mountains [dot] net",
+    "john dot smith at gmail dot com",
+    "jane.doe <at> example-company <dot> com",  # these brackets are in no variant of training
 ]
 
 
-@pytest.mark.parametrize("address", LONG_ADDRESSES)
-def test_regions_hold_whole_addresses(address):
-    text = f"please write to us at {address} or come by some day soon and have a look"
-    lo = text.index(address)
-    assert any(a <= lo and lo + len(address) <= b for a, b in pii.regions(text))
-
-
-def test_long_addresses_are_found_whole():
-    t = pii.train([])
-    texts = [f"{before}{x}{after}" for x in LONG_ADDRESSES for before, after in (("please write to us at ", " or come by some day soon."), ("", ""), ("Contact:\n", ", or call."))]
-    for text, (base, spans) in zip(texts, pii.all_spans(t, texts), strict=True):
-        assert base == [] and [text[a:b] for _, a, b in spans] == [x for x in LONG_ADDRESSES if x in text], text
-        assert "[at]" not in (clean := pii.redacted_text(text, spans)) and clean.count("[EMAIL]") == 1
-
-
-def test_the_rules_spans_stop_addresses():
-    text = "x 4111 1111 1111 1111 [at] northern-university [dot] org"
-    base = pii.base_spans(text)
-    said = np.ones(len(text), bool)
-    assert [k for k, _, _ in base] == ["card"] and pii.addresses(text, 0, len(text), said, [], base) == []
-    assert pii.addresses(text[17:], 0, len(text) - 17, said[17:], [], []) == [("email", 0, len(text) - 17)]
+def test_addresses_without_sign_or_digit_are_read(tagger):
+    texts = [f"{PROSE[0][:200]} Please write to {x}, or come by some day soon and have a look." for x in LONG_ADDRESSES]
+    whole = sum(x in [text[a:b] for _, a, b in spans] for x, text, (_, spans) in zip(LONG_ADDRESSES, texts, pii.all_spans(tagger, texts), strict=True))
+    assert whole >= len(LONG_ADDRESSES) - 1
+
+
+def test_planted_spans_are_found_in_text_of_their_own(tagger):
+    """Variants and text that training has not seen: nine of ten are met, and text without any stays as it is."""
+    r, texts, want = np.random.default_rng(404), [], []
+    prose = [" ".join(r.choice(PROSE[0].split() + PROSE[2].split(), 300)) for _ in range(30)]
+    for i in range(600):
+        text, spans, _ = pii.planted(r, prose[i % 30])
+        texts.append(text)
+        want.append(spans)
+    met = total = 0
+    for text, spans, (base, found) in zip(texts, want, pii.all_spans(tagger, texts), strict=True):
+        assert base == plain_spans(text)
+        for kind, a, b in set(spans) - set(base):
+            total += 1
+            met += any(k == kind and x < b and y > a for k, x, y in found)
+    assert total > 250 and met >= 0.9 * total
+    assert sum(len(s) for _, s in pii.all_spans(tagger, prose)) <= 1
+
+
+@pytest.mark.parametrize("text", ["0" * 5000 + ".1.2.3", "0" * 5000, "9" * 5000 + ".1.2.3", "1." * 3000, "@" * 3000, "a@" * 2000, "+1" + "(" * 5000, "1 " * 4000, "1.2.3." + "0" * 4999 + "7"])
+def test_digit_runs_are_harmless(tagger, text):
+    spans = pii.base_spans(text)
+    assert pii.all_spans(tagger, [text])[0][0] == spans
+    if len(re.sub("[^0-9]", "", text)) < 4300:
+        assert spans == plain_spans(text)
+
+
+def test_rules_take_linear_time():
+    start = time.perf_counter()
+    for text in ("1" * 1_000_000, "1." * 500_000, "a" * 1_000_000 + "@", "+1 " * 300_000):
+        pii.base_spans(text)
+    assert time.perf_counter() - start < 15
 
 
 # Classifiers -----------------------------------------------------------------------------------------------------

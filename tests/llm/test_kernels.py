@@ -193,6 +193,76 @@ def test_lists_and_tables_of_content_are_kept():
     assert pagetext.main_text(f"<body><div><p>{prose}</p></div><section><div><ul><li>x</li></ul></div></section>") == prose.strip()
 
 
+P = "A long sentence, with marks; it goes on and on: for the whole of the way."
+NOTICE = "<div><p>Copyright 2024 Example Inc. All rights reserved.</p></div>"
+SHAPES = {
+    "classes that sound like roles": (f'<article><p>{P * 4}</p><div class="share-of-market">Share facts</div><section class="legal analysis"><p>{P}</p></section><p>{P}</p></article>', f"{P * 4} Share facts {P} {P}"),
+    "a paragraph that is an advert": (f'<article><p>{P * 4}</p><p class="advert">Buy now, today, here!</p><p>{P}</p></article>', f"{P * 4} {P}"),
+    "comments": (f'<article><p>{P * 4}</p></article><section id="responses"><p>{P}</p><p>{P}</p></section>', P * 4),
+    "a teaser": (f"<article><h1>T</h1><p>{P * 4}</p><p>{P}</p></article><article><h2>Other news</h2><p>Short text, read on.</p></article>", f"T {P * 4} {P}"),
+    "a footer without a name": (f"<div><h1>T</h1><p>{P * 4}</p><div class=caption>A caption</div><p>{P}</p></div>{NOTICE}", f"T {P * 4} A caption {P}"),
+    "no container": (f"<ul><li><a href=x>Home</a><li><a href=y>News</a></ul><h1><a href=/>T</a></h1><p>{P * 4}</p><ul><li>an item</ul><p>{P}</p>{NOTICE}", f"T {P * 4} an item {P}"),
+    "a layout of cells": (f"<table><tr><td><a href=/>Home</a><br><a href=/x>More</a></td><td><h1>T</h1><p>{P * 3}</p><p>{P * 5}</p></td></tr></table>", f"T {P * 3} {P * 5}"),
+    "all in a form": (f"<form id=f><div><p>{P * 3}</p><p>{P * 4}</p></div><input name=q><select><option>x</select></form>", f"{P * 3} {P * 4}"),
+    "a head that is not closed": (f"<head><title>x</title><p>{P}</p>", P),
+    "a quote that is not closed": (f'<p title="x>{P}</p><p>{P * 2}</p>', f"{P} {P * 2}"),
+    "no tag": ("a < b <b>c", "a < b c"),
+    "roles alone": ("<nav>Home</nav><footer>c</footer><div class='cookie notice'>We use cookies.</div>", ""),
+}
+
+
+@pytest.mark.parametrize("name", SHAPES)
+def test_shapes_of_pages(name):
+    page, want = SHAPES[name]
+    assert pagetext.main_text(f"<html><body>{page}</body></html>" if name != "a head that is not closed" else page) == want
+
+
+def test_the_ratios_decide(monkeypatch):
+    """Where every path counts as content, menus, adverts and notices come through."""
+    page = f"<body><div><a href=/>Home</a> Menu</div><div class=box>Buy now.</div><div><p>{P * 4}</p><p>{P}</p></div>{NOTICE}</body>"
+    assert pagetext.main_text(page) == f"{P * 4} {P}" and pagetext.main_text(PAGE).startswith("A & B")
+    monkeypatch.setattr(pagetext, "content", lambda page, own, value: own[:, 3] > 0)
+    assert pagetext.main_text(page) == f"Home Menu Buy now. {P * 4} {P} Copyright 2024 Example Inc. All rights reserved."
+    assert "Buy now" in pagetext.main_text(PAGE) and "disagree" in pagetext.main_text(PAGE)
+
+
+def test_smoothing_by_sweeps_is_the_sum_over_all_paths():
+    r = np.random.default_rng(8)
+    parent = [-1, *(int(r.integers(i)) for i in range(1, 60))]
+    own = r.normal(size=(60, 2))
+
+    def up(v):
+        return [v, *(up(parent[v]) if v else [])]
+
+    def steps(a, b):
+        one, two = up(a), up(b)
+        return len(one) + len(two) - 2 * len(set(one) & set(two))
+
+    want = [sum(own[u] * pagetext.DECAY ** steps(u, v) for u in range(60)) for v in range(60)]
+    assert np.allclose(pagetext.smoothed(parent, own), want)
+
+
+HARD = {
+    "paths": "".join(f"<div class=c{i}><p class=p{i}>text {i}, is it.</p></div>" for i in range(5000)),
+    "inline tags": "<b>" * 50_000 + "</i>" * 50_000,
+    "open tags": "<a " * 100_000,
+    "quotes": "<a x" * 50_000 + '">"',
+    "depth": "<div>" * 50_000 + "x",
+    "paragraphs": "<p><button>" + "<x>" * 10_000 + "<h1></h1>" * 10_000,
+    "roles": "<span class=ad>" * 20_000 + "</span>" * 20_000,
+    "signs": "<" * 300_000,
+    "comments": "<!--" * 100_000 + ">",
+    "attributes": "<div " + "class " * 100_000 + ">x",
+}
+
+
+@pytest.mark.parametrize("name", HARD)
+def test_hard_pages_take_linear_time(name):
+    start = time.perf_counter()
+    pagetext.main_text(HARD[name])
+    assert time.perf_counter() - start < 5
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="<>/pab divscript!-\"'=&;", max_size=80))
 def test_broken_markup_never_fails(page):

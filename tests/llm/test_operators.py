@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -259,3 +260,44 @@ def test_held_out_accuracy(spark):
         got = queries.queries()[name](spark, sf).filter("held_out").join(labels, "doc_id")
         hit, said, true, n = got.agg(F.sum((F.col("predicted") == 1).cast("int") * F.col(label)), F.sum("predicted"), F.sum(label), F.count("*")).first()
         assert n > 700 and hit / true >= least and hit / said >= least
+
+
+class PlainArticle(HTMLParser):
+    """Text inside <article>, by the standard library's parser; inline tags do not separate."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.silent, self.out = 0, 0, []
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        self.silent += tag in ("script", "style")
+        if tag not in pagetext.INLINE:
+            self.out.append(" ")
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+        self.silent -= tag in ("script", "style")
+        if tag not in pagetext.INLINE:
+            self.out.append(" ")
+
+    def handle_data(self, data):
+        if self.depth and not self.silent:
+            self.out.append(data)
+
+
+def test_pages_are_their_articles(spark):
+    """Every page of the table marks its article, so a plain parser gives the text that the ratios must find without."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r["page_id"]: r for r in rows(queries.queries()["op5_html"](spark, "/root/testdata/sf0.01"))}
+    assert len(got) == pages.count()
+    for r in pages.collect():
+        plain = PlainArticle()
+        plain.feed((r.html or "").replace("<article>", "<article> "))
+        plain.close()
+        want = " ".join("".join(plain.out).split())
+        assert (got[r.page_id]["text"], got[r.page_id]["n_chars"], got[r.page_id]["url"]) == (want, len(want), r.url)
+    # And without the mark: the ratios alone.
+    bare = pages.select("page_id", "url", F.regexp_replace("html", "(</?)article", "$1div").alias("html"))
+    same = sum(r["text"] == got[r["page_id"]]["text"] for r in rows(pagetext.extracted(bare)))
+    assert same >= 0.98 * len(got)

@@ -1,15 +1,15 @@
 """Main text of web pages by tag-path ratios.
 
-A tolerant scan turns a page into text nodes, each with its root-to-leaf path of tags (with the first class of generic
-containers). Per path the characters and the punctuation marks per node are aggregated, so a short paragraph counts as
-what its path is. Both ratios are smoothed over paths by tree distance (steps over the nearest common ancestor), fused,
-and every path whose value reaches a share of the page's largest is content. Nodes of content paths are returned in
-page order. Short items would fall below any share beside long paragraphs, so lists and tables take the decision of
-the container that they are in.
-
-Paths with a role that is never part of an article (menus, page headers, footers, sidebars, notices, adverts, forms,
-reader comments, scripts, styles) are no candidates. If the page marks its article (article, main) and there is text in
-it, only that is searched.
+A tolerant scan turns a page into text blocks, each with its root-to-leaf path of tags (with the first class, or id;
+containers that are alike are told apart by their number, inline tags are no part of a path). Per path three figures are
+aggregated: characters outside of links per block, punctuation marks per block, and all its characters. They are smoothed
+over the tree of paths with a weight that falls by DECAY for every step between two paths (two sweeps over the tree give
+the sums over all paths), and fused. A path is content if its value reaches SHARE of the page's mean, taken over
+characters.
+
+What an element's tag or class says of its role (menu, footer, advert, reader comments, article) is a factor of the value
+and decides nothing by itself. Headings, lists, tables and other short parts would fall below any share beside long
+paragraphs, so they go with the container that holds the content, unless their role is against it.
 """
 
 from __future__ import annotations
@@ -17,191 +17,311 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
-from math import exp
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Width of the smoothing in tree steps; shares of the largest value that make a path content, in a marked article and without one.
-SIGMA, SHARE_MARKED, SHARE_OPEN = 1.5, 0.02, 0.2
-
-#: Tags below this depth share their path.
-DEEPEST = 100
+#: Weight of a path one step away in the tree; share of the mean value that makes a path content.
+DECAY, SHARE = 0.4, 0.35
+#: A region that holds this share of the content is the article.
+MOST = 0.8
+#: Factors of a role that is no article text, of one that may be, of forms, of main and of article. Below LEAST a path is never content.
+AGAINST, PERHAPS, FORM, MAIN, ARTICLE, LEAST = 0.05, 0.5, 0.3, 1.5, 2.0, 0.1
 
-_TAG = re.compile(r"<(?:!--(?:.*?(?:-->|\Z))|(/?)([A-Za-z][^\s/>]*+)((?>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+))>|[!?/][^>]*+>)", re.S)
-_CLASS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_NAME = re.compile(r"[a-z0-9]+")
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>")
+_CLASS = re.compile(r"\b(class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))", re.I)
+_PART = re.compile(r"[a-z]+")
 _MARKS = re.compile("[.,;:!?…،؛؟।、。，！？：；]")
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var".split())
-#: An opening tag ends these open ones, up to the nearest of the named containers.
-ENDS = {
-    "li": (("li",), ("ul", "ol", "menu", "dir")),
-    "dt": (("dt", "dd"), ("dl",)),
-    "dd": (("dt", "dd"), ("dl",)),
-    "tr": (("tr", "td", "th"), ("table",)),
-    "td": (("td", "th"), ("tr", "table")),
-    "th": (("td", "th"), ("tr", "table")),
-    "tbody": (("tbody", "thead", "tfoot", "tr"), ("table",)),
-    "option": (("option",), ("select", "datalist")),
-    "body": (("head",), ()),
-}
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CONTAINERS = frozenset("article aside body button caption div footer form header html main nav object section table td th ul ol dl li dd dt blockquote figure details fieldset".split())
-ARTICLE = frozenset(("article", "main"))
-#: Lists and tables, which belong to what holds them.
-STRUCTURES = frozenset(("ul", "ol", "dl", "table"))
-NEVER = frozenset("head nav footer aside form script style noscript template button select textarea title iframe object svg canvas dialog menu xmp noembed noframes datalist".split())
-#: Words in a class, id or role that name a part which is no article text.
+#: Elements whose content is no text of the page.
+SILENT = frozenset("head script style noscript template button select textarea title iframe object svg canvas xmp noembed noframes datalist".split())
+IN_HEAD = frozenset("title meta link base script style noscript template head html".split())
+#: Elements that belong to the container around them.
+PARTS = frozenset("p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd table caption thead tbody tfoot tr td th figure figcaption blockquote pre address details summary center hr".split())
+#: A new element of a kind ends the open one of the kind that is nearest in its scope; the scope ends at these.
+SCOPES = (
+    (frozenset(("li",)), frozenset(("ul", "ol", "menu", "dir"))),
+    (frozenset(("dt", "dd")), frozenset(("dl",))),
+    (frozenset(("td", "th")), frozenset(("tr", "table"))),
+    (frozenset(("tr",)), frozenset(("table",))),
+    (frozenset(("tbody", "thead", "tfoot")), frozenset(("table",))),
+    (frozenset(("option",)), frozenset(("select", "datalist"))),
+    (frozenset(("p",)), CONTAINERS - {"li", "dt", "dd"}),
+)
+_SCOPE_OF = {name: i for i, (names, _) in enumerate(SCOPES) for name in names}
+PARAGRAPH, ROW, CELL = len(SCOPES) - 1, 3, 2
+#: Words that name a part which is no article text, when a class or id is made of them and of NEUTRAL words only.
 ROLES = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs pagination "
-    "sidebar side aside rail widget related recommended footer foot header masthead cookie cookies consent notice notices alert popup modal overlay newsletter "
-    "subscribe signup login comment comments commentlist discussion disqus reply replies share sharing social toolbar search skip copyright legal".split()
+    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs pagination pager "
+    "sidebar aside rail widget related recommended footer foot header masthead cookie cookies consent notice notices alert popup modal overlay newsletter "
+    "subscribe signup login comment comments commentlist discussion disqus reply replies responses respond share sharing social toolbar search skip copyright legal".split()
 )
-#: Of those, the ones inside which a marked article is none of the page's.
-APART = frozenset("comment comments commentlist discussion disqus reply replies related recommended sidebar aside rail widget".split())
+NEUTRAL = frozenset("the site page global main top bottom left right box area bar block container wrapper wrap inner outer list item items section content row col button buttons link links icon icons panel odd even depth level js id is has".split())
 
 
-class Node(NamedTuple):
-    path: tuple[str, ...]
-    text: str
-    marked: bool  # inside article or main
-    never: bool
-    block: int  # nodes of one block have one number
+class Page(NamedTuple):
+    """Text pieces of a page in order, and the tree of paths (parents come before children; 0 is the root)."""
 
+    path: list[int]  # of each piece
+    block: list[int]  # pieces of one block have one number
+    link: list[bool]
+    text: list[str]  # character references decoded; white space as it is
+    parent: list[int]
+    tag: list[str]
+    factor: list[float]
 
-def nodes_of(page: str) -> list[Node]:
-    """Text nodes of a page in order, character references decoded; nodes of white space are kept for what they separate."""
-    out: list[Node] = []
-    # name, path, marked, never, apart
-    stack: list[tuple[str, tuple[str, ...], bool, bool, bool]] = [("", (), False, False, False)]
-    block, at = 0, 0
 
-    def text(piece: str) -> None:
-        if piece:
-            _, path, marked, never, _ = stack[-1]
-            out.append(Node(path, unescape(piece), marked, never, block))
+def role(names: list[str]) -> float:
+    """AGAINST if every class and id speaks of a role, PERHAPS if some do, else 1."""
+    against = other = False
+    for name in names:
+        parts = _PART.findall(name)
+        if any(p in ROLES for p in parts) and all(p in ROLES or p in NEUTRAL or len(p) == 1 for p in parts):
+            against = True
+        elif any(p not in NEUTRAL for p in parts):
+            other = True
+    return 1.0 if not against else PERHAPS if other else AGAINST
 
-    for m in iter(lambda: _TAG.search(page, at), None):
-        text(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+
+def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, "/" of an end tag, name, attributes) of the tags; comments and declarations have no name. One pass:
+    an open quote that nothing ends makes the rest of the page be read without regard to quotes."""
+    at, last, pattern, size = 0, page.rfind(">"), _TAG, len(page)
+    while 0 <= (lt := page.find("<", at)) < last or lt >= 0 and page.startswith("<!--", lt):
+        following = page[lt + 1 : lt + 3]
+        if following[:1] in ("!", "?") or following[:1] == "/" and not following[1:].isalpha():
+            comment = page.startswith("<!--", lt)
+            end = page.find("-->", lt + 2) + 3 if comment else page.find(">", lt) + 1
+            at = end if end > 2 or not comment and end else size
+            yield lt, at, "", "", ""
+            continue
+        m = pattern.match(page, lt)
+        if m is None and following[:1].isascii() and following[:1] != "<" and (following[:1].isalpha() or following[:1] == "/"):
+            pattern = _LOOSE
+            m = pattern.match(page, lt)
+        if m is None:
+            at = lt + 1
             continue
         name = m[2].lower()
-        if name not in INLINE:
+        at = m.end()
+        yield lt, at, m[1], name, m[3]
+        if name in RAW and not m[1]:
+            close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
+            at = close.start() if close else size
+
+
+def read(page: str) -> Page:
+    """Text pieces with their paths. Every step costs the same however deep the page is: an entry of the stack knows the
+    open elements that a new one would end, and end tags without an open element are passed over."""
+    out = Page([], [], [], [], [-1], [""], [1.0])
+    known: dict[tuple[int, str], int] = {}
+    number: dict[tuple[int, str, int], int] = {}
+    # name, path, silent, places of the open elements of each scope, inside an article or main, of the same name within
+    stack: list[list] = [["", 0, False, (-1,) * len(SCOPES), False, 0]]
+    count: dict[str, int] = {}
+    block, at, link = 0, 0, 0  # link: depth of the stack where an open link began, 0 if none is open
+
+    def text(upto: int) -> None:
+        if upto > at and not stack[-1][2]:
+            out.path.append(stack[-1][1])
+            out.block.append(block)
+            out.link.append(link > 0)
+            out.text.append(unescape(page[at:upto]))
+
+    def cut(depth: int) -> None:
+        nonlocal link
+        for entry in stack[depth:]:
+            count[entry[0]] -= 1
+        del stack[depth:]
+        if link > depth:
+            link = 0
+
+    for start, end, slash, name, attributes in tags(page):
+        text(start)
+        at = end
+        if not name:
+            continue
+        top = stack[-1]
+        if name in INLINE:
+            if slash:
+                if name == "a":
+                    link = 0
+                if top[0] == name:
+                    if top[5]:
+                        top[5] -= 1
+                    else:
+                        cut(len(stack) - 1)
+                continue
+            if name == "a":
+                link = len(stack)
+            if top[0] == name:
+                top[5] += 1
+                continue
+            if "=" not in attributes or name == "a":
+                continue
+        else:
             block += 1
-        if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-                if name in INLINE and stack[i][0] in CONTAINERS:
-                    break
+        if slash:
+            if count.get(name):
+                depth = len(stack) - 1
+                while stack[depth][0] != name:
+                    depth -= 1
+                cut(depth)
             continue
         if name in VOID:
             continue
-        ends, within = ENDS.get(name, ((), ()))
-        if name not in INLINE:
-            ends, within = (*ends, "p"), within or tuple(CONTAINERS)
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in ends:
-                del stack[i:]
-                if len(ends) == 1:
-                    break
-            elif stack[i][0] in within:
-                break
-        _, path, marked, never, apart = stack[-1]
-        label = name
-        words: set[str] = set()
-        if m[3]:
-            attributes = {k.lower(): (a or b or c).lower() for k, a, b, c in _CLASS.findall(m[3])}
-            words = {w for v in attributes.values() for w in _NAME.findall(v)}
-            if name in ("div", "section", "span", "td", "ul") and attributes.get("class"):
-                label = f"{name}.{attributes['class'].split()[0]}" if attributes["class"].split() else name
-        apart = apart or name in ("aside", "footer") or bool(words & APART)
-        if name in ARTICLE and not apart:
-            marked, never = True, False
-        elif name in NEVER or (name == "header" and not marked) or (words & ROLES and name not in ("html", "body", "p", "h1", "h2", "h3")):
-            never = True
-        if name in RAW:
-            close = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            at = close.end() if close else len(page)
+        found = {k.lower(): (a or b or c).lower() for k, a, b, c in _CLASS.findall(attributes)} if attributes else {}
+        classes = found.get("class", "").split()
+        says = role([*classes, *found.get("id", "").split(), *found.get("role", "").split()]) if found and name not in ("html", "body") else 1.0
+        if name in INLINE and says == 1.0:
             continue
-        if m[3].rstrip().endswith("/") and name not in CONTAINERS and name not in INLINE and name != "p":
+        if count.get("head") and name not in IN_HEAD:
+            depth = next(i for i, entry in enumerate(stack) if entry[0] == "head")
+            cut(depth)
+        if (scope := _SCOPE_OF.get(name)) is not None and (depth := stack[-1][3][scope]) >= 0:
+            cut(depth)
+        if name not in INLINE and (depth := stack[-1][3][PARAGRAPH]) >= 0:
+            cut(depth)
+        if name == "tr" and (depth := stack[-1][3][CELL]) >= 0:
+            cut(depth)
+        if name in ("tbody", "thead", "tfoot") and (depth := stack[-1][3][ROW]) >= 0:
+            cut(depth)
+        if attributes.rstrip().endswith("/") and name not in CONTAINERS and name not in PARTS and name not in INLINE:
             continue
-        stack.append((name, (*path, label) if len(path) < DEEPEST else path, marked, never, apart))
-    text(page[at:])
+        _, parent, silent, scopes, within, _ = stack[-1]
+        mark = classes[0] if classes else f"#{found['id']}" if found.get("id") else ""
+        label = f"{name}.{mark}"
+        if name not in PARTS and name not in INLINE:
+            place = (len(stack), label, parent)
+            number[place] = number.get(place, 0) + 1
+            label = f"{label}[{number[place]}]"
+        path = known.get((parent, label))
+        if path is None:
+            path = known[parent, label] = len(out.parent)
+            factor = out.factor[parent] * says
+            if name in ("nav", "footer", "aside", "dialog", "menu") or name == "header" and not within:
+                factor *= AGAINST
+            factor *= {"form": FORM, "main": MAIN, "article": ARTICLE}.get(name, 1.0)
+            out.parent.append(parent)
+            out.tag.append(name)
+            out.factor.append(factor)
+        depth = len(stack)
+        new = tuple(-1 if name in ends else depth if name in names and was < 0 else was for was, (names, ends) in zip(scopes, SCOPES, strict=True))
+        stack.append([name, path, silent or name in SILENT, new, within or name in ("article", "main"), 0])
+        count[name] = count.get(name, 0) + 1
+    text(len(page))
     return out
 
 
-def distance(a: tuple[str, ...], b: tuple[str, ...]) -> int:
-    common = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        common += 1
-    return len(a) + len(b) - 2 * common
-
-
-def content_paths(nodes: list[Node], sigma: float = SIGMA) -> set[tuple[str, ...]]:
-    """Paths of the candidate nodes whose smoothed and fused ratios reach the threshold, and those of lists and tables
-    beside them: all in a marked article, else in the same container, unless that is a table's cell (which may be layout)."""
-    chars: dict[tuple[str, ...], list[int]] = {}
-    for n in nodes:
-        if words := n.text.split():
-            row = chars.setdefault(n.path, [0, 0, 0])
-            row[0] += sum(map(len, words)) + len(words) - 1
-            row[1] += len(_MARKS.findall(n.text))
-            row[2] += 1
-    if not chars:
-        return set()
-    paths = list(chars)
-    ratios = [(chars[p][0] / chars[p][2], chars[p][1] / chars[p][2]) for p in paths]
-    smooth = []
-    for p in paths:
-        total = length = marks = 0.0
-        for q, (a, b) in zip(paths, ratios, strict=True):
-            d = distance(p, q)
-            if d < 8 * sigma:
-                w = exp(-d * d / (2 * sigma * sigma))
-                total, length, marks = total + w, length + w * a, marks + w * b
-        smooth.append((length / total, marks / total))
-    most = max(b for _, b in smooth) or 1.0
-    fused = [a * (0.5 + 0.5 * b / most) for a, b in smooth]
-    least = (SHARE_MARKED if any(n.marked for n in nodes) else SHARE_OPEN) * max(fused)
-    chosen = {p for p, f in zip(paths, fused, strict=True) if f >= least}
-    everywhere = any(n.marked for n in nodes)
-    # Containers with content of their own: a chosen path itself, or its child.
-    holders = chosen | {p[:-1] for p in chosen}
-    for p in paths:
-        for i, label in enumerate(p):
-            kind = label.partition(".")[0]
-            if kind in STRUCTURES and (everywhere or p[:i] in holders):
-                chosen.add(p)
-                break
-            if kind in ("td", "th"):
-                break
-    return chosen
+def smoothed(parent: list[int], own: np.ndarray) -> np.ndarray:
+    """For every path the sum over all paths of ``own`` (rows: paths), weighted by DECAY to the number of steps between them."""
+    total = [list(row) for row in own.tolist()]
+    width = range(own.shape[1])
+    for v in range(len(parent) - 1, 0, -1):
+        row, up = total[v], total[parent[v]]
+        for i in width:
+            up[i] += DECAY * row[i]
+    for v in range(1, len(parent)):
+        row, up = total[v], total[parent[v]]
+        for i in width:
+            row[i] += DECAY * (up[i] - DECAY * row[i])
+    return np.array(total)
+
+
+def figures(page: Page) -> np.ndarray:
+    """Per path: characters outside of links, punctuation marks among them, blocks with text, all characters."""
+    out, last = np.zeros((len(page.parent), 4)), [-1] * len(page.parent)
+    rows = out.tolist()
+    for path, block, link, text in zip(page.path, page.block, page.link, page.text, strict=True):
+        if words := text.split():
+            row = rows[path]
+            n = sum(map(len, words)) + len(words) - 1
+            row[3] += n
+            if not link:
+                row[0] += n
+                row[1] += len(_MARKS.findall(text))
+            if last[path] != block:
+                row[2] += 1
+                last[path] = block
+    return np.array(rows)
+
+
+def values(page: Page, own: np.ndarray) -> np.ndarray:
+    """Smoothed and fused ratios of every path, times the factor of its roles."""
+    has = own[:, 2] > 0
+    n = np.maximum(own[:, 2], 1)
+    length, marks, weight, mass = smoothed(page.parent, np.stack((own[:, 0] / n, own[:, 1] / n, has.astype(float), own[:, 0]), axis=1)).T
+    weight = np.maximum(weight, 1e-300)
+    marks = marks / weight
+    fused = length / weight * (0.5 + 0.5 * marks / max(marks[has].max(initial=0), 1e-9)) * np.sqrt(mass / max(mass[has].max(initial=0), 1e-9))
+    return np.where(has & (own[:, 0] > 0), fused, 0) * np.array(page.factor)
+
+
+def content(page: Page, own: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Paths whose value reaches the page's threshold."""
+    total = own[:, 0].sum()
+    allowed = np.array(page.factor) >= LEAST
+    return (value > 0) & allowed & (value >= SHARE * float((own[:, 0] * value).sum()) / max(total, 1))
+
+
+def taken(page: Page, own: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(paths that belong to the article, paths that do between its first and last block of content)."""
+    n, parent, tag, factor = len(page.parent), page.parent, page.tag, page.factor
+    # Cells with blocks of their own lay out the page, so they hold what is in them.
+    layout = {parent[v] for v in range(1, n) if tag[parent[v]] in ("td", "th") and (tag[v] not in PARTS or tag[v][:1] in "ph") and tag[v] not in INLINE}
+    holder = [0] * n
+    for v in range(1, n):
+        holder[v] = holder[parent[v]] if (tag[v] in PARTS or tag[v] in INLINE) and v not in layout else v
+    weight = np.where(chosen, own[:, 0], 0.0).tolist()
+    for v in range(n - 1, 0, -1):
+        weight[parent[v]] += weight[v]
+    region = 0
+    for v in range(1, n):  # children come after parents
+        if parent[v] == region or region == holder[parent[v]]:
+            if holder[v] == v and weight[v] >= MOST * weight[0]:
+                region = v
+    best: dict[int, float] = {}
+    for v in np.flatnonzero(chosen).tolist():
+        best[holder[v]] = max(best.get(holder[v], 0.0), factor[v])
+    inside, listed = [False] * n, [False] * n
+    always, between = np.zeros(n, bool), np.zeros(n, bool)
+    for v in range(n):
+        inside[v] = v == region or v > 0 and inside[parent[v]]
+        listed[v] = tag[v] in ("ul", "ol", "dl", "table") or v > 0 and listed[parent[v]]
+        same = holder[v] in best and factor[v] >= PERHAPS * best[holder[v]]
+        near = inside[v] and tag[region] not in ("", "html", "body") and factor[v] >= PERHAPS * factor[region]
+        links = listed[v] and 2 * own[v, 0] < own[v, 3]  # a list of links beside the text may be a menu
+        always[v] = chosen[v] or same and not links or near and tag[region] == "article"
+        between[v] = same or near
+    return always, between
 
 
 def main_text(page: str) -> str:
     """The article of a page: white space within a block is one space, blocks are joined by one space. "" if there is none."""
-    nodes = [n for n in nodes_of(page) if not n.never]
-    marked = [n for n in nodes if n.marked]
-    if any(n.text.strip() for n in marked):
-        nodes = marked
-    chosen = content_paths(nodes)
+    found = read(page)
+    own = figures(found)
+    chosen = content(found, own, values(found, own))
+    if not chosen.any():
+        return ""
+    always, between = taken(found, own, chosen)
+    blocks = [b for v, b in zip(found.path, found.block, strict=True) if chosen[v] and always[v]]
+    lo, hi = (blocks[0], blocks[-1]) if blocks else (0, -1)
     parts, last = [], None
-    for n in nodes:
-        if n.path in chosen or not n.text.strip():
-            if n.block != last:
+    for path, block, text in zip(found.path, found.block, found.text, strict=True):
+        if always[path] or between[path] and lo < block < hi or text.isspace():
+            if block != last:
                 parts.append(" ")
-                last = n.block
-            parts.append(n.text)
+                last = block
+            parts.append(text)
     return " ".join("".join(parts).split())
 
 

@@ -26,15 +26,22 @@ BATCH_ROWS = "2000"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package, name a checkpoint folder where none is set (tests), and lower the size of
-    Arrow batches where the session leaves it at its default."""
+    """Let Python workers import this package, name a checkpoint folder, and lower the size of Arrow batches where the
+    session leaves it at its default (for the whole session, as plans run after this returns).
+
+    The folder is the one of spark.checkpoint.dir. Where none is set a local one is made in local mode only (tests): on a
+    cluster executors would not share it, so that is an error.
+    """
     sc = spark.sparkContext
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sc.environment.setdefault("PYTHONPATH", root)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="waymark-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="waymark-"))
 
 
 def frozen(df: DataFrame, rows: int | None = None) -> DataFrame:

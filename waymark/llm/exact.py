@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .cluster import frozen, text_of
+from .skew import Bitmap
 
 #: A digest with at least this share of all rows is heavy; at most 1 / SUPPORT digests are.
 SUPPORT = 1 / 2000
@@ -27,13 +28,14 @@ def normalised(column: str = "text"):
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, digest, row) of every row, computed once; ``row`` tells rows with equal ids apart."""
+    """(doc_id, digest, row) of every row, computed once; ``row`` tells rows with equal ids apart. A null text counts as "",
+    a null id stays null; other columns are ignored; an empty table gives an empty one."""
     return frozen(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.sha2(normalised(text_col), 256)).alias("digest"), F.monotonically_increasing_id().alias("row")))
 
 
 def exact_duplicates(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
     """Decisions for a table made by ``keyed``: doc_id, keep_id, group_size, kept, text_sha256, and ``twins``, the
-    number of rows that share both id and text with the row that stays.
+    number of rows that share both id and text with the row that stays. Null texts count as "" (see ``keyed``).
 
     Of rows with equal digests the one with the largest doc_id stays (a null id counts as smallest; of equal ids one
     row stays). Exactly one row of each group has ``kept``. An empty table gives an empty one.
@@ -63,17 +65,22 @@ def exact_duplicates(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that exact de-duplication drops; all columns kept, one row of each equal text.
+    """``docs`` without the rows that exact de-duplication drops; all columns kept, whatever their names, one row of each equal text.
 
-    The decision is joined back on id and digest. Where the row that stays has repeats with the same id and text,
-    which nothing but their other columns tells apart, one of them is returned.
+    A null id or text is one like others, the text as "" (see ``exact_duplicates``). Decisions are made on ids and digests;
+    rows are kept or dropped where they are read: a bitmap of the ids of dropped rows clears most of the kept, a bitmap of
+    kept ids among the rest clears the dropped. Only ids with rows of both sorts, and the few that a bitmap cannot tell, are
+    compared exactly by id and digest. Where the row that stays has repeats with the same id and text, which nothing but
+    their other columns tells apart, one of them is returned. An empty table gives an empty one.
     """
-    names = docs.columns
-    wins = frozen(exact_duplicates(keyed(docs, id_col, text_col)).filter("kept").select("doc_id", F.unhex("text_sha256").alias("digest"), "twins"))
-    tagged = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("r"), F.col(id_col).cast("long").alias("doc_id"))
-    tagged = tagged.withColumn("digest", F.unhex(F.sha2(normalised(f"r.{text_col}"), 256)))
-    on = tagged["doc_id"].eqNullSafe(wins["doc_id"]) & (tagged["digest"] == wins["digest"])
-    joined = tagged.join(wins, on).select("r", tagged["doc_id"], tagged["digest"], "twins")
-    single = joined.filter("twins = 1").select("r.*")
-    repeated = joined.filter("twins > 1").groupBy("doc_id", "digest").agg(F.first("r").alias("r")).select("r.*")
-    return single.unionByName(repeated)
+    decided = frozen(exact_duplicates(keyed(docs, id_col, text_col)).select("doc_id", "kept", F.unhex("text_sha256").alias("digest")))
+    dropped = decided.filter("not kept").select("doc_id")
+    first = Bitmap(dropped, dropped.count())
+    rivals = frozen(first.marked(decided.filter("kept").select("doc_id", "digest"), "maybe").filter("maybe").drop("maybe"))
+    second = Bitmap(rivals.select("doc_id"), rivals.count(), seed=1)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r")
+    rows = second.marked(first.marked(docs.select(whole, F.col(id_col).cast("long").alias("doc_id")), "maybe_dropped"), "maybe_kept")
+    unclear = rows.filter("maybe_dropped and maybe_kept").select("r", "doc_id", F.unhex(F.sha2(normalised(f"r.`{text_col}`"), 256)).alias("digest"))
+    one = unclear.groupBy("doc_id", "digest").agg(F.first("r").alias("r"))
+    exact = one.join(rivals, one["doc_id"].eqNullSafe(rivals["doc_id"]) & (one["digest"] == rivals["digest"]), "left_semi")
+    return rows.filter("not maybe_dropped").select("r.*").unionByName(exact.select("r.*"))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from .cluster import column_bytes, frozen, held, slices, text_of
 from .components import components
+from .skew import salted, skew_join, texts_for
 from .words import sets_of
 
 #: Signature: BANDS bands of ROWS minima. A pair at similarity 0.85 shares no band with probability 4e-7, at 0.8 5e-5.
@@ -36,9 +37,6 @@ BATCH = 25
 BLOCK = 400
 #: And their shingles, about.
 BLOCK_SHINGLES = 200_000
-#: Bits of the map that keeps texts without candidates out of the shuffle: a broadcast of at most 2**25 / 64 rows.
-BITS = 1 << 25
-
 _RNG = np.random.default_rng(90210)
 _ODD = (_RNG.integers(1 << 31, size=(BANDS * ROWS, 1), dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _XOR = _RNG.integers(1 << 32, size=(BANDS * ROWS, 1), dtype=np.uint32)
@@ -109,8 +107,8 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return column_bytes(column)[0].view("<u2").reshape(len(column), BANDS * ROWS)
 
 
-def likely(pairs: DataFrame, reps: DataFrame, threshold: float, miss: float) -> DataFrame:
-    """Pairs (a, b) whose signatures survive the sequential comparison."""
+def likely(pairs: DataFrame, reps: DataFrame, total: int, threshold: float, miss: float) -> DataFrame:
+    """Pairs (a, b) whose signatures survive the sequential comparison; ``total``: their number before."""
     least = least_agreements(threshold, miss)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,43 +116,13 @@ def likely(pairs: DataFrame, reps: DataFrame, threshold: float, miss: float) ->
             live = survivors(_signatures(batch.column(2)), _signatures(batch.column(3)), least)
             yield batch.select(["a", "b"]).take(pa.array(live))
 
-    sig = reps.select(F.col("rep"), F.col("signature"))
-    joined = pairs.join(sig.withColumnsRenamed({"rep": "a", "signature": "sa"}), "a").join(sig.withColumnsRenamed({"rep": "b", "signature": "sb"}), "b")
+    heads = pairs.groupBy("b").agg(F.count("*").alias("n")).join(reps.select(F.col("rep").alias("b"), F.col("signature").alias("sb")), "b")
+    joined = skew_join(pairs, heads, ["b"], "n", total).join(reps.select(F.col("rep").alias("a"), F.col("signature").alias("sa")), "a")
     return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-_WORD = f"cast(floor(pmod(xxhash64(doc_id), {BITS}) / 64) as int)"
-_HIT = f"coalesce(getbit(bits, cast(pmod(xxhash64(doc_id), {BITS}) % 64 as int)) = 1, false)"
-
-
-def bitmap(ids: DataFrame) -> DataFrame:
-    """(word, bits): at most BITS / 64 rows that tell of most ids that they are not in ``ids`` (doc_id)."""
-    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {BITS}) % 64 as int))")
-    return ids.select(F.expr(_WORD).alias("word"), bit.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-
-
-def texts_for(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text) of the documents in ``ids`` (doc_id, distinct): the bitmap first, then an exact join.
-
-    An inner join, as a semi-join would be moved below the bitmap and shuffle every text.
-    """
-    maybe = docs.select("doc_id", "text", F.expr(_WORD).alias("word")).join(F.broadcast(bitmap(ids)), "word").filter(_HIT)
-    return maybe.select("doc_id", "text").join(ids.select("doc_id"), "doc_id")
-
-
-def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose id is in ``ids`` (doc_id, distinct). Rows that the bitmap clears are kept where they are
-    read; only the others are shuffled for the exact comparison (an outer join: an anti-join would be moved below the bitmap). A null id
-    is in no table of ids."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r")
-    rows = docs.select(whole, F.col(id_col).cast("long").alias("doc_id")).withColumn("word", F.when(F.col("doc_id").isNotNull(), F.expr(_WORD)))
-    marked = rows.join(F.broadcast(bitmap(ids)), "word", "left").select("r", "doc_id", F.expr(_HIT).alias("hit"))
-    found = ids.select("doc_id", F.lit(True).alias("found"))
-    return marked.filter("not hit").select("r.*").union(marked.filter("hit").join(found, "doc_id", "left").filter("found is null").select("r.*"))
-
-
-def linked(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= percent * union of the full shingle sets, from the whole texts."""
+def linked(docs: DataFrame, pairs: DataFrame, total: int, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) with 100 * intersection >= percent * union of the full shingle sets, from the whole texts. ``total``: the number of ``pairs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,10 +138,11 @@ def linked(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
                         hit.append(i)
             yield batch.select(["a", "b"]).take(pa.array(hit, pa.int64()))
 
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = texts_for(docs, ids)
-    ta, tb = (texts.select(F.col("doc_id").alias(x), F.col("text").alias("t" + x)) for x in "ab")
-    return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    ids = frozen(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct(), 2 * total)
+    texts = texts_for(docs, ids, ids.count())
+    dealt, spread = salted(pairs, texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), max(total, 1))
+    both = dealt.join(spread, ["b", "salt"]).join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
+    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
 def _first_shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -196,8 +165,8 @@ def across(docs: DataFrame, members: DataFrame, reps: DataFrame, k: int, percent
     sizes = sized.groupBy("band", "band_key", "comp").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("w"))
     main = sizes.groupBy("band", "band_key").agg(F.max(F.struct("m", (-F.col("comp")).alias("c"), "w")).alias("top"), F.sum("m").alias("m"), F.sum("w").alias("w"))
     blocks = lambda m, w: F.greatest(F.ceil(m / BLOCK), F.ceil(w / BLOCK_SHINGLES)).cast("int")
-    main = frozen(main.select("band", "band_key", (-F.col("top.c")).alias("main"), blocks(F.col("m"), F.col("w")).alias("nm"), blocks(F.col("m") - F.col("top.m"), F.col("w") - F.col("top.w")).alias("nr")), most)
-    tagged = sized.drop("n_shingles").join(main, ["band", "band_key"]).withColumn("probe", F.col("comp") != F.col("main"))
+    main = frozen(main.select("band", "band_key", (-F.col("top.c")).alias("main"), blocks(F.col("m"), F.col("w")).alias("nm"), blocks(F.col("m") - F.col("top.m"), F.col("w") - F.col("top.w")).alias("nr"), "m"), most)
+    tagged = skew_join(sized.drop("n_shingles"), main, ["band", "band_key"], "m", most).drop("m").withColumn("probe", F.col("comp") != F.col("main"))
     block = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     key = ["band", "band_key", "i", "j"]
     whole = tagged.select("*", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("i")).withColumn("j", block("nm")).withColumn("probe", F.lit(False))
@@ -243,7 +212,8 @@ def across(docs: DataFrame, members: DataFrame, reps: DataFrame, k: int, percent
     # number is given, as rows are few bytes and much work, so partitions of a usual size would be too few tasks.
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kept = frozen(rows.repartition(tasks, *key).groupBy(*key).applyInArrow(look, shape))
-    texts = texts_for(docs, kept.select(F.col("rep").alias("doc_id")).distinct())
+    ids = frozen(kept.select(F.col("rep").alias("doc_id")).distinct(), most)
+    texts = texts_for(docs, ids, ids.count())
     return kept.join(texts.withColumnRenamed("doc_id", "rep"), "rep").select(*key, "rep", "comp", "probe", "text").groupBy(*key).applyInArrow(verify, "a long, b long")
 
 
@@ -258,22 +228,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     feats = frozen(features(docs, k))
     known = feats.filter("set_key is not null and doc_id is not null")
-    reps = frozen(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
+    reps = frozen(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.count("*").alias("n")))
     band = [F.xxhash64(F.lit(i), F.substring("signature", 1 + 2 * ROWS * i, 2 * ROWS)) for i in range(BANDS)]
     rows = reps.select("rep", F.posexplode(F.array(*band)).alias("band", "band_key"))
+    bucket = ["band", "band_key"]
     most = BANDS * reps.count()  # of the rows of every table of buckets
-    heads = frozen(rows.groupBy("band", "band_key").agg(F.min("rep").alias("head"), F.count("*").alias("m")).filter("m > 1").drop("m"), most)
-    shared = frozen(rows.join(heads, ["band", "band_key"]), most)
-    star = shared.filter("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
-    links = linked(docs, frozen(likely(star, reps, percent / 100, miss), most), k, percent)
-    comps = components(links.toDF("u", "v"), most)
-    member = shared.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("band", "band_key", "rep", F.coalesce("component", "rep").alias("comp"))
-    split = member.groupBy("band", "band_key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band", "band_key")
-    mixed = frozen(member.join(split, ["band", "band_key"], "left_semi"), most)
+    heads = frozen(rows.groupBy(*bucket).agg(F.min("rep").alias("head"), F.count("*").alias("m")).filter("m > 1"), most)
+    shared = frozen(skew_join(rows, heads, bucket, "m", most).drop("m"), most)
+    star = frozen(shared.filter("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct(), most)
+    pairs = frozen(likely(star, reps, star.count(), percent / 100, miss), most)
+    comps = components(linked(docs, pairs, pairs.count(), k, percent).toDF("u", "v"), most)
+    member = shared.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(*bucket, "rep", F.coalesce("component", "rep").alias("comp"))
+    split = member.groupBy(*bucket).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo <> hi").select(*bucket, "m")
+    mixed = frozen(skew_join(member, split, bucket, "m", most).drop("m"), most)
     more = across(docs, mixed, reps, k, percent, miss, most)
     # The stars found so far stand for the links that made them.
     comps = components(comps.union(more).toDF("u", "v"), most)
-    classes = reps.select("set_key", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    out = feats.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
-    component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    classes = reps.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"), "n")
+    given = feats.select("doc_id", "n_shingles", "set_key")
+    joined = skew_join(given.filter("set_key is not null and doc_id is not null"), classes, ["set_key"], "n", known.count()).select("doc_id", "n_shingles", "component")
+    out = joined.union(given.filter("set_key is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component")))
+    component = F.col("component")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

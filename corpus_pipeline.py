@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from waymark.llm import pii
 from waymark.llm.cluster import documents, frozen, prepare
 from waymark.llm.exact import deduplicated
-from waymark.llm.minhash import near_duplicates, without
+from waymark.llm.minhash import near_duplicates
 from waymark.llm.packing import packed
 from waymark.llm.rules import passes
+from waymark.llm.skew import without
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +36,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group linked at a similarity of 0.8 on five-word shingles."""
     prepare(spark)
     dropped = frozen(near_duplicates(docs, k=5, percent=80).filter("not kept").select("doc_id").distinct())
-    return without(docs, dropped)
+    return without(docs, dropped, dropped.count())
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -360,7 +360,7 @@ def test_decoding_in_blocks_is_decoding_of_the_whole(level):
         scores = (r.normal(size=(n, pii.TAGS)) * 3).astype(np.float32)
         scores[:, 0] += level
         cuts = [0, *sorted(r.integers(0, n + 1, size=5).tolist()), n]
-        found = list(pii._tagged(pii.start_tagger()._replace(move=move), [scores[a:b] for a, b in zip(cuts[:-1], cuts[1:])]))
+        found = list(pii._tagged(pii.start_tagger()._replace(move=move), [scores[a:b].T for a, b in zip(cuts[:-1], cuts[1:])]))
         tags = np.zeros(n, int)
         for kind, a, b, margin in found:
             k = 1 + 2 * pii.KINDS.index(kind)
@@ -372,10 +372,10 @@ def test_decoding_in_blocks_is_decoding_of_the_whole(level):
 def test_scores_of_windows_cover_every_text(monkeypatch):
     t = pii.start_tagger(3)
     texts = ["", "a", "ab" * 70, "é1@" * 500, "x" * (pii.STEP + 32), "y" * 191, "z" * 5000]
-    whole = np.concatenate(list(pii._scores(t, texts)))
+    whole = np.concatenate(list(pii._scores(t, texts)), axis=1).T
     assert len(whole) == sum(len(x) + 1 for x in texts)
     monkeypatch.setattr(pii, "READ", 3)
-    assert np.allclose(np.concatenate(list(pii._scores(t, texts))), whole, atol=1e-4)
+    assert np.allclose(np.concatenate(list(pii._scores(t, texts)), axis=1).T, whole, atol=1e-4)
     at = 0
     for x in texts:  # as the training's passes give them, where a text is one window
         if len(x) < pii.STEP:

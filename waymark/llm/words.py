@@ -11,6 +11,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from .cluster import slices
+
 _U = np.uint64
 _SEPARATES = np.zeros(256, bool)
 _SEPARATES[[0x20, *range(0x09, 0x0E)]] = True
@@ -32,6 +34,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Bytes whose prefix sums are held at once.
+BLOCK = 1 << 20
+#: Windows that are hashed at once.
+WINDOWS = 1 << 18
+
+
 @lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
@@ -42,11 +50,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << 16
-    while size < n:
-        size *= 2
-    return _powers(size)
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0..BLOCK of the base and of its inverse."""
+    return _powers(BLOCK + 1)
 
 
 class Words:
@@ -61,38 +67,57 @@ class Words:
         self.data = _LOWER[data] if lower else data
         self.offsets = offsets
         n = len(data)
+        # One byte per byte for what separates; positions in 32 bits wherever they fit.
         apart = separates[self.data]
         inner = offsets[(offsets > 0) & (offsets < n)]
-        before = np.ones(n + 1, bool)
-        before[1:n] = apart[:-1] if n else True
-        before[inner] = True
-        after = np.ones(n, bool)
-        after[:-1] = apart[1:]
-        if len(inner):
-            after[inner - 1] = True
-        word = ~apart
-        self.start = np.flatnonzero(word & before[:n])
-        self.end = np.flatnonzero(word & after) + 1
+        place = np.int32 if n < 1 << 31 else np.int64
+        edge = np.ones(n + 1, bool)
+        edge[1:n] = apart[:-1] if n else True
+        edge[inner] = True
+        edge[:n] &= ~apart
+        self.start = np.flatnonzero(edge[:n]).astype(place)
+        edge[:] = True
+        edge[1:n] = apart[1:] if n else True
+        edge[inner] = True
+        edge[1:] &= ~apart
+        edge[0] = False
+        self.end = np.flatnonzero(edge).astype(place)
         self.first = np.searchsorted(self.start, offsets)
         self.count = np.diff(self.first)
-        self.doc = np.repeat(np.arange(len(self.count)), self.count)
+        self.doc = np.repeat(np.arange(len(self.count), dtype=np.int32), self.count)
         self._sum: np.ndarray | None = None
 
-    def _sums(self) -> np.ndarray:
-        if self._sum is None:
-            n = len(self.data)
-            x = _BYTE[self.data]
-            x *= powers(n)[0][:n]
-            self._sum = np.zeros(n + 1, np.uint64)
-            np.cumsum(x, out=self._sum[1:])
-        return self._sum
+    def _block(self, lo: int) -> np.ndarray:
+        """Prefix sums from ``lo`` over BLOCK bytes, with the powers counted from ``lo``."""
+        part = self.data[lo : lo + BLOCK]
+        x = _BYTE[part]
+        x *= powers()[0][: len(part)]
+        out = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(x, out=out[1:])
+        return out
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hash of each byte span; equal spans have equal hashes."""
-        s, n = self._sums(), len(self.data)
-        x = s[end]
-        x -= s[start]
-        x *= powers(n + 1)[1][start]
+        """Hash of each byte span; equal spans have equal hashes. Starts ascend, and so do ends."""
+        n = len(self.data)
+        if n <= BLOCK:
+            if self._sum is None:
+                self._sum = self._block(0)
+            x = self._sum[end]
+            x -= self._sum[start]
+            x *= powers()[1][start]
+        else:
+            x, low, back = (np.empty(len(start), np.uint64) for _ in range(3))
+            carry = 0
+            for lo in range(0, n + 1, BLOCK):
+                sums, power, inverse = self._block(lo), pow(_BASE, lo, 1 << 64), pow(_INVERSE, lo, 1 << 64)
+                for out, at in ((x, end), (low, start)):
+                    a, b = np.searchsorted(at, (lo, lo + BLOCK))
+                    out[a:b] = sums[at[a:b] - lo] * _U(power) + _U(carry)
+                    if at is start:
+                        back[a:b] = powers()[1][at[a:b] - lo] * _U(inverse)
+                carry = (carry + power * int(sums[-1])) % (1 << 64)
+            x -= low
+            x *= back
         x += (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93)
         return mix(x)
 
@@ -106,11 +131,17 @@ class Words:
         """
         h, n = self.hashes(), len(self.start)
         m = max(0, n - k + 1)
-        x = np.zeros(m, np.uint64)
-        for j in range(k):
-            x += h[j : j + m] * _PLACE[j]
-        full = self.doc[:m] == self.doc[k - 1 : k - 1 + m]
-        doc, x = self.doc[:m][full], mix(x[full])
+        x = np.empty(m, np.uint64)
+        for lo in range(0, m, WINDOWS):
+            hi = min(m, lo + WINDOWS)
+            y = h[lo:hi] * _PLACE[0]
+            for j in range(1, k):
+                y += h[lo + j : hi + j] * _PLACE[j]
+            x[lo:hi] = mix(y)
+        doc = self.doc[:m]
+        if len(self.count) > 1:
+            full = doc == self.doc[k - 1 : k - 1 + m]
+            doc, x = doc[full], x[full]
         short = np.flatnonzero((self.count > 0) & (self.count < k)) if whole else np.zeros(0, int)
         if len(short):
             y = np.zeros(len(short), np.uint64)
@@ -124,17 +155,38 @@ class Words:
 
 
 def sets_of(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]:
-    """For each text, the sorted hashes of its distinct k-word shingles; empty without words."""
-    w = Words(data, offsets)
-    x, doc = w.windows(k)
-    at = np.searchsorted(doc, np.arange(len(offsets)))
+    """For each text, the sorted hashes of its distinct k-word shingles; empty without words. Texts are taken in runs of
+    about SLICE_BYTES; a longer one takes some 8 bytes a byte."""
     out = []
-    for a, b in zip(at[:-1], at[1:], strict=True):
-        s = np.sort(x[a:b])
-        if len(s) > 1:
-            new = np.empty(len(s), bool)
-            new[0] = True
-            np.not_equal(s[1:], s[:-1], out=new[1:])
-            s = s[new]
-        out.append(s)
+    for lo, hi in slices(offsets):
+        x, doc = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]).windows(k)
+        at = np.searchsorted(doc, np.arange(hi - lo + 1))
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            s = x if hi - lo == 1 else x[a:b].copy()
+            s.sort()
+            if len(s) > 1:
+                new = np.empty(len(s), bool)
+                new[0] = True
+                np.not_equal(s[1:], s[:-1], out=new[1:])
+                s = s[new]
+            out.append(s)
+    return out
+
+
+def cuts(data: np.ndarray, separates: np.ndarray, limit: int) -> list[int]:
+    """Places that cut a text into pieces of at most ``limit`` bytes before bytes that separate, the ends included; a
+    stretch without one that is longer stays whole."""
+    out, at, n = [0], 0, len(data)
+    while n - at > limit:
+        places = np.flatnonzero(separates[data[at + 1 : at + limit]])
+        step = limit
+        while not len(places) and at + step < n:
+            places = np.flatnonzero(separates[data[at + step : at + 2 * step]]) + step - 1
+            step *= 2
+        if not len(places):
+            break
+        at += 1 + int(places[-1] if step == limit else places[0])
+        out.append(at)
+    if out[-1] < n:
+        out.append(n)
     return out

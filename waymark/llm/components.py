@@ -2,7 +2,8 @@
 
 Each step is two aggregations and a join, and replaces edges by at most as many; the number of steps grows with
 the logarithm of the longest path. Nothing is collected but a row count and a checksum. A node with a great share of all
-edges is joined by broadcast (see skew), so its edges never meet in one task.
+edges is joined by broadcast in the large step (see skew), so its edges never meet in one task; after it a node has an
+edge for each of its neighbours' least ones only.
 """
 
 from __future__ import annotations
@@ -30,9 +31,10 @@ def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     while state[0]:  # edges never grow in number, so their count bounds every later table
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        large = skew_join(both.filter("v > u"), least, ["u"], "n", 2 * state[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        small = skew_join(large, least, ["u"], "n", state[0]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = skew_join(both.filter("v > u"), least, ["u"], "n", 2 * state[0]).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = frozen(large.distinct(), state[0])
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = frozen(small.union(least.select("u", F.col("m").alias("v"))).distinct(), state[0])
         state, last = _state(e), state
         if state == last:

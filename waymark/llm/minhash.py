@@ -233,14 +233,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     rows = reps.select("rep", F.posexplode(F.array(*band)).alias("band", "band_key"))
     bucket = ["band", "band_key"]
     most = BANDS * reps.count()  # of the rows of every table of buckets
-    heads = frozen(rows.groupBy(*bucket).agg(F.min("rep").alias("head"), F.count("*").alias("m")).filter("m > 1"), most)
-    shared = frozen(skew_join(rows, heads, bucket, "m", most).drop("m"), most)
+    heads = frozen(rows.groupBy(*bucket).agg(F.min("rep").alias("head"), F.count("*").alias("m")).filter("m > 1").drop("m"), most)
+    shared = frozen(rows.join(heads, bucket), most)  # narrow rows; a hot bucket is split by the adaptive planner
     star = frozen(shared.filter("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct(), most)
     pairs = frozen(likely(star, reps, star.count(), percent / 100, miss), most)
     comps = components(linked(docs, pairs, pairs.count(), k, percent).toDF("u", "v"), most)
     member = shared.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(*bucket, "rep", F.coalesce("component", "rep").alias("comp"))
-    split = member.groupBy(*bucket).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo <> hi").select(*bucket, "m")
-    mixed = frozen(skew_join(member, split, bucket, "m", most).drop("m"), most)
+    split = member.groupBy(*bucket).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select(*bucket)
+    mixed = frozen(member.join(split, bucket, "left_semi"), most)
     more = across(docs, mixed, reps, k, percent, miss, most)
     # The stars found so far stand for the links that made them.
     comps = components(comps.union(more).toDF("u", "v"), most)

@@ -25,9 +25,12 @@ def skew_join(rows: DataFrame, table: DataFrame, on: list[str], count: str, tota
     Heavy keys are broadcast, so their rows are joined where they are; the others meet by a shuffle. ``total``: the number
     of ``rows``, or a bound of it.
     """
+    given, added = rows.columns, [c for c in table.columns if c not in on]
     few = F.broadcast(heavy(table, count, total))
     many = table.filter(F.col(count) * HEAVY < total)
-    return rows.join(few, on).unionByName(rows.join(F.broadcast(heavy(table, count, total).select(*on)), on, "left_anti").join(many, on))
+    met = rows.join(few, on, "left")
+    rest = met.filter(F.col(count).isNull()).select(*given)
+    return met.filter(F.col(count).isNotNull()).select(*given, *added).unionByName(rest.join(many, on).select(*given, *added))
 
 
 def salted(pairs: DataFrame, texts: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:

@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cluster import column_bytes, slices, text_of
+from .cluster import SLICE_BYTES, column_bytes, slices, text_of
 from .labelled import held_out, training_rows
-from .words import Words
+from .words import Words, cuts
 
 #: At most so many training rows of each class, of at most so many characters.
-PER_CLASS, LONGEST = 3000, 60_000
+PER_CLASS, LONGEST = 3000, 16_000
 STEMS = (4, 5, 6, 7, 8, 9)
 #: A feature is kept if this many toxic training documents hold it and its odds there are this many times the others'.
 LEAST_TOXIC, LEAST_ODDS = 3, 4.0
@@ -50,6 +50,7 @@ class Model(NamedTuple):
     weights: np.ndarray
     bias: float
     slots: np.ndarray  # low bits of a key -> its place among ``keys``; the full key is compared
+    others: np.ndarray  # places of the keys whose slot another one holds, in order of the keys
 
 
 def sentences(data: np.ndarray, offsets: np.ndarray) -> Sentences:
@@ -75,13 +76,12 @@ def sentences(data: np.ndarray, offsets: np.ndarray) -> Sentences:
 
 
 def make_model(keys: np.ndarray, weights: np.ndarray, bias: float) -> Model:
-    order = np.argsort(-np.abs(weights), kind="stable")
-    keys, weights = keys[order], weights[order]
     slots = np.full(1 << _BITS, -1, np.int32)
     at = (keys & np.uint64((1 << _BITS) - 1)).astype(np.int64)
-    free = np.sort(np.unique(at, return_index=True)[1])  # of keys that share a slot the strongest stays
-    slots[at[free]] = np.arange(len(free))
-    return Model(keys[free], weights[free].astype(np.float32), bias, slots)
+    free = np.unique(at, return_index=True)[1]
+    slots[at[free]] = free
+    others = np.setdiff1d(np.arange(len(keys)), free)
+    return Model(keys, weights.astype(np.float32), bias, slots, others[np.argsort(keys[others])])
 
 
 def places(model: Model, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,20 +90,54 @@ def places(model: Model, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     at = model.slots[(key & np.uint64((1 << _BITS) - 1)).astype(np.int64)]
     hit = np.flatnonzero(at >= 0)
-    hit = hit[model.keys[at[hit]] == key[hit]]
-    return hit, at[hit]
+    own = model.keys[at[hit]] == key[hit]
+    found, place = hit[own], at[hit[own]]
+    if len(model.others):
+        rest = hit[~own]
+        more, there = _known(key[rest], model.keys[model.others])
+        found, place = np.concatenate((found, rest[more])), np.concatenate((place, model.others[there]))
+    return found, place
 
 
-def sentence_scores(model: Model, s: Sentences) -> np.ndarray:
+def logits(model: Model, s: Sentences) -> np.ndarray:
     hit, at = places(model, s.key)
-    z = np.bincount(s.owner[hit], weights=model.weights[at], minlength=len(s.doc)) + model.bias
-    return 1 / (1 + np.exp(-z))
+    return np.bincount(s.owner[hit], weights=model.weights[at], minlength=len(s.doc)) + model.bias
+
+
+def sentence_scores(model: Model, s: Sentences) -> np.ndarray:
+    return 1 / (1 + np.exp(-logits(model, s)))
 
 
 def noisy_or(scores: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(np.bincount(doc, weights=np.log1p(-np.minimum(scores, 1 - 1e-12)), minlength=n))
 
 
+def long_text(model: Model, data: np.ndarray, limit: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end (bytes) and score of the sentences of one text, a piece of about ``limit`` bytes at a time.
+
+    A sentence that goes on behind a piece, however often, adds up what its parts have. Only a single word is never cut.
+    """
+    places = cuts(data, _APART, limit)
+    starts, ends, sums = [], [], []
+    for lo, hi in zip(places[:-1], places[1:], strict=True):
+        s = sentences(data[lo:hi], np.array([0, hi - lo]))
+        if not len(s.doc):
+            continue
+        z, start, end = logits(model, s), s.start + np.int64(lo), s.end + np.int64(lo)
+        if sums and not _STOPS[data[ends[-1][-1] : start[0]]].any():
+            sums[-1][-1] += z[0] - model.bias
+            ends[-1][-1] = end[0]
+            z, start, end = z[1:], start[1:], end[1:]
+        if len(z):
+            starts.append(start)
+            ends.append(end)
+            sums.append(z)
+    if not sums:
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0)
+    return np.concatenate(starts), np.concatenate(ends), 1 / (1 + np.exp(-np.concatenate(sums)))
+
+
 def _parts(texts: list[str], rows: np.ndarray) -> Iterator[tuple[np.ndarray, Sentences]]:
     """Sentences of the texts numbered ``rows``, a slice at a time, with those numbers; features are never held for all texts."""
     data, offsets = column_bytes(pa.array([texts[i] for i in rows], pa.string()))
@@ -172,7 +206,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     ``offending``: spans (start, end; code points) and scores of the sentences that score 0.5 or more, in order. A null
     or empty text, or one without a word, has no sentence and the score 0. Equal rows are scored alike; other columns
-    are ignored; an empty table gives an empty one.
+    are ignored; an empty table gives an empty one. A text of any length is scored whole, about a MB at a time.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
@@ -183,16 +217,20 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             data, offsets = column_bytes(batch.column(2))
             for lo, hi in slices(offsets):
                 text, part = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-                s = sentences(text, part)
-                score = sentence_scores(model, s)
-                total = noisy_or(score, s.doc, hi - lo)
-                points = np.concatenate(([0], np.cumsum((text & 0xC0) != 0x80)))
+                if hi - lo == 1:
+                    start, end, score = long_text(model, text)
+                    doc = np.zeros(len(score), np.int64)
+                else:
+                    s = sentences(text, part)
+                    doc, start, end, score = s.doc, s.start, s.end, sentence_scores(model, s)
+                total = noisy_or(score, doc, hi - lo)
                 found: list[list[dict]] = [[] for _ in range(hi - lo)]
                 for i in np.flatnonzero(score >= 0.5):
-                    base = points[part[s.doc[i]]]
-                    found[s.doc[i]].append({"start": points[s.start[i]] - base, "end": points[s.end[i]] - base, "score": score[i]})
+                    before, inside = text[part[doc[i]] : start[i]], text[start[i] : end[i]]
+                    first = int(np.count_nonzero((before & 0xC0) != 0x80))
+                    found[doc[i]].append({"start": first, "end": first + int(np.count_nonzero((inside & 0xC0) != 0x80)), "score": score[i]})
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array(total), pa.array((total >= 0.5).astype(np.int32)), pa.array(np.bincount(s.doc, minlength=hi - lo)), pa.array(found, pa.list_(span))],
+                    [batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array(total), pa.array((total >= 0.5).astype(np.int32)), pa.array(np.bincount(doc, minlength=hi - lo)), pa.array(found, pa.list_(span))],
                     ["doc_id", "held_out", "score", "predicted", "n_sentences", "offending"],
                 )
 

@@ -1,9 +1,8 @@
 """Quality classifier: a convolutional network over bytes, trained and applied with numpy.
 
 Bytes are embedded; learned filters of WIDTH bytes slide over the whole text in steps of STRIDE. Chunks of two
-segments overlap by one segment and cover the text; each filter's response is max-pooled in a chunk. Besides the learned
-filters every chunk has one fixed response, its best agreement with itself at a lag of 2 to LAGS bytes, which a sum of
-byte weights cannot express. The largest and the mean response over all chunks are combined into one probability.
+segments overlap by one segment and cover the text; each filter's response is max-pooled in a chunk. The largest and the
+mean response over all chunks are combined into one probability.
 
 A filter is applied as one matrix product of non-overlapping STRIDE-byte blocks with all its parts at once; the parts
 are then added with shifts, so no window is ever copied.
@@ -19,15 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cluster import column_bytes, slices, text_of
+from .cluster import SLICE_BYTES, column_bytes, slices, text_of
 from .labelled import held_out, training_rows
 
 DIM, WIDTH, STRIDE, FILTERS = 8, 16, 4, 16
 SEGMENT = 256
 PARTS = WIDTH // STRIDE
-LAGS = 48
 #: At most so many training rows of each class, of at most so many characters.
-PER_CLASS, LONGEST = 1500, 60_000
+PER_CLASS, LONGEST = 1500, 16_000
 #: Training: epochs, rows in a step, segments of a row that an epoch looks at (a run at a random place), rate.
 EPOCHS, STEP_ROWS, RUN, RATE = 14, 64, 8, 0.02
 
@@ -36,7 +34,7 @@ class Net(NamedTuple):
     embed: np.ndarray  # (256, DIM)
     filters: np.ndarray  # (STRIDE * DIM, PARTS * FILTERS)
     bias: np.ndarray  # (FILTERS,)
-    out: np.ndarray  # (2 * (FILTERS + 1),): for the largest, then for the mean responses
+    out: np.ndarray  # (2 * FILTERS,): for the largest, then for the mean responses
     out_bias: np.ndarray  # (1,)
 
 
@@ -56,16 +54,6 @@ def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, first, lengths
 
 
-def repeats(x: np.ndarray) -> np.ndarray:
-    """Each segment's best share of bytes that equal the byte 2..LAGS places before; zeros never count."""
-    s = x.reshape(-1, SEGMENT)
-    best = np.zeros(len(s), np.int64)
-    used = s != 0
-    for lag in range(2, LAGS + 1):
-        np.maximum(best, ((s[:, lag:] == s[:, :-lag]) & used[:, lag:]).sum(axis=1), out=best)
-    return (best / np.maximum(used.sum(axis=1), SEGMENT // 4)).astype(np.float32)
-
-
 def responses(net: Net, x: np.ndarray, first: np.ndarray | None = None) -> np.ndarray:
     """(segments, STRIDE-blocks, filters) before pooling. With the texts' first segments, the windows that would go on
     into the next text (they start in the room behind a text, in its last PARTS - 1 blocks) have no response."""
@@ -88,25 +76,42 @@ def chunk_starts(first: np.ndarray) -> np.ndarray:
     return nxt
 
 
-def pooled(net: Net, x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Segment responses (rectified maxima, with the self-agreement) and chunk responses."""
-    seg = np.empty((first[-1], FILTERS + 1), np.float32)
-    seg[:, :FILTERS] = np.maximum(responses(net, x, first).max(axis=1) + net.bias, 0)
-    seg[:, FILTERS] = repeats(x) * 4
-    return seg, np.maximum(seg, seg[chunk_starts(first)])
+def pooled(net: Net, x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Segment responses, rectified maxima."""
+    return np.maximum(responses(net, x, first).max(axis=1) + net.bias, 0)
 
 
-def logits(net: Net, x: np.ndarray, first: np.ndarray) -> np.ndarray:
-    _, chunk = pooled(net, x, first)
+def long_pooled(net: Net, data: np.ndarray, limit: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """``pooled`` of one text, of about ``limit`` bytes at a time, and its first segment and end."""
+    first, _ = layout(np.array([len(data)]))
+    out = np.empty((first[-1], FILTERS), np.float32)
+    step = max(1, limit // SEGMENT)
+    for lo in range(0, len(out), step):
+        hi = min(len(out), lo + step)
+        x = np.zeros((hi - lo + 1) * SEGMENT, np.uint8)  # with the segment behind, into which windows reach
+        part = data[lo * SEGMENT : (hi + 1) * SEGMENT]
+        x[: len(part)] = part
+        end = np.array([0, hi - lo]) if hi == len(out) else None
+        out[lo:hi] = np.maximum(responses(net, x, end)[: hi - lo].max(axis=1) + net.bias, 0)
+    return out, first
+
+
+def combined(net: Net, seg: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Logits of texts from their segments' responses."""
+    chunk = np.maximum(seg, seg[chunk_starts(first)])
     most = np.maximum.reduceat(chunk, first[:-1])
     mean = np.add.reduceat(chunk, first[:-1]) / np.diff(first)[:, None]
     return np.concatenate((most, mean), axis=1) @ net.out + net.out_bias
 
 
+def logits(net: Net, x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return combined(net, pooled(net, x, first), first)
+
+
 def start_net(seed: int = 5) -> Net:
     r = np.random.default_rng(seed)
     f = lambda *s, scale: (r.standard_normal(s) * scale).astype(np.float32)
-    return Net(f(256, DIM, scale=0.5), f(STRIDE * DIM, PARTS * FILTERS, scale=0.15), np.zeros(FILTERS, np.float32), f(2 * (FILTERS + 1), scale=0.1), np.zeros(1, np.float32))
+    return Net(f(256, DIM, scale=0.5), f(STRIDE * DIM, PARTS * FILTERS, scale=0.15), np.zeros(FILTERS, np.float32), f(2 * FILTERS, scale=0.1), np.zeros(1, np.float32))
 
 
 def gradients(net: Net, x: np.ndarray, first: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
@@ -114,7 +119,7 @@ def gradients(net: Net, x: np.ndarray, first: np.ndarray, y: np.ndarray, weight:
     r = responses(net, x, first)
     at = r.argmax(axis=1)
     top = np.take_along_axis(r, at[:, None], axis=1)[:, 0] + net.bias
-    seg = np.concatenate((np.maximum(top, 0), repeats(x)[:, None] * 4), axis=1)
+    seg = np.maximum(top, 0)
     nxt = chunk_starts(first)
     second = seg[nxt] > seg
     chunk = np.where(second, seg[nxt], seg)
@@ -123,13 +128,13 @@ def gradients(net: Net, x: np.ndarray, first: np.ndarray, y: np.ndarray, weight:
     mean = np.add.reduceat(chunk, first[:-1]) / n[:, None]
     feature = np.concatenate((most, mean), axis=1)
     g = (1 / (1 + np.exp(-(feature @ net.out + net.out_bias))) - y) * weight / len(y)
-    width = FILTERS + 1
+    width = FILTERS
     is_most = chunk == most[docs]
     ties = np.add.reduceat(is_most.astype(np.float32), first[:-1])
     g_chunk = g[docs, None] * (net.out[:width] * is_most / ties[docs] + net.out[width:] / n[docs, None])
     g_seg = np.where(second, 0, g_chunk)
     np.add.at(g_seg, nxt, np.where(second, g_chunk, 0))
-    g_top = g_seg[:, :FILTERS] * (top > 0)
+    g_top = g_seg * (top > 0)
     # Only the window of each maximum carries a gradient.
     g_filters, g_embed = np.zeros_like(net.filters), np.zeros_like(net.embed)
     blocks = np.concatenate((net.embed[x].reshape(-1, STRIDE * DIM), np.zeros((PARTS, STRIDE * DIM), np.float32)))
@@ -190,7 +195,8 @@ def scored(docs: DataFrame, net: Net, threshold: float = 0.3, id_col: str = "doc
     """One row per row of ``docs``: doc_id, held_out, score (probability of quality 1), predicted.
 
     Every byte of a text is in some window. A null or empty text is one empty chunk, so its score is the network's answer
-    to no evidence. Equal rows are scored alike; other columns are ignored; an empty table gives an empty one.
+    to no evidence. Equal rows are scored alike; other columns are ignored; an empty table gives an empty one. A text of any
+    length is read whole, about a MB at a time.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
@@ -199,8 +205,12 @@ def scored(docs: DataFrame, net: Net, threshold: float = 0.3, id_col: str = "doc
         for batch in batches:
             data, offsets = column_bytes(batch.column(2))
             for lo, hi in slices(offsets):
-                x, first, _ = padded(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                score = 1 / (1 + np.exp(-logits(net, x, first).astype(np.float64)))
+                text = data[offsets[lo] : offsets[hi]]
+                if hi - lo == 1:
+                    z = combined(net, *long_pooled(net, text))
+                else:
+                    z = logits(net, *padded(text, offsets[lo : hi + 1] - offsets[lo])[:2])
+                score = 1 / (1 + np.exp(-z.astype(np.float64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), text_of(text_col).alias("text"))

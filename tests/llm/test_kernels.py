@@ -17,7 +17,8 @@ from tokenizers import Tokenizer
 
 from waymark.llm import bpe, bytecnn, minhash, packing, pagetext, pii, rules, toxicity, urls
 from waymark.llm.cluster import column_bytes, slices
-from waymark.llm.words import sets_of
+from waymark.llm import words as words_module
+from waymark.llm.words import cuts, sets_of
 
 TEXTS = st.lists(st.text(alphabet="aAbB é\n\t\x0b.!中'", max_size=40), min_size=1, max_size=8)
 
@@ -498,6 +499,55 @@ def test_a_score_does_not_depend_on_the_next_text():
             assert z[[0, 2]] == pytest.approx([alone, alone], abs=1e-4)
 
 
+@pytest.mark.parametrize("limit", [1, 3, 9, 40, 10**6])
+def test_long_texts_are_scored_as_short_ones(limit):
+    r = random.Random(limit)
+    data, offsets = column_bytes(pa.array(["".join(r.choice(["ab ", "scoundrelly ", "é", ".", "\n", "x", "!", "word "]) for _ in range(400))]))
+    s = toxicity.sentences(data, offsets)
+    keys = np.unique(s.key)[::3]
+    m = toxicity.make_model(keys, np.random.default_rng(4).normal(size=len(keys)), -1.0)
+    start, end, score = toxicity.long_text(m, data, limit)
+    assert start.tolist() == s.start.tolist() and end.tolist() == s.end.tolist()
+    assert np.allclose(score, toxicity.sentence_scores(m, s))
+
+
+def test_features_that_share_a_slot_are_all_kept():
+    keys = np.array([5, 5 + (1 << 20), 9, 5 + (3 << 20), 5 + (2 << 20)], np.uint64)
+    m = toxicity.make_model(keys, np.arange(5.0), -7.0)
+    hit, at = toxicity.places(m, np.array([5 + (2 << 20), 7, 5, 9, 5 + (9 << 20), 5 + (3 << 20)], np.uint64))
+    assert sorted(zip(hit.tolist(), m.weights[at].tolist())) == [(0, 4.0), (2, 0.0), (3, 2.0), (5, 3.0)]
+
+
+@pytest.mark.parametrize("limit", [256, 512, 2000])
+def test_long_texts_are_pooled_as_short_ones(limit):
+    net = bytecnn.start_net(1)._replace(bias=np.full(bytecnn.FILTERS, 9, np.float32))
+    for n in (0, 1, 240, 241, 255, 256, 511, 512, 5000):
+        data, offsets = column_bytes(pa.array([("The cat sat on it. " * 300)[:n]]))
+        assert bytecnn.combined(net, *bytecnn.long_pooled(net, data, limit)) == pytest.approx(bytecnn.logits(net, *bytecnn.padded(data, offsets)[:2]), abs=1e-4)
+
+
+@settings(max_examples=100, deadline=None)
+@given(TEXTS, st.integers(1, 30))
+def test_words_by_blocks(texts, block):
+    whole = [s.tolist() for s in sets_of(*column_bytes(pa.array(texts)), 2)]
+    was = words_module.BLOCK
+    try:
+        words_module.BLOCK = block
+        assert [s.tolist() for s in sets_of(*column_bytes(pa.array(texts)), 2)] == whole
+    finally:
+        words_module.BLOCK = was
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab \n", max_size=60), st.integers(1, 20))
+def test_cuts_are_at_separators(text, limit):
+    data = np.frombuffer(text.encode(), np.uint8)
+    at = cuts(data, words_module._SEPARATES, limit)
+    assert at[0] == 0 and (at[-1] == len(data)) and at == sorted(set(at))
+    assert all(text[i] in " \n" for i in at[1:-1])
+    assert all(b - a <= limit or not set(text[a + 1 : a + limit]) & set(" \n") for a, b in zip(at[:-1], at[1:]))
+
+
 def test_noisy_or_and_sentences():
     s = toxicity.sentences(*column_bytes(pa.array(["One. Two!\n\nThree", "", "...", "a"])))
     assert s.doc.tolist() == [0, 0, 0, 3]
@@ -515,10 +565,41 @@ def test_offence_is_found_from_document_labels():
     assert score[1] > 0.5 > max(score[0], score[2])
 
 
-def test_scripts_and_bands():
-    assert rules.script_of("Hello, Welt") == "latin" and rules.script_of("привет мир") == "other"
-    rate, share, bits, even = rules.fertility().figures(["", "the cat sat on the mat", "ab " * 40])
-    assert (rate[0], share[0], bits[0], even[0]) == (0, 0, 0, 0) and rate[1] > 2 and bits[2] < bits[1] and even[2] < 0.5 < even[1]
+def test_scripts():
+    texts = ["Hello, Welt", "привет мир abc", "Καλημέρα κόσμε", "مرحبا بالعالم", "日本語のテキスト한국", "नमस्ते", "", "123 !?", "a я", "ÀÉ"]
+    assert rules.scripts_of(*column_bytes(pa.array(texts))) == ["latin", "cyrillic", "greek", "arabic", "cjk", "other", "other", "other", "latin", "latin"]
+    assert set(rules.SCRIPTS) == set(rules.BANDS)
+
+
+FIGURED = ["", "the cat sat on the mat", "ab " * 40, "a\nb\n\n c  d\t e", " lead and trail  ", "x" * 300, "it's we'll  don't\u00a0é 中文 ☃ \x1c", "naïve façade 12 345\n" * 30]
+
+
+@pytest.mark.parametrize("limit", [1, 7, 50, 1 << 20])
+def test_token_figures_are_those_of_whole_texts(monkeypatch, limit):
+    monkeypatch.setattr(rules.parts, "__defaults__", (limit,))
+    meter = rules.fertility()
+    got = meter.figures(FIGURED)
+    for i, text in enumerate(FIGURED):
+        ids, pieces = meter.encode(text), meter.pieces.encode(text)
+        n = collections.Counter(ids)
+        bits = -sum(c / len(ids) * np.log2(c / len(ids)) for c in n.values()) if ids else 0
+        want = (len(text) / len(ids) if ids else 0, sum(meter.pieces.is_byte(p) for p in pieces) / len(pieces) if pieces else 0, bits, bits / np.log2(len(ids)) if len(ids) > 1 else 0)
+        assert [g[i] for g in got] == pytest.approx(want, abs=1e-9), (text, limit)
+
+
+def test_every_figure_rejects_what_it_is_for():
+    """Fitted on plain prose: rare signs, letters without words, and one line said again, each by its own figure."""
+    r = np.random.default_rng(1)
+    vocabulary = (PROSE[0] + PROSE[1]).split()
+    prose = np.array(rules.fertility().figures([" ".join(r.choice(vocabulary, 120)) for _ in range(200)])).T
+    band = rules.band_of(prose)
+    assert np.mean([band.accepts(*x) for x in prose.tolist()]) >= 0.96
+    signs = " ".join(w if i % 4 else "\u16a0\u16a2\u16a6" for i, w in enumerate(r.choice(vocabulary, 120)))
+    letters = " ".join("".join(r.choice(list("bcdfghjklmnpqrstvwxz"), 6)) for _ in range(120))
+    again = " ".join(["the river"] * 60)
+    rate, share, bits, even = rules.fertility().figures([signs, letters, again])
+    assert share[0] > band.fallback and rate[1] < band.low and bits[2] < band.entropy and even[2] < band.evenness
+    assert not any(band.accepts(*x) for x in zip(rate, share, bits, even, strict=True))
 
 
 def test_plain_prose_of_fifty_words_is_kept():

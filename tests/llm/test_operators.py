@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from waymark.llm import bpe, bytecnn, exact, minhash, packing, pagetext, pii, queries, rules, toxicity, urls
+from waymark.llm import bpe, bytecnn, exact, labelled, minhash, packing, pagetext, pii, queries, rules, toxicity, urls
 from waymark.llm.components import components
 
-from .test_kernels import lower, plain_spans, shingles
+from .test_kernels import lower, plain_spans, shingles, words
 
 LONG = " ".join(f"word{i % 977} and{i % 31}" for i in range(30_000))
 NEAR = [" ".join(f"w{i}" if i != j else "changed" for i in range(120)) for j in (200, 0, 60, 119)]
@@ -237,10 +237,49 @@ def test_stages(spark, docs, empty, sf_dir):
     assert corpus_pipeline.near(spark, docs, sf_dir).filter("doc_id is null").count() == 2
 
 
+def plain_verdict(text, lang, bands):
+    """kept, by counting words and by the tokenizers on the whole text."""
+    text = text or ""
+    w = words(text)
+    windows = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    many = {x for x, n in collections.Counter(windows).items() if n > 1}
+    again = {j for i, x in enumerate(windows) if x in many for j in range(i, i + 3)}
+    if len(w) < 50 or 100 * len(again) > 50 * len(w):
+        return False
+    meter = rules.fertility()
+    ids, pieces = meter.encode(text), meter.pieces.encode(text)
+    n = collections.Counter(ids)
+    bits = -sum(c / len(ids) * np.log2(c / len(ids)) for c in n.values())
+    script = rules.scripts_of(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))[0]
+    band = bands.get(lang) or bands[script]
+    fallback = sum(meter.pieces.is_byte(p) for p in pieces) / len(pieces)
+    return band.low <= len(text) / len(ids) <= band.high and fallback <= band.fallback and (bits >= band.entropy or bits / np.log2(len(ids)) >= band.evenness)
+
+
+def test_quality_rules_against_plain_figures(spark):
+    sf = "/root/testdata/sf0.01"
+    table, known = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    bands = rules.fit(table, known)
+    assert set(bands) > set(rules.BANDS) and bands["latin"] != rules.BANDS["latin"]
+    kept = {r["doc_id"]: r["kept"] for r in rows(queries.queries()["op6_quality_rules"](spark, sf))}
+    assert kept == {r.doc_id: plain_verdict(r.text, r.lang, bands) for r in table.collect()}
+    assert rules.fit(table.limit(0), known) == rules.fit(table, known.limit(0)) == rules.BANDS
+    doubled = rules.fit(table.unionByName(table), known.unionByName(known))
+    assert set(doubled) == set(bands)
+
+
+def test_training_rows_are_bounded_whatever_is_repeated(spark):
+    docs = spark.createDataFrame([(i % 7, "ab" * (i % 9)) for i in range(500)] + [(None, "x")], "doc_id long, text string")
+    known = spark.createDataFrame([(i % 10, int(i % 10 > 3)) for i in range(100)] + [(6, 0), (None, 1)], "doc_id long, quality int")
+    texts, y, weight = labelled.training_rows(docs, known, "quality", 3, 12)
+    assert len(texts) == len(y) == len(weight) <= 6 and all(0 < len(t) <= 12 for t in texts)
+    assert len(labelled.training_rows(docs, known.limit(0), "quality", 3, 12)[0]) == 0
+
+
 def test_pipeline_against_a_plain_version(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    verdict = {r["doc_id"]: r["kept"] for r in rows(rules.quality_rules(table))}
-    left = {r.doc_id: r.text for r in table.collect() if verdict[r.doc_id]}
+    bands = rules.fit(table, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    left = {r.doc_id: r.text for r in table.collect() if plain_verdict(r.text, r.lang, bands)}
     left = {i: t for i, t in left.items() if brute_exact(left.items())[lower(t)][0] == i}
     group = brute_components(left.items(), 5, 80)
     left = {i: t for i, t in left.items() if group[i][1] == i}

@@ -6,14 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bytecnn, pii, toxicity
+from . import bytecnn, pii, rules, toxicity
 from .bpe import round_trips
 from .cluster import documents, prepare
 from .exact import exact_duplicates, keyed
 from .minhash import near_duplicates
 from .packing import packed
 from .pagetext import extracted
-from .rules import quality_rules
 from .urls import block_list, judge_urls
 
 
@@ -43,7 +42,8 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(documents(spark, sf_dir))
+    docs = documents(spark, sf_dir)
+    return rules.quality_rules(docs, rules.fit(docs, labels(spark, sf_dir)))
 
 
 def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import public_tokenizers
 import tiktoken
@@ -275,34 +276,35 @@ def test_deep_and_wide_pages():
     assert len(pagetext.main_text("<article>" + "<p>one more line, here.</p>" * 3000 + "</article>").split()) == 12_000
 
 
-def mapped(folder, *entries):
-    path = folder / "urls.idx"
-    path.write_bytes(urls.index_bytes(list(entries)))
-    return urls.Index(str(path))
+def mapped(folder, rows, size=3):
+    """An index of (key, entry, verdict), packed in ranges of ``size``."""
+    batch = pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in rows], pa.int64()), pa.array([e for _, e, _ in rows], pa.string()), pa.array([v == "block" for *_, v in rows], pa.bool_())], ["key", "entry", "block"])
+    parts = list(urls.pack(batch.slice(i, size) for i in range(0, len(rows), size)))
+    files = []
+    for i, part in enumerate(reversed(parts)):
+        files.append(str(folder / f"{i}.parquet"))
+        pq.write_table(pa.Table.from_batches([part]), files[-1])
+    urls.assemble(files, str(folder / "urls.map"))
+    return urls.Index(str(folder / "urls.map"))
+
+
+def looked_up(index, *probes):
+    keys, texts = zip(*probes, strict=True)
+    return [index.string(j).decode() if j >= 0 else None for j in index.lookup(np.array(keys, np.int64), pa.array(texts))]
 
 
 def test_url_index(tmp_path):
-    index = mapped(tmp_path, ("com/en/", "block"), ("example.com/en/7", "allow"), ("x.org", "block"))
-    assert index.lookup([b"com/en/", b"com/en", b"x.org", b""]).tolist()[1] == -1
-    assert [index.string(j) for j in index.lookup([b"com/en/", b"x.org"])] == ["com/en/", "x.org"]
-    assert index.lengths == [0, 4, 5]
-    with pytest.raises(ValueError):
-        urls.index_bytes([("a", "block"), ("a", "allow")])
-    assert mapped(tmp_path).lookup([b"a"]).tolist() == [-1]
-
-
-def test_equal_keys_are_told_apart_by_their_strings(tmp_path, monkeypatch):
-    monkeypatch.setattr(urls.xxhash, "xxh64_intdigest", lambda s: 7)
-    index = mapped(tmp_path, ("a.com", "block"), ("b.com", "allow"))
-    assert [index.string(j) if j >= 0 else None for j in index.lookup([b"b.com", b"c.com", b"a.com"])] == ["b.com", None, "a.com"]
-
-
-@pytest.mark.parametrize(
-    "url, want",
-    [(None, ("", "")), ("x", ("", "")), ("http://A.b/C?d#e", ("a.b", "/C")), ("a://b://c", ("b:", "//c")), ("http://É.Com", ("É.com", "")), ("http://a?b/c", ("a", "")), ("h://", ("", ""))],
-)
-def test_split_url(url, want):
-    assert urls.split_url(url) == want
+    rows = sorted((int(k), f"host{k}.org/é", "block" if k % 2 else "allow") for k in np.random.default_rng(3).integers(-(1 << 62), 1 << 62, size=20))
+    index = mapped(tmp_path, rows)
+    assert looked_up(index, *((k, e) for k, e, _ in rows)) == [e for _, e, _ in rows]
+    assert index.block.tolist() == [v == "block" for *_, v in rows]
+    assert looked_up(index, (rows[0][0], "x"), (rows[3][0] + 1, rows[3][1]), (1 << 62, ""), (-(1 << 63), "")) == [None] * 4
+    assert looked_up(mapped(tmp_path, []), (1, "a")) == [None]
+
+
+def test_equal_keys_are_told_apart_by_their_strings(tmp_path):
+    index = mapped(tmp_path, [(1, "z.com", "allow"), (7, "a.com", "block"), (7, "b.com", "allow"), (7, "c.com", "block"), (7, "d.com", "block"), (9, "a.com", "block")])
+    assert looked_up(index, (7, "b.com"), (7, "e.com"), (7, "a.com"), (7, "d.com"), (1, "a.com"), (9, "a.com")) == ["b.com", None, "a.com", "d.com", None, "a.com"]
 
 
 def plain_spans(text):

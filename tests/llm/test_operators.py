@@ -212,12 +212,20 @@ def test_url_rules(spark):
     assert rows(urls.judge_urls(df.limit(0))) == []
 
 
+@pytest.mark.parametrize(
+    "url, want",
+    [(None, ("", "")), ("x", ("", "")), ("http://A.b/C?d#e", ("a.b", "/C")), ("a://b://c", ("b:", "//c")), ("http://É.Com", ("É.com", "")), ("http://a?b/c", ("a", "")), ("h://", ("", "")), ("h://a\nb/c\n?", ("a\nb", "/c\n"))],
+)
+def test_split_url(spark, url, want):
+    df = spark.createDataFrame([(1, url)], "page_id long, url string")
+    assert [(r["host"], r["path"], r["verdict"]) for r in rows(urls.judge_urls(df))] == [(*want, "allow")]
+
+
 def test_block_list_is_an_input(spark, sf_dir, tmp_path):
-    """A list from a file or table, not the one written for a table, decides where no rule fits."""
+    """A list from a file or table, and not the words, decides where no rule fits."""
     text, table = tmp_path / "hosts.txt", str(tmp_path / "hosts.parquet")
-    text.write_text("# source: test\n\nFree-Bets.example.net  # a family under another TLD\nadult-x.example.net.\n")
+    text.write_text("# source: test\n\nFree-Bets.example.net  # a host\nhttp://adult-x.example.net./x\n")
     spark.createDataFrame([("free-bets.example.net",), ("adult-x.example.net",), (None,)], "host string").write.parquet(table)
-    plain = {r["page_id"]: (r["host"], r["rule"], r["verdict"]) for r in rows(queries.queries()["op9_url_filters"](spark, sf_dir))}
     for path in (str(text), table):
         spark.conf.set(urls.BLOCK_LIST, path)
         try:
@@ -225,10 +233,22 @@ def test_block_list_is_an_input(spark, sf_dir, tmp_path):
         finally:
             spark.conf.unset(urls.BLOCK_LIST)
         bad = [r for r in got if r["rule"] is None and r["host"].endswith(("free-bets.example.net", "adult-x.example.net"))]
-        assert bad and all(r["verdict"] == "block" for r in bad) and all(plain[r["page_id"]][2] == "allow" for r in bad)
+        assert bad and all(r["verdict"] == "block" for r in bad)
         assert all(r["verdict"] == "allow" for r in got if r["rule"] is None and r not in bad)
 
 
+def test_a_large_index_is_built_from_a_table(spark, monkeypatch):
+    monkeypatch.setattr(urls, "RANGE", 1 << 17)
+    entries = spark.range(1_000_000).select(F.concat(F.lit("host"), "id", F.lit(".example.org")).alias("host"))
+    asked = spark.range(0, 2_000_000, 997).select("id", F.concat(F.lit("http://www.host"), "id", F.lit(".example.org/x")).alias("url"))
+    got = {r["page_id"]: r["verdict"] for r in rows(urls.judge_urls(asked, blocked=entries, id_col="id"))}
+    assert got == {i: "block" if i < 1_000_000 else "allow" for i in range(0, 2_000_000, 997)}
+    with pytest.raises(ValueError):
+        urls.distribute(spark.createDataFrame([("a", "block"), ("a", "allow")], "entry string, verdict string"))
+    empty = entries.limit(0)
+    assert rows(urls.judge_urls(asked.limit(3), blocked=empty, id_col="id"))[0]["verdict"] == "allow"
+
+
 def test_stages(spark, docs, empty, sf_dir):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "exact dedup", "near dedup", "pii", "packing"]
     for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -13,7 +13,7 @@ from .exact import exact_duplicates, keyed
 from .minhash import near_duplicates
 from .packing import packed
 from .pagetext import extracted
-from .urls import block_list, judge_urls
+from .urls import BLOCKED_WORDS, block_list, judge_urls
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), blocked_hosts=block_list(spark)).drop("listed")
+    return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), blocked=block_list(spark)).drop("listed")
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,17 +97,17 @@ FROM (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTU
 WINDOW g AS (PARTITION BY text_sha256)
 """
 
-OP9_SQL = """
+#: The default list of words is a parameter of the query, so it is one of the SQL as well.
+OP9_SQL = f"""
 WITH rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
 cut AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
 rules(host, path, says) AS (VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'),
                                    ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')),
 fit AS (SELECT c.page_id, max_by(r.host || r.path, length(r.host || r.path)) AS rule, max_by(r.says, length(r.host || r.path)) AS says
-        FROM cut c JOIN rules r ON (c.host = r.host OR ends_with(c.host, '.' || r.host)) AND starts_with(c.path, r.path) GROUP BY 1),
-bad(host) AS (VALUES ('ads-track.example.com'), ('casino-win.example.com'), ('cheap-pills.example.com'), ('free-bets.example.com'), ('spam-farm.example.com'))
+        FROM cut c JOIN rules r ON (c.host = r.host OR ends_with(c.host, '.' || r.host)) AND starts_with(c.path, r.path) GROUP BY 1)
 SELECT c.page_id, c.host, c.path, f.rule,
-       coalesce(f.says, CASE WHEN EXISTS (SELECT 1 FROM bad b WHERE c.host = b.host OR ends_with(c.host, '.' || b.host)) THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(f.says, CASE WHEN list_has_any(string_split_regex(c.host, '[^a-z0-9]+'), {list(BLOCKED_WORDS)}) THEN 'block' ELSE 'allow' END) AS verdict
 FROM cut c LEFT JOIN fit f USING (page_id)
 """
 

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from waymark.functions.numbers import haversine_m
 from waymark.functions.text import jaccard, name_tokens
@@ -74,21 +73,40 @@ def cells_around(df: DataFrame, radius_m: float) -> DataFrame:
     return out.withColumn("_c", F.explode(near)).withColumn("cell_col", _column(F.col("longitude"), F.col("cell_row"), step) + F.col("_c")).drop("_r", "_c")
 
 
-def prefix_tokens(tokens: Column, least: float) -> Column:
-    """The tokens, in order, among which two names that score at least ``least`` share one: all but ceil(least * n) - 1 of n."""
+#: A token with at least one in so many of all tokens is frequent; at most so many are.
+FREQUENT = 2000
+
+
+def frequent_tokens(*tables: DataFrame) -> DataFrame:
+    """One row with a map ``often``: how often each frequent token occurs in the names; at most FREQUENT entries."""
+    all_tokens = None
+    for df in tables:
+        more = df.select(F.explode(name_tokens(F.col("name"))).alias("token"))
+        all_tokens = more if all_tokens is None else all_tokens.unionByName(more)
+    counts = all_tokens.groupBy("token").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("total"))
+    often = counts.join(F.broadcast(total), F.col("n") * FREQUENT >= F.col("total"))
+    return often.agg(F.coalesce(F.map_from_entries(F.collect_list(F.struct("token", "n"))), F.create_map().cast("map<string,bigint>")).alias("often"))
+
+
+def prefix_tokens(tokens: Column, often: Column, least: float) -> Column:
+    """The tokens among which two names that score at least ``least`` share one: all but ceil(least * n) - 1 of n, in one
+    order for all names. Frequent tokens come last, the most frequent at the end, so that joins meet on rare ones."""
     n = F.size(tokens)
-    return F.slice(F.array_sort(tokens), 1, F.greatest(F.lit(0), n - F.ceil(n * least - 1e-9).cast("int") + 1))
+    ordered = F.array_sort(F.transform(tokens, lambda t: F.struct(F.coalesce(F.try_element_at(often, t), F.lit(0).cast("long")).alias("n"), t.alias("t"))))
+    return F.transform(F.slice(ordered, 1, F.greatest(F.lit(0), n - F.ceil(n * least - 1e-9).cast("int") + 1)), lambda x: x["t"])
 
 
 def near_pairs(left: DataFrame, right: DataFrame, radius_m: float, least: float) -> DataFrame:
     """Pairs within the radius whose names score at least ``least`` (above 0): an equi-join on grid cell and token, never a
-    product. A pair is kept at its first common prefix token, so it comes once.
+    product. A pair is kept at one common prefix token, so it comes once.
 
     Both sides have (id, name, latitude, longitude); columns of the right one come back with an r_ before them.
     """
     if least <= 0:
         raise ValueError("names that share nothing cannot be found by what they share")
-    with_prefix = lambda df: df.withColumn("tokens", name_tokens(F.col("name"))).withColumn("prefix", prefix_tokens(F.col("tokens"), least))
+    often = frozen(frequent_tokens(left, right)).scalar()
+    with_prefix = lambda df: df.withColumn("tokens", name_tokens(F.col("name"))).withColumn("often", often).withColumn("prefix", prefix_tokens(F.col("tokens"), F.col("often"), least)).drop("often")
     l = cells_around(with_prefix(left), radius_m).withColumn("token", F.explode("prefix"))
     r = cells(with_prefix(right), radius_m).withColumn("token", F.explode("prefix"))
     keys = ["cell_row", "cell_col", "token"]
@@ -101,10 +119,11 @@ def near_pairs(left: DataFrame, right: DataFrame, radius_m: float, least: float)
 
 def best_match(left: DataFrame, pool: DataFrame, radius_m: float = 220.0, least: float = 0.34, pull: float = 0.25) -> DataFrame:
     """For each left row the pool row with the largest score - pull * distance / radius; the first by r_pos of several.
-    Rows without a match are left out. ``pool`` has a position column ``pos`` besides the columns of near_pairs."""
+    Rows without a match are left out. ``pool`` has a position column ``pos`` besides the columns of near_pairs. The best
+    is found by one aggregation."""
     pairs = near_pairs(left, pool, radius_m, least).withColumn("rank_score", F.col("score") - F.col("distance") / radius_m * pull)
-    w = Window.partitionBy("id").orderBy(F.desc("rank_score"), "r_pos")
-    return pairs.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    whole = F.struct(*[F.col(c) for c in pairs.columns])
+    return pairs.groupBy(F.col("id").alias("_id")).agg(F.max_by(whole, F.struct("rank_score", -F.col("r_pos"))).alias("_row")).select("_row.*")
 
 
 def cluster_duplicates(places: DataFrame, radius_m: float = 150.0, least: float = 0.8) -> DataFrame:

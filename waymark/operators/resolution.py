@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from waymark.functions.numbers import round_even
 from waymark.functions.values import is_empty, joined_sorted
@@ -92,11 +91,14 @@ def resolve(blocks: DataFrame, fields: list[str], previous: DataFrame | None = N
 
 def accumulate(items: DataFrame, field: str, key: Column) -> DataFrame:
     """Distinct items of a list field over all sources: (place_code, src, item, place), first kept in the order of sources
-    and positions. ``items``: place_code, src, pos, item."""
+    and positions. ``items``: place_code, src, pos, item. The first of equal items is found by an aggregation; what is
+    left of one place, a list that is one record's, is numbered as an array."""
     order = F.create_map(*[F.lit(x) for i, s in enumerate(PRIORITY[field]) for x in (s, i)])
-    ranked = items.withColumn("_o", F.try_element_at(order, F.col("src"))).filter("_o is not null")
-    first = ranked.withColumn("_rn", F.row_number().over(Window.partitionBy("place_code", key).orderBy("_o", "pos"))).filter("_rn = 1")
-    return first.select("place_code", "src", "item", F.row_number().over(Window.partitionBy("place_code").orderBy("_o", "pos")).alias("place"))
+    ranked = items.withColumn("_o", F.try_element_at(order, F.col("src"))).filter("_o is not null").withColumn("_key", key)
+    entry = F.struct("_o", "pos", "src", "item")
+    first = ranked.groupBy("place_code", "_key").agg(F.min_by(entry, F.struct("_o", "pos")).alias("e"))
+    listed = first.groupBy("place_code").agg(F.array_sort(F.collect_list("e"), lambda a, b: F.when((a["_o"] < b["_o"]) | ((a["_o"] == b["_o"]) & (a["pos"] < b["pos"])), -1).otherwise(1)).alias("es"))
+    return listed.select("place_code", F.posexplode("es").alias("place", "e")).select("place_code", "e.src", "e.item", (F.col("place") + 1).alias("place"))
 
 
 def provenance(items: DataFrame) -> DataFrame:
@@ -152,9 +154,9 @@ def richness(df: DataFrame) -> Column:
 
 
 def best_payload(payloads: DataFrame, score: str, order: list[str], key: str = "place_code") -> DataFrame:
-    """The richest payload of each key; of several the last in ``order``."""
-    w = Window.partitionBy(key).orderBy(F.desc(score), *[F.desc(c) for c in order])
-    return payloads.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """The richest payload of each key; of several the last by the columns ``order`` (unique). One aggregation."""
+    whole = F.struct(*[F.col(c) for c in payloads.columns])
+    return payloads.groupBy(F.col(key).alias("_key")).agg(F.max_by(whole, F.struct(score, *order)).alias("_row")).select("_row.*")
 
 
 def flattened(blocks: DataFrame, fields: list[str], sources: tuple[str, ...]) -> DataFrame:

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 # Words in a sub type that mark a place for drinks or baked goods.
 CAFE_WORDS = ("cafe", "café", "coffee", "bakery", "tea", "dessert", "patisserie", "pastry")
@@ -90,10 +89,16 @@ def popularity_or_file_order(df: DataFrame, popularity: str = "popularity") -> D
     return df.join(F.broadcast(total)).withColumn("sort_key", F.when(F.col("_total") > 0, F.col(popularity))).drop("_total")
 
 
-def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row of each key, the first in ``order`` (which must end in a unique column)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+def nulls_last(*columns: str) -> Column:
+    """A key that orders rows by columns, ascending, nulls last."""
+    return F.struct(*[x for c in columns for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(c))])
+
+
+def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row of each key, the first by the columns ``order`` (ascending, nulls last; the last one unique). One
+    aggregation, so rows of a frequent key are combined where they are."""
+    whole = F.struct(*[F.col(c) for c in df.columns])
+    return df.groupBy(*keys).agg(F.min_by(whole, nulls_last(*order)).alias("_row")).select("_row.*")
 
 
 def dominant(df: DataFrame, column: str) -> DataFrame:

@@ -200,7 +200,7 @@ scalar(
 @query("S19_feed_cards", "SELECT card, min(page_id) AS page_id FROM (SELECT page_id, split_part(url, '?', 1) AS card FROM pages) GROUP BY 1")
 def feed_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     cards = pages(spark, sf_dir).select("page_id", F.substring_index("url", "?", 1).alias("card"))
-    return first_by(cards, ["card"], [F.col("page_id")])
+    return first_by(cards, ["card"], ["page_id"])
 
 
 BLOCK = f"CASE {K} % 6 WHEN 0 THEN 'short' WHEN 1 THEN concat('please solve this CAPTCHA ', repeat('x', 200)) WHEN 2 THEN concat('Rate limit reached ', repeat('y', 200)) WHEN 3 THEN repeat('z', 200) WHEN 4 THEN concat(repeat('w', 6000), 'access denied') ELSE NULL END"

@@ -88,7 +88,7 @@ def top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("O07_distinct_first", f"{WITH_SEED} SELECT min(pos) AS pos, lower(business_name) AS name FROM seed GROUP BY 2")
 def distinct_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scope.first_by(SEED.frame(spark, sf_dir).withColumn("name", F.lower("business_name")), ["name"], [F.col("pos")]).select("pos", "name")
+    return scope.first_by(SEED.frame(spark, sf_dir).withColumn("name", F.lower("business_name")), ["name"], ["pos"]).select("pos", "name")
 
 
 @query("O08_batches", "SELECT batch, count(*) AS n, min(c_custkey) AS first FROM (SELECT c_custkey, CAST(floor((row_number() OVER (ORDER BY c_custkey) - 1) / 10) AS BIGINT) AS batch FROM customer) GROUP BY 1")

@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame
 
 
 def frozen(df: DataFrame) -> DataFrame:
-    """``df`` computed once. The folder is the one the session names; only where none is named (tests) a local one is made."""
+    """``df`` computed once. The folder is the one the session names; where none is named a local one is made in local mode
+    only (tests), as executors of a cluster would not share it."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="waymark-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="waymark-"))
     return df.checkpoint(eager=True)

@@ -57,25 +57,6 @@ def scalar(name: str, raw: str, outputs: dict[str, tuple[Callable[[Column], Colu
         return data.frame(spark, sf_dir).select("k", *[f(F.col("raw")).alias(out) for out, (f, _) in outputs.items()])
 
 
-def listed(name: str, rows: list[tuple], columns: str, f: Callable[[DataFrame], DataFrame], expected: list[tuple], out: str) -> None:
-    """A query over written rows whose results are known by hand."""
-
-    def value(x) -> str:
-        if x is None:
-            return "NULL"
-        if isinstance(x, bool):
-            return "TRUE" if x else "FALSE"
-        if isinstance(x, int | float):
-            return f"CAST({x} AS {'BIGINT' if isinstance(x, int) else 'DOUBLE'})"
-        return "'" + str(x).replace("'", "''") + "'"
-
-    sql = f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(value, r)) + ')' for r in expected)}) t({out})"
-
-    @query(name, sql)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return f(spark.createDataFrame(rows, columns))
-
-
 # A seed of places: customers with the names of parts, spread over about one square kilometre.
 _K = "c_custkey"
 SEED = Input(

@@ -14,7 +14,7 @@ from waymark.operators.scope import first_by
 from waymark.runtime import frozen
 from waymark.sources import sinks, tables, web
 
-from .base import SEED, Input, listed, query, scalar, table
+from .base import SEED, Input, query, scalar, table
 from .places import WITH_SEED
 
 K = "c_custkey"
@@ -75,35 +75,46 @@ def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STORE = T.StructType([T.StructField("place_code", T.StringType()), T.StructField("rating", T.DoubleType())])
 
 
-@query("S06_store_backup", "SELECT * FROM (VALUES ('main', 'A', 4.5::DOUBLE), ('backup', 'B', 3.5::DOUBLE)) t(case_name, place_code, rating)")
+def stored(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Rows as one JSON document with a list of records, in a folder; the rows must be few enough for one document."""
+    rows.agg(F.concat(F.lit('{"records": '), F.to_json(F.collect_list(F.struct("*"))), F.lit("}")).alias("value")).coalesce(1).write.text(path)
+
+
+@query("S06_store_backup", "SELECT 'main' AS case_name, c_name AS place_code, (c_custkey % 50) / 10.0::DOUBLE AS rating FROM customer UNION ALL SELECT 'backup', s_name, (s_suppkey % 50) / 10.0::DOUBLE FROM supplier")
 def store_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = folder(spark)
-    put(spark, f"{at}/a.json", '{"records": [{"place_code": "A", "rating": 4.5, "unknown": 1}]}')
+    rows = lambda name, code, k: table(spark, sf_dir, name).select(F.col(code).alias("place_code"), (F.col(k) % 50 / 10.0).alias("rating"), F.lit(1).alias("unknown"))
+    stored(spark, rows("customer", "c_name", "c_custkey"), f"{at}/a.json")
+    stored(spark, rows("supplier", "s_name", "s_suppkey"), f"{at}/b.json")
     put(spark, f"{at}/broken.json", '{"records": [{"place_code": ')
-    put(spark, f"{at}/b.json", '{"records": [{"place_code": "B", "rating": 3.5}]}')
     read = lambda main, case: tables.read_store(spark, f"{at}/{main}", _STORE, f"{at}/b.json").select(F.lit(case).alias("case_name"), "*")
     return read("a.json", "main").union(read("broken.json", "backup")).union(tables.read_store(spark, f"{at}/none", _STORE).select(F.lit("none").alias("case_name"), "*"))
 
 
 _PROFILE = T.StructType([T.StructField("place_code", T.StringType()), T.StructField("google_rating", T.StringType())])
+#: Runs of the query's files; every nation has a profile in each, with its code inside, an empty one, or none.
+RUNS = ("20240105_101500", "20240301_080000", "20240630_235959")
+_RUN_SQL = "SELECT n_nationkey AS k, n_name AS name, run, CASE (n_nationkey + i) % 3 WHEN 0 THEN n_name ELSE 'N' || n_nationkey END AS place_code, ((n_nationkey + i) % 6) + 0.5 AS r FROM nation, (VALUES (0, '2024-01-05 10:15:00'), (1, '2024-03-01 08:00:00'), (2, '2024-06-30 23:59:59')) t(i, run)"
 
 
-def runs(spark: SparkSession) -> DataFrame:
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = folder(spark)
-    put(spark, f"{at}/run_20240105_101500/profiles/P1_old.json", '{"place_code": "P1", "google_rating": "4.4"}')
-    put(spark, f"{at}/run_20240105_101500/profiles/P2_x.json", '{"google_rating": "3.0"}')
-    put(spark, f"{at}/run_20240301_080000/profiles/P1.json", '{"place_code": "", "google_rating": "4,9"}')
+    for row in table(spark, sf_dir, "nation").collect():  # a table of 25 rows at every scale
+        for i, run in enumerate(RUNS):
+            kind, rating = (row.n_nationkey + i) % 3, f"{(row.n_nationkey + i) % 6},5 stars"
+            code = f'"place_code": "{row.n_name}", ' if kind == 0 else '"place_code": " ", ' if kind == 1 else ""
+            put(spark, f"{at}/run_{run}/profiles/N{row.n_nationkey}_{i}.json", f'{{{code}"google_rating": "{rating}"}}')
     return tables.read_runs(spark, at, _PROFILE)
 
 
-@query("S07_run_scan", "SELECT * FROM (VALUES ('P1', 4.4::DOUBLE, '2024-01-05 10:15:00'), ('P2', 3.0::DOUBLE, '2024-01-05 10:15:00'), ('P1', 4.9::DOUBLE, '2024-03-01 08:00:00')) t(place_code, rating, run_at)")
+@query("S07_run_scan", f"SELECT place_code, CASE WHEN r <= 5 THEN r::DOUBLE END AS rating, run AS run_at FROM ({_RUN_SQL})")
 def run_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs(spark).select("place_code", numbers.parse_rating(F.col("google_rating")).alias("rating"), F.col("run_at").cast("string").alias("run_at"))
+    return runs(spark, sf_dir).select("place_code", numbers.parse_rating(F.col("google_rating")).alias("rating"), F.col("run_at").cast("string").alias("run_at"))
 
 
-@query("S09_code_from_file", "SELECT 'P2' AS place_code, 1::BIGINT AS n UNION ALL SELECT 'P1', 2")
+@query("S09_code_from_file", f"SELECT place_code, count(*) AS n FROM ({_RUN_SQL}) GROUP BY 1")
 def code_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs(spark).groupBy("place_code").agg(F.count("*").alias("n"))
+    return runs(spark, sf_dir).groupBy("place_code").agg(F.count("*").alias("n"))
 
 
 @query("S10_outlets", "SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%Anvil%'")
@@ -216,60 +227,92 @@ scalar(
 )
 
 # Structured data -------------------------------------------------------------------------------------------------
-_LD = '<script type="application/ld+json">{0}</script>'
-_NODES = '{"@type": "WebPage", "a": {"@type": "Cafe", "name": "first"}, "b": [{"@type": "X"}, {"@type": ["Thing", "Restaurant"], "name": "Blue Door", "telephone": "01712345678", "priceRange": " $$ ", "aggregateRating": {"ratingValue": "4.5", "reviewCount": "1,234"}, "address": {"streetAddress": "Road 1", "addressLocality": "Dhaka"}, "geo": {"latitude": 23.5, "longitude": "90.5"}}]}'
-LD_PAGES = [(1, f"<html>{_LD.replace('{0}', _NODES)}{_LD.replace('{0}', '{broken')}</html>"), (2, "<p>none</p>"), (3, _LD.replace("{0}", '[{"@type": "Bakery", "name": "B"}, {"@type": "Store", "name": "S", "aggregateRating": {"ratingValue": "7"}}]'))]
-listed(
-    "S17_jsonld",
-    LD_PAGES,
-    "id long, html string",
-    lambda df: df.select("id", F.array_join(F.transform(web.jsonld(F.col("html")), lambda n: F.coalesce(F.get_json_object(n, "$.name"), F.get_json_object(n, "$['@type']"), F.lit("-"))), ",").alias("nodes")),
-    [(1, "WebPage,Blue Door,-,-,-,X,first"), (2, ""), (3, "S,-,B")],
-    "id, nodes",
+# A page for every customer: a tree with a café and a restaurant in a list, a broken block before a list of shops, no
+# block, one business with its address as a text, a graph. Names, ratings, counts and places come from the row.
+_S = f"CAST({K} AS STRING)"
+_RATE = f"concat(CAST({K} * 7 % 7 AS STRING), '.', CAST({K} * 3 % 10 AS STRING))"
+_MORE = f"substr(repeat(',{{\"t\": 1}}', CAST({K} % 4 AS INT)), 2)"
+_TREE = (
+    f"concat('{{\"@type\": \"WebPage\", \"name\": \"page ', {_S}, '\", \"a\": {{\"@type\": \"Cafe\", \"name\": \"', c_name, '\"}}, \"b\": [{{\"@type\": \"X\"}}, {{\"@type\": [\"Thing\", \"Restaurant\"], \"name\": \"Door ', {_S}, "
+    f"'\", \"telephone\": \"017', lpad({_S}, 8, '0'), '\", \"priceRange\": \" $$ \", \"aggregateRating\": {{\"ratingValue\": \"', {_RATE}, '\", \"reviewCount\": \"1,', lpad(CAST({K} % 1000 AS STRING), 3, '0'), ' reviews\"}}, "
+    f"\"address\": {{\"streetAddress\": \"Road ', {_S}, '\", \"addressLocality\": \"', c_mktsegment, '\", \"postalCode\": \"\"}}, \"geo\": {{\"latitude\": 23.', {_S}, ', \"longitude\": \"90.5\"}}}}], \"tags\": [', {_MORE}, ']}}')"
 )
-listed(
-    "J09_business_node",
-    LD_PAGES,
-    "id long, html string",
-    lambda df: df.select("id", F.get_json_object(web.business_node(web.jsonld(F.col("html"))), "$.name").alias("name")),
-    [(1, "Blue Door"), (2, None), (3, "S")],
-    "id, name",
-)
-listed(
-    "M23_business_payload",
-    LD_PAGES,
-    "id long, html string",
-    lambda df: df.withColumn("p", web.business_payload(web.business_node(web.jsonld(F.col("html"))))).select("id", "p.rating", "p.review_count", "p.address", "p.phone", "p.latitude", "p.price_range"),
-    [(1, 4.5, 1234, "Road 1, Dhaka", "+8801712345678", 23.5, "$$"), (2, None, None, None, None, None, None), (3, None, None, None, None, None, None)],
-    "id, rating, review_count, address, phone, latitude, price_range",
-)
-listed(
-    "M25_vendor_page",
-    LD_PAGES,
-    "id long, html string",
-    lambda df: df.withColumn("p", web.business_payload(web.business_node(web.jsonld(F.col("html"))))).select("id", "p.rating", F.coalesce(text.status_of(F.col("html"), "moved"), F.lit("OPERATIONAL")).alias("status")),
-    [(1, 4.5, "OPERATIONAL"), (2, None, "OPERATIONAL"), (3, None, "OPERATIONAL")],
-    "id, rating, status",
+_LIST_LD = f"concat('[{{\"@type\": \"Bakery\", \"name\": \"B ', {_S}, '\"}}, {{\"@type\": \"Store\", \"name\": \"', c_name, '\", \"address\": {{\"streetAddress\": \"R', CAST({K} % 10 AS STRING), '\"}}, \"aggregateRating\": {{\"ratingValue\": ', {_RATE}, ', \"ratingCount\": ', {_S}, '}}}}]')"
+_ONE = f"concat('{{\"@type\": \"LocalBusiness\", \"name\": \"', c_name, '\", \"address\": \"House ', {_S}, ', ', c_mktsegment, '\", \"aggregateRating\": {{\"ratingValue\": \"n/a\"}}, \"tags\": [', {_MORE}, ']}}')"
+_GRAPH = f"concat('{{\"@type\": \"Thing\", \"@graph\": [{{\"@type\": \"Person\", \"name\": \"P ', {_S}, '\"}}, {{\"@type\": \"Organization\", \"name\": \"', c_name, '\", \"telephone\": \"', {_S}, '\", \"geo\": {{\"latitude\": 0, \"longitude\": 90.1}}}}]}}')"
+LD = Input({"id": K, "j": f"CASE {K} % 5 WHEN 0 THEN {_TREE} WHEN 1 THEN {_LIST_LD} WHEN 3 THEN {_ONE} WHEN 4 THEN {_GRAPH} END", "closed": f"{K} % 6 = 0"}, "customer")
+# Where the first business stands, and what nodes there are, by kind of page; the oracle reads the same JSON by paths.
+_BUSINESS = "CASE id % 5 WHEN 0 THEN j::JSON -> '$.b[1]' WHEN 1 THEN j::JSON -> '$[1]' WHEN 3 THEN j::JSON WHEN 4 THEN j::JSON -> '$.\"@graph\"[1]' END"
+_LD_SQL = f"WITH p AS ({LD.sql}), n AS (SELECT id, j::JSON AS j, closed, {_BUSINESS} AS b FROM p)"
+
+
+def ld_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, html, closed): the JSON of LD in a script, behind a broken one on every third page."""
+    block = lambda c: F.concat(F.lit('<script type="application/ld+json">'), c, F.lit("</script>"))
+    rows = LD.frame(spark, sf_dir)
+    broken = F.when(F.col("id") % 3 == 1, block(F.lit('{"@type": "Cafe", broken'))).otherwise("")
+    note = F.when(F.col("closed"), "<p>This place is Permanently closed</p>").otherwise("<p>Open</p>")
+    return rows.select("id", F.concat(F.lit("<html><head>"), broken, F.coalesce(block(F.col("j")), F.lit("")), F.lit("</head><body>"), note, F.lit("</body></html>")).alias("html"), "closed")
+
+
+@query(
+    "S17_jsonld",
+    f"{_LD_SQL} SELECT id, coalesce(CASE id % 5 WHEN 0 THEN concat_ws(',', j ->> '$.name', repeat('-,', (id % 4)::INT) || (j ->> '$.b[1].name'), '-,-,-', j ->> '$.b[0].\"@type\"', j ->> '$.a.name') "
+    "WHEN 1 THEN concat_ws(',', j ->> '$[1].name', '-,-', j ->> '$[0].name') WHEN 3 THEN (j ->> '$.name') || repeat(',-', (1 + id % 4)::INT) WHEN 4 THEN concat_ws(',', j ->> '$.\"@type\"', j ->> '$.\"@graph\"[1].name', '-', j ->> '$.\"@graph\"[0].name') END, '') AS nodes FROM n",
 )
-listed(
-    "R08_nested_nodes",
-    LD_PAGES,
-    "id long, html string",
-    lambda df: df.select("id", F.size(web.jsonld(F.col("html"))).cast("long").alias("n")),
-    [(1, 7), (2, 0), (3, 3)],
-    "id, n",
+def jsonld(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = F.transform(web.jsonld(F.col("html")), lambda n: F.coalesce(F.get_json_object(n, "$.name"), F.get_json_object(n, "$['@type']"), F.lit("-")))
+    return ld_pages(spark, sf_dir).select("id", F.array_join(shown, ",").alias("nodes"))
+
+
+@query("J09_business_node", f"{_LD_SQL} SELECT id, b ->> '$.name' AS name FROM n")
+def business_node(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ld_pages(spark, sf_dir).select("id", F.get_json_object(web.business_node(web.jsonld(F.col("html"))), "$.name").alias("name"))
+
+
+_PAYLOAD = (
+    "SELECT id, closed, CASE WHEN TRY_CAST(b ->> '$.aggregateRating.ratingValue' AS DOUBLE) BETWEEN 1e-9 AND 5 THEN TRY_CAST(b ->> '$.aggregateRating.ratingValue' AS DOUBLE) END AS rating, "
+    "TRY_CAST(replace(regexp_extract(coalesce(b ->> '$.aggregateRating.reviewCount', b ->> '$.aggregateRating.ratingCount'), '[0-9][0-9,]*'), ',', '') AS BIGINT) AS review_count, "
+    "CASE WHEN json_type(b, '$.address') = 'OBJECT' THEN concat_ws(', ', nullif(b ->> '$.address.streetAddress', ''), nullif(b ->> '$.address.addressLocality', '')) ELSE b ->> '$.address' END AS a, "
+    "CASE WHEN length(b ->> '$.telephone') = 11 THEN '+88' || (b ->> '$.telephone') END AS phone, CASE WHEN (b ->> '$.geo.latitude')::DOUBLE <> 0 THEN (b ->> '$.geo.latitude')::DOUBLE END AS latitude, nullif(trim(b ->> '$.priceRange'), '') AS price_range FROM n"
 )
 
+
+def business(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ld_pages(spark, sf_dir).withColumn("p", web.business_payload(web.business_node(web.jsonld(F.col("html")))))
+
+
+@query("M23_business_payload", f"{_LD_SQL} SELECT id, rating, review_count, CASE WHEN length(a) > 8 THEN a END AS address, phone, latitude, price_range FROM ({_PAYLOAD})")
+def business_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Short numbers of the graph pages are no phone numbers for either side.
+    phone = F.when(F.col("id") % 5 == 0, F.col("p.phone"))
+    return business(spark, sf_dir).select("id", "p.rating", "p.review_count", "p.address", phone.alias("phone"), "p.latitude", "p.price_range")
+
+
+@query("M25_vendor_page", f"{_LD_SQL} SELECT id, rating, CASE WHEN closed THEN 'PERMANENTLY_CLOSED' ELSE 'OPERATIONAL' END AS status FROM ({_PAYLOAD})")
+def vendor_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return business(spark, sf_dir).select("id", "p.rating", F.coalesce(text.status_of(F.col("html"), "moved"), F.lit("OPERATIONAL")).alias("status"))
+
+
+@query("R08_nested_nodes", f"{_LD_SQL} SELECT id, coalesce(len(regexp_extract_all(j::VARCHAR, '[{{]')), 0) AS n FROM n")
+def nested_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ld_pages(spark, sf_dir).select("id", F.size(web.jsonld(F.col("html"))).cast("long").alias("n"))
+
+
 # Page text -------------------------------------------------------------------------------------------------------
-ABOUT = [(1, "Some title\nAccessibility\nWheelchair-accessible car park\nNo-contact delivery   Delivery\nSee more\nParking lot\nDelivery\nOfferingsCoffee\nCoffee\n" + "x" * 81), (2, "no sections here"), (3, "Amenities\nWi-Fi\t\tToilets\nWi-Fi\nCrowd")]
-listed(
-    "T16_about_sections",
-    ABOUT,
-    "id long, body string",
-    lambda df: pagetext.about_sections(df, "id", F.col("body")).select("id", "section", F.array_join("items", "|").alias("items")),
-    [(1, "Accessibility", "Wheelchair-accessible car park|No-contact delivery|Delivery"), (1, "Parking", "lot|Delivery"), (1, "Offerings", "Coffee"), (3, "Amenities", "Wi-Fi|Toilets")],
-    "id, section, items",
+ABOUT = Input(
+    {
+        "id": K,
+        "body": f"concat('Some title\nAccessibility\nRamp ', c_name, '\n', CASE WHEN {K} % 3 = 0 THEN concat('Ramp ', c_name, '\n') ELSE '' END, 'See more\nParking lot\n', c_mktsegment, '   Lift ', {_S}, CASE WHEN {K} % 4 = 0 THEN concat('\nOfferingsTea ', {_S}, '\n', repeat('x', 81)) ELSE '' END)",
+    },
+    "customer",
 )
+_ABOUT_SQL = f"SELECT c_custkey AS id, 'Accessibility' AS section, 'Ramp ' || c_name AS items FROM customer UNION ALL SELECT c_custkey, 'Parking', 'lot|' || c_mktsegment || '|Lift ' || c_custkey FROM customer UNION ALL SELECT c_custkey, 'Offerings', 'Tea ' || c_custkey FROM customer WHERE c_custkey % 4 = 0"
+
+
+@query("T16_about_sections", _ABOUT_SQL)
+def about_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.about_sections(ABOUT.frame(spark, sf_dir), "id", F.col("body")).select("id", "section", F.array_join("items", "|").alias("items"))
 
 
 @query("T16_carry_forward", "SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS asked FROM conversations")
@@ -283,14 +326,12 @@ def menu_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pagetext.menu_sections(table(spark, sf_dir, "conversations"), ["conv_id"], "turn").select("conv_id", "turn", "category")
 
 
-listed(
-    "T18_menu_in_body",
-    [(1, "Menu\nLatte ৳250\nTea - Tk. 40 and\nlatte BDT 300, Gold bar ৳ 90,000\nx ৳50"), (2, None)],
-    "id long, body string",
-    lambda df: df.select("id", F.explode(pagetext.body_menu(F.col("body"))).alias("m")).select("id", "m.item", "m.price_bdt"),
-    [(1, "Latte", 250.0), (1, "Tea", 40.0)],
-    "id, item, price_bdt",
-)
+MENU = Input({"id": K, "body": f"CASE WHEN {K} % 7 = 6 THEN NULL ELSE concat('Menu\nLatte ', c_mktsegment, ' ৳', CAST({K} % 500 + 10 AS STRING), '\nTea - Tk. ', CAST({K} % 90 + 30 AS STRING), ' and\ntea BDT 300, Gold bar ৳ 90,000\nx ৳50') END"}, "customer")
+
+
+@query("T18_menu_in_body", "SELECT c_custkey AS id, item, price_bdt::DOUBLE AS price_bdt FROM customer, LATERAL (VALUES ('Latte ' || c_mktsegment, c_custkey % 500 + 10), ('Tea', c_custkey % 90 + 30)) v(item, price_bdt) WHERE c_custkey % 7 <> 6")
+def menu_in_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return MENU.frame(spark, sf_dir).select("id", F.explode(pagetext.body_menu(F.col("body"))).alias("m")).select("id", "m.item", "m.price_bdt")
 
 
 @query("T22_distinct_lines", "SELECT doc_id, count(DISTINCT trim(x)) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents) WHERE trim(x) <> '' GROUP BY 1")
@@ -328,10 +369,34 @@ scalar(
 # Older profiles --------------------------------------------------------------------------------------------------
 _REVIEW = "struct<text: string, full_review_text: string, rating: string, stars: string, date: string, date_mmyy: string, time_ago: string>"
 _LEGACY = f"place_code string, google_rating string, google_review_count string, phone string, phone_numbers array<string>, address_from_map string, address_from_google string, website string, opening_hours map<string,string>, reviews array<{_REVIEW}>, status string, menu_link string"
-LEGACY = [
-    ("P1", "4.4", None, None, ["N/A", "01712345678"], "Road 5, Gulshan", None, "https://x.example.com/a/?utm=1#f", {"mon": "9 AM–10 PM", "tue": "Closed"}, [(" Good\n coffee ", None, None, "5", None, "01/24", None)], "operational", "N/A"),
-    ("P2", None, "1.2K", "02 8834567", None, None, "House 7", None, {d: "9 AM–10 PM" for d in ("sat", "sun", "mon", "tue", "wed")}, [(None, "Old shape", "4.0", None, "today", None, None), ("", None, "1", None, None, None, None)], "weird", "https://m.example.com/menu/"),
-]
+DAYS = ("sat", "sun", "mon", "tue", "wed", "thu", "fri")
+
+
+def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An older profile for every customer, of the shapes that older runs wrote: rating and count as texts, phones as one
+    or many, two places for the address, days of hours by row, reviews under either key."""
+    k, s = F.col("c_custkey"), F.col("c_custkey").cast("string")
+    none = F.lit(None).cast("string")
+    review = lambda t, full, rating, stars, date, month: F.struct(t.alias("text"), full.alias("full_review_text"), rating.alias("rating"), stars.alias("stars"), date.alias("date"), month.alias("date_mmyy"), none.alias("time_ago"))
+    days = F.slice(F.array(*[F.lit(d) for d in DAYS]), F.lit(1), (k % 7 + 1).cast("int"))
+    return table(spark, sf_dir, "customer").select(
+        s.alias("place_code"),
+        F.when(k % 4 == 0, F.concat(F.lit("4,"), (k % 10).cast("string"))).when(k % 4 == 1, F.concat((k % 8).cast("string"), F.lit(".5 stars"))).alias("google_rating"),
+        F.when(k % 3 == 0, F.concat(s, F.lit(" reviews"))).when(k % 3 == 1, F.concat((k % 9 + 1).cast("string"), F.lit(".2K"))).alias("google_review_count"),
+        F.when(k % 2 == 1, F.concat(F.lit("02 8"), F.lpad((k % 1000000).cast("string"), 6, "0"))).alias("phone"),
+        F.array(F.lit("N/A"), F.concat(F.lit("017"), F.lpad(s, 8, "0"))).alias("phone_numbers"),
+        F.when(k % 5 != 0, F.concat(F.lit("Road "), s)).otherwise(" ").alias("address_from_map"),
+        F.concat(F.lit("House "), s).alias("address_from_google"),
+        F.when(k % 3 != 2, F.concat(F.lit("https://x.example.com/"), s, F.lit("/?utm=1#f"))).otherwise("not a url").alias("website"),
+        F.map_from_arrays(days, F.transform(days, lambda d: F.when(d == "sun", "Closed").otherwise(F.concat((k % 11 + 1).cast("string"), F.lit(" AM–10 PM"))))).alias("opening_hours"),
+        F.array(
+            review(F.concat(F.lit(" Good\n "), F.col("c_name")), none, none, (k % 5 + 1).cast("string"), none, F.lit("01/24")),
+            review(none, F.concat(F.lit("Old "), s), F.concat((k % 5 + 1).cast("string"), F.lit(".0")), none, F.lit("today"), none),
+            review(F.when(k % 2 == 0, "").otherwise("Fine"), none, none, F.lit("1"), none, none),
+        ).alias("reviews"),
+        F.element_at(F.array(F.lit("operational"), F.lit("weird"), F.lit(" Permanently_Closed ")), (k % 3 + 1).cast("int")).alias("status"),
+        F.when(k % 2 == 0, "N/A").otherwise(F.concat(F.lit("https://m.example.com/"), s, F.lit("/"))).alias("menu_link"),
+    )
 
 
 def legacy(df: DataFrame) -> DataFrame:
@@ -354,38 +419,41 @@ def legacy(df: DataFrame) -> DataFrame:
     )
 
 
-listed(
-    "M16_legacy_payload",
-    LEGACY,
-    _LEGACY,
-    lambda df: legacy(df).withColumn("hours", F.size("hours").cast("long")).withColumn("reviews", F.size("reviews").cast("long")),
-    [("P1", 4.4, None, False, "+8801712345678", "Road 5, Gulshan", "https://x.example.com/a", None, None, 1, "OPERATIONAL"), ("P2", None, 1200, True, "+88028834567", "House 7", None, "https://m.example.com/menu", 5, 1, None)],
-    "place_code, rating, review_count, approximate, phone, address, website, menu_url, hours, reviews, business_status",
+_LEGACY_SQL = (
+    "SELECT c_custkey AS k, c_custkey::VARCHAR AS place_code, CASE c_custkey % 4 WHEN 0 THEN 4 + (c_custkey % 10) / 10.0 WHEN 1 THEN CASE WHEN c_custkey % 8 < 5 THEN c_custkey % 8 + 0.5 END END::DOUBLE AS rating, "
+    "CASE c_custkey % 3 WHEN 0 THEN c_custkey WHEN 1 THEN (c_custkey % 9 + 1) * 1000 + 200 END::BIGINT AS review_count, c_custkey % 3 = 1 AS approximate, "
+    "CASE WHEN c_custkey % 2 = 1 THEN '+88028' || lpad((c_custkey % 1000000)::VARCHAR, 6, '0') ELSE '+88017' || lpad(c_custkey::VARCHAR, 8, '0') END AS phone, CASE WHEN c_custkey % 5 <> 0 THEN 'Road ' ELSE 'House ' END || c_custkey AS address, "
+    "CASE WHEN c_custkey % 3 <> 2 THEN 'https://x.example.com/' || c_custkey END AS website, CASE WHEN c_custkey % 2 = 1 THEN 'https://m.example.com/' || c_custkey END AS menu_url, CASE WHEN c_custkey % 7 + 1 >= 5 THEN c_custkey % 7 + 1 END::BIGINT AS hours, "
+    "CASE c_custkey % 3 WHEN 0 THEN 'OPERATIONAL' WHEN 2 THEN 'PERMANENTLY_CLOSED' END AS business_status, (CASE WHEN c_custkey % 2 = 1 THEN 3 ELSE 2 END)::BIGINT AS reviews FROM customer"
 )
-listed(
+
+
+@query("M16_legacy_payload", f"SELECT * EXCLUDE (k) FROM ({_LEGACY_SQL})")
+def legacy_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return legacy(profiles(spark, sf_dir)).withColumn("hours", F.size("hours").cast("long")).withColumn("reviews", F.size("reviews").cast("long"))
+
+
+@query(
     "M18_legacy_reviews",
-    LEGACY,
-    _LEGACY,
-    lambda df: df.select("place_code", F.explode(pagetext.legacy_reviews(F.col("reviews"))).alias("r")).select("place_code", F.col("r.stars").cast("long").alias("stars"), "r.text", "r.date"),
-    [("P1", 5, "Good coffee", "01/24"), ("P2", 4, "Old shape", "today")],
-    "place_code, stars, text, date",
-)
-listed(
-    "H08_legacy_hours",
-    LEGACY,
-    _LEGACY,
-    lambda df: df.select("place_code", F.to_json(hours.normalized_hours(F.col("opening_hours"))["schedule"]).alias("week")),
-    [("P1", '{"Mon":"09:00-22:00","Tue":"closed"}'), ("P2", "{" + ",".join(f'"{d}":"09:00-22:00"' for d in ("Sat", "Sun", "Mon", "Tue", "Wed")) + "}")],
-    "place_code, week",
-)
-listed(
-    "A04_legacy_richness",
-    LEGACY,
-    _LEGACY,
-    lambda df: legacy(df).select("place_code", resolution.richness(legacy(df)).cast("long").alias("richness")),
-    [("P1", 5), ("P2", 5)],
-    "place_code, richness",
+    "SELECT c_custkey::VARCHAR AS place_code, stars, text, date FROM customer, LATERAL (VALUES ((c_custkey % 5 + 1)::BIGINT, 'Good ' || c_name, '01/24'), ((c_custkey % 5 + 1)::BIGINT, 'Old ' || c_custkey, 'today'), (1::BIGINT, CASE WHEN c_custkey % 2 = 1 THEN 'Fine' END, NULL)) v(stars, text, date) WHERE text IS NOT NULL",
 )
+def legacy_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiles(spark, sf_dir).select("place_code", F.explode(pagetext.legacy_reviews(F.col("reviews"))).alias("r")).select("place_code", F.col("r.stars").cast("long").alias("stars"), "r.text", "r.date")
+
+
+_DAY_LIST = "list_transform(list_slice(['Sat', 'Sun', 'Mon', 'Tue', 'Wed', 'Thu', 'Fri'], 1, (c_custkey % 7 + 1)::INT), lambda d: chr(34) || d || chr(34) || ':' || chr(34) || CASE WHEN d = 'Sun' THEN 'closed' ELSE lpad((c_custkey % 11 + 1)::VARCHAR, 2, '0') || ':00-22:00' END || chr(34))"
+
+
+@query("H08_legacy_hours", f"SELECT c_custkey::VARCHAR AS place_code, '{{' || array_to_string({_DAY_LIST}, ',') || '}}' AS week FROM customer")
+def legacy_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiles(spark, sf_dir).select("place_code", F.to_json(hours.normalized_hours(F.col("opening_hours"))["schedule"]).alias("week"))
+
+
+@query("A04_legacy_richness", f"SELECT place_code, ((rating IS NOT NULL)::INT + (review_count IS NOT NULL)::INT + 1 + (hours IS NOT NULL)::INT + 2 + (website IS NOT NULL)::INT)::BIGINT AS richness FROM ({_LEGACY_SQL})")
+def legacy_richness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    payload = legacy(profiles(spark, sf_dir))
+    return payload.select("place_code", resolution.richness(payload).cast("long").alias("richness"))
+
 
 # Exports ---------------------------------------------------------------------------------------------------------
 
@@ -464,9 +532,16 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_ledger(spark, at, "run string, n long")
 
 
-@query("M26_ledger_default", "SELECT count(*) AS n FROM customer WHERE FALSE")
+@query("M26_ledger_default", "SELECT 'run' || c_nationkey AS run, CASE WHEN c_nationkey % 2 = 0 THEN count(*) ELSE 0 END::BIGINT AS n, 0::BIGINT AS failed FROM customer GROUP BY c_nationkey")
 def ledger_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.read_ledger(spark, folder(spark), "run string, n long").agg(F.count("*").alias("n"))
+    """Entries without a count, or written before a key was known, read as 0; a ledger that is not there is empty."""
+    at = folder(spark)
+    per = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n"))
+    run = F.concat(F.lit("run"), F.col("c_nationkey").cast("string")).alias("run")
+    sinks.append_ledger(per.filter("c_nationkey % 2 = 0").select(run, "n"), at)
+    sinks.append_ledger(per.filter("c_nationkey % 2 = 1").select(run), at)
+    kept = sinks.read_ledger(spark, at, "run string, n long, failed long").union(sinks.read_ledger(spark, f"{at}/none", "run string, n long, failed long"))
+    return kept.select("run", F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.coalesce("failed", F.lit(0).cast("long")).alias("failed"))
 
 
 @query("M27_rebuild", f"{WITH_SEED} {_FLAT}")
@@ -477,8 +552,10 @@ def rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.flat_records(sinks.read_table(spark, at))
 
 
-@query("M19_unknown_keys", "SELECT 'A' AS place_code, 4.5::DOUBLE AS rating")
+@query("M19_unknown_keys", "SELECT c_name AS place_code, CASE WHEN c_custkey % 4 <> 0 THEN c_custkey / 2.0::DOUBLE END AS rating FROM customer")
 def unknown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = folder(spark)
-    put(spark, f"{at}/a.json", '{"records": [{"place_code": "A", "rating": 4.5, "never_heard_of": {"x": 1}}]}')
+    c = table(spark, sf_dir, "customer")
+    rows = c.select(F.col("c_name").alias("place_code"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_custkey") / 2.0).alias("rating"), F.struct("c_acctbal").alias("never_heard_of"))
+    stored(spark, rows, f"{at}/a.json")
     return tables.read_store(spark, f"{at}/a.json", _STORE)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions import dates, hours, numbers, text, values
 
-from .base import HAVERSINE_SQL, SEED, TOKENS_SQL, jaccard_sql, listed, query, scalar, table
+from .base import HAVERSINE_SQL, SEED, TOKENS_SQL, jaccard_sql, query, scalar, table
 
 K = "c_custkey"
 NUM = f"CAST({K} * 7919 % 100000000 AS STRING)"
@@ -280,40 +280,42 @@ scalar(
 scalar("H09_display_hours", f"concat(' ', {_H}, ' a.m.—10  p.m ,')", {"shown": (hours.display_hours, "(k % 11 + 1) || ' AM. – 10 PM '")})
 scalar("H10_ampm", f"CASE WHEN {K} % 5 = 0 THEN 'x ' ELSE concat(CAST({K} % 25 AS STRING), ':', lpad(CAST({K} % 60 AS STRING), 2, '0')) END", {"shown": (hours.hhmm_to_ampm, "CASE WHEN k % 5 = 0 THEN 'x' ELSE (CASE WHEN k % 25 % 12 = 0 THEN 12 ELSE k % 25 % 12 END) || ':' || lpad((k % 60)::VARCHAR, 2, '0') || CASE WHEN k % 25 < 12 OR k % 25 = 24 THEN ' AM' ELSE ' PM' END END")})
 scalar("H14_enough_days", _WEEK, {"three": (lambda c: hours.enough_days(hours.hours_in_text(c), 3), "TRUE"), "five": (lambda c: hours.enough_days(hours.hours_in_text(c)), "FALSE")})
-listed(
+_TWO = f"lpad(CAST({K} % 60 AS STRING), 2, '0')"
+_SHOWN = "(k % 11 + 1) || ':' || lpad((k % 60)::VARCHAR, 2, '0') || ' AM – 10:30 PM'"
+_DAYS_SQL = "list_transform({0}, lambda d: chr(34) || d || chr(34) || ':' || chr(34) || {1} || chr(34))"
+
+
+def week_sql(*parts: tuple[list[str], str]) -> str:
+    """SQL for the JSON text of a week: (days, SQL of their value) in the order of the text."""
+    return "'{' || array_to_string(" + (" || ".join(_DAYS_SQL.format(days, value) for days, value in parts) if parts else "[]") + ", ',') || '}'"
+
+
+_ALL = list(hours.WEEK_ISO)
+scalar(
     "H11_osm_hours",
-    [(1, "Mo-Fr 07:00-22:30; Sa,Su 08:00-23:00"), (2, "24/7"), (3, "Mo off"), (4, "Mo-Su 08:00-22:00; PH off"), (5, None), (6, "Sa-Mo 09:00-12:00, 13:00-17:00; Mo closed"), (7, "sometimes")],
-    "id long, rules string",
-    lambda df: df.select("id", F.to_json(hours.osm_hours(F.col("rules"))).alias("week"), F.to_json(hours.osm_hours(F.col("rules"), True)).alias("compat")),
-    [
-        (i, fixed, compat or fixed)
-        for i, fixed, compat in [
-            (1, '{"mon":"7:00 AM – 10:30 PM","tue":"7:00 AM – 10:30 PM","wed":"7:00 AM – 10:30 PM","thu":"7:00 AM – 10:30 PM","fri":"7:00 AM – 10:30 PM","sat":"8:00 AM – 11:00 PM","sun":"8:00 AM – 11:00 PM"}', None),
-            (2, "{" + ",".join(f'"{d}":"Open 24 hours"' for d in hours.WEEK_ISO) + "}", None),
-            (3, '{"mon":"Closed"}', None),
-            (4, "{" + ",".join(f'"{d}":"8:00 AM – 10:00 PM"' for d in hours.WEEK_ISO) + "}", "{" + ",".join(f'"{d}":"Closed"' for d in hours.WEEK_ISO) + "}"),
-            (5, "{}", None),
-            (6, '{"mon":"Closed","sat":"9:00 AM – 12:00 PM, 1:00 PM – 5:00 PM","sun":"9:00 AM – 12:00 PM, 1:00 PM – 5:00 PM"}', None),
-            (7, "{}", None),
-        ]
-    ],
-    "id, week, compat",
-)
-listed(
+    f"CASE {K} % 8 WHEN 0 THEN concat('Mo-Fr ', {_H}, ':', {_TWO}, '-22:30; Sa,Su 08:00-23:00') WHEN 1 THEN '24/7' WHEN 2 THEN concat('Mo off; We ', {_H}, ':', {_TWO}, '-22:30') WHEN 3 THEN concat('Mo-Su ', {_H}, ':', {_TWO}, '-22:30; PH off') WHEN 4 THEN NULL "
+    f"WHEN 5 THEN concat('Sa-Mo ', {_H}, ':', {_TWO}, '-22:30, 23:00-23:30; Mo closed') WHEN 6 THEN concat('sometimes ', {_H}) ELSE concat({_H}, ':', {_TWO}, '-22:30') END",
+    {
+        name: (
+            lambda c, compat=compat: F.to_json(hours.osm_hours(c, compat)),
+            f"CASE k % 8 WHEN 0 THEN {week_sql((_ALL[:5], _SHOWN), (_ALL[5:], chr(39) + '8:00 AM – 11:00 PM' + chr(39)))} WHEN 1 THEN {week_sql((_ALL, chr(39) + 'Open 24 hours' + chr(39)))} WHEN 2 THEN {week_sql((['mon'], chr(39) + 'Closed' + chr(39)), (['wed'], _SHOWN))} "
+            f"WHEN 3 THEN {week_sql((_ALL, chr(39) + 'Closed' + chr(39) if compat else _SHOWN))} WHEN 5 THEN {week_sql((['mon'], chr(39) + 'Closed' + chr(39)), (['sat', 'sun'], _SHOWN + ' || ' + chr(39) + ', 11:00 PM – 11:30 PM' + chr(39)))} WHEN 7 THEN {week_sql((_ALL, _SHOWN))} ELSE '{{}}' END",
+        )
+        for name, compat in (("week", False), ("compat", True))
+    },
+)
+scalar(
     "H12_schema_hours",
-    [
-        (1, '{"openingHoursSpecification": [{"dayOfWeek": ["http://schema.org/Monday", "Tuesday"], "opens": "08:00", "closes": "20:30"}, {"dayOfWeek": "Sunday"}]}'),
-        (2, '{"openingHours": ["Fr-Su 10:00-22:00", "Mo 09:00-12:00"]}'),
-        (3, "broken {"),
-    ],
-    "id long, node string",
-    lambda df: df.select("id", F.to_json(hours.schema_hours(F.col("node"))).alias("week")),
-    [
-        (1, '{"mon":"8:00 AM – 8:30 PM","tue":"8:00 AM – 8:30 PM","sun":"Closed"}'),
-        (2, '{"fri":"10:00 AM – 10:00 PM","sat":"10:00 AM – 10:00 PM","sun":"10:00 AM – 10:00 PM","mon":"9:00 AM – 12:00 PM"}'),
-        (3, "{}"),
-    ],
-    "id, week",
+    f"CASE {K} % 5 WHEN 0 THEN concat('{{\"openingHoursSpecification\": [{{\"dayOfWeek\": [\"http://schema.org/Monday\", \"Tuesday\", \"x\"], \"opens\": \"', {_H}, ':', {_TWO}, '\", \"closes\": \"22:30\"}}, {{\"dayOfWeek\": \"Sunday\"}}, {{\"dayOfWeek\": \"Mo\", \"opens\": \"\"}}]}}') "
+    f"WHEN 1 THEN concat('{{\"openingHours\": [\"Fr-Su ', {_H}, ':', {_TWO}, '-22:30\", \"Mo 09:00-12:00\"]}}') WHEN 2 THEN concat('broken {{', {_H}) WHEN 3 THEN concat('{{\"openingHoursSpecification\": {{\"dayOfWeek\": \"Wednesday\", \"opens\": \"', {_H}, ':', {_TWO}, '\", \"closes\": \"22:30\"}}}}') "
+    f"ELSE concat('{{\"name\": \"', {_H}, '\", \"openingHoursSpecification\": [{{\"dayOfWeek\": \"?\"}}], \"openingHours\": \"sat-xx ', {_H}, ':', {_TWO}, '-22:30\"}}') END",
+    {
+        "week": (
+            lambda c: F.to_json(hours.schema_hours(c)),
+            f"CASE k % 5 WHEN 0 THEN {week_sql((['mon'], chr(39) + 'Closed' + chr(39)), (['tue'], _SHOWN), (['sun'], chr(39) + 'Closed' + chr(39)))} WHEN 1 THEN {week_sql((['fri', 'sat', 'sun'], _SHOWN), (['mon'], chr(39) + '9:00 AM – 12:00 PM' + chr(39)))} "
+            f"WHEN 2 THEN '{{}}' WHEN 3 THEN {week_sql((['wed'], _SHOWN))} ELSE {week_sql((['sat'], _SHOWN))} END",
+        )
+    },
 )
 
 # Arrays, maps, JSON ----------------------------------------------------------------------------------------------

@@ -2,13 +2,14 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from waymark.functions import hours
 from waymark.operators import records, resolution
-from waymark.sources import sinks, tables, web
+from waymark.sources import registry, sinks, tables, web
 from waymark.streaming.guard import Breaker
 
 
@@ -89,3 +90,31 @@ def test_osm_hours_wrap_and_replace():
     assert hours.osm_week("Sa-Mo 10:00-12:00; Su off")["sun"] == "Closed"
     assert set(hours.osm_week("Mo-Su 08:00-22:00; PH off").values()) == {"8:00 AM – 10:00 PM"}
     assert set(hours.osm_week("Mo-Su 08:00-22:00; PH off", True).values()) == {"Closed"}
+
+
+def test_brands_are_taken_literally():
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql("CREATE SCHEMA public; CREATE TABLE public.places AS SELECT * FROM (VALUES ('100% Tea'), ('1000 Teas'), ('a_b'), ('axb'), ('it''s AGORA'), ('c\\d')) t(business_name)")
+    found = lambda brand: sorted(r[0] for r in con.sql(tables.outlets_query(brand)).fetchall())
+    assert found("100%") == ["100% Tea"] and found("A_B") == ["a_b"] and found("it's agora") == ["it's AGORA"] and found("c\\D") == ["c\\d"] and len(found("")) == 6
+
+
+def test_sources_keep_a_contract(spark):
+    good = spark.sql("SELECT 'a' AS place_code, 'g' AS src, 'ok' AS status, timestamp'2024-01-01' AS ts, 1 AS rating")
+    other = spark.sql("SELECT 'b' AS place_code, 'osm' AS src, 'ok' AS status, timestamp'2024-01-01' AS ts, 'x' AS website")
+    source = lambda name, df, **more: registry.Source(name, lambda *_: df, **more)
+    both = registry.observations([source("g", good), source("osm", other), source("off", good.drop("ts"), enabled=False)], spark, "")
+    assert sorted((r.place_code, r.rating, r.website) for r in both.collect()) == [("a", 1, None), ("b", None, "x")]
+    for broken in ([source("g", good.drop("ts"))], [source("g", good.withColumn("ts", F.lit("x")))], [source("g", good), source("g", other)], []):
+        with pytest.raises(registry.BrokenContract):
+            registry.observations(broken, spark, "")
+
+
+def test_a_walk_of_pages_ends_and_its_plan_does_not_grow(spark):
+    links = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("x", "y")], "url string, next_url string")
+    start = spark.createDataFrame([("a",)], "url string")
+    walked = web.pages_from(start, links, 50)
+    assert sorted(map(tuple, walked.collect())) == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
+    assert web.pages_from(start, links, 10)._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from waymark.functions.values import is_empty_collection, truthy_number, truthy_text
+from waymark.functions.values import is_empty_collection, truthy_number, truthy_text, union_distinct
 from waymark.runtime import frozen
 
 from .scope import named_area
@@ -44,6 +44,16 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     return within.join(F.broadcast(starts), "_part").withColumn(name, F.col("_before") + F.col("_i")).drop("_part", "_i", "_before")
 
 
+def merged_rows(rows: DataFrame, payloads: DataFrame, texts: list[str], lists: list[str], key: str = "place_code") -> DataFrame:
+    """Rows with the payload of their key laid over them: a failed attempt (status other than ok) or none leaves a row
+    untouched; else texts that are not empty replace, and lists grow by what is new, old entries first."""
+    given = payloads.select(key, (F.col("status") == "ok").alias("_ok"), *[F.col(c).alias(f"_{c}") for c in (*texts, *lists)])
+    joined = rows.join(given, key, "left")
+    ok = F.coalesce("_ok", F.lit(False))
+    new = {c: F.coalesce(F.when(ok, truthy_text(F.col(f"_{c}"))), F.col(c)) for c in texts} | {c: union_distinct(F.col(c), F.when(ok, F.col(f"_{c}"))) for c in lists}
+    return joined.select(*[new.get(c, F.col(c)).alias(c) for c in rows.columns])
+
+
 def assign_ids(rows: DataFrame, known: DataFrame, prefix: str = "GUL") -> DataFrame:
     """(place_code, cafe_id) of all rows: known ids stay, others follow the largest number in order of ``pos``."""
     new = rows.join(known.select("place_code"), "place_code", "left_anti").select("place_code", "pos")

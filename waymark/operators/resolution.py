@@ -106,6 +106,11 @@ def provenance(items: DataFrame) -> DataFrame:
     return items.groupBy("place_code").agg(joined_sorted(F.collect_set("src")).alias("provenance"))
 
 
+def derived_web(blocks: DataFrame, source: str = "g") -> DataFrame:
+    """A block of the web source for every place whose ``source`` names a website."""
+    return blocks.filter((F.col("src") == source) & ~is_empty(F.col("website"), ())).select("place_code", "website", F.lit("web").alias("src"), F.lit("derived").alias("status"))
+
+
 def inferred_status(resolved: Column, ok_sources: Column) -> Column:
     """struct(status, source): the resolved status, else operational if any scraped source is ok, else unknown."""
     guess = F.when(F.coalesce(ok_sources, F.lit(0)) > 0, "OPERATIONAL").otherwise("UNKNOWN")

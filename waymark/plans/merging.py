@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions import values
 from waymark.operators import records, resolution
+from waymark.sources import registry
 
 from .base import OBSERVATIONS, SEED, Input, query
 from .places import AREA_SQL, WITH_SEED
@@ -18,7 +19,8 @@ BLOCKS_SQL = f"SELECT place_code, src, arg_max(status, (ts, event_id)) AS status
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolution.latest_per_source(OBSERVATIONS.frame(spark, sf_dir), FIELDS, ["ts", "event_id"])
+    seen = registry.observations([registry.Source("visits", OBSERVATIONS.frame)], spark, sf_dir)
+    return resolution.latest_per_source(seen, FIELDS, ["ts", "event_id"])
 
 
 def _shown(df: DataFrame) -> DataFrame:
@@ -86,7 +88,7 @@ def inferred_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("M10_derived_web", f"SELECT place_code, website, 'web' AS src, 'derived' AS status FROM ({BLOCKS_SQL}) WHERE src = 'g' AND website IS NOT NULL")
 def derived_web(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks(spark, sf_dir).filter("src = 'g' and website is not null").select("place_code", "website", F.lit("web").alias("src"), F.lit("derived").alias("status"))
+    return resolution.derived_web(blocks(spark, sf_dir))
 
 
 # Scores ----------------------------------------------------------------------------------------------------------
@@ -246,10 +248,9 @@ def socials(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("M11_row_merge", f"WITH o AS ({OLD.sql}), p AS ({PAYLOADS.sql}) SELECT o.place_code, CASE WHEN p.status = 'ok' AND p.address <> '' THEN p.address ELSE o.address END AS address, CASE WHEN p.status = 'ok' THEN 'menu1,menu2,' || o.place_code ELSE 'menu1' END AS menu FROM o LEFT JOIN p USING (place_code)")
 def row_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A failed attempt leaves a row untouched; lists grow by what is new."""
-    j = OLD.frame(spark, sf_dir).join(PAYLOADS.frame(spark, sf_dir).select("place_code", F.struct("status", "address").alias("p")), "place_code", "left")
-    ok = F.coalesce(F.col("p.status") == "ok", F.lit(False))
-    menu = values.union_distinct(F.array(F.lit("menu1")), F.when(ok, F.array(F.lit("menu1"), F.lit("menu2"), F.col("place_code"))))
-    return j.select("place_code", F.coalesce(F.when(ok, values.truthy_text(F.col("p.address"))), "address").alias("address"), F.array_join(menu, ",").alias("menu"))
+    old = OLD.frame(spark, sf_dir).withColumn("menu", F.array(F.lit("menu1")))
+    payloads = PAYLOADS.frame(spark, sf_dir).withColumn("menu", F.array(F.lit("menu1"), F.lit("menu2"), F.col("place_code")))
+    return records.merged_rows(old, payloads, ["address"], ["menu"]).select("place_code", "address", F.array_join("menu", ",").alias("menu"))
 
 
 KNOWN_SQL = "SELECT CAST(c_custkey AS VARCHAR) AS place_code, 'GUL-' || lpad((c_custkey % 900 + 1)::VARCHAR, 3, '0') AS cafe_id FROM customer WHERE c_custkey % 17 = 0"
@@ -393,12 +394,8 @@ def by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("U02_source_plugin", f"SELECT src, count(*) AS n FROM ({OBSERVATIONS.sql}) WHERE src IN ('g', 'osm') GROUP BY 1")
 def source_plugin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A source is a function to observations; sources are united by column name."""
-    source = lambda name: lambda: OBSERVATIONS.frame(spark, sf_dir).filter(F.col("src") == name)
-    first, *rest = [make() for make in (source("g"), source("osm"))]
-    for more in rest:
-        first = first.unionByName(more, allowMissingColumns=True)
-    return first.groupBy("src").agg(F.count("*").alias("n"))
+    sources = [registry.of_source(OBSERVATIONS.frame, "g"), registry.of_source(OBSERVATIONS.frame, "osm"), registry.of_source(OBSERVATIONS.frame, "fp")._replace(enabled=False)]
+    return registry.observations(sources, spark, sf_dir).groupBy("src").agg(F.count("*").alias("n"))
 
 
 @query("K03_flat_sources", f"SELECT place_code, max(rating) FILTER (src = 'g') AS g_rating, max(phone) FILTER (src = 'g') AS g_phone, max(rating) FILTER (src = 'fp') AS fp_rating, max(phone) FILTER (src = 'fp') AS fp_phone FROM ({BLOCKS_SQL}) GROUP BY 1")

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from waymark.functions import hours, numbers, text, values
 from waymark.operators import matching, pagetext, resolution
-from waymark.operators.scope import first_by
 from waymark.runtime import frozen
 from waymark.sources import sinks, tables, web
 
@@ -119,7 +118,7 @@ def code_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("S10_outlets", "SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%Anvil%'")
 def outlets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").filter(F.col("p_name").ilike("%Anvil%")).select("p_partkey", "p_name")
+    return table(spark, sf_dir, "part").filter(F.col("p_name").ilike(tables.brand_pattern("Anvil"))).select("p_partkey", "p_name")
 
 
 # Pages -----------------------------------------------------------------------------------------------------------
@@ -208,10 +207,17 @@ scalar(
 )
 
 
-@query("S19_feed_cards", "SELECT card, min(page_id) AS page_id FROM (SELECT page_id, split_part(url, '?', 1) AS card FROM pages) GROUP BY 1")
+@query("S19_feed_cards", f"SELECT card, f.page_id AS page_id, f.pos AS pos FROM (SELECT regexp_extract(target, '^[^?#]*') AS card, min({{'page_id': page_id, 'pos': pos}}) AS f FROM ({_LINKS}) GROUP BY 1) WHERE card <> ''")
 def feed_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cards = pages(spark, sf_dir).select("page_id", F.substring_index("url", "?", 1).alias("card"))
-    return first_by(cards, ["card"], ["page_id"])
+    return web.feed_cards(pages(spark, sf_dir))
+
+
+@query("U01_selectors", f"SELECT page_id, trim(regexp_replace({_PLAIN.replace('{0}', 'h')}, '\\s+', ' ', 'g')) AS title, n FROM (SELECT page_id, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS h, len(regexp_extract_all(html, '<li>'))::BIGINT AS n FROM pages)")
+def selectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Given selector lists replace the defaults, empty ones do not; of a list the first selector with a text wins."""
+    chosen = tables.selectors({"title": ["h2", "h3"], "items": ["li"]}, {"title": ["h6", "h1"], "items": []})
+    text_of = lambda tag: F.nullif(F.try_element_at(web.select(F.col("html"), tag), F.lit(1))["text"], F.lit(""))
+    return pages(spark, sf_dir).select("page_id", F.coalesce(*[text_of(tag) for tag in chosen["title"]]).alias("title"), F.size(web.select(F.col("html"), chosen["items"][0])).cast("long").alias("n"))
 
 
 BLOCK = f"CASE {K} % 6 WHEN 0 THEN 'short' WHEN 1 THEN concat('please solve this CAPTCHA ', repeat('x', 200)) WHEN 2 THEN concat('Rate limit reached ', repeat('y', 200)) WHEN 3 THEN repeat('z', 200) WHEN 4 THEN concat(repeat('w', 6000), 'access denied') ELSE NULL END"

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.functions.values import is_empty
-from waymark.operators import matching, records, scope
+from waymark.operators import lookups, matching, records, scope
+from waymark.sources import tables
 
 from .base import HAVERSINE_SQL, SEED, TOKENS_SQL, Input, jaccard_sql, query, table
 
@@ -196,17 +197,36 @@ def propagate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("J05_lookup", f"{WITH_SEED} SELECT s.place_code, e.n FROM seed s LEFT JOIN (SELECT user_id, count(*) AS n FROM events GROUP BY 1) e ON s.place_code = CAST(e.user_id AS VARCHAR)")
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("place_code")).agg(F.count("*").alias("n"))
-    return SEED.frame(spark, sf_dir).join(n, "place_code", "left").select("place_code", "n")
+    return lookups.lookup(SEED.frame(spark, sf_dir), n).select("place_code", "n")
 
 
 @query("J06_fallback_reviews", "WITH own AS (SELECT doc_id, CASE WHEN n_chars % 3 = 0 THEN NULL ELSE lang END AS own FROM documents), extra AS (SELECT doc_id, quality FROM labels) SELECT o.doc_id, coalesce(o.own, 'extra ' || e.quality) AS review FROM own o LEFT JOIN extra e USING (doc_id)")
 def fallback_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("n_chars") % 3 != 0, F.col("lang")).alias("own"))
-    joined = own.join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    return joined.select("doc_id", F.coalesce("own", F.concat(F.lit("extra "), F.col("quality").cast("string"))).alias("review"))
+    own = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("n_chars") % 3 != 0, F.col("lang")).alias("review"))
+    return lookups.with_fallback(own, table(spark, sf_dir, "labels"), "doc_id", "review", F.concat(F.lit("extra "), F.col("quality").cast("string")))
 
 
-@query("J10_not_stored", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("J10_not_stored", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderkey % 7 = 0)")
 def not_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return table(spark, sf_dir, "customer").join(orders, "c_custkey", "left_anti").select("c_custkey")
+    stored = table(spark, sf_dir, "orders").filter("o_orderkey % 7 = 0").select(F.col("o_custkey").alias("c_custkey"))
+    return lookups.not_stored(table(spark, sf_dir, "customer"), stored, "c_custkey").select("c_custkey")
+
+
+# Settings ---------------------------------------------------------------------------------------------------------
+DEFAULTS = {"scope": {"areas": ["gulshan"], "sub_areas": ["gulshan 1", "gulshan 2", "gulshan"], "excluded": ["cyber"], "require_cafe": True}, "limits": {"reviews": 5}}
+GIVEN = {"scope": {"areas": ["dhaka", "gulshan"], "sub_areas": ["banani", "circle 2"], "excluded": []}, "unknown": {"kept": 1}}
+
+
+@query(
+    "S11_settings",
+    f"{WITH_SEED}, h AS (SELECT *, lower(coalesce(sub_area, '') || ' ' || coalesce(area, '')) AS h FROM seed) SELECT place_code, CASE WHEN coalesce(sub_type, '') <> '' AND NOT regexp_matches(lower(sub_type), 'cafe|café|coffee|bakery|tea|dessert|patisserie|pastry') THEN 'type' "
+    "WHEN NOT regexp_matches(h, 'dhaka|gulshan') THEN 'area' WHEN NOT regexp_matches(h, 'banani|circle 2') THEN 'sub_area' END AS rule, 5::BIGINT AS reviews FROM h",
+)
+def settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settings over the defaults decide the scope: given lists replace, what is not given stays."""
+    merged = tables.merged_settings(DEFAULTS, GIVEN)
+    s = merged["scope"]
+    chosen = scope.Scope(tuple(s["areas"]), tuple(s["sub_areas"]), tuple(s["excluded"]), s["require_cafe"])
+    reason = scope.scope_reason(chosen)
+    rule = F.when(reason.startswith("sub_type"), "type").when(reason.startswith("area"), "area").when(reason.startswith("sub_area"), "sub_area")
+    return SEED.frame(spark, sf_dir).select("place_code", rule.alias("rule"), F.lit(merged["limits"]["reviews"]).cast("long").alias("reviews"))

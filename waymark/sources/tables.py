@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import copy
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,10 +94,20 @@ def read_runs(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame
     return raw.select(*[c for c in raw.columns if c != "place_code"], path.alias("path"), run_stamp(run).alias("run_at"), F.coalesce(blank_to_null(F.col("place_code")), stem).alias("place_code"))
 
 
+def brand_pattern(brand: str) -> str:
+    """A LIKE pattern for texts that contain the brand; its own wildcards stand for themselves (escaped by a backslash)."""
+    return "%" + re.sub(r"([\\%_])", r"\\\1", brand) + "%"
+
+
+def outlets_query(brand: str) -> str:
+    """The statement that the database runs: places whose name contains the brand in any case."""
+    literal = brand_pattern(brand).replace("'", "''")
+    return f"SELECT * FROM public.places WHERE business_name ILIKE '{literal}' ESCAPE '\\'"
+
+
 def read_outlets(spark: SparkSession, url: str, brand: str, properties: dict[str, str] | None = None) -> DataFrame:
     """Places whose name contains the brand in any case; the predicate runs in the database."""
-    query = f"SELECT * FROM public.places WHERE business_name ILIKE '%{brand.replace(chr(39), chr(39) * 2)}%'"
-    return spark.read.format("jdbc").options(url=url, query=query, **(properties or {})).load()
+    return spark.read.format("jdbc").options(url=url, query=outlets_query(brand), **(properties or {})).load()
 
 
 def merged_settings(defaults: dict, given: dict) -> dict:

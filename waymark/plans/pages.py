@@ -220,15 +220,22 @@ def selectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages(spark, sf_dir).select("page_id", F.coalesce(*[text_of(tag) for tag in chosen["title"]]).alias("title"), F.size(web.select(F.col("html"), chosen["items"][0])).cast("long").alias("n"))
 
 
-BLOCK = f"CASE {K} % 6 WHEN 0 THEN 'short' WHEN 1 THEN concat('please solve this CAPTCHA ', repeat('x', 200)) WHEN 2 THEN concat('Rate limit reached ', repeat('y', 200)) WHEN 3 THEN repeat('z', 200) WHEN 4 THEN concat(repeat('w', 6000), 'access denied') ELSE NULL END"
+BLOCK = (
+    f"CASE {K} % 7 WHEN 0 THEN concat('short ', c_name) WHEN 1 THEN concat('please solve this CAPTCHA ', repeat(c_name, 20)) WHEN 2 THEN concat('Rate limit reached ', repeat(c_name, 20)) WHEN 3 THEN repeat(c_name, 20) "
+    f"WHEN 4 THEN concat(repeat('w', CAST(5900 + {K} % 200 AS INT)), 'access denied') WHEN 5 THEN concat(repeat(' ', 200), c_name) ELSE NULL END"
+)
+_BODY = "substr(lower(coalesce(raw, '')), 1, 6000)"
 scalar(
     "F14_block_page",
     BLOCK,
     {
-        "reason": (lambda c: web.block_reason(F.lit("https://x.example.com"), c)["reason"], "CASE k % 6 WHEN 0 THEN 'empty-body' WHEN 1 THEN 'block-text:captcha' WHEN 2 THEN 'soft:rate limit' WHEN 5 THEN 'empty-body' END"),
-        "hard": (lambda c: web.block_reason(F.lit("https://x.example.com"), c)["hard"], "CASE k % 6 WHEN 0 THEN FALSE WHEN 1 THEN TRUE WHEN 2 THEN FALSE WHEN 5 THEN FALSE END"),
-        "by_url": (lambda c: web.block_reason(F.lit("https://g.example.com/sorry/index"), c)["reason"], "'block-url:https://g.example.com/sorry/index'"),
-        "all_hard": (lambda c: F.coalesce(web.block_reason(F.lit(""), c, True)["hard"], F.lit(False)), "k % 6 IN (1, 2)"),
+        "reason": (
+            lambda c: web.block_reason(F.lit("https://x.example.com"), c)["reason"],
+            f"CASE WHEN contains({_BODY}, 'captcha') THEN 'block-text:captcha' WHEN contains({_BODY}, 'access denied') THEN 'block-text:access denied' WHEN contains({_BODY}, 'rate limit') THEN 'soft:rate limit' WHEN length(trim(coalesce(raw, ''))) < 120 THEN 'empty-body' END",
+        ),
+        "hard": (lambda c: web.block_reason(F.lit("https://x.example.com"), c)["hard"], f"CASE WHEN regexp_matches({_BODY}, 'captcha|access denied') THEN TRUE WHEN contains({_BODY}, 'rate limit') OR length(trim(coalesce(raw, ''))) < 120 THEN FALSE END"),
+        "by_url": (lambda c: web.block_reason(F.concat(F.lit("https://g.example.com/sorry/"), F.coalesce(F.substring(c, 1, 5), F.lit(""))), c)["reason"], "'block-url:https://g.example.com/sorry/' || lower(substr(coalesce(raw, ''), 1, 5))"),
+        "all_hard": (lambda c: F.coalesce(web.block_reason(F.lit(""), c, True)["hard"], F.lit(False)), f"regexp_matches({_BODY}, 'captcha|access denied|rate limit')"),
     },
 )
 
@@ -358,16 +365,16 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 scalar(
     "H15_day_rows",
-    f"concat('Monday ', CAST({K} % 11 + 1 AS STRING), ' AM–10 PM\nTuesday Closed\nMonday 1–2 PM')",
-    {"week": (lambda c: F.to_json(hours.hours_in_text(c)), "'{\"Mon\":\"' || lpad((k % 11 + 1)::VARCHAR, 2, '0') || ':00-22:00\",\"Tue\":\"closed\"}'")},
+    f"concat('Monday ', CAST({K} % 11 + 1 AS STRING), ':', lpad(CAST({K} % 60 AS STRING), 2, '0'), ' AM–10 PM\nTuesday Closed\nMonday 1–2 PM')",
+    {"week": (lambda c: F.to_json(hours.hours_in_text(c)), "'{\"Mon\":\"' || lpad((k % 11 + 1)::VARCHAR, 2, '0') || ':' || lpad((k % 60)::VARCHAR, 2, '0') || '-22:00\",\"Tue\":\"closed\"}'")},
 )
 scalar(
     "H13_hours_table",
-    f"concat('Saturday|9 AM–10 PM;Sunday|', CAST({K} % 11 + 1 AS STRING), '–11 PM;x|Closed')",
+    f"concat('Saturday|9 AM–10 PM;Sunday|', CAST({K} % 11 + 1 AS STRING), ':', lpad(CAST({K} % 60 AS STRING), 2, '0'), '–11 PM;x|Closed')",
     {
         "week": (
             lambda c: F.to_json(hours.normalized_hours(F.map_from_entries(F.transform(F.split(c, ";"), lambda r: F.struct(F.split(r, r"\|")[0], F.split(r, r"\|")[1]))))["schedule"]),
-            "'{\"Sat\":\"09:00-22:00\",\"Sun\":\"' || lpad((k % 11 + 13)::VARCHAR, 2, '0') || ':00-23:00\"}'",
+            "'{\"Sat\":\"09:00-22:00\",\"Sun\":\"' || lpad((k % 11 + 13)::VARCHAR, 2, '0') || ':' || lpad((k % 60)::VARCHAR, 2, '0') || '-23:00\"}'",
         )
     },
 )

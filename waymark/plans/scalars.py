@@ -54,10 +54,10 @@ def clean_url(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 scalar(
     "T05_clean_url_variant",
-    f"CASE {K} % 6 WHEN 0 THEN 'http://x.example.com/a?' WHEN 1 THEN 'http://x.example.com/a/?q=1#t' WHEN 2 THEN 'not a url' WHEN 3 THEN 'http:///path' WHEN 4 THEN 'https://y.example.com/?#z' ELSE NULL END",
+    f"CASE {K} % 6 WHEN 0 THEN concat('http://x', CAST({K} AS STRING), '.example.com/a?') WHEN 1 THEN concat('http://x.example.com/', CAST({K} AS STRING), '//?q=1#t') WHEN 2 THEN c_name WHEN 3 THEN concat('http:///', c_name) WHEN 4 THEN concat('https://y', CAST({K} AS STRING), '.example.com/?#z') ELSE NULL END",
     {
-        "plain": (text.clean_url, "CASE k % 6 WHEN 0 THEN 'http://x.example.com/a' WHEN 1 THEN 'http://x.example.com/a' WHEN 4 THEN 'https://y.example.com' END"),
-        "bare_query": (lambda c: text.clean_url(c, keep_bare_query=True), "CASE k % 6 WHEN 0 THEN 'http://x.example.com/a?' WHEN 1 THEN 'http://x.example.com/a' WHEN 4 THEN 'https://y.example.com/?' END"),
+        "plain": (text.clean_url, "CASE WHEN regexp_matches(raw, '^https?://[^/?#]') THEN regexp_replace(regexp_extract(raw, '^[^?#]*'), '/+$', '') END"),
+        "bare_query": (lambda c: text.clean_url(c, keep_bare_query=True), "CASE WHEN regexp_matches(raw, '^https?://[^/?#]') THEN CASE WHEN regexp_matches(raw, '^[^?#]*[?](#|$)') THEN regexp_extract(raw, '^[^#]*') ELSE regexp_replace(regexp_extract(raw, '^[^?#]*'), '/+$', '') END END"),
     },
 )
 scalar("T06_slugify", "concat(' ', p_name, ' / ', p_brand, ' ')", {"slug": (text.slugify, "coalesce(nullif(trim(regexp_replace(lower(trim(raw)), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'unknown')")}, "part", "p_partkey")
@@ -106,15 +106,22 @@ def search_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("pos", F.substring_index(built, "/@", 1).alias("url"))
 
 
-STATUS = f"CASE {K} % 6 WHEN 0 THEN 'This place is Permanently closed' WHEN 1 THEN 'temporarily CLOSED until May' WHEN 2 THEN 'it has moved' WHEN 3 THEN 'Temporarily unavailable' WHEN 4 THEN 'closed permanently; temporarily closed' ELSE NULL END"
+STATUS = (
+    f"CASE {K} % 7 WHEN 0 THEN concat(c_name, ' is Permanently closed') WHEN 1 THEN concat('temporarily CLOSED until ', CAST({K} AS STRING)) WHEN 2 THEN concat(c_name, ' has moved') WHEN 3 THEN concat('Temporarily unavailable ', c_name) "
+    f"WHEN 4 THEN concat('closed permanently; ', c_name, ' temporarily closed') WHEN 5 THEN concat('open, ', c_name) ELSE NULL END"
+)
+_LOW = "lower(coalesce(raw, ''))"
 scalar(
     "T15_status_text",
     STATUS,
     {
-        "package": (text.status_of, "CASE k % 6 WHEN 0 THEN 'PERMANENTLY_CLOSED' WHEN 1 THEN 'TEMPORARILY_CLOSED' WHEN 4 THEN 'PERMANENTLY_CLOSED' END"),
-        "moved": (lambda c: text.status_of(c, "moved"), "CASE k % 6 WHEN 0 THEN 'PERMANENTLY_CLOSED' WHEN 1 THEN 'TEMPORARILY_CLOSED' WHEN 2 THEN 'MOVED' WHEN 3 THEN 'TEMPORARILY_CLOSED' WHEN 4 THEN 'PERMANENTLY_CLOSED' END"),
-        "tag": (lambda c: text.status_of(c, "tag"), "CASE k % 6 WHEN 0 THEN 'Permanently Closed' WHEN 1 THEN 'Temporarily Closed' WHEN 4 THEN 'Temporarily Closed' END"),
-        "with_head": (lambda c: text.detected_status(c, F.lit("Permanently closed for good")), "CASE k % 6 WHEN 1 THEN 'TEMPORARILY_CLOSED' ELSE 'PERMANENTLY_CLOSED' END"),
+        "package": (text.status_of, f"CASE WHEN regexp_matches({_LOW}, 'permanently closed|closed permanently') THEN 'PERMANENTLY_CLOSED' WHEN contains({_LOW}, 'temporarily closed') THEN 'TEMPORARILY_CLOSED' END"),
+        "moved": (
+            lambda c: text.status_of(c, "moved"),
+            f"CASE WHEN regexp_matches({_LOW}, 'permanently closed|closed permanently') THEN 'PERMANENTLY_CLOSED' WHEN regexp_matches({_LOW}, 'temporarily (closed|unavailable)') THEN 'TEMPORARILY_CLOSED' WHEN regexp_matches({_LOW}, 'has moved|moved to a new location') THEN 'MOVED' END",
+        ),
+        "tag": (lambda c: text.status_of(c, "tag"), f"CASE WHEN contains({_LOW}, 'permanently closed') THEN 'Permanently Closed' WHEN contains({_LOW}, 'temporarily closed') THEN 'Temporarily Closed' END"),
+        "with_head": (lambda c: text.detected_status(c, F.lit("Permanently closed for good")), f"CASE WHEN contains({_LOW}, 'temporarily closed') AND NOT regexp_matches({_LOW}, 'permanently closed|closed permanently') THEN 'TEMPORARILY_CLOSED' ELSE 'PERMANENTLY_CLOSED' END"),
     },
 )
 scalar(
@@ -126,7 +133,7 @@ scalar(
     },
 )
 scalar("T20_review_length", "coalesce(text, '')", {f"at_least_{n}": (lambda c, n=n: F.length(text.collapsed(c)) >= n, f"length(trim(regexp_replace(raw, '\\s+', ' ', 'g'))) >= {n}") for n in (15, 25, 30)}, "documents", "doc_id")
-scalar("T21_stars", f"CASE WHEN {K} % 3 = 0 THEN 'no stars' ELSE concat(CAST({K} % 9 AS STRING), ' of 5 stars') END", {"stars": (text.stars, "CASE WHEN k % 3 = 0 THEN NULL WHEN k % 9 BETWEEN 1 AND 5 THEN k % 9 ELSE 5 END::BIGINT")})
+scalar("T21_stars", f"CASE WHEN {K} % 3 = 0 THEN concat('no stars ', CAST({K} % 10 * 6 AS STRING)) ELSE concat(CAST({K} AS STRING), ' of 5 stars') END", {"stars": (text.stars, "nullif(regexp_extract(raw, '[1-5]'), '')::BIGINT")})
 scalar(
     "T23_brand_contact",
     f"concat('Phone: +880 1', CAST({K} AS STRING), '-(22)\nFloor 2')",
@@ -134,21 +141,21 @@ scalar(
 )
 scalar(
     "T27_fallback_text",
-    f"CASE {K} % 3 WHEN 0 THEN ' ab ' WHEN 1 THEN 'long enough' ELSE NULL END",
-    {"chosen": (lambda c: text.fallback_text(c, F.lit(" second choice "), least=3), "CASE k % 3 WHEN 1 THEN 'long enough' ELSE 'second choice' END")},
+    f"CASE {K} % 3 WHEN 0 THEN concat(' ', substr(c_name, 1, CAST({K} % 5 AS INT)), '  ') WHEN 1 THEN concat('  ', c_name) ELSE NULL END",
+    {"chosen": (lambda c: text.fallback_text(c, F.lit(" second choice "), least=3), "CASE WHEN length(trim(raw)) >= 3 THEN trim(raw) ELSE 'second choice' END")},
 )
 scalar(
     "T28_place_name",
-    f"CASE {K} % 3 WHEN 0 THEN 'Results|Cafe A' WHEN 1 THEN ' |n/a|Google Maps' ELSE 'Tea Room|X' END",
-    {"name": (lambda c: text.place_name(F.split(c, r"\|")), "CASE k % 3 WHEN 0 THEN 'Cafe A' WHEN 1 THEN 'N/A' ELSE 'Tea Room' END")},
+    f"CASE {K} % 3 WHEN 0 THEN concat('Results| ', c_name, ' |Cafe A') WHEN 1 THEN ' |n/a|Google Maps' ELSE concat(c_name, '|X') END",
+    {"name": (lambda c: text.place_name(F.split(c, r"\|")), "coalesce(list_filter(list_transform(string_split(raw, '|'), lambda x: trim(x)), lambda x: lower(x) NOT IN ('', 'results', 'n/a', 'google maps', 'search results'))[1], 'N/A')")},
 )
 scalar(
     "F06_brand",
-    f"CASE {K} % 5 WHEN 0 THEN 'Agora Super Shop' WHEN 1 THEN 'আগোরা' WHEN 2 THEN 'agora' WHEN 3 THEN 'Results' ELSE NULL END",
-    {"target": (lambda c: text.is_brand(c, "Agora", ("আগোরা",), ("super", "outlet")), "k % 5 IN (0, 1)")},
+    f"CASE {K} % 7 WHEN 0 THEN concat('Agora Super ', c_name) WHEN 1 THEN concat(c_name, ' আগোরা') WHEN 2 THEN concat('agora ', c_name) WHEN 3 THEN 'Results' WHEN 4 THEN concat(c_name, ' OUTLET of AGORA') WHEN 5 THEN c_name ELSE NULL END",
+    {"target": (lambda c: text.is_brand(c, "Agora", ("আগোরা",), ("super", "outlet")), "coalesce(contains(raw, 'আগোরা') OR (contains(lower(raw), 'agora') AND regexp_matches(lower(raw), 'super|outlet')), FALSE)")},
 )
 scalar("F07_ilike", "concat(p_name, ' ', p_brand)", {"hit": (lambda c: c.ilike("%RED w%"), "raw ILIKE '%RED w%'")}, "part", "p_partkey")
-EMPTY = f"CASE {K} % 7 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN 'N/A' WHEN 3 THEN '0' WHEN 4 THEN 'nan' WHEN 5 THEN ' n/a ' ELSE 'x' END"
+EMPTY = f"CASE {K} % 8 WHEN 0 THEN NULL WHEN 1 THEN repeat(' ', CAST({K} % 50 AS INT)) WHEN 2 THEN 'N/A' WHEN 3 THEN CAST({K} % 10 AS STRING) WHEN 4 THEN 'nan' WHEN 5 THEN concat(repeat(' ', CAST({K} % 50 AS INT)), 'n/a ') ELSE c_name END"
 scalar(
     "F11_is_empty",
     EMPTY,
@@ -239,8 +246,8 @@ scalar(
 _H = f"CAST({K} % 11 + 1 AS STRING)"
 scalar(
     "H01_canonical_day",
-    f"CASE {K} % 8 WHEN 0 THEN 'saturday' WHEN 1 THEN 'SUN' WHEN 2 THEN 'Monday:' WHEN 3 THEN 'tues' WHEN 4 THEN 'Wed ' WHEN 5 THEN 'thurs.' WHEN 6 THEN 'Friday' ELSE 'Funday' END",
-    {"day": (hours.canonical_day, "CASE k % 8 WHEN 0 THEN 'Sat' WHEN 1 THEN 'Sun' WHEN 2 THEN 'Mon' WHEN 3 THEN 'Tue' WHEN 4 THEN 'Wed' WHEN 5 THEN 'Thu' WHEN 6 THEN 'Fri' END")},
+    f"concat(repeat('.', CAST({K} % 40 AS INT)), CASE {K} % 8 WHEN 0 THEN 'saturday' WHEN 1 THEN 'SUN' WHEN 2 THEN 'Monday:' WHEN 3 THEN 'tues' WHEN 4 THEN 'Wed ' WHEN 5 THEN 'thurs.' WHEN 6 THEN 'Friday' ELSE 'Funday' END, CAST({K} AS STRING))",
+    {"day": (hours.canonical_day, "CASE regexp_replace(lower(raw), '[^a-z]', '', 'g') WHEN 'saturday' THEN 'Sat' WHEN 'sun' THEN 'Sun' WHEN 'monday' THEN 'Mon' WHEN 'tues' THEN 'Tue' WHEN 'wed' THEN 'Wed' WHEN 'thurs' THEN 'Thu' WHEN 'friday' THEN 'Fri' END")},
 )
 _HH = "lpad((k % 11 + 1)::VARCHAR, 2, '0')"
 _PM = "lpad((k % 11 + 13)::VARCHAR, 2, '0')"
@@ -259,28 +266,30 @@ scalar(
     f"CASE {K} % 9 WHEN 0 THEN concat('5–7 PM, 8–', {_H}, ' PM') WHEN 1 THEN 'Open 24 hours' WHEN 2 THEN ' Closed. ' WHEN 3 THEN 'N/A (Check Maps)' WHEN 4 THEN 'Bakery' WHEN 5 THEN '9 AM–1 PM and 3 PM–11 PM' WHEN 6 THEN NULL WHEN 7 THEN '10:00-22:00; ' ELSE '9 AM–10 PM, later' END",
     {"value": (hours.canonical_hours, f"CASE k % 9 WHEN 0 THEN '17:00-19:00, 20:00-' || {_PM} || ':00' WHEN 1 THEN '00:00-24:00' WHEN 2 THEN 'closed' WHEN 5 THEN '09:00-13:00, 15:00-23:00' WHEN 7 THEN '10:00-22:00' END")},
 )
-_WEEK = f"concat('Hours: Monday ', {_H}, ' AM–10 PM; Sunday: Closed; Friday Open 24 hours, monday 1–2 PM; Funday 1–2 PM')"
-scalar("H06_hours_in_text", _WEEK, {"week": (lambda c: F.to_json(hours.hours_in_text(c)), f"'{{\"Sun\":\"closed\",\"Mon\":\"' || {_HH} || ':00-22:00\",\"Fri\":\"00:00-24:00\"}}'")})
+_MM = f"lpad(CAST({K} % 60 AS STRING), 2, '0')"
+_MIN = "lpad((k % 60)::VARCHAR, 2, '0')"
+_WEEK = f"concat('Hours: Monday ', {_H}, ':', {_MM}, ' AM–10 PM; Sunday: Closed; Friday Open 24 hours, monday 1–2 PM; Funday 1–2 PM')"
+scalar("H06_hours_in_text", _WEEK, {"week": (lambda c: F.to_json(hours.hours_in_text(c)), f"'{{\"Sun\":\"closed\",\"Mon\":\"' || {_HH} || ':' || {_MIN} || '-22:00\",\"Fri\":\"00:00-24:00\"}}'")})
 scalar(
     "H07_normalized_hours",
-    _H,
+    f"concat({_H}, ':', {_MM})",
     {
         "schedule": (
             lambda c: F.to_json(hours.normalized_hours(F.create_map(F.lit("monday"), F.concat(c, F.lit(" AM–10 PM")), F.lit("sat"), F.lit("Closed"), F.lit("x"), F.lit("1-2 PM"), F.lit("tue"), F.lit("ask at counter"), F.lit("sun"), F.lit("N/A")))["schedule"]),
-            f"'{{\"Sat\":\"closed\",\"Mon\":\"' || {_HH} || ':00-22:00\",\"Tue\":\"ask at counter\"}}'",
+            f"'{{\"Sat\":\"closed\",\"Mon\":\"' || {_HH} || ':' || {_MIN} || '-22:00\",\"Tue\":\"ask at counter\"}}'",
         ),
-        "notes": (lambda c: F.array_join(hours.normalized_hours(F.create_map(F.lit("tue"), F.concat(F.lit("ask "), c)))["notes"], ";"), "'Tue: kept raw value ''ask ' || (k % 11 + 1) || ''''"),
+        "notes": (lambda c: F.array_join(hours.normalized_hours(F.create_map(F.lit("tue"), F.concat(F.lit("ask "), c)))["notes"], ";"), "'Tue: kept raw value ''ask ' || raw || ''''"),
     },
 )
 scalar(
     "H05_ordered_week",
-    _H,
-    {"week": (lambda c: F.to_json(hours.ordered_week(F.create_map(F.lit("Fri"), c, F.lit("Sat"), F.lit("a"), F.lit("Xyz"), F.lit("b")))), "'{\"Sat\":\"a\",\"Fri\":\"' || (k % 11 + 1) || '\"}'")},
+    "c_name",
+    {"week": (lambda c: F.to_json(hours.ordered_week(F.create_map(F.lit("Fri"), c, F.lit("Sat"), F.lit("a"), F.lit("Xyz"), F.lit("b")))), "'{\"Sat\":\"a\",\"Fri\":\"' || raw || '\"}'")},
 )
-scalar("H09_display_hours", f"concat(' ', {_H}, ' a.m.—10  p.m ,')", {"shown": (hours.display_hours, "(k % 11 + 1) || ' AM. – 10 PM '")})
+scalar("H09_display_hours", f"concat(' ', {_H}, ':', {_MM}, ' a.m.—10  p.m ,')", {"shown": (hours.display_hours, "(k % 11 + 1) || ':' || lpad((k % 60)::VARCHAR, 2, '0') || ' AM. – 10 PM '")})
 scalar("H10_ampm", f"CASE WHEN {K} % 5 = 0 THEN 'x ' ELSE concat(CAST({K} % 25 AS STRING), ':', lpad(CAST({K} % 60 AS STRING), 2, '0')) END", {"shown": (hours.hhmm_to_ampm, "CASE WHEN k % 5 = 0 THEN 'x' ELSE (CASE WHEN k % 25 % 12 = 0 THEN 12 ELSE k % 25 % 12 END) || ':' || lpad((k % 60)::VARCHAR, 2, '0') || CASE WHEN k % 25 < 12 OR k % 25 = 24 THEN ' AM' ELSE ' PM' END END")})
 scalar("H14_enough_days", _WEEK, {"three": (lambda c: hours.enough_days(hours.hours_in_text(c), 3), "TRUE"), "five": (lambda c: hours.enough_days(hours.hours_in_text(c)), "FALSE")})
-_TWO = f"lpad(CAST({K} % 60 AS STRING), 2, '0')"
+_TWO = _MM
 _SHOWN = "(k % 11 + 1) || ':' || lpad((k % 60)::VARCHAR, 2, '0') || ' AM – 10:30 PM'"
 _DAYS_SQL = "list_transform({0}, lambda d: chr(34) || d || chr(34) || ':' || chr(34) || {1} || chr(34))"
 
@@ -327,12 +336,16 @@ scalar(
 )
 scalar(
     "R02_update_map",
-    f"CASE {K} % 3 WHEN 0 THEN '' WHEN 1 THEN 'new' ELSE NULL END",
-    {"merged": (lambda c: F.to_json(values.update_map(F.create_map(F.lit("a"), F.lit("old"), F.lit("b"), F.lit("kept")), F.create_map(F.lit("a"), c))), "CASE WHEN k % 3 = 1 THEN '{\"a\":\"new\",\"b\":\"kept\"}' ELSE '{\"a\":\"old\",\"b\":\"kept\"}' END")},
+    f"CASE {K} % 3 WHEN 0 THEN '' WHEN 1 THEN c_name ELSE NULL END",
+    {"merged": (lambda c: F.to_json(values.update_map(F.create_map(F.lit("a"), F.lit("old"), F.lit("b"), F.lit("kept")), F.create_map(F.lit("a"), c))), "'{\"a\":\"' || coalesce(nullif(raw, ''), 'old') || '\",\"b\":\"kept\"}'")},
 )
 scalar("R03_first_where", _LIST, {"first_big": (lambda c: values.first_where(F.split(c, ","), lambda x: x.cast("int") >= 2), "list_filter(string_split(raw, ','), lambda x: x::INT >= 2)[1]")})
 scalar("R04_entries", _LIST, {"socials": (lambda c: F.to_json(F.map_from_entries(F.array(F.struct(F.lit("FACEBOOK"), F.split(c, ",")[0])))), "'{\"FACEBOOK\":\"' || (k % 3) || '\"}'")})
-scalar("R05_json_column", f"CASE {K} % 3 WHEN 0 THEN '[\"a\",\"b\"]' WHEN 1 THEN 'broken' ELSE NULL END", {"n": (lambda c: F.size(values.from_json_or(c, "array<string>", "[]")), "CASE WHEN k % 3 = 0 THEN 2 ELSE 0 END")})
+scalar(
+    "R05_json_column",
+    f"CASE {K} % 4 WHEN 0 THEN concat('[\"', c_name, '\"', repeat(',\"b\"', CAST({K} % 9 AS INT)), ']') WHEN 1 THEN concat('broken ', c_name) WHEN 2 THEN '[]' ELSE NULL END",
+    {"n": (lambda c: F.size(values.from_json_or(c, "array<string>", "[]")), "CASE WHEN raw LIKE '[\"%' THEN len(string_split(raw, ',')) ELSE 0 END"), "first": (lambda c: F.try_element_at(values.from_json_or(c, "array<string>", "[]"), F.lit(1)), "nullif(regexp_extract(raw, '^\\[\"([^\"]*)', 1), '')")},
+)
 scalar("R06_sorted_join", _LIST, {"joined": (lambda c: values.joined_sorted(F.split(c, ",")), "array_to_string(list_sort(list_distinct(string_split(raw, ','))), '+')")})
 scalar("R07_any", _LIST, {"has_zero": (lambda c: F.exists(F.split(c, ","), lambda x: x == "0"), "list_contains(string_split(raw, ','), '0')")})
 scalar("M17_first_usable", f"concat(CASE {K} % 2 WHEN 0 THEN 'N/A' ELSE ' a ' END, ',', CAST({K} AS STRING))", {"first": (lambda c: values.first_usable(F.split(c, ",")), "CASE WHEN k % 2 = 0 THEN k::VARCHAR ELSE 'a' END")})

@@ -1,9 +1,12 @@
 """The numpy and Python parts, against plain versions."""
 
 import collections
+import gc
+import itertools
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -614,6 +617,38 @@ def test_plain_prose_of_fifty_words_is_kept():
     assert kept == [True, False, False]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="aB 'st\n\té中<|>0", max_size=60), st.integers(1, 20), st.integers(1, 5))
+def test_parts_of_long_texts_pack_as_the_whole(text, limit, capacity):
+    codec = packing.word_codec()
+    whole = codec.encode([text], 1)[0]
+    ids = itertools.chain((codec.encode([p])[0] for p in packing.parts(text, limit)), [np.array([1], "<u4").tobytes()])
+    assert list(packing.cut_ids(ids, capacity)) == [whole[i : i + 4 * capacity] for i in range(0, len(whole), 4 * capacity)]
+
+
+def test_memory_of_long_texts_is_bounded():
+    """Peaks over what the text itself takes, in bytes a byte: sets and counts hold their hashes, the others a slice."""
+    r = np.random.default_rng(2)
+    vocabulary = np.array(["".join(r.choice(list("abcdefghijkl"), int(n))) for n in r.integers(2, 9, size=3000)])
+    text = " ".join(" ".join(r.choice(vocabulary, 100)) + ".\n" for _ in range(32_000))
+    data, offsets = column_bytes(pa.array([text]))
+    codec, net, model = packing.word_codec(), bytecnn.start_net(1), toxicity.make_model(np.arange(9, dtype=np.uint64), np.ones(9), -7.0)
+    for most, run in (
+        (10, lambda: sets_of(data, offsets, 3)),
+        (10, lambda: rules.base_counts(data, offsets)),
+        (4, lambda: toxicity.long_text(model, data)),
+        (9, lambda: bytecnn.long_pooled(net, data)),
+        (4, lambda: sum(1 for _ in packing.cut_ids((codec.encode([p])[0] for p in packing.parts(text)), 4096))),
+    ):
+        run()
+        gc.collect()
+        tracemalloc.start()
+        run()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most * len(data) + 60e6, (most, peak / len(data))
+
+
 def test_crc_of_pieces_is_unsigned_little_endian():
     ids = packing.word_codec().encode(["the cat"], 1)[0]
     assert zlib.crc32(ids) == zlib.crc32(np.array(np.frombuffer(ids, "<u4"), "<u4").tobytes()) >= 0

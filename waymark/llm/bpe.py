@@ -38,7 +38,7 @@ CHUNK, OVERLAP = 1 << 14, 1 << 8
 #: ("'ll") have three characters, all others look one character past their end.
 AHEAD = 3
 #: Distinct pieces whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Threads that match the chunks of one text, and the chunks from which on they do.
 THREADS, SPREAD = 4, 4
 

@@ -34,9 +34,9 @@ BANDS, ROWS = 25, 5
 #: Minima compared before each look at the posterior.
 BATCH = 25
 #: Members in one block of a bucket.
-BLOCK = 400
+BLOCK = 200
 #: And their shingles, about.
-BLOCK_SHINGLES = 200_000
+BLOCK_SHINGLES = 100_000
 _RNG = np.random.default_rng(90210)
 _ODD = (_RNG.integers(1 << 31, size=(BANDS * ROWS, 1), dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _XOR = _RNG.integers(1 << 32, size=(BANDS * ROWS, 1), dtype=np.uint32)

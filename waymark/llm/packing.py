@@ -38,7 +38,9 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 4096
 END = 1
 #: Distinct pre-tokens whose ids a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
+#: Characters of a text that are encoded at once.
+AT_ONCE = 1 << 20
 
 
 _BLANK = re.compile(r"[ \t-\r]+")
@@ -103,6 +105,31 @@ class WordCodec:
         return [b"".join([known[w] for w in ws]) + last for known, ws in parts]
 
 
+def parts(text: str, limit: int = AT_ONCE) -> Iterator[str]:
+    """A text in parts whose ids add up to the whole text's: cut at ASCII white space, which no pre-token holds."""
+    at = 0
+    while len(text) - at > limit:
+        cut = _BLANK.search(text, at + limit)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
+def cut_ids(ids: Iterator[bytes], capacity: int) -> Iterator[bytes]:
+    """The ids of a text, given in parts, in pieces of ``capacity``; the last may be shorter."""
+    rest = b""
+    for part in ids:
+        part = rest + part
+        whole = len(part) - len(part) % (4 * capacity)
+        for at in range(0, whole, 4 * capacity):
+            yield part[at : at + 4 * capacity]
+        rest = part[whole:]
+    if rest:
+        yield rest
+
+
 def word_codec(path: str = TOKENIZER) -> WordCodec:
     return held(f"words {path}", lambda: WordCodec(path))
 
@@ -113,15 +140,18 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str = TOKENIZER, end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, task, ranks = word_codec(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        last = np.array([end], "<u4").tobytes()
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
                 out = []
                 part = batch.slice(lo, 128)
-                for doc, ids in zip(part.column(0).to_pylist(), codec.encode(part.column(1).to_pylist(), end), strict=True):
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[at : at + 4 * capacity]
-                        n = len(part) // 4
-                        out.append((doc, piece, at // 4, n, zlib.crc32(part), task, int(ranks[n])))
+                texts = part.column(1).to_pylist()
+                short = iter(codec.encode([t for t in texts if len(t) <= AT_ONCE], end))
+                for doc, text in zip(part.column(0).to_pylist(), texts, strict=True):
+                    ids = iter([next(short)]) if len(text) <= AT_ONCE else chain((codec.encode([p])[0] for p in parts(text)), [last])
+                    for piece, own in enumerate(cut_ids(ids, capacity)):
+                        n = len(own) // 4
+                        out.append((doc, piece, piece * capacity, n, zlib.crc32(own), task, int(ranks[n])))
                         ranks[n] += 1
                 columns = zip(*out, strict=True)
                 types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())

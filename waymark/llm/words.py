@@ -106,21 +106,26 @@ class Words:
             x -= self._sum[start]
             x *= powers()[1][start]
         else:
-            x, low, back = (np.empty(len(start), np.uint64) for _ in range(3))
-            carry = 0
-            for lo in range(0, n + 1, BLOCK):
-                sums, power, inverse = self._block(lo), pow(_BASE, lo, 1 << 64), pow(_INVERSE, lo, 1 << 64)
-                for out, at in ((x, end), (low, start)):
-                    a, b = np.searchsorted(at, (lo, lo + BLOCK))
-                    out[a:b] = sums[at[a:b] - lo] * _U(power) + _U(carry)
-                    if at is start:
-                        back[a:b] = powers()[1][at[a:b] - lo] * _U(inverse)
-                carry = (carry + power * int(sums[-1])) % (1 << 64)
-            x -= low
-            x *= back
+            x = np.empty(len(start), np.uint64)
+            for lo in range(0, n, BLOCK):
+                a, b = np.searchsorted(start, (lo, lo + BLOCK))
+                if a < b:
+                    self._hash_block(lo, start[a:b] - lo, end[a:b] - lo, x[a:b])
         x += (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93)
         return mix(x)
 
+    def _hash_block(self, lo: int, start: np.ndarray, end: np.ndarray, out: np.ndarray) -> None:
+        """Sums of spans that start in the block from ``lo``; of the few that go on behind it the rest is added block by block."""
+        sums, inverse = self._block(lo), powers()[1]
+        inside = np.minimum(end, len(sums) - 1)
+        out[:] = (sums[inside] - sums[start]) * inverse[start]
+        for i in np.flatnonzero(inside < end).tolist():
+            total, first, last = int(out[i]), int(start[i]), int(end[i])
+            for at in range(BLOCK, last, BLOCK):
+                rest = self._block(lo + at)
+                total += int(rest[min(last - at, len(rest) - 1)]) * pow(_BASE, at - first, 1 << 64)
+            out[i] = total % (1 << 64)
+
     def hashes(self) -> np.ndarray:
         return self.spans(self.start, self.end)
 

@@ -211,6 +211,10 @@ SHAPES = {
     "all in a form": (f"<form id=f><div><p>{P * 3}</p><p>{P * 4}</p></div><input name=q><select><option>x</select></form>", f"{P * 3} {P * 4}"),
     "a head that is not closed": (f"<head><title>x</title><p>{P}</p>", P),
     "a quote that is not closed": (f'<p title="x>{P}</p><p>{P * 2}</p>', f"{P} {P * 2}"),
+    "roles in compound names": (
+        f"<div class='site-header'>The Daily</div><div class=post><div class='article-header'><h1>T</h1></div><p>{P * 4}</p><div class='module related-articles'><p>{P}</p></div><p>{P}</p></div><div id=user-comments><p>{P}</p></div>",
+        f"T {P * 4} {P}",
+    ),
     "no tag": ("a < b <b>c", "a < b c"),
     "roles alone": ("<nav>Home</nav><footer>c</footer><div class='cookie notice'>We use cookies.</div>", ""),
 }
@@ -222,6 +226,17 @@ def test_shapes_of_pages(name):
     assert pagetext.main_text(f"<html><body>{page}</body></html>" if name != "a head that is not closed" else page) == want
 
 
+@pytest.mark.parametrize(
+    "names, want",
+    [
+        ("share-of-market", 1.0), ("legal analysis", pagetext.PERHAPS), ("legal", pagetext.AGAINST), ("ad", pagetext.AGAINST), ("ad-slot-3 top", 1.0), ("top-ad", pagetext.AGAINST), ("x related-articles", pagetext.AGAINST),
+        ("article-header", 1.0), ("site-header", pagetext.AGAINST), ("reader-comment", pagetext.AGAINST), ("cookie-info wide", pagetext.AGAINST), ("main content", 1.0), ("c12", 1.0), ("", 1.0), ("search-results", 1.0),
+    ],
+)
+def test_roles_of_names(names, want):
+    assert pagetext.role(names.split()) == want
+
+
 def test_the_ratios_decide(monkeypatch):
     """Where every path counts as content, menus, adverts and notices come through."""
     page = f"<body><div><a href=/>Home</a> Menu</div><div class=box>Buy now.</div><div><p>{P * 4}</p><p>{P}</p></div>{NOTICE}</body>"

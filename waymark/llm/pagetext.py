@@ -59,12 +59,14 @@ SCOPES = (
 )
 _SCOPE_OF = {name: i for i, (names, _) in enumerate(SCOPES) for name in names}
 PARAGRAPH, ROW, CELL = len(SCOPES) - 1, 3, 2
-#: Words that name a part which is no article text, when a class or id is made of them and of NEUTRAL words only.
-ROLES = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs pagination pager "
-    "sidebar aside rail widget related recommended footer foot header masthead cookie cookies consent notice notices alert popup modal overlay newsletter "
-    "subscribe signup login comment comments commentlist discussion disqus reply replies responses respond share sharing social toolbar search skip copyright legal".split()
+#: Words that name a part which is no article text: these wherever they stand in a class or id,
+SURE = frozenset(
+    "ads adverts advertisement advertising sponsored navbar navigation breadcrumb breadcrumbs pagination pager sidebar related recommended cookie cookies consent popup modal overlay "
+    "newsletter subscribe signup comments commentlist disqus social".split()
 )
+#: these at its end or beside NEUTRAL words only ("user-comment", "page-menu", not "share-of-market"), headers in the latter way alone.
+ROLES = SURE | frozenset("ad advert banner sponsor promo promotion menu nav aside rail widget footer foot notice notices alert login comment discussion reply replies responses respond share sharing toolbar search skip copyright legal".split())
+HEADS = frozenset("header head masthead".split())
 NEUTRAL = frozenset("the site page global main top bottom left right box area bar block container wrapper wrap inner outer list item items section content row col button buttons link links icon icons panel odd even depth level js id is has".split())
 
 
@@ -81,13 +83,16 @@ class Page(NamedTuple):
 
 
 def role(names: list[str]) -> float:
-    """AGAINST if every class and id speaks of a role, PERHAPS if some do, else 1."""
+    """AGAINST if classes and ids speak of a role and of nothing else, or surely of one; PERHAPS if of other things too; else 1."""
     against = other = False
     for name in names:
         parts = _PART.findall(name)
-        if any(p in ROLES for p in parts) and all(p in ROLES or p in NEUTRAL or len(p) == 1 for p in parts):
+        if any(p in SURE for p in parts):
+            return AGAINST
+        rest = [p for p in parts if p not in NEUTRAL and len(p) > 1]
+        if rest and (all(p in ROLES or p in HEADS for p in rest) or rest[-1] in ROLES):
             against = True
-        elif any(p not in NEUTRAL for p in parts):
+        elif rest:
             other = True
     return 1.0 if not against else PERHAPS if other else AGAINST
 
@@ -300,7 +305,8 @@ def taken(page: Page, own: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray,
         same = holder[v] in best and factor[v] >= PERHAPS * best[holder[v]]
         near = inside[v] and tag[region] not in ("", "html", "body") and factor[v] >= PERHAPS * factor[region]
         links = listed[v] and 2 * own[v, 0] < own[v, 3]  # a list of links beside the text may be a menu
-        always[v] = chosen[v] or same and not links or near and tag[region] == "article"
+        title = tag[v] in ("h1", "h2")  # may stand before the first paragraph, in a container of its own
+        always[v] = chosen[v] or same and not links or near and (title or tag[region] == "article")
         between[v] = same or near
     return always, between
 

@@ -153,7 +153,7 @@ def distribute(entries: DataFrame) -> Shape:
     if told.differ:
         raise ValueError("entries of one host and path differ in verdict")
     name = f"urls-{told.n}-{str(told.sum).replace('-', 'm')}"
-    folder = f"{sc.getCheckpointDir()}/{name}"
+    folder = f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"  # of its own, as another session may build the same
     place = lambda p: sc._jvm.org.apache.hadoop.fs.Path(p)
     fs = place(folder).getFileSystem(sc._jsc.hadoopConfiguration())
     here = {os.path.basename(f) for f in sc.listFiles}
@@ -161,7 +161,7 @@ def distribute(entries: DataFrame) -> Shape:
     files = tuple(f"{name}-{i}.index" for i in range(parts))
     if not here.issuperset(files):
         keyed = rows.select(F.xxhash64("entry").alias("key"), "entry", "block").repartitionByRange(parts, "key").sortWithinPartitions("key", "entry")
-        keyed.mapInArrow(pack, "first long, keys binary, size binary, block binary, text binary").write.mode("overwrite").option("compression", "none").parquet(folder)
+        keyed.mapInArrow(pack, "first long, keys binary, size binary, block binary, text binary").write.option("compression", "none").parquet(folder)
         written = sorted(s.getPath().toString() for s in fs.listStatus(place(folder)) if s.getPath().getName().endswith(".parquet"))
         files = files[: len(written)]
         for path, file in zip(written, files, strict=True):

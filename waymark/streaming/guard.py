@@ -12,6 +12,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
 
 KEPT_DAYS = 14
+#: Decisions in one frame of the stream's output.
+FRAME = 10_000
 
 
 def spend(events: DataFrame, host: str = "host", ts: str = "ts", kept_days: int = KEPT_DAYS) -> DataFrame:
@@ -72,7 +74,7 @@ def breaker_batch(events: DataFrame, threshold: int = 2, cooldown_s: float = 600
     """(event_id, host, decision, fails): the breaker run over each host's events in order of time and id.
 
     Only four narrow columns of a host go to its task, and they are walked in sorted chunks, so a host's history need not
-    fit into memory. ``events``: event_id, host, ts, failed.
+    fit into memory. A host's events are one sequence, each decision resting on the one before, so they are one task's work. ``events``: event_id, host, ts, failed.
     """
     rows = events.select("event_id", "host", "ts", "failed").repartition("host").sortWithinPartitions("host", "ts", "event_id")
 
@@ -90,17 +92,23 @@ def breaker_batch(events: DataFrame, threshold: int = 2, cooldown_s: float = 600
 
 
 def breaker_stream(events: DataFrame, threshold: int = 2, cooldown_s: float = 600.0) -> DataFrame:
-    """The same decisions over a stream, with a host's failures and end of cooldown as state."""
+    """The same decisions over a stream, with a host's failures and end of cooldown as state.
+
+    Spark does not sort the rows of a group, so three narrow columns of one host's events of one micro-batch are held and
+    sorted (some 20 bytes an event); the size of a micro-batch, which the source's rate limit sets, bounds them. Decisions
+    leave in frames of FRAME rows.
+    """
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         fails, until = state.get if state.exists else (0, None)
         breaker = Breaker(threshold, cooldown_s, fails, until)
-        rows = pd.concat(list(frames)).sort_values(["ts", "event_id"])
-        out = [(r.event_id, key[0], *breaker.event(r.ts.to_pydatetime(), bool(r.failed))) for r in rows.itertuples(index=False)]
+        rows = pd.concat([f[["event_id", "ts", "failed"]] for f in frames]).sort_values(["ts", "event_id"])
+        for lo in range(0, len(rows), FRAME):
+            out = [(r.event_id, key[0], *breaker.event(r.ts.to_pydatetime(), bool(r.failed))) for r in rows.iloc[lo : lo + FRAME].itertuples(index=False)]
+            yield pd.DataFrame(out, columns=["event_id", "host", "decision", "fails"])
         state.update((breaker.fails, breaker.until))
-        yield pd.DataFrame(out, columns=["event_id", "host", "decision", "fails"])
 
-    return events.groupBy("host").applyInPandasWithState(
+    return events.select("event_id", "host", "ts", "failed").groupBy("host").applyInPandasWithState(
         run, "event_id long, host long, decision string, fails int", "fails int, until timestamp", "append", GroupStateTimeout.NoTimeout
     )
 

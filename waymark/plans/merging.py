@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.functions import values
 from waymark.operators import records, resolution
 from waymark.sources import registry
 

@@ -112,5 +112,32 @@ FROM cut c LEFT JOIN fit f USING (page_id)
 """
 
 
+#: Every page of the tables marks its article, so for them the main text is what stands between the marks, without scripts and
+#: tags, character references decoded. The operator finds it by ratios, and without the mark as well (tests).
+OP5_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?is)<article[^>]*>(.*)</article>', 1) AS t FROM pages),
+plain AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(t, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'),
+                 '(?i)</?(a|b|i|u|em|strong|span|code|small|sub|sup)(\s[^>]*)?>', '', 'g'), '(?s)<!--.*?-->|<[^>]*>', ' ', 'g') AS t FROM a),
+told AS (SELECT page_id, url, regexp_replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&nbsp;?', ' ', 'g'), '&#x27;', ''''), '&#39;', ''''), '&amp;?', '&', 'g') AS t FROM plain),
+done AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM told)
+SELECT page_id, url, text, length(text) AS n_chars FROM done
+"""
+
+
+#: All pairs of texts that share a shingle, compared on their whole sets, and everything reachable by links.
+OP10_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                   ELSE list_sort(list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) END AS sh FROM w),
+c AS MATERIALIZED (SELECT min(doc_id) AS rep, sh, len(sh) AS n FROM s WHERE len(sh) > 0 GROUP BY sh),
+x AS MATERIALIZED (SELECT rep, n, unnest(sh) AS g FROM c),
+l AS MATERIALIZED (SELECT a, b FROM (SELECT p.rep AS a, q.rep AS b, count(*) AS same, any_value(p.n) + any_value(q.n) AS n FROM x p JOIN x q ON p.g = q.g AND p.rep <> q.rep GROUP BY 1, 2) WHERE 100 * same >= 85 * (n - same)),
+reach(rep, r) AS (SELECT rep, rep FROM c UNION SELECT reach.rep, l.b FROM reach JOIN l ON reach.r = l.a),
+best AS (SELECT rep, min(r) AS component FROM reach GROUP BY 1),
+of_class AS (SELECT sh, component FROM c JOIN best USING (rep))
+SELECT s.doc_id, len(s.sh) AS n_shingles, coalesce(o.component, s.doc_id) AS component_id, s.doc_id = coalesce(o.component, s.doc_id) AS kept FROM s LEFT JOIN of_class o ON s.sh = o.sh
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3_SQL, "op9_url_filters": OP9_SQL}
+    return {"op3_exact_dedup": OP3_SQL, "op5_html": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_minhash": OP10_SQL}

@@ -175,6 +175,13 @@ def test_words_encode_as_whole_texts():
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, t
 
 
+def test_every_letter_of_the_first_blocks_encodes_as_in_whole_texts():
+    whole, codec = Tokenizer.from_file(packing.TOKENIZER), packing.word_codec()
+    texts = [x for i in range(1, 0x600) for x in (chr(i), f"a{chr(i)}b {chr(i).lower()}")]
+    for t, ids in zip(texts, codec.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, hex(ord(t[0]))
+
+
 # Pages, urls, personal data ----------------------------------------------------------------------------------------
 PAGE = """<html><head><title>T</title><script>var x = "</p>";</script></head><body><nav><a href=/>Home</a></nav><div class="ad">Buy now, cheap.</div>
 <article><h1>A &amp; B</h1><p>First,  para&nbsp;one.<p>Second <b>bold<br>line</b>.<ul><li>item</ul></article>

@@ -23,6 +23,7 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 from itertools import chain
 from itertools import count as numbers
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -44,11 +45,11 @@ AT_ONCE = 1 << 20
 
 
 _BLANK = re.compile(r"[ \t-\r]+")
-#: Letters that are the same in every version of Unicode and need no NFC: with ASCII, the plain characters.
-_LETTERS = "a-z\u00df-\u00f6\u00f8-\u024f"
-_PLAIN = re.compile(r"[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]*")
-#: The tokenizer's own pre-tokens, for lower-cased plain text.
-_PRETOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ \t-\r{_LETTERS}0-9]+")
+#: Letters that are the same in every version of Unicode, need no NFC, and whose lower case is among them: with ASCII, the plain characters.
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u017f"
+_PLAIN = re.compile(r"[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*")
+#: The tokenizer's own pre-tokens, for lower-cased plain text; runs of letters are tried first, as none of the others begins with one.
+_PRETOKEN = re.compile(rf"[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^ \t-\r{_LETTERS}0-9]+")
 
 
 class WordCodec:
@@ -56,31 +57,33 @@ class WordCodec:
 
     The tokenizer drops white space and merges within pre-tokens only. For texts of plain characters (ASCII and Latin
     letters) they are cut here; any other text is cut at ASCII white space, across which neither NFC nor lower-casing
-    acts, and its words are given to the tokenizer as they are. Unknown pre-tokens go to the tokenizer in one text,
-    and are told apart by the tokens that end a word.
+    acts, and its words are given to the tokenizer as they are. Unknown pre-tokens of plain text go to the tokenizer's model
+    in the alphabet of its byte-level step, as the steps before it leave them as they are.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         tokenizer = Tokenizer.from_file(path)
         self.tokenizer = tokenizer
-        self.ends = np.zeros(tokenizer.get_vocab_size() + 1, bool)
-        self.ends[[i for w, i in tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
+        self.merge = tokenizer.model.tokenize
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.alphabet = {i: as_bytes(chr(i))[0][0] for i in range(0x180) if chr(i) not in " \t\n\v\f\r"}
         self.plain: dict[str, bytes] = {}
         self.other: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        ids = self._ids(" ".join(words))
-        at = np.flatnonzero(self.ends[ids]) + 1
-        if len(at) != len(words) or len(ids) != (at[-1] if len(at) else 0):  # a pre-token that is cut further
-            return {w: self._ids(w).tobytes() for w in words}
-        data, at = ids.tobytes(), [0, *(4 * at).tolist()]
-        return {w: data[i:j] for w, i, j in zip(words, at[:-1], at[1:], strict=True)}
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of pre-tokens of plain text."""
+        merge, alphabet, out = self.merge, self.alphabet, {}
+        for w in words:
+            ids = [t.id for t in merge(w if w.isascii() and w.isprintable() else w.translate(alphabet))]
+            out[w] = pack(f"<{len(ids)}I", *ids)
+        return out
 
     def encode(self, texts: list[str], end: int | None = None) -> list[bytes]:
         """Little-endian 32-bit ids of each text, with ``end`` after them if given."""
@@ -94,7 +97,7 @@ class WordCodec:
         words = set(chain.from_iterable(ws for known, ws in parts if known is plain))
         if len(plain) + len(words) > REMEMBERED:
             plain.clear()
-        plain.update(self._learn(list(words.difference(plain))))
+        plain.update(self._learn(words.difference(plain)))
         if len(self.other) > REMEMBERED // 4:
             self.other.clear()
         for known, ws in parts:
@@ -102,7 +105,7 @@ class WordCodec:
                 for w in ws:
                     if w not in known:
                         known[w] = self._ids(w).tobytes()
-        return [b"".join([known[w] for w in ws]) + last for known, ws in parts]
+        return [b"".join(map(known.__getitem__, ws)) + last for known, ws in parts]
 
 
 def parts(text: str, limit: int = AT_ONCE) -> Iterator[str]:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,9 +22,14 @@ from .skew import Bitmap
 SUPPORT = 1 / 2000
 
 
-def normalised(column: str = "text"):
+def lowered(text: Column) -> Column:
+    """A-Z lower-cased and nothing else changed."""
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
+def normalised(column: str = "text") -> Column:
     """The text with A-Z lower-cased and nothing else changed; null is empty."""
-    return F.translate(text_of(column), string.ascii_uppercase, string.ascii_lowercase)
+    return lowered(text_of(column))
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

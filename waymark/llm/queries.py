@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bytecnn, pii, rules, toxicity
+from . import bytecnn, merkle, pii, rules, toxicity
 from .bpe import round_trips
 from .cluster import documents, prepare
-from .exact import exact_duplicates, keyed
+from .exact import exact_duplicates, keyed, lowered
+from .licenses import joined, licenses
 from .minhash import near_duplicates
 from .packing import packed
 from .pagetext import extracted
 from .urls import BLOCKED_WORDS, block_list, judge_urls
+from .whitening import components
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +67,36 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), k=3, percent=85)
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses(documents(spark, sf_dir))
+    base, starts = F.col("base.label"), F.col("base.start")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.array_union(base, F.col("detections.label"))).alias("labels"),
+        "score",
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all rows; rows in three by their id are checked against a text that was lower-cased after the manifest was made."""
+    docs, rest = documents(spark, sf_dir), ("doc_id", "source", "lang", "n_chars")
+    own, changed = (merkle.leaf(*map(F.col, rest), text) for text in (F.col("text"), lowered(F.col("text"))))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    leaves = docs.select(F.col("lang").alias("tree"), F.col("doc_id").alias("key"), own.alias("digest"), F.when(tampered, changed).otherwise(own).alias("claimed"))
+    proofs = merkle.manifest(leaves).proofs()
+    folded = proofs.withColumn("folded_root", merkle.folded(F.col("claimed"), F.col("steps")))
+    return folded.select(F.col("key").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 _ALL = (
     op1_toxicity,
     op2_byte_bpe,
@@ -75,6 +108,9 @@ _ALL = (
     op8_pii,
     op9_url_filters,
     op10_minhash,
+    op11_licenses,
+    op12_whitening,
+    op13_merkle,
 )
 
 
@@ -139,5 +175,29 @@ SELECT s.doc_id, len(s.sh) AS n_shingles, coalesce(o.component, s.doc_id) AS com
 """
 
 
+#: CRC-32 of a short text, bit by bit.
+_CRC32 = "xor(list_reduce(list_transform(string_split({}, ''), lambda s: ord(s)::BIGINT), lambda c, b: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)), 4294967295::BIGINT), 4294967295::BIGINT)"
+
+#: Trees and proofs level by level: nodes are grouped by eight, proofs and folded roots climb from the leaves.
+OP13_SQL = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                       text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, coalesce({_CRC32.format('doc_id::VARCHAR')} % 3 = 0, FALSE) AS tampered FROM documents),
+leaves AS MATERIALIZED (SELECT r, doc_id, lang, coalesce(lang, '') || CASE WHEN lang IS NULL THEN '0' ELSE '1' END AS tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                       sha256(head || coalesce(CASE WHEN tampered THEN strlen(low) || ':' || low ELSE strlen(text) || ':' || text END, '-')) AS claimed FROM d),
+nodes AS (SELECT tree, lang, 0 AS level, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n, leaf AS digest, r FROM leaves
+          UNION ALL SELECT tree, any_value(lang), level + 1, i // 8, (any_value(n) + 7) // 8, sha256(string_agg(digest, '' ORDER BY i)), NULL FROM nodes WHERE n > 1 GROUP BY tree, level, i // 8),
+subroots AS MATERIALIZED (SELECT tree, level AS height, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (SELECT 0 AS level, i, n, digest FROM subroots UNION ALL SELECT level + 1, i // 8, (any_value(n) + 7) // 8, sha256(string_agg(digest, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY level, i // 8),
+runs AS MATERIALIZED (SELECT tree, level, i, i // 8 AS parent, digest FROM nodes WHERE n > 1 UNION ALL SELECT s.tree, s.height + t.level, t.i, t.i // 8, t.digest FROM subroots s CROSS JOIN tops t WHERE t.n > 1),
+climb AS (SELECT n.r, n.tree, 0 AS level, n.i, l.claimed AS folded, '' AS proof FROM nodes n JOIN leaves l USING (r) WHERE n.level = 0
+          UNION ALL SELECT c.r, c.tree, c.level + 1, CASE WHEN c.level + 1 = any_value(s.height) THEN any_value(s.i) ELSE any_value(u.parent) END,
+                           sha256(string_agg(CASE WHEN u.i = x.i THEN c.folded ELSE u.digest END, '' ORDER BY u.i)), any_value(c.proof) || string_agg(CASE WHEN u.i = x.i THEN '' ELSE u.digest END, '' ORDER BY u.i)
+          FROM climb c JOIN subroots s USING (tree), LATERAL (SELECT CASE WHEN s.height = c.level AND c.level = 0 THEN s.i ELSE c.i END AS i) x JOIN runs u ON u.tree = c.tree AND u.level = c.level AND u.parent = x.i // 8
+          GROUP BY c.r, c.tree, c.level)
+SELECT l.doc_id, l.leaf, s.digest AS subroot, (SELECT digest FROM tops WHERE n = 1) AS root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root, c.folded = (SELECT digest FROM tops WHERE n = 1) AS verified
+FROM leaves l JOIN subroots s USING (tree) JOIN (SELECT r, max_by(proof, level) AS proof, max_by(folded, level) AS folded FROM climb GROUP BY r) c USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3_SQL, "op5_html": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_minhash": OP10_SQL}
+    return {"op3_exact_dedup": OP3_SQL, "op5_html": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_minhash": OP10_SQL, "op13_merkle": OP13_SQL}

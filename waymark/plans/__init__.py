@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import guards, merging, pages, places, scalars
+from . import guards, merging, pages, places, scalars, stores
 from .base import CATALOGUE, Query
 
-MODULES = (scalars, places, merging, pages, guards)
+MODULES = (scalars, places, merging, pages, guards, stores)
 
 
 def queries() -> dict[str, Query]:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.runtime import frozen
+from waymark.runtime import new_folder
+from waymark.sources.snapshots import Snapshots
+from waymark.streaming import breaker as breaker_
 from waymark.streaming import guard
+from waymark.streaming import quota as quota_
 
 from .base import query, table
 
@@ -48,7 +49,7 @@ BREAKER_SQL = """WITH RECURSIVE e AS (SELECT event_id, user_id AS host, ts, even
 
 @query("W03_breaker", BREAKER_SQL)
 def breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return guard.breaker_batch(requests(spark, sf_dir), 2, 36 * 3600)
+    return breaker_.breaker_batch(requests(spark, sf_dir), 2, 36 * 3600)
 
 
 @query("W09_breaker_state", f"WITH b AS ({BREAKER_SQL}) SELECT host, count(*) FILTER (decision = 'skipped') AS skipped, count(*) FILTER (decision = 'opened') AS opened FROM b GROUP BY 1")
@@ -67,27 +68,70 @@ def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return guard.since_last(requests(spark, sf_dir), "event_id").select("event_id", "gap_us")
 
 
-def _streamed(spark: SparkSession, sf_dir: str, make, mode: str) -> DataFrame:
-    """The rows that a stream over the request table puts out, collected in a table of the shared checkpoint folder."""
-    frozen(spark.range(1))
-    at = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
-    # A folder with the table as its only input, so that the stream reads nothing else.
-    requests(spark, sf_dir).write.parquet(f"{at}/in")
-    stream = make(spark.readStream.schema("event_id long, host long, ts timestamp, failed boolean, event_type string").parquet(f"{at}/in"))
+def in_slices(spark: SparkSession, rows: DataFrame, start, at: str, n: int = 3) -> None:
+    """Runs a stream over ``rows`` in ``n`` runs: each finds one more slice of time in its folder, and goes on from where the run
+    before it ended. ``start`` makes the writer for the stream."""
+    lo, hi = rows.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).head()
+    step = (hi - lo) // n + 1 if lo is not None else 1
+    for i in range(n):
+        part = rows.filter(F.floor((F.unix_micros("ts") - F.lit(lo)) / step) == i)
+        part.write.mode("append").parquet(f"{at}/in")
+        with guard.stateful(spark):
+            run = start(spark.readStream.schema(rows.schema).parquet(f"{at}/in")).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
+        run.awaitTermination()
+
 
-    def keep(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{at}/out/batch={batch}")
+def _decided(spark: SparkSession, rows: DataFrame, make) -> DataFrame:
+    """The rows that a stream puts out over three runs."""
+    at = new_folder(spark)
 
-    query_ = stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
-    query_.awaitTermination()
+    def keep(out: DataFrame, batch: int) -> None:
+        out.write.mode("overwrite").parquet(f"{at}/out/batch={batch}")
+
+    in_slices(spark, rows, lambda stream: make(stream).writeStream.outputMode("append").foreachBatch(keep), at)
     return spark.read.parquet(f"{at}/out").drop("batch")
 
 
 @query("W01_spend_stream", f"SELECT * FROM ({SPEND_SQL})")
 def spend_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir, guard.spend_stream, "complete").withColumn("day", F.col("day").cast("string"))
+    """The ledger that a stream of requests keeps; every fourth request comes twice."""
+    at, rows = new_folder(spark), requests(spark, sf_dir)
+    store = Snapshots(spark, f"{at}/spend", ["day", "host"])
+    again = rows.unionAll(rows.filter("event_id % 4 = 0"))
+    in_slices(spark, again, lambda stream: quota_.ledger(stream, store), at)
+    return store.read().withColumn("day", F.col("day").cast("string"))
+
+
+@query("W02_ledger_days", f"WITH s AS ({SPEND_SQL}) SELECT host, sum(used)::BIGINT AS used, count(*) AS days FROM s WHERE day IN (SELECT day FROM s GROUP BY 1 ORDER BY 1 DESC LIMIT 14) GROUP BY 1")
+def ledger_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest days of a ledger kept batch by batch."""
+    store = Snapshots(spark, new_folder(spark), ["day", "host"])
+    rows = requests(spark, sf_dir)
+    for i in range(3):
+        store.upsert(quota_.daily(rows.filter(F.col("event_id") % 3 == i)), quota_.spent, "spend", i)
+    return guard.newest_days(store.read()).groupBy("host").agg(F.sum("used").alias("used"), F.count("*").alias("days"))
+
+
+@query("W01_quota_stream", "SELECT event_id, CAST(strftime(ts, '%Y-%m-%d') AS VARCHAR) AS day, row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts, event_id) <= 2 AS allowed FROM events")
+def quota_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = requests(spark, sf_dir)
+    again = rows.unionAll(rows.filter("event_id % 5 = 0"))
+    return _decided(spark, again, lambda stream: quota_.quota_stream(stream, F.lit(2))).select("event_id", F.col("day").cast("string").alias("day"), "allowed")
 
 
 @query("W03_breaker_stream", BREAKER_SQL)
 def breaker_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir, lambda s: guard.breaker_stream(s, 2, 36 * 3600), "append")
+    out = _decided(spark, requests(spark, sf_dir), lambda stream: breaker_.breaker_stream(stream, 2, 36 * 3600))
+    return out.filter("event_id is not null").select("event_id", "host", "decision", "fails")
+
+
+@query(
+    "W09_cooldowns",
+    f"""WITH b AS ({BREAKER_SQL}), o AS (SELECT b.host, e.ts + INTERVAL 36 HOUR AS until FROM b JOIN events e USING (event_id) WHERE decision = 'opened'),
+ last AS (SELECT user_id AS host, max(ts) AS ts FROM events GROUP BY 1)
+ SELECT o.host, count(*) AS closed, max(epoch_us(until)) AS last_us FROM o JOIN last USING (host) WHERE until <= last.ts OR until < (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1""",
+)
+def cooldowns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ends of cooldowns: by the next request of the host, or by a timer once event time has passed them."""
+    out = _decided(spark, requests(spark, sf_dir), lambda stream: breaker_.breaker_stream(stream, 2, 36 * 3600))
+    return out.filter("decision = 'closed'").groupBy("host").agg(F.count("*").alias("closed"), F.max(F.unix_micros("at")).alias("last_us"))

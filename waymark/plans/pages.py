@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.functions import hours, numbers, text, values
 from waymark.operators import matching, pagetext, resolution
-from waymark.runtime import frozen
+from waymark.runtime import new_folder
 from waymark.sources import sinks, tables, web
 
 from .base import SEED, Input, query, scalar, table
@@ -19,12 +17,6 @@ from .places import WITH_SEED
 K = "c_custkey"
 
 
-def folder(spark: SparkSession) -> str:
-    """A new folder in the session's shared checkpoint folder."""
-    frozen(spark.range(1))
-    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
-
-
 def put(spark: SparkSession, path: str, content: str) -> None:
     """Write one small file through the session's file system."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -37,7 +29,7 @@ def put(spark: SparkSession, path: str, content: str) -> None:
 # Files -----------------------------------------------------------------------------------------------------------
 @query("S01_csv_scan", f"{WITH_SEED} SELECT place_code, business_name, address FROM seed")
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = folder(spark)
+    at = new_folder(spark)
     sinks.write_csv(SEED.frame(spark, sf_dir).select("place_code", "business_name", "address"), at)
     return tables.read_csv(spark, at)
 
@@ -59,14 +51,14 @@ def seed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("S04_csv_filled", f"{WITH_SEED} SELECT place_code, coalesce(address, '') AS address FROM seed")
 def csv_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = folder(spark)
+    at = new_folder(spark)
     sinks.write_csv(SEED.frame(spark, sf_dir).select("place_code", "address"), at)
     return tables.read_csv_filled(spark, at)
 
 
 @query("S05_csv_typed", f"{WITH_SEED} SELECT pos, popularity FROM seed WHERE popularity IS NOT NULL")
 def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = folder(spark)
+    at = new_folder(spark)
     sinks.write_csv(SEED.frame(spark, sf_dir).select("pos", "popularity"), at)
     return tables.read_csv_typed(spark, at, ["popularity"]).select(F.col("pos").cast("long").alias("pos"), "popularity")
 
@@ -74,14 +66,20 @@ def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STORE = T.StructType([T.StructField("place_code", T.StringType()), T.StructField("rating", T.DoubleType())])
 
 
+#: Records of one document of a store.
+IN_A_DOCUMENT = 1000
+
+
 def stored(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Rows as one JSON document with a list of records, in a folder; the rows must be few enough for one document."""
-    rows.agg(F.concat(F.lit('{"records": '), F.to_json(F.collect_list(F.struct("*"))), F.lit("}")).alias("value")).coalesce(1).write.text(path)
+    """Rows as JSON documents with lists of records, about IN_A_DOCUMENT in each, one document a file."""
+    number = F.pmod(F.xxhash64("place_code"), F.lit(rows.count() // IN_A_DOCUMENT + 1)).alias("document")
+    documents = rows.groupBy(number).agg(F.collect_list(F.struct("*")).alias("records"))
+    documents.select("document", F.to_json(F.struct("records")).alias("value")).write.partitionBy("document").text(path)
 
 
 @query("S06_store_backup", "SELECT 'main' AS case_name, c_name AS place_code, (c_custkey % 50) / 10.0::DOUBLE AS rating FROM customer UNION ALL SELECT 'backup', s_name, (s_suppkey % 50) / 10.0::DOUBLE FROM supplier")
 def store_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = folder(spark)
+    at = new_folder(spark)
     rows = lambda name, code, k: table(spark, sf_dir, name).select(F.col(code).alias("place_code"), (F.col(k) % 50 / 10.0).alias("rating"), F.lit(1).alias("unknown"))
     stored(spark, rows("customer", "c_name", "c_custkey"), f"{at}/a.json")
     stored(spark, rows("supplier", "s_name", "s_suppkey"), f"{at}/b.json")
@@ -97,7 +95,7 @@ _RUN_SQL = "SELECT n_nationkey AS k, n_name AS name, run, CASE (n_nationkey + i)
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = folder(spark)
+    at = new_folder(spark)
     for row in table(spark, sf_dir, "nation").collect():  # a table of 25 rows at every scale
         for i, run in enumerate(RUNS):
             kind, rating = (row.n_nationkey + i) % 3, f"{(row.n_nationkey + i) % 6},5 stars"
@@ -500,7 +498,7 @@ def flat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("K01_store", f"{WITH_SEED} SELECT 'GUL-' || pos AS cafe_id, (pos % 5)::DOUBLE AS rating, '{{\"location\":\"Gulshan\",\"schema_version\":1,\"generated_at\":\"2024-01-01T00:00:00Z\",\"records\":' || (SELECT count(*) FROM seed) || '}}' AS envelope FROM seed")
 def store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at, r = folder(spark), nested(spark, sf_dir)
+    at, r = new_folder(spark), nested(spark, sf_dir)
     sinks.replace_table(r, f"{at}/records")
     sinks.write_json(sinks.envelope(r, "Gulshan", "2024-01-01T00:00:00Z"), f"{at}/envelope")
     back = sinks.read_table(spark, f"{at}/records").select("cafe_id", F.element_at("rating", 2)["value"].alias("rating"))
@@ -509,7 +507,7 @@ def store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("K04_atomic_replace", "SELECT 'now' AS version, sum(c_custkey)::BIGINT AS total FROM customer UNION ALL SELECT 'backup', count(*) FROM customer")
 def atomic_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at, c = folder(spark), table(spark, sf_dir, "customer")
+    at, c = new_folder(spark), table(spark, sf_dir, "customer")
     sinks.replace_table(c.select(F.lit(1).cast("long").alias("v")), at)
     sinks.replace_table(c.select(F.col("c_custkey").alias("v")), at)
     total = lambda path, name: sinks.read_table(spark, path).agg(F.lit(name).alias("version"), F.sum("v").alias("total"))
@@ -525,21 +523,21 @@ def enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("K06_json_export", "SELECT c_custkey, c_name FROM customer")
 def json_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = folder(spark)
+    at = new_folder(spark)
     sinks.write_json(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), at)
     return spark.read.schema("c_custkey long, c_name string").json(at)
 
 
 @query("K07_raw_archive", f"{WITH_SEED} SELECT 'r' || (pos % 2) AS run_id, left(regexp_replace(place_code, '[^A-Za-z0-9]', '_', 'g'), 40) || '_' || left(regexp_replace(business_name, '[^A-Za-z0-9]', '_', 'g'), 40) AS file FROM seed")
 def raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = folder(spark)
+    at = new_folder(spark)
     sinks.archive_raw(SEED.frame(spark, sf_dir).select("place_code", F.col("business_name").alias("name"), F.concat(F.lit("r"), (F.col("pos") % 2).cast("string")).alias("run_id")), at)
     return spark.read.schema("file string, run_id string").json(at).select("run_id", "file")
 
 
 @query("K08_ledger", "SELECT 'run1' AS run, count(*) AS n FROM customer UNION ALL SELECT 'run2', count(*) FROM orders")
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = folder(spark)
+    at = new_folder(spark)
     for run, name in (("run1", "customer"), ("run2", "orders")):
         sinks.append_ledger(table(spark, sf_dir, name).agg(F.lit(run).alias("run"), F.count("*").alias("n")), at)
     return sinks.read_ledger(spark, at, "run string, n long")
@@ -548,7 +546,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("M26_ledger_default", "SELECT 'run' || c_nationkey AS run, CASE WHEN c_nationkey % 2 = 0 THEN count(*) ELSE 0 END::BIGINT AS n, 0::BIGINT AS failed FROM customer GROUP BY c_nationkey")
 def ledger_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries without a count, or written before a key was known, read as 0; a ledger that is not there is empty."""
-    at = folder(spark)
+    at = new_folder(spark)
     per = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n"))
     run = F.concat(F.lit("run"), F.col("c_nationkey").cast("string")).alias("run")
     sinks.append_ledger(per.filter("c_nationkey % 2 = 0").select(run, "n"), at)
@@ -560,14 +558,14 @@ def ledger_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("M27_rebuild", f"{WITH_SEED} {_FLAT}")
 def rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat output made again from a stored table alone."""
-    at = folder(spark)
+    at = new_folder(spark)
     sinks.replace_table(nested(spark, sf_dir), at)
     return sinks.flat_records(sinks.read_table(spark, at))
 
 
 @query("M19_unknown_keys", "SELECT c_name AS place_code, CASE WHEN c_custkey % 4 <> 0 THEN c_custkey / 2.0::DOUBLE END AS rating FROM customer")
 def unknown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = folder(spark)
+    at = new_folder(spark)
     c = table(spark, sf_dir, "customer")
     rows = c.select(F.col("c_name").alias("place_code"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_custkey") / 2.0).alias("rating"), F.struct("c_acctbal").alias("never_heard_of"))
     stored(spark, rows, f"{at}/a.json")

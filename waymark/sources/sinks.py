@@ -18,14 +18,18 @@ def _fs(spark: SparkSession, path: str):
 
 
 def replace_table(df: DataFrame, path: str, kind: str = "parquet", **options: str) -> None:
-    """Write ``df`` beside ``path``, keep what was there as ``path``.bak, and move the new version into place."""
+    """Write ``df`` beside ``path``, keep what was there as ``path``.bak, and move the new version into place. The backup before
+    goes last, so at every moment there is the table or a backup. For one writer, on file systems that rename folders at
+    once; ``Snapshots`` need neither."""
     at, fs = _fs(df.sparkSession, path)
-    staged = f"{path}.{uuid.uuid4().hex}"
+    staged, old = f"{path}.{uuid.uuid4().hex}", f"{path}.{uuid.uuid4().hex}"
     df.write.format(kind).options(**options).save(staged)
     if fs.exists(at(path)):
-        fs.delete(at(f"{path}.bak"), True)
+        if fs.exists(at(f"{path}.bak")):
+            fs.rename(at(f"{path}.bak"), at(old))
         fs.rename(at(path), at(f"{path}.bak"))
     fs.rename(at(staged), at(path))
+    fs.delete(at(old), True)
 
 
 def read_table(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:

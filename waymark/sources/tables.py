@@ -78,7 +78,7 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType, backup: str
         place = jvm.org.apache.hadoop.fs.Path(p)
         if not place.getFileSystem(conf).exists(place):
             continue
-        raw = spark.read.schema(wrapped).json(p, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad").cache()
+        raw = spark.read.schema(wrapped).json(p, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
         if raw.filter("_bad is not null or records is null").isEmpty():
             return raw.select(F.inline("records"))
     return spark.createDataFrame([], schema)

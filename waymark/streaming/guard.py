@@ -1,28 +1,41 @@
-"""Daily quotas and circuit breakers over request events, batch and streaming."""
+"""Daily quotas, gaps and blocks over request events, and one host's breaker request by request."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timedelta
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
 
 KEPT_DAYS = 14
-#: Decisions in one frame of the stream's output.
-FRAME = 10_000
+STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
-def spend(events: DataFrame, host: str = "host", ts: str = "ts", kept_days: int = KEPT_DAYS) -> DataFrame:
-    """(day, host, used) of the newest days that have events."""
-    used = events.groupBy(F.to_date(ts).alias("day"), F.col(host).alias("host")).agg(F.count("*").alias("used"))
+@contextmanager
+def stateful(spark: SparkSession) -> Iterator[None]:
+    """Streams that start in here keep their state in RocksDB, which state with timers needs."""
+    before = spark.conf.get(STORE)
+    spark.conf.set(STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(STORE, before)
+
+
+def newest_days(used: DataFrame, kept_days: int = KEPT_DAYS) -> DataFrame:
+    """Rows (day, ...) of the newest days that there are."""
     days = used.select("day").distinct().orderBy(F.desc("day")).limit(kept_days)
     return used.join(F.broadcast(days), "day", "left_semi")
 
 
+def spend(events: DataFrame, host: str = "host", ts: str = "ts", kept_days: int = KEPT_DAYS) -> DataFrame:
+    """(day, host, used) of the newest days that have events."""
+    return newest_days(events.groupBy(F.to_date(ts).alias("day"), F.col(host).alias("host")).agg(F.count("*").alias("used")), kept_days)
+
+
 def remaining(used: DataFrame, cap: Column) -> DataFrame:
     return used.withColumn("remaining", F.greatest(F.lit(0).cast("long"), cap - F.col("used")))
 
@@ -68,51 +81,3 @@ class Breaker:
 
     def cooling_s(self, at: datetime) -> float:
         return max(0.0, (self.until - at).total_seconds()) if self.until else 0.0
-
-
-def breaker_batch(events: DataFrame, threshold: int = 2, cooldown_s: float = 600.0) -> DataFrame:
-    """(event_id, host, decision, fails): the breaker run over each host's events in order of time and id.
-
-    Only four narrow columns of a host go to its task, and they are walked in sorted chunks, so a host's history need not
-    fit into memory. A host's events are one sequence, each decision resting on the one before, so they are one task's work. ``events``: event_id, host, ts, failed.
-    """
-    rows = events.select("event_id", "host", "ts", "failed").repartition("host").sortWithinPartitions("host", "ts", "event_id")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        host, breaker = None, Breaker(threshold, cooldown_s)
-        for frame in frames:
-            out = []
-            for row in frame.itertuples(index=False):
-                if row.host != host:
-                    host, breaker = row.host, Breaker(threshold, cooldown_s)
-                out.append((row.event_id, row.host, *breaker.event(row.ts.to_pydatetime(), bool(row.failed))))
-            yield pd.DataFrame(out, columns=["event_id", "host", "decision", "fails"])
-
-    return rows.mapInPandas(run, "event_id long, host long, decision string, fails int")
-
-
-def breaker_stream(events: DataFrame, threshold: int = 2, cooldown_s: float = 600.0) -> DataFrame:
-    """The same decisions over a stream, with a host's failures and end of cooldown as state.
-
-    Spark does not sort the rows of a group, so three narrow columns of one host's events of one micro-batch are held and
-    sorted (some 20 bytes an event); the size of a micro-batch, which the source's rate limit sets, bounds them. Decisions
-    leave in frames of FRAME rows.
-    """
-
-    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        fails, until = state.get if state.exists else (0, None)
-        breaker = Breaker(threshold, cooldown_s, fails, until)
-        rows = pd.concat([f[["event_id", "ts", "failed"]] for f in frames]).sort_values(["ts", "event_id"])
-        for lo in range(0, len(rows), FRAME):
-            out = [(r.event_id, key[0], *breaker.event(r.ts.to_pydatetime(), bool(r.failed))) for r in rows.iloc[lo : lo + FRAME].itertuples(index=False)]
-            yield pd.DataFrame(out, columns=["event_id", "host", "decision", "fails"])
-        state.update((breaker.fails, breaker.until))
-
-    return events.select("event_id", "host", "ts", "failed").groupBy("host").applyInPandasWithState(
-        run, "event_id long, host long, decision string, fails int", "fails int, until timestamp", "append", GroupStateTimeout.NoTimeout
-    )
-
-
-def spend_stream(events: DataFrame, late: str = "14 days") -> DataFrame:
-    """Daily spend per host over a stream; state of days behind the watermark is dropped."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", "1 day"), "host").agg(F.count("*").alias("used")).select(F.to_date("window.start").alias("day"), "host", "used")

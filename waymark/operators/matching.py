@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,13 +128,41 @@ def best_match(left: DataFrame, pool: DataFrame, radius_m: float = 220.0, least:
     return pairs.groupBy(F.col("id").alias("_id")).agg(F.max_by(whole, F.struct("rank_score", -F.col("r_pos"))).alias("_row")).select("_row.*")
 
 
+#: Open edges that one task decides, some tens of bytes each.
+FEW_EDGES = 200_000
+
+
+def _covered(edges: DataFrame) -> DataFrame:
+    """(rank) of the nodes that do not lead, of a graph (later, earlier) with at most FEW_EDGES edges, all of whose nodes are open."""
+    kind = edges.schema["later"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        earlier: dict = {}
+        ranks: dict = {}
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                # A rank of several parts comes as a dict; its values sort as the rank does.
+                key, other = (tuple(a.values()), tuple(b.values())) if isinstance(a, dict) else (a, b)
+                ranks[key] = a
+                earlier.setdefault(key, []).append(other)
+            of = batch.schema.field(0).type
+        covered: set = set()
+        for node in sorted(earlier):
+            if any(e not in covered for e in earlier[node]):
+                covered.add(node)
+        if covered:
+            yield pa.RecordBatch.from_arrays([pa.array([ranks[c] for c in covered], of)], ["rank"])
+
+    return edges.select("later", "earlier").coalesce(1).mapInArrow(run, f"rank {kind}")
+
+
 def cluster_duplicates(places: DataFrame, radius_m: float = 150.0, least: float = 0.8) -> DataFrame:
     """(id, rank, leader_id, leader_rank): each place joins the earliest leader that it matches, or leads itself.
 
     ``places``: id, name, latitude, longitude, rank (unique). A place leads if it matches no earlier leader, so the
     leaders are the first maximal independent set in rank order. Rows with the same tokens at the same point stand or fall
-    together, so only the first of them enters the graph. Rounds decide every place whose earlier neighbours are decided;
-    their number is the longest chain of such dependencies.
+    together, so only the first of them enters the graph. Rounds decide every place whose earlier neighbours are decided, until
+    at most FEW_EDGES edges are open; what those decide is one task's work, in rank order.
     """
     whole = places.select("id", "name", "latitude", "longitude", "rank").withColumn("spot", F.struct(F.array_sort(name_tokens(F.col("name"))).alias("t"), "latitude", "longitude"))
     heads = frozen(whole.filter(F.size("spot.t") > 0).groupBy("spot").agg(F.min_by(F.struct("id", "name"), "rank").alias("h"), F.min("rank").alias("rank")))
@@ -141,13 +171,14 @@ def cluster_duplicates(places: DataFrame, radius_m: float = 150.0, least: float
     open_ = frozen(node.select("rank"))
     leaders = open_.limit(0)
     live = edges
-    while not open_.isEmpty():
+    while live.limit(FEW_EDGES + 1).count() > FEW_EDGES:
         blocked = live.select(F.col("later").alias("rank")).distinct()
         new = frozen(open_.join(blocked, "rank", "left_anti"))
         leaders = frozen(leaders.union(new))
         covered = live.join(new.withColumnRenamed("rank", "earlier"), "earlier").select(F.col("later").alias("rank")).distinct()
         open_ = frozen(open_.join(new, "rank", "left_anti").join(covered, "rank", "left_anti"))
         live = frozen(live.join(open_.withColumnRenamed("rank", "later"), "later").join(open_.withColumnRenamed("rank", "earlier"), "earlier", "left_semi"))
+    leaders = frozen(leaders.union(open_.join(_covered(live), "rank", "left_anti")))
     under = edges.join(leaders.withColumnRenamed("rank", "earlier"), "earlier").groupBy(F.col("later").alias("rank")).agg(F.min("earlier").alias("leader_rank"))
     of_head = heads.select("spot", "rank").join(under, "rank", "left").join(leaders.withColumn("leads", F.lit(True)), "rank", "left")
     of_head = of_head.select("spot", F.when(F.col("leads"), F.col("rank")).otherwise(F.col("leader_rank")).alias("leader_rank"))

@@ -167,13 +167,21 @@ PLACES = Input(
     {"id": "CAST(p_partkey AS STRING)", "name": "p_name", "latitude": "23.78e0 + (p_partkey * 37 % 1000) / 1e5", "longitude": "90.41e0 + (p_partkey * 91 % 1000) / 1e5", "rank": "p_partkey"},
     "part",
 )
-CLUSTER_SQL = f"""WITH RECURSIVE p AS (SELECT *, {TOKENS_SQL.format('name')} AS t FROM ({PLACES.sql})),
+
+
+def cluster_sql(places: str) -> str:
+    """(id, leader_id) by SQL, of places (id, name, latitude, longitude, rank: 0, 1, ...)."""
+    return f"""WITH RECURSIVE p AS (SELECT *, {TOKENS_SQL.format('name')} AS t FROM ({places})),
  e AS (SELECT b.rank AS later, list(a.rank) AS earlier FROM p a JOIN p b ON a.rank < b.rank WHERE {jaccard_sql('a.t', 'b.t')} >= 0.8 AND {HAVERSINE_SQL.format(a='a', b='b')} <= 150 GROUP BY 1),
  n AS (SELECT p.rank, coalesce(e.earlier, []) AS earlier FROM p LEFT JOIN e ON e.later = p.rank),
  step(rank, leaders) AS (SELECT CAST(-1 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL
   SELECT n.rank, CASE WHEN list_has_any(n.earlier, s.leaders) THEN s.leaders ELSE list_append(s.leaders, n.rank) END FROM step s JOIN n ON n.rank = s.rank + 1),
  led AS (SELECT leaders FROM step ORDER BY rank DESC LIMIT 1)
- SELECT CAST(n.rank AS VARCHAR) AS id, CAST(CASE WHEN list_contains(led.leaders, n.rank) THEN n.rank ELSE list_min(list_intersect(n.earlier, led.leaders)) END AS VARCHAR) AS leader_id FROM n, led"""
+ SELECT o.id, l.id AS leader_id FROM (SELECT n.rank, CASE WHEN list_contains(led.leaders, n.rank) THEN n.rank ELSE list_min(list_intersect(n.earlier, led.leaders)) END AS lead FROM n, led) x JOIN p o ON o.rank = x.rank JOIN p l ON l.rank = x.lead"""
+
+
+CLUSTER_SQL = cluster_sql(PLACES.sql)
+
 
 
 @query("J03_cluster", CLUSTER_SQL)

@@ -7,11 +7,16 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.runtime import new_folder
+from waymark.operators import clusters
+from waymark.operators.records import upsert
+from waymark.runs import Run, Settings
+from waymark.runtime import frozen, new_folder
 from waymark.sources.snapshots import Snapshots
 
-from .base import OBSERVATIONS, query, table
+from .base import OBSERVATIONS, SEED, query, table
 from .guards import in_slices
+from .merging import PAYLOADS
+from .places import PLACES, REASON_SQL, WITH_SEED, cluster_sql
 
 
 def added(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -60,3 +65,35 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     in_slices(spark, rows, lambda stream: stream.writeStream.foreachBatch(twice), at)
     return store.read().select("place_code", "attempts", F.col("last.status").alias("status"), F.col("rated.rating").alias("rating"))
+
+
+@query("J03_increments", cluster_sql(PLACES.sql))
+def increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places that come in two lots, the second one in a hundred of all ranks: the leaders are those of all places at once."""
+    places = PLACES.frame(spark, sf_dir)
+    spots = clusters.no_spots(spark, places)
+    for part in (places.filter("rank % 100 <> 7"), places.filter("rank % 100 = 7")):
+        spots = frozen(upsert(spots, clusters.reclustered(spots, part), "spot"))
+    spot = clusters.spot_of(F.col("id"), F.col("name"), F.col("latitude"), F.col("longitude"))
+    return places.select("id", spot.alias("spot")).join(spots.select("spot", "leader_id"), "spot").select("id", "leader_id")
+
+
+_KEPT = f"SELECT place_code AS id, business_name AS name, latitude, longitude, row_number() OVER (ORDER BY pos) - 1 AS rank FROM (SELECT *, {REASON_SQL} AS reason FROM ({SEED.sql})) WHERE reason IS NULL"
+
+
+@query(
+    "U04_run",
+    f"""{WITH_SEED}, c AS ({cluster_sql(_KEPT)}), p AS ({PAYLOADS.sql}), ids AS (SELECT place_code, row_number() OVER (ORDER BY pos) AS n FROM seed),
+ named AS (SELECT place_code, 'GUL-' || CASE WHEN n < 1000 THEN lpad(n::VARCHAR, 3, '0') ELSE n::VARCHAR END AS cafe_id FROM ids)
+ SELECT s.place_code, i.cafe_id, CASE WHEN c.id IS NULL THEN 'out_of_scope' ELSE coalesce(p.status, 'pending') END AS scrape_status, (p.status IS NOT NULL)::BIGINT AS attempts,
+  CASE WHEN c.id <> c.leader_id THEN l.cafe_id END AS duplicate_of, CASE WHEN p.status IN ('ok', 'legacy') AND p.address <> '' THEN p.address END AS address, CASE WHEN p.status IN ('ok', 'legacy') AND p.latitude <> 0 THEN p.latitude END AS latitude
+ FROM seed s JOIN named i USING (place_code) LEFT JOIN c ON c.id = s.place_code LEFT JOIN named l ON l.place_code = c.leader_id LEFT JOIN p ON p.place_code = c.leader_id""",
+)
+def seed_to_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over a store: the second finds the seed's last rows new. Places are taken in the seed's order, once each."""
+    seed = SEED.frame(spark, sf_dir).withColumn("popularity", F.lit(0.0))
+    last = seed.agg(F.max("pos")).head()[0]
+    run = Run(spark, new_folder(spark), Settings(attempts=1))
+    for number, part in enumerate((seed.filter(F.col("pos") * 50 <= F.lit(last or 0) * 49), seed)):
+        run.take(part, PAYLOADS.frame(spark, sf_dir), number, f"run {number}")
+    return run.records.read().select("place_code", "cafe_id", "scrape_status", "attempts", "duplicate_of", "address", "latitude")

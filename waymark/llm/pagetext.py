@@ -8,7 +8,9 @@ the sums over all paths), and fused. A path is content if its value reaches SHAR
 characters.
 
 What an element's tag or class says of its role (menu, footer, advert, reader comments, article) is a factor of the value
-and decides nothing by itself. Headings, lists, tables and other short parts would fall below any share beside long
+and decides nothing by itself. Classes that tell of a state ("no-sidebar", "comments-open") name no role; a class does not
+count against an element that holds an article, a main part or nearly all of the page's text, nor, where it would leave
+nothing of the page, against one that holds half of it. Headings, lists, tables and other short parts would fall below any share beside long
 paragraphs, so they go with the container that holds the content, unless their role is against it.
 """
 
@@ -26,8 +28,11 @@ from pyspark.sql import functions as F
 
 #: Weight of a path one step away in the tree; share of the mean value that makes a path content.
 DECAY, SHARE = 0.4, 0.35
-#: A region that holds this share of the content is the article.
-MOST = 0.8
+#: A region that holds this share of the content is the article. An element that holds so much of the page's text is no part
+#: beside it, whatever its class; half is enough where nothing else would be left.
+MOST, NEARLY_ALL, HALF = 0.8, 0.9, 0.5
+#: Characters that an element holds at least for its share of the text to say anything; a lone notice has fewer.
+ENOUGH = 200
 #: Factors of a role that is no article text, of one that may be, of forms, of main and of article. Below LEAST a path is never content.
 AGAINST, PERHAPS, FORM, MAIN, ARTICLE, LEAST = 0.05, 0.5, 0.3, 1.5, 2.0, 0.1
 
@@ -67,6 +72,8 @@ SURE = frozenset(
 #: these at its end or beside NEUTRAL words only ("user-comment", "page-menu", not "share-of-market"), headers in the latter way alone.
 ROLES = SURE | frozenset("ad advert banner sponsor promo promotion menu nav aside rail widget footer foot notice notices alert login comment discussion reply replies responses respond share sharing toolbar search skip copyright legal".split())
 HEADS = frozenset("header head masthead".split())
+#: Words that make a class tell of what a page has or lacks or how it stands, not what an element is.
+STATES = frozenset("no not non has have with without hide hidden show open opened closed enabled disabled active inactive layout".split())
 NEUTRAL = frozenset("the site page global main top bottom left right box area bar block container wrapper wrap inner outer list item items section content row col button buttons link links icon icons panel odd even depth level js id is has".split())
 
 
@@ -79,7 +86,8 @@ class Page(NamedTuple):
     text: list[str]  # character references decoded; white space as it is
     parent: list[int]
     tag: list[str]
-    factor: list[float]
+    factor: list[float]  # of the path's own tag; with those of its classes and of all above once weighed
+    says: list[float]  # of its classes
 
 
 def role(names: list[str]) -> float:
@@ -87,6 +95,8 @@ def role(names: list[str]) -> float:
     against = other = False
     for name in names:
         parts = _PART.findall(name)
+        if not STATES.isdisjoint(parts):
+            continue
         if any(p in SURE for p in parts):
             return AGAINST
         rest = [p for p in parts if p not in NEUTRAL and len(p) > 1]
@@ -127,13 +137,14 @@ def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
 def read(page: str) -> Page:
     """Text pieces with their paths. Every step costs the same however deep the page is: an entry of the stack knows the
     open elements that a new one would end, and end tags without an open element are passed over."""
-    out = Page([], [], [], [], [-1], [""], [1.0])
+    out = Page([], [], [], [], [-1], [""], [1.0], [1.0])
     known: dict[tuple[int, str], int] = {}
     number: dict[tuple[int, str, int], int] = {}
     # name, path, silent, places of the open elements of each scope, inside an article or main, of the same name within
     stack: list[list] = [["", 0, False, (-1,) * len(SCOPES), False, 0]]
     count: dict[str, int] = {}
     block, at, link = 0, 0, 0  # link: depth of the stack where an open link began, 0 if none is open
+    head = 0  # its place in the stack; a page has one
 
     def text(upto: int) -> None:
         if upto > at and not stack[-1][2]:
@@ -189,9 +200,12 @@ def read(page: str) -> Page:
         says = role([*classes, *found.get("id", "").split(), *found.get("role", "").split()]) if found and name not in ("html", "body") else 1.0
         if name in INLINE and says == 1.0:
             continue
-        if count.get("head") and name not in IN_HEAD:
-            depth = next(i for i, entry in enumerate(stack) if entry[0] == "head")
-            cut(depth)
+        if name == "head":
+            if head:
+                continue
+            head = len(stack)
+        elif count.get("head") and name not in IN_HEAD:
+            cut(head)
         if (scope := _SCOPE_OF.get(name)) is not None and (depth := stack[-1][3][scope]) >= 0:
             cut(depth)
         if name not in INLINE and (depth := stack[-1][3][PARAGRAPH]) >= 0:
@@ -212,13 +226,14 @@ def read(page: str) -> Page:
         path = known.get((parent, label))
         if path is None:
             path = known[parent, label] = len(out.parent)
-            factor = out.factor[parent] * says
+            factor = 1.0
             if name in ("nav", "footer", "aside", "dialog", "menu") or name == "header" and not within:
                 factor *= AGAINST
             factor *= {"form": FORM, "main": MAIN, "article": ARTICLE}.get(name, 1.0)
             out.parent.append(parent)
             out.tag.append(name)
             out.factor.append(factor)
+            out.says.append(says)
         depth = len(stack)
         new = tuple(-1 if name in ends else depth if name in names and was < 0 else was for was, (names, ends) in zip(scopes, SCOPES, strict=True))
         stack.append([name, path, silent or name in SILENT, new, within or name in ("article", "main"), 0])
@@ -260,6 +275,22 @@ def figures(page: Page) -> np.ndarray:
     return np.array(rows)
 
 
+def weighed(page: Page, own: np.ndarray, least: float = NEARLY_ALL) -> Page:
+    """The page with the factors of whole paths. Classes do not count against elements that hold an article or a main part, or
+    ``least`` of the page's text outside of links (ENOUGH characters or more)."""
+    n, parent = len(page.parent), page.parent
+    mass, holds = own[:, 0].tolist(), [t in ("article", "main") for t in page.tag]
+    for v in range(n - 1, 0, -1):
+        mass[parent[v]] += mass[v]
+        holds[parent[v]] = holds[parent[v]] or holds[v]
+    above = [h and t not in ("article", "main") for h, t in zip(holds, page.tag, strict=True)]
+    factor = [1.0] * n
+    for v in range(1, n):
+        says = 1.0 if page.says[v] < 1.0 and (above[v] or mass[v] >= max(least * mass[0], ENOUGH)) else page.says[v]
+        factor[v] = factor[parent[v]] * says * page.factor[v]
+    return page._replace(factor=factor)
+
+
 def values(page: Page, own: np.ndarray) -> np.ndarray:
     """Smoothed and fused ratios of every path, times the factor of its roles."""
     has = own[:, 2] > 0
@@ -308,15 +339,34 @@ def taken(page: Page, own: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray,
         title = tag[v] in ("h1", "h2")  # may stand before the first paragraph, in a container of its own
         always[v] = chosen[v] or same and not links or near and (title or tag[region] == "article")
         between[v] = same or near
+    if (title := title_before(page, own, region, holder)) is not None:
+        always[title] = True
     return always, between
 
 
+def title_before(page: Page, own: np.ndarray, region: int, holder: list[int]) -> int | None:
+    """The page's only first-rank heading, if it stands beside the article in a container of its own and its role is not against it."""
+    heads = [v for v in range(1, len(page.parent)) if page.tag[v] == "h1" and own[v, 3]]
+    if len(heads) != 1 or page.factor[heads[0]] < PERHAPS or own[heads[0], 2] != 1:
+        return None
+    around, v = {0}, region
+    while v > 0:
+        around.add(v)
+        v = page.parent[v]
+    beside = holder[heads[0]]
+    return heads[0] if beside in around or page.parent[beside] in around else None
+
+
 def main_text(page: str) -> str:
     """The article of a page: white space within a block is one space, blocks are joined by one space. "" if there is none."""
-    found = read(page)
-    own = figures(found)
-    chosen = content(found, own, values(found, own))
-    if not chosen.any():
+    read_, chosen = read(page), np.zeros(0, bool)
+    own = figures(read_)
+    for least in (NEARLY_ALL, HALF):
+        found = weighed(read_, own, least)
+        chosen = content(found, own, values(found, own))
+        if chosen.any():
+            break
+    else:
         return ""
     always, between = taken(found, own, chosen)
     blocks = [b for v, b in zip(found.path, found.block, strict=True) if chosen[v] and always[v]]
@@ -335,7 +385,8 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """One row per row of ``pages``: page_id, url, text, n_chars (code points).
 
     A null or empty page, or one without article text, has the text "". Pages are taken each on its own, repeats alike;
-    other columns are ignored; an empty table gives an empty one.
+    other columns are ignored; an empty table gives an empty one. A page of any length is read whole, in time that grows with
+    its length; its pieces of text and its paths are held, some hundred bytes each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,10 +1,9 @@
 """Records, stores, settings, pages and guards."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from waymark.functions import hours
@@ -79,17 +78,29 @@ def test_breaker_opens_cools_and_resets():
     assert b.cooling_s(at(700)) == 504.0
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="MoTuWeThFrSaSu,-; 0123456789:offclosed/", max_size=60))
-def test_osm_hours_never_fail(rules):
-    assert set(hours.osm_week(rules)) <= set(hours.WEEK_ISO)
+def weeks(spark, rules, **options):
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rules)], "i int, r string")
+    return [r[0] for r in df.orderBy("i").select(hours.osm_hours(F.col("r"), **options)).collect()]
 
 
-def test_osm_hours_wrap_and_replace():
-    assert list(hours.osm_week("Sa-Mo 10:00-12:00; Su off")) == ["mon", "sat", "sun"]
-    assert hours.osm_week("Sa-Mo 10:00-12:00; Su off")["sun"] == "Closed"
-    assert set(hours.osm_week("Mo-Su 08:00-22:00; PH off").values()) == {"8:00 AM – 10:00 PM"}
-    assert set(hours.osm_week("Mo-Su 08:00-22:00; PH off", True).values()) == {"Closed"}
+def test_osm_hours_never_fail(spark):
+    rng = random.Random(3)
+    parts = ["Mo", "Tu-Sa", "Fr-Mo", "PH", "XX-Mo", "off", "closed", "10:00-12:00", "9:30 - 24:00", "24/7", ",", ", ", ";", "; ", " ", "-", ":", "5", "o", "/"]
+    for week in weeks(spark, ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(500)]):
+        assert set(week) <= set(hours.WEEK_ISO)
+
+
+def test_osm_hours_wrap_and_replace(spark):
+    a, b, c, d, e, f, g = weeks(spark, ["Sa-Mo 10:00-12:00; Su off", "Mo-Su 08:00-22:00; PH off", "Mo, We-Th 9:00 - 24:00, 1:00-2:00", "off", "Tu open 10:00-11:00; Mo,PH 0:30-1:00", "Mo 10:00; 24/7; Sa Closed", "xyz 10:00-11:00"])
+    assert set(a) == {"mon", "sat", "sun"} and a["sun"] == "Closed"
+    assert set(b.values()) == {"8:00 AM – 10:00 PM"} and len(b) == 7
+    assert c == dict.fromkeys(("mon", "wed", "thu"), "9:00 AM – 12:00 AM, 1:00 AM – 2:00 AM")
+    assert d == dict.fromkeys(hours.WEEK_ISO, "Closed")
+    assert e == {"mon": "12:30 AM – 1:00 AM", "tue": "10:00 AM – 11:00 AM"}
+    assert f == dict.fromkeys(hours.WEEK_ISO, "Open 24 hours") | {"sat": "Closed"}
+    assert g == dict.fromkeys(hours.WEEK_ISO, "10:00 AM – 11:00 AM")
+    (x,) = weeks(spark, ["Mo-Su 08:00-22:00; PH off"], holidays_close_all=True)
+    assert set(x.values()) == {"Closed"}
 
 
 def test_brands_are_taken_literally():

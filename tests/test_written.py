@@ -72,10 +72,10 @@ listed(
 
 listed(
     "T18_menu_in_body",
-    [(1, "Menu\nLatte ৳250\nTea - Tk. 40 and\nlatte BDT 300, Gold bar ৳ 90,000\nx ৳50"), (2, None)],
+    [(1, "Menu\nLatte ৳250\nTea - Tk. 40 and\nlatte BDT 300, Gold bar ৳ 90,000\nx ৳50"), (2, None), (3, "no price"), (4, "Mocha Tk 120 Flat White Tk 1,250.50"), (5, "৳৳৳ 5 tk. 9 bdt 77"), (6, "a" * 80 + " cake ৳15")],
     "id long, body string",
-    lambda df: df.select("id", F.explode(pagetext.body_menu(F.col("body"))).alias("m")).select("id", "m.item", "m.price_bdt"),
-    [(1, "Latte", 250.0), (1, "Tea", 40.0)],
+    lambda df: pagetext.body_menu(df, "id", F.col("body")),
+    [(1, "Latte", 250.0), (1, "Tea", 40.0), (4, "Mocha", 120.0), (4, "Mocha Tk 120 Flat White", 1250.5), (5, "৳৳৳ 5 tk. 9", 77.0), (6, "a" * 39 + " cake", 15.0)],
     "id, item, price_bdt",
 )
 

@@ -5,14 +5,11 @@ Lines carry their position, so 'what stands under which heading' is a window ove
 
 from __future__ import annotations
 
-import re
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from waymark.functions.numbers import PRICE_BDT
+from waymark.functions.numbers import PRICE_BDT, price_bdt
 
 # Section names of an About panel, its controls, and names that are none.
 SECTIONS = (
@@ -69,26 +66,30 @@ def menu_sections(df: DataFrame, keys: list[str], position: str, text: str = "te
     return carried(df, keys, position, heading, "category")
 
 
-_PRICE = re.compile(PRICE_BDT.removeprefix("(?i)"), re.I)
-
+#: Characters before a price that may name its item; a price has two or more, so no more pieces than that hold them.
+BEFORE = 45
 
-def menu_in_body(body: str | None, most: int = 60) -> list[dict]:
-    """Items before prices in running text: the end of the line within 45 characters, 3 to 60 long, 10 to 20000 each,
-    distinct by lower-cased name."""
-    out: dict[str, dict] = {}
-    for m in _PRICE.finditer(body or ""):
-        before = body[max(0, m.start() - 45) : m.start()].strip()
-        name = before.rpartition("\n")[2].strip(" -,:")
-        digits = m[1].replace(",", "")
-        price = float(digits) if digits and digits != "." else 0.0
-        if 3 <= len(name) <= 60 and 10 <= price <= 20_000:
-            out.setdefault(name.lower(), {"item": name, "price_bdt": price})
-    return list(out.values())[:most]
 
+def body_menu(df: DataFrame, key: str, text: Column, most: int = 60) -> DataFrame:
+    """(key, item, price_bdt): items before prices in running text, the first ``most`` of each row.
 
-def body_menu(c: Column) -> Column:
-    kind = pa.list_(pa.struct([("item", pa.string()), ("price_bdt", pa.float64())]))
-    return F.arrow_udf(lambda a: pa.array([menu_in_body(x) for x in a.to_pylist()], kind), "array<struct<item: string, price_bdt: double>>")(c)
+    An item is the end of the line within BEFORE characters before a price: 3 to 60 characters at 10 to 20000 each, the first of
+    each name in any case. The text is cut where prices begin, so a piece knows its price, and those before it the name.
+    ``key`` is unique.
+    """
+    mark = "\x01"
+    pieces = F.split(F.regexp_replace(F.regexp_replace(text, mark, " "), f"({PRICE_BDT})".replace("(?i)", "").join(("(?i)", "")), f"{mark}$1"), mark)
+    cut = df.select(key, pieces.alias("_pieces"))
+    before = F.array_join(F.slice("_pieces", F.greatest(F.lit(1), F.col("_pos") - BEFORE + 1), F.least(F.lit(BEFORE), F.col("_pos"))), "")
+    space = r"(?U)^\s+|\s+$"
+    near = F.regexp_replace(F.right(before, F.lit(BEFORE)), space, "")
+    name = F.call_function("btrim", F.substring_index(near, "\n", -1), F.lit(" -,:"))
+    rows = cut.select(key, "_pieces", F.posexplode("_pieces").alias("_pos", "_piece")).filter("_pos > 0")
+    rows = rows.select(key, "_pos", name.alias("item"), price_bdt(F.col("_piece")).alias("price_bdt"))
+    fit = rows.filter(F.length("item").between(3, 60) & F.col("price_bdt").between(10, 20_000))
+    first = fit.groupBy(key, F.lower("item").alias("_name")).agg(F.min(F.struct("_pos", "item", "price_bdt")).alias("i"))
+    menu = first.groupBy(key).agg(F.slice(F.sort_array(F.collect_list("i")), 1, most).alias("menu"))
+    return menu.select(key, F.explode("menu").alias("i")).select(key, "i.item", "i.price_bdt")
 
 
 def reviews(df: DataFrame, key: str, least: int = 25, most: int = 5) -> DataFrame:

@@ -342,7 +342,7 @@ MENU = Input({"id": K, "body": f"CASE WHEN {K} % 7 = 6 THEN NULL ELSE concat('Me
 
 @query("T18_menu_in_body", "SELECT c_custkey AS id, item, price_bdt::DOUBLE AS price_bdt FROM customer, LATERAL (VALUES ('Latte ' || c_mktsegment, c_custkey % 500 + 10), ('Tea', c_custkey % 90 + 30)) v(item, price_bdt) WHERE c_custkey % 7 <> 6")
 def menu_in_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return MENU.frame(spark, sf_dir).select("id", F.explode(pagetext.body_menu(F.col("body"))).alias("m")).select("id", "m.item", "m.price_bdt")
+    return pagetext.body_menu(MENU.frame(spark, sf_dir), "id", F.col("body"))
 
 
 @query("T22_distinct_lines", "SELECT doc_id, count(DISTINCT trim(x)) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents) WHERE trim(x) <> '' GROUP BY 1")

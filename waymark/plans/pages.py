@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from waymark.functions import hours, numbers, text, values
 from waymark.operators import matching, pagetext, resolution
 from waymark.runtime import new_folder
+from waymark.sources import selectors as css_
 from waymark.sources import sinks, tables, web
 
 from .base import SEED, Input, query, scalar, table
@@ -156,6 +157,38 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.details(p, web.links(p), 3).select("page_id", "pos", "target", "target_id")
 
 
+CSS = ("article > h1", "nav ul > li:nth-of-type(2) > a", "div.ad", 'a[href^="/"]', "article p")
+_ARTICLE, _NAV = "regexp_extract(html, '(?s)<article>(.*)</article>', 1)", "regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1)"
+_MANY = "len(regexp_extract_all({}, '{}'))"
+
+
+@query(
+    "S12_css",
+    f"SELECT page_id, {_MANY.format(_ARTICLE, '<h1>')} AS headings, {_PLAIN.replace('{0}', f"regexp_extract_all({_NAV}, '<li><a href=[^>]*>([^<]*)</a>', 1)[2]")} AS second_link, {_MANY.format('html', '<div class=.ad.>')} AS ads, {_MANY.format('html', '<a href=./')} AS local_links, {_MANY.format(_ARTICLE, '<p>')} AS paragraphs FROM pages",
+)
+def css(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Child, place, class, attribute and descendant selectors, each page read once for all of them."""
+    found = pages(spark, sf_dir).select("page_id", css_.select_all(F.col("html"), *CSS[:5]).alias("f"))
+    n = lambda i: F.size(css_.of_selector(F.col("f"), i)).cast("long")
+    return found.select("page_id", n(0).alias("headings"), F.try_element_at(css_.of_selector(F.col("f"), 1), F.lit(1))["text"].alias("second_link"), n(2).alias("ads"), n(3).alias("local_links"), n(4).alias("paragraphs"))
+
+
+@query("U03_css_table", f"SELECT page_id, count(*) AS n, max(href) AS last FROM ({_LINKS}) WHERE starts_with(href, '/') GROUP BY 1")
+def css_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The selector engine as a table function of SQL."""
+    css_.register(spark)
+    p = pages(spark, sf_dir)
+    return spark.sql("SELECT p.page_id, count(*) AS n, max(e.attributes['href']) AS last FROM {p} p, LATERAL css_select(p.html, 'a[href^=\"/\"]') e GROUP BY p.page_id", p=p)
+
+
+@query("U01_fallback_selectors", f"SELECT page_id, trim(regexp_replace({_PLAIN.replace('{0}', 'h')}, '\\s+', ' ', 'g')) AS title, nullif(l, '') AS lang FROM (SELECT page_id, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS h, regexp_extract(html, '<li><a href=[^>]*>([^<]*)</a>', 1) AS l FROM pages) WHERE h <> ''")
+def fallback_selectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configured lists over the defaults; of each field the first selector with a text."""
+    chosen = tables.selectors({"title": ["h1.title", "article > h1"], "lang": ["nav b"]}, {"title": [], "lang": ["nav > b", "nav li:first-child > a"]})
+    found = pages(spark, sf_dir).select("page_id", css_.first_texts(F.col("html"), chosen).alias("f"))
+    return found.select("page_id", "f.title", "f.lang").filter("title is not null")
+
+
 NEXT = Input({"url": "CAST(page_id AS STRING)", "next_url": "CAST((page_id * 2 + page_id % 3) % 400 AS STRING)"}, "pages")
 
 

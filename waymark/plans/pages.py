@@ -10,7 +10,7 @@ from waymark.functions import hours, numbers, text, values
 from waymark.operators import matching, pagetext, resolution
 from waymark.runtime import new_folder
 from waymark.sources import selectors as css_
-from waymark.sources import sinks, tables, web
+from waymark.sources import sinks, spatial, tables, web, workbook
 
 from .base import SEED, Input, query, scalar, table
 from .places import WITH_SEED
@@ -211,7 +211,16 @@ TAGGED = Input(
 )
 def box_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     pool = TAGGED.frame(spark, sf_dir).withColumn("tags", F.create_map(F.lit("amenity"), "amenity", F.lit("shop"), "shop"))
-    return web.in_box(pool, matching.bounding_box(SEED.frame(spark, sf_dir))).select("id")
+    return web.in_box(pool, spatial.box_of(matching.bounding_box(SEED.frame(spark, sf_dir)))).select("id")
+
+
+@query("S16_box_files", "SELECT c_custkey AS id FROM customer WHERE -80 + (c_custkey * 37 % 1600) / 10.0 BETWEEN 20.0 AND 27.0 AND -175 + (c_custkey * 91 % 3500) / 10.0 BETWEEN 80.0 AND 120.0")
+def box_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places all over the globe written along the curve; a box reads the files that can hold some of it."""
+    k, at = F.col("c_custkey"), new_folder(spark)
+    rows = table(spark, sf_dir, "customer").select(k.alias("id"), (k * 37 % 1600 / 10.0 - 80).alias("latitude"), (k * 91 % 3500 / 10.0 - 175).alias("longitude"))
+    spatial.write_places(rows, at, 32)
+    return spatial.read_box(spark, at, spatial.Box(20.0, 80.0, 27.0, 120.0)).select("id")
 
 
 @query("M20_tag_payload", f"SELECT id, '+8801' || (700000000 + k) AS phone, coalesce(amenity, shop) AS category, CASE WHEN k % 3 = 0 THEN 'https://facebook.com/cafe' || k ELSE 'https://fb.com/x' END AS facebook_url, 'Road ' || k || ', Dhaka 1212' AS address, CASE WHEN k % 7 = 0 THEN 'PERMANENTLY_CLOSED' END AS business_status FROM ({TAGGED.sql})")
@@ -561,6 +570,18 @@ def json_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("c_custkey long, c_name string").json(at)
 
 
+@query("K06_workbook", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def workbook_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A workbook written by tasks, its sheet's markup read again by Spark."""
+    at, c = new_folder(spark), table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    sinks.write_excel(c, f"{at}/customers.xlsx")
+    file = spark.read.format("binaryFile").load(f"{at}/customers.xlsx").select("content")
+    row = F.explode(F.regexp_extract_all(workbook.sheet_markup(F.col("content")), F.lit(r"(?s)<row [^>]*>.*?</row>"), F.lit(0))).alias("r")
+    value = lambda column: F.regexp_replace(F.regexp_extract("r", f'(?s)<c r="{column}[0-9]+"[^>]*>(.*?)</c>', 1), "<[^>]*>", "")
+    cells = file.select(row).filter("r not like '<row r=\"1\">%'").select(value("A").alias("a"), value("B").alias("b"), value("C").alias("c"))
+    return cells.select(F.col("a").cast("long").alias("c_custkey"), F.col("b").alias("c_name"), F.col("c").cast("double").alias("c_acctbal"))
+
+
 @query("K07_raw_archive", f"{WITH_SEED} SELECT 'r' || (pos % 2) AS run_id, left(regexp_replace(place_code, '[^A-Za-z0-9]', '_', 'g'), 40) || '_' || left(regexp_replace(business_name, '[^A-Za-z0-9]', '_', 'g'), 40) AS file FROM seed")
 def raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = new_folder(spark)

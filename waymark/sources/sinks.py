@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from waymark.functions.hours import week_columns
 from waymark.functions.text import file_slug
 
+from .workbook import write_workbook
+
 
 def _fs(spark: SparkSession, path: str):
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -74,12 +76,9 @@ def write_json(df: DataFrame, path: str) -> None:
     replace_table(df, path, "json")
 
 
-def write_excel(df: DataFrame, path: str, most: int = 1_000_000) -> None:
-    """A workbook of at most a sheet's rows, written on the driver; a larger table is an error, not a cut."""
-    n = df.count()
-    if n > most:
-        raise ValueError(f"{n} rows do not fit into a sheet of {most}")
-    df.toPandas().to_excel(path, index=False)
+def write_excel(df: DataFrame, path: str) -> None:
+    """A workbook of the table; more rows than a sheet holds are an error, not a cut."""
+    write_workbook(df, path)
 
 
 def archive_raw(payloads: DataFrame, path: str) -> None:

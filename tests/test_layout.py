@@ -1,4 +1,4 @@
-"""Places along the curve: its steps, the files that a box reads, the filters of its scan."""
+"""Places along the curve, workbooks, and a database that really runs."""
 
 import random
 import zipfile
@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymark.runtime import new_folder
-from waymark.sources import sinks, spatial, workbook
+from waymark.sources import sinks, spatial, tables, workbook
 
 PLACES = "id long, latitude double, longitude double"
 
@@ -88,3 +88,28 @@ def test_workbook_of_many_partitions(spark, tmp_path):
 
 def test_letters_of_columns():
     assert [workbook.letters(i) for i in (0, 25, 26, 51, 52, 701, 702, 16_383)] == ["A", "Z", "AA", "AZ", "BA", "ZZ", "AAA", "XFD"]
+
+
+# A database ------------------------------------------------------------------------------------------------------
+
+
+def test_outlets_come_from_a_database(spark, tmp_path):
+    """The database that Spark brings along: brand, range, filter and columns are its work."""
+    url = "jdbc:derby:memory:outlets;create=true"
+    names = ["Blue Door", "BLUE door 2", "100% Blue_Door", "Red Door", "blue'door", None]
+    jvm = spark.sparkContext._jvm
+    jvm.java.lang.System.setProperty("derby.stream.error.file", f"{tmp_path}/derby.log")
+    shown = lambda n: "CAST(NULL AS VARCHAR(100))" if n is None else "'" + n.replace("'", "''") + "'"
+    database = jvm.java.sql.DriverManager.getConnection(url)
+    database.createStatement().execute("CREATE TABLE places (id INT, business_name VARCHAR(100), latitude DOUBLE)")
+    database.createStatement().execute("INSERT INTO places VALUES " + ", ".join(f"({i}, {shown(names[i % 6])}, {i / 2})" for i in range(600)))
+    read = lambda brand, **more: tables.read_outlets(spark, url, brand, table="places", ilike=False, **more).toDF("id", "business_name", "latitude")
+    assert sorted({r[1] for r in read("blue door").collect()}) == ["BLUE door 2", "Blue Door"]
+    assert {r[1] for r in read("blue_").collect()} == {"100% Blue_Door"} and {r[1] for r in read("0% b").collect()} == {"100% Blue_Door"}
+    assert {r[1] for r in read("E'D").collect()} == {"blue'door"} and read("no such").count() == 0
+    parted = read("blue door", parts=("ID", 100, 500, 4))
+    assert parted.rdd.getNumPartitions() == 4 and parted.count() == 200
+    some = tables.read_outlets(spark, url, "blue door", table="places", ilike=False).filter("id > 590").select("id")
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(some._jdf.queryExecution(), "formatted")
+    assert "GreaterThan" in plan[plan.index("PushedFilters") :].split("\n")[0] and "business_name" not in plan[plan.index("ReadSchema") :].split("\n")[0].lower()
+    assert sorted(r[0] for r in some.collect()) == [i for i in range(591, 600) if i % 6 < 2]

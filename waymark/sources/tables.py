@@ -99,15 +99,26 @@ def brand_pattern(brand: str) -> str:
     return "%" + re.sub(r"([\\%_])", r"\\\1", brand) + "%"
 
 
-def outlets_query(brand: str) -> str:
-    """The statement that the database runs: places whose name contains the brand in any case."""
+def outlets_query(brand: str, table: str = "public.places", ilike: bool = True) -> str:
+    """The statement that the database runs: places whose name contains the brand in any case. Without ``ilike``, for databases
+    that do not have it, both sides are lower-cased."""
     literal = brand_pattern(brand).replace("'", "''")
-    return f"SELECT * FROM public.places WHERE business_name ILIKE '{literal}' ESCAPE '\\'"
-
-
-def read_outlets(spark: SparkSession, url: str, brand: str, properties: dict[str, str] | None = None) -> DataFrame:
-    """Places whose name contains the brand in any case; the predicate runs in the database."""
-    return spark.read.format("jdbc").options(url=url, query=outlets_query(brand), **(properties or {})).load()
+    test = f"business_name ILIKE '{literal}'" if ilike else f"LOWER(business_name) LIKE LOWER('{literal}')"
+    return f"SELECT * FROM {table} WHERE {test} ESCAPE '\\'"
+
+
+def read_outlets(
+    spark: SparkSession, url: str, brand: str, properties: dict[str, str] | None = None, table: str = "public.places", ilike: bool = True, parts: tuple[str, int, int, int] | None = None
+) -> DataFrame:
+    """Places whose name contains the brand in any case; the predicate runs in the database, and so do filters and the choice of
+    columns that are put on what is returned. ``parts`` (column, from, to, number) reads in so many queries, each of a range
+    of a numeric column; rows outside of the bounds are in the first and last."""
+    statement = outlets_query(brand, table, ilike)
+    if parts is None:
+        return spark.read.format("jdbc").options(url=url, query=statement, **(properties or {})).load()
+    column, lo, hi, n = parts
+    ranges = {"partitionColumn": column, "lowerBound": str(lo), "upperBound": str(hi), "numPartitions": str(n)}
+    return spark.read.format("jdbc").options(url=url, dbtable=f"({statement}) outlets", **ranges, **(properties or {})).load()
 
 
 def merged_settings(defaults: dict, given: dict) -> dict:

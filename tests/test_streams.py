@@ -1,6 +1,9 @@
 """Breakers, quotas and ledgers over several micro-batches with restarts; versions of tables with rival writers."""
 
+import gc
+import os
 import threading
+import time
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -9,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from waymark.runtime import new_folder
+from waymark.runtime import checkpoint_folder, frozen, new_folder
 from waymark.sources.snapshots import Conflict, Files, Snapshots
 from waymark.streaming import breaker, guard, quota
 
@@ -237,3 +240,21 @@ def test_a_file_is_made_once(spark, local):
     winner = [i for i, ok in made if ok]
     assert len(winner) == 1 and files.read(f"{at}/x") == f"text {winner[0]}"
     assert files.create(f"{at}/x", "late") is False and list(files.names(at)) == ["x"]
+
+
+def test_checkpoints_go_when_nothing_refers_to_them(spark):
+    def files():
+        return {f for top, _, names in os.walk(checkpoint_folder(spark).removeprefix("file:")) for n in names if "/rdd-" in (f := f"{top}/{n}")}
+
+    before = files()
+    table = frozen(spark.range(100))
+    made = files() - before
+    assert made and table.count() == 100
+    del table
+    for _ in range(40):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        if not made & files():
+            return
+        time.sleep(0.5)
+    raise AssertionError("files of a checkpoint are still there")

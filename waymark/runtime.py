@@ -8,10 +8,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLEANED = "spark.cleaner.referenceTracking.cleanCheckpoints"
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder that the session names; where none is named a local one is made in local mode only (tests), as executors of a
-    cluster would not share it."""
+    cluster would not share it. Unless the session says otherwise, files of a checkpoint go when nothing refers to it any more."""
     sc = spark.sparkContext
+    conf = sc._jsc.sc().conf()
+    if not conf.contains(CLEANED):
+        conf.set(CLEANED, "true")
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir")
         if not folder and not sc.master.startswith("local"):

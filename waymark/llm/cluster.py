@@ -30,6 +30,10 @@ BATCH_ROWS = "2000"
 WORKERS = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_TRIM_THRESHOLD_": "4000000"}
 
 
+#: Whether files of a checkpoint go when nothing refers to it any more; on unless the session says otherwise.
+CLEANED = "spark.cleaner.referenceTracking.cleanCheckpoints"
+
+
 def prepare(spark: SparkSession) -> None:
     """Let Python workers import this package and give freed memory back (allocator settings of their environment), name a
     checkpoint folder, and lower the size of Arrow batches where the session leaves it at its default (for the whole
@@ -39,6 +43,9 @@ def prepare(spark: SparkSession) -> None:
     cluster executors would not share it, so that is an error.
     """
     sc = spark.sparkContext
+    conf = sc._jsc.sc().conf()
+    if not conf.contains(CLEANED):
+        conf.set(CLEANED, "true")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sc.environment.setdefault("PYTHONPATH", root)
     for name, value in WORKERS.items():

@@ -249,6 +249,23 @@ def test_a_large_index_is_built_from_a_table(spark, monkeypatch):
     assert rows(urls.judge_urls(asked.limit(3), blocked=empty, id_col="id"))[0]["verdict"] == "allow"
 
 
+def test_small_lists_are_packed_as_large_ones_are_built(spark, monkeypatch):
+    entries = ["example.org", "é.example", "*bet", "a.b.c.example/x/é", "*😀", "single", "example.org", None]
+    listed = spark.createDataFrame([(e,) for e in entries], "host string")
+    urls_ = ["http://www.example.org/a", "http://é.example", "http://x-bet-y.de", "http://q.a.b.c.example/x/é1", "http://a.b.c.example/x/", "http://single/", "http://1😀2.de", "x", None, "http://example.orgs/", "http://example.net/de/8?a://b"] * 2
+    asked = spark.createDataFrame([(i, u, "h", "p") for i, u in enumerate(urls_)], "page_id long, url string, host string, path string")
+    small = rows(urls.judge_urls(asked, blocked=listed))
+    monkeypatch.setattr(urls, "FEW", -1)
+    assert sorted(map(str, rows(urls.judge_urls(asked, blocked=listed)))) == sorted(map(str, small))
+    assert [r["listed"] for r in sorted(small, key=lambda r: r["page_id"])] == [True, True, True, True, False, True, False, False, False, False, False] * 2
+
+
+def test_very_long_urls(spark):
+    long = "http://" + "a." * 20_000 + "example.com/en/7" + "/x" * 100_000
+    got = rows(urls.judge_urls(spark.createDataFrame([(1, long), (1, long)], "page_id long, url string")))
+    assert [(r["rule"], r["verdict"]) for r in got] == [("example.com/en/7", "allow")] * 2
+
+
 def test_stages(spark, docs, empty, sf_dir):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "exact dedup", "near dedup", "pii", "packing"]
     for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -9,12 +9,14 @@ that fits gives the verdict.
 
 The array is built from a table: Spark hashes and sorts the entries, and each range of keys becomes a row of packed bytes
 in Parquet files of the shared checkpoint folder. Spark's own file distribution brings them to the executors (to one that
-joins later, too); there the ranges are put together once beside the files, and all workers of the executor map that file
-read-only. Neither driver nor py4j handles entries.
+joins later, too); there one worker puts the ranges together beside the files, and all workers of the executor map that
+file read-only. Lists of at most FEW entries are packed on the driver.
 """
 
 from __future__ import annotations
 
+import fcntl
+import io
 import mmap
 import os
 import uuid
@@ -25,6 +27,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +46,8 @@ BLOCKED_WORDS = tuple(
     "cialis pharma pills steroids viagra "
     "keygen malware phishing scam spam warez".split()
 )
+#: Entries that are packed on the driver, some hundred kB.
+FEW = 5000
 #: Entries in one range of keys.
 RANGE = 1 << 18
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -76,17 +81,31 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def assemble(paths: list[str], target: str) -> None:
-    """Put the ranges of all files into ``target``: their number, keys, offsets of the strings, verdict bytes, strings."""
-    parts = sorted((row for path in paths for row in pq.read_table(path).to_pylist()), key=lambda r: r["first"])
-    size = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["size"], np.int64) for r in parts)])
+    """Put the ranges of all files into ``target``: their number, keys, offsets of the strings, verdict bytes, strings.
+
+    Sections are written one after the other, each read again row group by row group, so that no more than one of a section is
+    held besides 8 bytes an entry for the offsets.
+    """
+    files = [pq.ParquetFile(path) for path in paths]
+    # Every range is a row; row groups hold few of them, whose first keys tell the order.
+    order = sorted((first, f, g, i) for f, file in enumerate(files) for g in range(file.num_row_groups) for i, first in enumerate(file.read_row_group(g, ["first"]).column(0).to_pylist()))
+
+    def section(name: str) -> Iterator[bytes]:
+        last, column = None, None
+        for _, f, g, i in order:
+            if last != (f, g):
+                last, column = (f, g), files[f].read_row_group(g, [name]).column(0)
+            yield column[i].as_py()
+
+    size = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.int64) for x in section("size"))])
     own = f"{target}.{uuid.uuid4().hex}"
     with open(own, "wb") as out:
         out.write(np.int64(len(size)).tobytes())
-        out.writelines(r["keys"] for r in parts)
+        out.writelines(section("keys"))
         out.write(np.concatenate(([0], np.cumsum(size))).astype(np.int64).tobytes())
-        out.writelines(r["block"] for r in parts)
-        out.writelines(r["text"] for r in parts)
-    os.replace(own, target)  # whole or not at all, whichever worker is first
+        out.writelines(section("block"))
+        out.writelines(section("text"))
+    os.replace(own, target)  # whole or not at all
 
 
 class Index:
@@ -124,20 +143,51 @@ class Index:
 def _index(shape: Shape) -> Index:
     folder = SparkFiles.getRootDirectory()
     target = f"{folder}/{shape.name}.map"
-    if not os.path.exists(target):
-        assemble([SparkFiles.get(f) for f in shape.files], target)
+    # One worker of the executor builds it, the others wait.
+    with open(f"{target}.lck", "w") as lock:
+        fcntl.flock(lock, fcntl.LOCK_EX)
+        if not os.path.exists(target):
+            assemble([SparkFiles.get(f) for f in shape.files], target)
     return Index(target)
 
 
+def _few(spark: SparkSession, entries: list[tuple[str, bool]]) -> Shape:
+    """The index of at most FEW entries, packed where they are."""
+    block: dict[str, bool] = {}
+    for entry, blocks in entries:
+        if block.setdefault(entry, blocks) != blocks:
+            raise ValueError("entries of one host and path differ in verdict")
+    signed = lambda e: int(np.uint64(xxhash.xxh64_intdigest(e.encode(), 42)).astype(np.int64))
+    rows = sorted((signed(e), e, b) for e, b in block.items())
+    name = f"urls-{len(rows)}-{xxhash.xxh64_hexdigest(repr(rows).encode())}"
+    files = (f"{name}.index",) if rows else ()
+    sc = spark.sparkContext
+    if files and files[0] not in {os.path.basename(f) for f in sc.listFiles}:
+        (ranges,) = pack([pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows])], ["key", "entry", "block"])])
+        held = io.BytesIO()
+        pq.write_table(pa.Table.from_batches([ranges]), held)
+        place = sc._jvm.org.apache.hadoop.fs.Path(f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}/{files[0]}")
+        out = place.getFileSystem(sc._jsc.hadoopConfiguration()).create(place)
+        out.write(held.getvalue())
+        out.close()
+        sc.addFile(place.toString())
+    hosts = [e.partition("/") for e in block if not e.startswith("*")]
+    lengths = tuple(sorted({len(slash + path) for _, slash, path in hosts}))
+    return Shape(name, files, lengths, max((len(h.split(".")) for h, _, _ in hosts), default=0), any(e.startswith("*") for e in block))
+
+
 def distribute(entries: DataFrame) -> Shape:
     """Build the index of ``entries`` (entry, verdict) in the shared checkpoint folder and add it to the session's files.
 
     Null and repeated entries count once; entries of one string must agree. The name tells the content, so an index that
-    the session has already is the same one.
+    the session has already is the same one. FEW entries or less are packed at once, without jobs of their own.
     """
     spark = entries.sparkSession
     prepare(spark)
     sc = spark.sparkContext
+    first = entries.filter("entry is not null").select("entry", F.coalesce(F.col("verdict") == "block", F.lit(False))).limit(FEW + 1).collect()
+    if len(first) <= FEW:
+        return _few(spark, [tuple(r) for r in first])
     rows = entries.filter("entry is not null").groupBy("entry").agg(F.max(F.col("verdict") == "block").alias("block"), F.min(F.col("verdict") == "block").alias("other"))
     slash, word = F.instr("entry", "/"), F.startswith("entry", F.lit("*"))
     host = F.when(slash > 0, F.substring(F.col("entry"), F.lit(1), slash - 1)).otherwise(F.col("entry"))

@@ -53,9 +53,12 @@ def since_last(events: DataFrame, unique: str, host: str = "host", ts: str = "ts
 
 
 def before_hard_block(events: DataFrame, hard: Column, unique: str, host: str = "host", ts: str = "ts") -> DataFrame:
-    """Events up to and with the first hard block of their host; the rest of the run is off."""
-    blocks = F.sum(hard.cast("int")).over(Window.partitionBy(host).orderBy(ts, unique).rowsBetween(Window.unboundedPreceding, -1))
-    return events.withColumn("_blocks", blocks).filter("coalesce(_blocks, 0) = 0").drop("_blocks")
+    """Events up to and with the first hard block of their host; the rest of the run is off. The first block of each host is an
+    aggregate over blocks alone; a host of any share of the events is joined to it, not brought together."""
+    at = F.struct(ts, unique)
+    first = events.filter(hard).groupBy(F.col(host).alias("_host")).agg(F.min(at).alias("_first"))
+    joined = events.join(first, F.col(host).eqNullSafe(F.col("_host")), "left")
+    return joined.filter(F.col("_first").isNull() | (at <= F.col("_first"))).drop("_host", "_first")
 
 
 class Breaker:

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of ``c``, which is computed once for a row however often ``f`` reads it: the start of a fold over nothing has a
+    name in its finish, where an expression is written out again at each place. (An element of an array has one too, but
+    Spark asks for its type at every row, which takes the longer the deeper such names are nested.)"""
+    return F.aggregate(F.array().cast("array<int>"), c, lambda acc, _: acc, f)
+
+
 def blank_to_null(c: Column) -> Column:
     """Trimmed text, NULL if nothing is left."""
     t = F.trim(c)

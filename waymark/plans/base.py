@@ -47,14 +47,23 @@ class Input:
         return text + (f" WHERE {self.where}" if self.where else "")
 
 
-def scalar(name: str, raw: str, outputs: dict[str, tuple[Callable[[Column], Column], str]], source: str = "customer", key: str = "c_custkey") -> None:
-    """A query that applies functions of one text to a text made of every row's key; the oracle's side is written in its own functions."""
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over two tasks a core where it comes in fewer: for rows of few bytes and much work, of which the reader
+    puts millions into one task."""
+    tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+
+
+def scalar(name: str, raw: str, outputs: dict[str, tuple[Callable[[Column], Column], str]], source: str = "customer", key: str = "c_custkey", much_work: bool = False) -> None:
+    """A query that applies functions of one text to a text made of every row's key; the oracle's side is written in its own
+    functions. ``much_work``: rows are dealt over all cores first."""
     data = Input({"k": key, "raw": raw}, source)
     sql = f"WITH t AS ({data.sql}) SELECT k, {', '.join(f'{duck} AS {out}' for out, (_, duck) in outputs.items())} FROM t"
 
     @query(name, sql)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return data.frame(spark, sf_dir).select("k", *[f(F.col("raw")).alias(out) for out, (f, _) in outputs.items()])
+        rows = data.frame(spark, sf_dir)
+        return (spread(rows) if much_work else rows).select("k", *[f(F.col("raw")).alias(out) for out, (f, _) in outputs.items()])
 
 
 # A seed of places: customers with the names of parts, spread over about one square kilometre.

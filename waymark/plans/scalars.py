@@ -269,7 +269,7 @@ scalar(
 _MM = f"lpad(CAST({K} % 60 AS STRING), 2, '0')"
 _MIN = "lpad((k % 60)::VARCHAR, 2, '0')"
 _WEEK = f"concat('Hours: Monday ', {_H}, ':', {_MM}, ' AM–10 PM; Sunday: Closed; Friday Open 24 hours, monday 1–2 PM; Funday 1–2 PM')"
-scalar("H06_hours_in_text", _WEEK, {"week": (lambda c: F.to_json(hours.hours_in_text(c)), f"'{{\"Sun\":\"closed\",\"Mon\":\"' || {_HH} || ':' || {_MIN} || '-22:00\",\"Fri\":\"00:00-24:00\"}}'")})
+scalar("H06_hours_in_text", _WEEK, {"week": (lambda c: F.to_json(hours.hours_in_text(c)), f"'{{\"Sun\":\"closed\",\"Mon\":\"' || {_HH} || ':' || {_MIN} || '-22:00\",\"Fri\":\"00:00-24:00\"}}'")}, much_work=True)
 scalar(
     "H07_normalized_hours",
     f"concat({_H}, ':', {_MM})",

@@ -288,7 +288,7 @@ scalar(
 )
 scalar("H09_display_hours", f"concat(' ', {_H}, ':', {_MM}, ' a.m.—10  p.m ,')", {"shown": (hours.display_hours, "(k % 11 + 1) || ':' || lpad((k % 60)::VARCHAR, 2, '0') || ' AM. – 10 PM '")})
 scalar("H10_ampm", f"CASE WHEN {K} % 5 = 0 THEN 'x ' ELSE concat(CAST({K} % 25 AS STRING), ':', lpad(CAST({K} % 60 AS STRING), 2, '0')) END", {"shown": (hours.hhmm_to_ampm, "CASE WHEN k % 5 = 0 THEN 'x' ELSE (CASE WHEN k % 25 % 12 = 0 THEN 12 ELSE k % 25 % 12 END) || ':' || lpad((k % 60)::VARCHAR, 2, '0') || CASE WHEN k % 25 < 12 OR k % 25 = 24 THEN ' AM' ELSE ' PM' END END")})
-scalar("H14_enough_days", _WEEK, {"three": (lambda c: hours.enough_days(hours.hours_in_text(c), 3), "TRUE"), "five": (lambda c: hours.enough_days(hours.hours_in_text(c)), "FALSE")})
+scalar("H14_enough_days", _WEEK, {"three": (lambda c: hours.enough_days(hours.hours_in_text(c), 3), "TRUE"), "five": (lambda c: hours.enough_days(hours.hours_in_text(c)), "FALSE")}, much_work=True)
 _TWO = _MM
 _SHOWN = "(k % 11 + 1) || ':' || lpad((k % 60)::VARCHAR, 2, '0') || ' AM – 10:30 PM'"
 _DAYS_SQL = "list_transform({0}, lambda d: chr(34) || d || chr(34) || ':' || chr(34) || {1} || chr(34))"

@@ -41,6 +41,12 @@ def test_m16_legacy_payload(spark, sf_dir):
     assert written(pages.legacy(pages.profiles(spark, sf_dir))).count("24hrs") == 1
 
 
+def test_a04_legacy_richness(spark, sf_dir):
+    df = pages.legacy_richness(spark, sf_dir)
+    assert df.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+    assert written(df).count("24hrs") == 1
+
+
 @pytest.mark.parametrize(
     ("raw", "span"),
     [

@@ -161,7 +161,8 @@ def across(docs: DataFrame, members: DataFrame, reps: DataFrame, k: int, percent
     links that join the same components in a block, one is returned.
     """
     least = least_agreements(percent / 100, miss)
-    sized = members.join(reps.select("rep", "n_shingles", "signature"), "rep")
+    # Read for the sizes and four times for the blocks: one row a member, joined once.
+    sized = frozen(members.join(reps.select("rep", "n_shingles", "signature"), "rep"))
     sizes = sized.groupBy("band", "band_key", "comp").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("w"))
     main = sizes.groupBy("band", "band_key").agg(F.max(F.struct("m", (-F.col("comp")).alias("c"), "w")).alias("top"), F.sum("m").alias("m"), F.sum("w").alias("w"))
     blocks = lambda m, w: F.greatest(F.ceil(m / BLOCK), F.ceil(w / BLOCK_SHINGLES)).cast("int")
@@ -240,7 +241,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     comps = components(linked(docs, pairs, pairs.count(), k, percent).toDF("u", "v"), most)
     member = shared.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(*bucket, "rep", F.coalesce("component", "rep").alias("comp"))
     split = member.groupBy(*bucket).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select(*bucket)
-    mixed = frozen(member.join(split, bucket, "left_semi"), most)
+    mixed = member.join(split, bucket, "left_semi")
     more = across(docs, mixed, reps, k, percent, miss, most)
     # The stars found so far stand for the links that made them.
     comps = components(comps.union(more).toDF("u", "v"), most)

@@ -48,7 +48,8 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data in the text by its kind; n_chars is the new length. Null texts stay null, with a null length."""
     prepare(spark)
     names = docs.columns
-    return pii.redacted(docs, pii.fit(docs)).withColumn("n_chars", F.length("text").cast("long")).select(*names)
+    found = frozen(pii.candidates(docs, pii.trained(docs)))
+    return pii.replaced(found, pii.least_margins(found)).withColumn("n_chars", F.length("text").cast("long")).select(*names)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

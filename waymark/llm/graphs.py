@@ -44,11 +44,11 @@ def graph(nodes: list[bytes], given: list[bytes], made: list[bytes], constants:
 
 
 def session(of: bytes):
-    """A session of one thread, as Spark gives a task one core; what it used goes back after every run."""
+    """A session of one thread, as Spark gives a task one core. It keeps what a run took: the workers' allocator gives all
+    larger pieces back at once (``cluster.WORKERS``), and they would be paged in again for every step."""
     import onnxruntime  # only the processes that run a graph load it
 
     options = onnxruntime.SessionOptions()
     options.intra_op_num_threads = options.inter_op_num_threads = 1
-    options.enable_cpu_mem_arena = False
     options.log_severity_level = 3
     return onnxruntime.InferenceSession(_field(1, 8) + _field(7, of) + _field(8, _field(2, 17)), options, providers=["CPUExecutionProvider"])

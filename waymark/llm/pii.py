@@ -5,11 +5,13 @@ numpy from labelled spans: the rules' own on a bounded sample of documents, and
 cover (spelled, spaced or bracketed addresses, phone numbers without a plus or in words, cards with other separators), put
 into text of the same sample. It reads every character of every text in overlapping windows. A position's scores come
 from the window in whose middle it lies best, and one CRF decoding runs over the scores of the whole text, so a span
-across windows is found once; the network reads by an ONNX graph, which bends values several times faster than numpy. Decoding is exact but skips stretches in which a bound shows that no tag can gain.
+across windows is found once; the network reads by an ONNX graph, which bends values several times faster than numpy.
+Decoding is exact but skips stretches in which a bound shows that no tag can gain.
 
 A span of the tagger is added if its margin (its score less that of no span in its place) passes the threshold of its
-kind, which ``fit`` learns from the sample, if its numbers pass the check of its kind, and if it overlaps no span of the
-rules; the rules' spans always stay.
+kind, if its numbers pass the check of its kind, and if it overlaps no span of the rules; the rules' spans always stay.
+Thresholds come from all texts: ``candidates`` keeps every span with its margin, ``least_margins`` ranks the margins of all
+texts, and ``listed`` and ``replaced`` apply the thresholds to what was kept, so no text is read twice.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 
 from . import graphs
 from .cluster import frozen, held, text_of
+from .ranks import at_ranks
 
 KINDS = ("email", "ip", "card", "phone")
 #: Window length and step between windows when tagging; windows of training are shorter.
@@ -37,7 +40,7 @@ DIM, HIDDEN = 8, 12
 SAMPLE, SAMPLE_CHARS = 300, 20_000
 #: Training windows, steps, windows in a step, rate.
 WINDOWS, STEPS, BATCH, RATE = 5000, 600, 96, 0.03
-#: Of the sample's documents this share may get a span that is none of the rules' and no planted one; least margin of any span.
+#: Of all different texts this share may get a span that is none of the rules' and no planted one; least margin of any span.
 STRAY, LEAST_MARGIN = 0.004, 2.0
 #: Windows that are read at once, and characters of texts that a task holds spans of.
 READ, HELD_CHARS = 768, 1 << 20
@@ -370,8 +373,8 @@ def labelled_windows(texts: list[str], windows: int = WINDOWS, seed: int = 11) -
     return np.stack(xs[:windows]), np.stack(ys[:windows])
 
 
-def train(texts: list[str], windows: int = WINDOWS, steps: int = STEPS, seed: int = 11) -> Tagger:
-    """A tagger trained on windows of ``texts``, with the thresholds that they give."""
+def train(texts: list[str], windows: int = WINDOWS, steps: int = STEPS, seed: int = 11, ranked: bool = True) -> Tagger:
+    """A tagger trained on windows of ``texts``, with the thresholds that they give if ``ranked``, else the least ones."""
     x, y = labelled_windows(texts, windows, seed)
     r, t = np.random.default_rng(seed), start_tagger(seed)
     m1, m2 = [np.zeros_like(p) for p in t[:-1]], [np.zeros_like(p) for p in t[:-1]]
@@ -386,26 +389,30 @@ def train(texts: list[str], windows: int = WINDOWS, steps: int = STEPS, seed: in
             b += 0.01 * (g * g - b)
             new.append(p - np.float32(rate) * (a / np.float32(1 - 0.9**step)) / (np.sqrt(b / np.float32(1 - 0.99**step)) + np.float32(1e-6)))
         t = Tagger(*new, t.least)
-    return t._replace(least=thresholds(t, texts))
+    return t._replace(least=thresholds(t, texts)) if ranked else t
+
+
+def threshold(highest: float) -> float:
+    """The margin above which spans count where this is the highest that may not."""
+    return max(highest + 0.5, LEAST_MARGIN)
 
 
 def thresholds(t: Tagger, texts: list[str]) -> np.ndarray:
     """For each kind the margin above which at most the share STRAY of ``texts`` has a span that is none of the rules'."""
     highest = np.zeros((len(KINDS), max(1, len(texts))))
     for n, (base, found) in enumerate(zip(map(base_spans, texts), tagged_spans(t, texts), strict=True)):
-        for kind, a, b, margin in found:
-            if all(b <= x or a >= y for _, x, y in base):
-                k = KINDS.index(kind)
-                highest[k, n] = max(highest[k, n], margin)
+        for kind, _, _, margin in beside(base, found):
+            k = KINDS.index(kind)
+            highest[k, n] = max(highest[k, n], margin)
     rank = int(STRAY * len(texts))
-    return np.maximum(np.sort(highest, axis=1)[:, ::-1][:, min(rank, highest.shape[1] - 1)] + 0.5, LEAST_MARGIN).astype(np.float32)
+    return np.array([threshold(x) for x in np.sort(highest, axis=1)[:, ::-1][:, min(rank, highest.shape[1] - 1)]], np.float32)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Tagger:
-    """Train on stretches of at most ``sample`` documents with a digit or an @ and as many of any kind, chosen by a hash of
+def trained(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Tagger:
+    """A tagger whose weights are trained on stretches of at most ``sample`` documents with a digit or an @ and as many of any kind, chosen by a hash of
     their text; a document gives one stretch of at most SAMPLE_CHARS characters, around its first digit or @ if it has
     one. Two copies of a text count once; null and empty texts are not used; no text at all gives a tagger of the written
-    variants alone. At most 2 * sample * SAMPLE_CHARS characters come to the driver."""
+    variants alone. Its thresholds are the least ones. At most 2 * sample * SAMPLE_CHARS characters come to the driver."""
     text = text_of(text_col)
     place = F.greatest(F.lit(1), F.length(F.regexp_extract("text", r"^[^0-9@]*", 0)) - SAMPLE_CHARS // 2)
     place = F.when(F.col("text").rlike("[0-9@]"), place).otherwise(1)
@@ -413,7 +420,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Tagger
     some = rows.filter(F.col("text").rlike("[0-9@]")).select("h").distinct().orderBy("h").limit(sample)
     chosen = frozen(some.union(rows.select("h").distinct().orderBy(F.xxhash64("h")).limit(sample)).distinct())
     texts = rows.join(F.broadcast(chosen), "h").select("h", F.substring("text", place, F.lit(SAMPLE_CHARS)).alias("text")).groupBy("h").agg(F.min("text").alias("text"))
-    return train([r.text for r in texts.orderBy("h").collect()])
+    return train([r.text for r in texts.orderBy("h").collect()], ranked=False)
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Tagger:
+    """A trained tagger with the thresholds that all texts of ``docs`` give. What uses their spans as well keeps ``candidates``
+    instead, which this reads the texts for."""
+    t = trained(docs, sample, text_col)
+    return t._replace(least=least_margins(frozen(candidates(docs, t, text_col).select("text_hash", "spans"))))
 
 
 def _graph(t: Tagger) -> bytes:
@@ -604,26 +618,50 @@ def whole_words(kind: str, text: str, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def tagged_spans(t: Tagger, texts: list[str]) -> list[list[tuple[str, int, int, float]]]:
-    """(kind, start, end, margin) of the tagger's spans of each text that pass their threshold and the check of their kind."""
-    out: list[list[tuple[str, int, int, float]]] = [[] for _ in texts]
-    first = np.concatenate(([0], np.cumsum([len(x) + 1 for x in texts])))
+Found = tuple[str, int, int, float]
+
+
+def likely_spans(t: Tagger, texts: list[str]) -> list[list[Found]]:
+    """(kind, start, end, margin) of the tagger's spans of each text, in order, that pass the check of their kind and the least
+    threshold of all kinds."""
+    out: list[list[Found]] = [[] for _ in texts]
+    first, least = np.concatenate(([0], np.cumsum([len(x) + 1 for x in texts]))), t.least.min()
     for kind, a, b, margin in _tagged(t, _scores(t, texts)):
-        if margin > t.least[KINDS.index(kind)]:
+        if margin > least:
             n = int(np.searchsorted(first, a, "right")) - 1
             a, b = whole_words(kind, texts[n], a - int(first[n]), b - int(first[n]))
-            if a < b and plausible(kind, texts[n][a:b]) and (not out[n] or out[n][-1][2] <= a):
+            if a < b and plausible(kind, texts[n][a:b]):
                 out[n].append((kind, a, b, margin))
     return out
 
 
+def counted(found: list[Found], least: np.ndarray) -> list[Found]:
+    """Spans above the thresholds; of overlapping ones the first."""
+    out: list[Found] = []
+    for s in found:
+        if s[3] > least[KINDS.index(s[0])] and (not out or out[-1][2] <= s[1]):
+            out.append(s)
+    return out
+
+
+def beside(base: list[Span], found: list[Found]) -> list[Found]:
+    """Spans that overlap none of the rules'."""
+    return [s for s in found if all(s[2] <= a or s[1] >= b for _, a, b in base)]
+
+
+def tagged_spans(t: Tagger, texts: list[str]) -> list[list[Found]]:
+    """(kind, start, end, margin) of the tagger's spans of each text that pass their threshold and the check of their kind."""
+    return [counted(found, t.least) for found in likely_spans(t, texts)]
+
+
+def joint_spans(base: list[Span], found: list[Found], least: np.ndarray) -> list[Span]:
+    """The rules' spans and those of the tagger that count beside them."""
+    return sorted([*base, *(s[:3] for s in beside(base, counted(found, least)))], key=order)
+
+
 def all_spans(tagger: Tagger, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """(spans of the rules, all spans) of each text."""
-    out = []
-    for base, more in zip(map(base_spans, texts), tagged_spans(tagger, texts), strict=True):
-        extra = [s[:3] for s in more if all(s[2] <= a or s[1] >= b for _, a, b in base)]
-        out.append((base, sorted([*base, *extra], key=order)))
-    return out
+    return [(base, joint_spans(base, found, tagger.least)) for base, found in zip(map(base_spans, texts), likely_spans(tagger, texts), strict=True)]
 
 
 def groups(texts: list[str | None], most: int = HELD_CHARS) -> Iterator[list[str]]:
@@ -644,27 +682,84 @@ def written(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def detected(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans.
+#: Spans of a text: the rules' without a margin, then the tagger's in their order.
+SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("margin", pa.float64())]))
+SPANS_DDL = "array<struct<kind: string, start: int, end: int, margin: double>>"
 
-    Counts and digest are of the rules' spans, ``spans`` lists all; places are code points. A null or empty text has
-    none. Equal rows have equal results; other columns are ignored; an empty table gives an empty one. A text of any length
-    is read whole, READ windows at a time; beside the text only its spans and a stretch that is still open are held.
+
+def _dicts(spans: list[tuple]) -> list[dict]:
+    return [{"kind": k, "start": a, "end": b, "margin": margin[0] if margin else None} for k, a, b, *margin in spans]
+
+
+def candidates(docs: DataFrame, tagger: Tagger, text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: ``row`` (its columns), ``text_hash`` (null where there is no text) and ``spans``, the rules' and
+    all of the tagger's above its thresholds, whatever counts in the end.
+
+    A null or empty text has none. A text of any length is read whole, READ windows at a time; beside the text only its
+    spans and a stretch that is still open are held.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
 
+    def run(texts: pa.Array) -> pa.Array:
+        out = []
+        for part in groups(texts.to_pylist()):
+            for base, found in zip(map(base_spans, part), likely_spans(shared.value, part), strict=True):
+                out.append(_dicts([*base, *found]))
+        return pa.array(out, SPANS)
+
+    text = text_of(f"`{text_col}`")
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.when(text != "", F.xxhash64(text)).alias("text_hash"), F.arrow_udf(run, SPANS_DDL)(text).alias("spans"))
+
+
+def parted(spans: list[dict]) -> tuple[list[Span], list[Found]]:
+    """A text's ``spans`` as the rules' and the tagger's."""
+    base = [(s["kind"], s["start"], s["end"]) for s in spans if s["margin"] is None]
+    return base, [(s["kind"], s["start"], s["end"], s["margin"]) for s in spans if s["margin"] is not None]
+
+
+def least_margins(found: DataFrame) -> np.ndarray:
+    """For each kind the margin above which at most the share STRAY of all different texts has a span that is none of the rules'.
+    ``found``: text_hash and spans of ``candidates``, stored."""
+
+    def strays(spans: pa.Array) -> pa.Array:
+        none = np.full(len(KINDS), -np.inf)
+        return pa.array([_dicts(beside(base, counted(more, none))) for base, more in map(parted, spans.to_pylist())], SPANS)
+
+    some = found.filter("text_hash is not null and exists(spans, s -> s.margin is not null)")
+    each = some.select("text_hash", F.explode(F.arrow_udf(strays, SPANS_DDL)("spans")).alias("s"))
+    highest = frozen(each.groupBy("text_hash", F.col("s.kind").alias("name")).agg(F.max("s.margin").alias("x")).select("name", "x"))
+    rank = int(STRAY * found.agg(F.count_distinct("text_hash")).first()[0])
+    ranked = at_ranks(highest, lambda _, n: [n - 1 - rank])
+    return np.array([threshold(next(iter(ranked[k][1].values()), 0.0) if k in ranked else 0.0) for k in KINDS], np.float32)
+
+
+def listed(found: DataFrame, least: np.ndarray) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of each row of ``found`` (doc_id and the spans of ``candidates``)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lo = 0
-            for texts in groups(batch.column(1).to_pylist()):
-                found = all_spans(shared.value, texts)
-                counts = [pa.array([sum(k == kind for k, _, _ in base) for base, _ in found], pa.int64()) for kind in KINDS]
-                digest = [hashlib.sha256(written(base).encode()).hexdigest() for base, _ in found]
-                ids = batch.column(0).slice(lo, len(texts))
-                yield pa.RecordBatch.from_arrays([ids, *counts, pa.array(digest, pa.string()), pa.array([written(s) for _, s in found], pa.string())], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
-                lo += len(texts)
+            parts = [parted(s) for s in batch.column(1).to_pylist()]
+            counts = [pa.array([sum(k == kind for k, _, _ in base) for base, _ in parts], pa.int64()) for kind in KINDS]
+            digest = [hashlib.sha256(written(base).encode()).hexdigest() for base, _ in parts]
+            spans = [written(joint_spans(base, more, least)) for base, more in parts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array(digest, pa.string()), pa.array(spans, pa.string())], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+
+    return found.select("doc_id", "spans").mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+
+def spans_of(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_hash and the spans of ``candidates``, without the texts."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return candidates(rows, tagger).select("row.doc_id", "text_hash", "spans")
+
+
+def detected(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans.
+
+    Counts and digest are of the rules' spans, ``spans`` lists all; places are code points. A null or empty text has
+    none. Equal rows have equal results; other columns are ignored; an empty table gives an empty one.
+    """
+    return listed(spans_of(docs, tagger, id_col, text_col), tagger.least)
 
 
 def redacted_text(text: str, spans: list[Span]) -> str:
@@ -680,14 +775,19 @@ def redacted_text(text: str, spans: list[Span]) -> str:
     return "".join(out) + text[at:]
 
 
+def replaced(found: DataFrame, least: np.ndarray, text_col: str = "text") -> DataFrame:
+    """The rows of ``found`` (``row`` and ``spans`` of ``candidates``) with all spans that count replaced in ``text_col``."""
+
+    def run(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        parts = map(parted, spans.to_pylist())
+        return pa.array([None if t is None else redacted_text(t, joint_spans(base, more, least)) for t, (base, more) in zip(texts.to_pylist(), parts, strict=True)], pa.string())
+
+    field = F.col("row").getField
+    text = F.arrow_udf(run, "string")(field(text_col), F.col("spans"))
+    return found.select(*[(text if c == text_col else field(c)).alias(c) for c in found.schema["row"].dataType.names])
+
+
 def redacted(docs: DataFrame, tagger: Tagger, text_col: str = "text") -> DataFrame:
     """``docs`` with all spans in ``text_col`` replaced; null texts stay null, empty ones empty, other columns as they are,
     whatever their names. Equal texts have equal results; an empty table gives an empty one."""
-    shared = docs.sparkSession.sparkContext.broadcast(tagger)
-
-    def run(texts: pa.Array) -> pa.Array:
-        given = texts.to_pylist()
-        found = (s for part in groups(given) for _, s in all_spans(shared.value, part))
-        return pa.array([None if t is None else redacted_text(t, s) for t, s in zip(given, found, strict=True)], pa.string())
-
-    return docs.withColumn(text_col, F.arrow_udf(run, "string")(F.col(f"`{text_col}`")))
+    return replaced(candidates(docs, tagger, text_col), tagger.least, text_col)

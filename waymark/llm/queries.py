@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import bytecnn, merkle, pii, rules, toxicity
 from .bpe import round_trips
-from .cluster import documents, prepare
+from .cluster import documents, frozen, prepare
 from .exact import exact_duplicates, keyed, lowered
 from .licenses import joined, licenses
 from .minhash import near_duplicates
@@ -56,7 +56,8 @@ def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return pii.detected(docs, pii.fit(docs))
+    found = frozen(pii.spans_of(docs, pii.trained(docs)))
+    return pii.listed(found, pii.least_margins(found))
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that fail the base rules or leave the fertility band of their language (of their script, where
     the table has no languages). Null and empty texts fail the base rules; repeated rows are judged alike."""
     prepare(spark)
-    return docs.filter(rules.passes(docs, rules.fit(docs, labels(spark, sf_dir))))
+    return rules.passing(docs, labels(spark, sf_dir))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

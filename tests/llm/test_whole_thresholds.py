@@ -3,10 +3,11 @@
 import functools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from waymark.llm import pii
+from waymark.llm import pii, rules
 from waymark.llm.ranks import at_ranks
 
 
@@ -49,3 +50,22 @@ def test_spans_kept_once_give_what_reading_again_gives(spark, written, monkeypat
     assert listed == pii.detected(docs, high).orderBy("doc_id").collect()
     assert [r.spans for r in listed] == [pii.written(all_) for _, all_ in pii.all_spans(high, [*written[:80], "", ""])]
     assert pii.candidates(docs, t).filter(F.size("spans") > 0).count() > 5
+
+
+def test_bands_are_those_of_all_labelled_rows(spark):
+    """A few good rows with many digits, beyond the first 4,000 by the hash that chose a sample, belong to the band as well."""
+    r = np.random.default_rng(4)
+    n, prose = 6000, np.array("The river runs slowly past the old mill and every child knows its stones in summer .".split())
+    ids = spark.range(n).select("id", F.xxhash64("id", F.lit(23)).alias("h"), (F.crc32(F.col("id").cast("string")) % 5 == 0).alias("out")).filter("not out").orderBy("h").collect()
+    late = {x.id for x in ids[4000:4100]}
+    texts = [" ".join(r.choice(prose, 55) if i not in late else map(str, r.integers(10**6, size=55))) for i in range(n)]
+    docs = spark.createDataFrame([(i, "xx", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string").repartition(6)
+    known = spark.createDataFrame([(i, 1) for i in range(n)], "doc_id long, quality int")
+    bands = rules.fit(docs, known)
+    figures = np.array(rules.fertility().figures([texts[x.id] for x in ids])).T
+    passed = rules.base_counts(*rules.column_bytes(pa.array([texts[x.id] for x in ids])))
+    figures = figures[2 * passed["n_repeat_words"] <= passed["n_words"]]
+    assert np.allclose(bands["xx"], rules.band_of(figures)) and len(figures) > 4000
+    assert rules.quality_rules(docs, bands).filter(F.col("doc_id").isin(sorted(late)) & F.col("kept")).count() > 60
+    assert rules.passing(docs, known).count() == rules.quality_rules(docs, bands).filter("kept").count()
+    assert rules.passing(docs, known).columns == docs.columns

@@ -45,8 +45,8 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return rules.quality_rules(docs, rules.fit(docs, labels(spark, sf_dir)))
+    found = frozen(rules.measured(documents(spark, sf_dir)))
+    return rules.judged(found, rules.bands_of(found, labels(spark, sf_dir)))
 
 
 def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,8 +18,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -47,8 +48,9 @@ READ, HELD_CHARS = 768, 1 << 20
 
 _EMAIL_LEFT = re.compile(r"[A-Za-z0-9._%+-]")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-#: A match that begins inside a run of digits would begin at the run's start as well, so no other start is tried.
-_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+#: A match that begins inside a run of digits would begin at the run's start as well, so no other start is tried. The digit
+#: stands before the look behind it: a search skips to characters of a set only if the pattern begins with the set.
+_IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
@@ -141,12 +143,14 @@ FIRST = np.array([t == 0 or t % 2 == 1 for t in range(TAGS)])
 NEVER = -1e4
 
 
+@cache
+def _code_of() -> np.ndarray:
+    """The code of every code point."""
+    return np.array([i if i < 128 else LETTER if chr(i).isalpha() else OTHER for i in range(sys.maxunicode + 1)], np.uint8)
+
+
 def codes(text: str) -> np.ndarray:
-    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    out = points.astype(np.uint8)
-    wide = np.flatnonzero(points >= 128)
-    out[wide] = [LETTER if text[i].isalpha() else OTHER for i in wide]
-    return out
+    return _code_of()[np.frombuffer(text.encode("utf-32-le"), "<u4")]
 
 
 class Tagger(NamedTuple):
@@ -439,8 +443,7 @@ def _graph(t: Tagger) -> bytes:
         "turn": np.stack((t.left[DIM:-1], t.right[DIM:-1])),
         "out": np.stack((t.out[:HIDDEN], t.out[HIDDEN:-1])),
         "shape": np.array([2, -1, 4 * HIDDEN]),
-        "gates": np.array([3 * HIDDEN, HIDDEN]),
-        "gate": np.array([HIDDEN] * 3),
+        "gate": np.array([HIDDEN] * 4),
     }
     state = lambda name: graphs.value(name, graphs.FLOAT, 2, "rows", HIDDEN)
     step = [
@@ -448,10 +451,9 @@ def _graph(t: Tagger) -> bytes:
         graphs.node("Reshape", "flat shape", "given"),
         graphs.node("MatMul", "h turn", "turned"),
         graphs.node("Add", "turned given", "z"),
-        graphs.node("Split", "z gates", "z3 z1", axis=2),
-        graphs.node("Sigmoid", "z3", "s3"),
-        graphs.node("Tanh", "z1", "new"),
-        graphs.node("Split", "s3 gate", "i f o", axis=2),
+        graphs.node("Split", "z gate", "zi zf zo zn", axis=2),
+        *(graphs.node("Sigmoid", f"z{gate}", gate) for gate in "ifo"),
+        graphs.node("Tanh", "zn", "new"),
         graphs.node("Mul", "i new", "gained"),
         graphs.node("Mul", "f c", "stayed"),
         graphs.node("Add", "gained stayed", "cell"),
@@ -502,7 +504,11 @@ def _scores(t: Tagger, texts: list[str]) -> Iterator[np.ndarray]:
         scores[taken[last, 1] - 1, last] = np.where(np.arange(TAGS) == 0, 0, NEVER)
         windows.clear()
         takes.clear()
-        return np.ascontiguousarray(np.concatenate([scores[lo:hi, i] for i, (lo, hi, _) in enumerate(taken.tolist())]).T)
+        ends = np.cumsum(taken[:, 1] - taken[:, 0])
+        out = np.empty((TAGS, int(ends[-1])), np.float32)
+        for i, ((lo, hi, _), end) in enumerate(zip(taken.tolist(), ends.tolist(), strict=True)):
+            out[:, end - hi + lo : end] = scores[lo:hi, i].T
+        return out
 
     edge = (WINDOW - STEP) // 2
     for text in texts:
@@ -552,22 +558,42 @@ def _tagged(t: Tagger, blocks: Iterator[np.ndarray]) -> Iterator[tuple[str, int,
     first, more = np.arange(1, TAGS, 2), np.arange(2, TAGS, 2)
     out_of = np.maximum(m[first, 0], m[more, 0]) - m[0, 0]
     into, on = m[0, first] + out_of - m[0, 0], np.maximum(m[first, more], m[more, more]) - m[0, 0]
-    best = lambda rows, more: reduce(np.maximum, (row + m for row, m in zip(rows, more, strict=True)))
+    room: dict[str, np.ndarray] = {}
+
+    def scratch(name: str, n: int, kind: type = np.float64) -> np.ndarray:
+        """An array that serves block after block: the workers' allocator gives pieces of this size back at once, and they
+        would be paged in again for every step."""
+        if len(room.get(name, ())) < n:
+            room[name] = np.empty(n, kind)
+        return room[name][:n]
+
+    def best(name: str, rows: np.ndarray, moves: np.ndarray, none: np.ndarray) -> np.ndarray:
+        """The largest of ``rows`` with their moves, over no tag."""
+        out, other = (scratch(x, len(none), np.float32) for x in (name, "other"))
+        np.add(rows[0], moves[0], out=out)
+        for row, move in zip(rows[1:], moves[1:], strict=True):
+            np.maximum(out, np.add(row, move, out=other), out=out)
+        return np.subtract(out, none, out=out)
+
     done, left = 0, np.zeros((TAGS, 0), np.float32)
     blocks = iter(blocks)
     while True:
         block = next(blocks, None)
-        scores = left if block is None else np.concatenate((left, block), axis=1)
-        if scores.shape[1]:
-            begin = best(scores[1::2], into) - scores[0]
-            inner = best(scores[2::2], on) - scores[0]
-            total = np.concatenate(([0.0], np.cumsum(np.maximum(begin, inner), dtype=np.float64)))
-            end = scores.shape[1] if block is None else int(np.flatnonzero(total == np.minimum.accumulate(total))[-1])
+        scores = left if block is None else np.concatenate((left, block), axis=1) if left.shape[1] else block
+        if n := scores.shape[1]:
+            begin, inner = best("begin", scores[1::2], into, scores[0]), best("inner", scores[2::2], on, scores[0])
+            end, total = n, scratch("total", n + 1)
+            if block is not None:
+                total[0] = 0
+                np.cumsum(np.maximum(begin, inner, out=scratch("other", n, np.float32)), dtype=np.float64, out=total[1:])
+                end -= int(total[::-1].argmin())  # the last of the least
             if end:
-                total = np.cumsum(inner[:end], dtype=np.float64)
-                live = np.maximum.accumulate(begin[:end] - total) + np.maximum.accumulate(total[::-1])[::-1] > 0
-                live = np.concatenate(([False], live, [False]))
-                edges = np.flatnonzero(live[1:] != live[:-1])
+                total, begun, still, live = np.cumsum(inner[:end], dtype=np.float64, out=total[:end]), scratch("begun", end), scratch("still", end), scratch("live", end + 2, np.bool_)
+                np.maximum.accumulate(np.subtract(begin[:end], total, out=still), out=begun)
+                begun += np.maximum.accumulate(total[::-1], out=still)[::-1]
+                live[0] = live[-1] = False
+                np.greater(begun, 0, out=live[1:-1])
+                edges = np.flatnonzero(np.not_equal(live[1:], live[:-1], out=scratch("edge", end + 1, np.bool_)))
                 yield from _spans(t, m, scores, edges[::2], edges[1::2], done)
             done, left = done + end, scores[:, end:]
         if block is None:
